@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream, watermark, stream window, state or late-data
+construct; its reports over a growing fact table are simply re-run in batch.
+Every operator in :mod:`starlens.operators` is a batch DataFrame function,
+and none is added here, so that the library does only what the reference
+does. A report that must follow new data is re-read (registered view) or
+re-materialised (:func:`starlens.sources.materialize`).
+"""
