@@ -38,7 +38,19 @@ class Star:
             df.createOrReplaceTempView(prefix + name)
 
 
-def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema, fmt: str = "parquet", validate: bool = True
+) -> DataFrame:
+    """Read with a declared schema; with ``validate`` fail fast on missing columns.
+
+    A declared column that is absent from the files would otherwise read as
+    NULL everywhere. Validation only reads file metadata (Parquet footers).
+    """
+    if validate:
+        found = {f.name.lower() for f in spark.read.format(fmt).load(path).schema}
+        missing = [f.name for f in schema if f.name.lower() not in found]
+        if missing:
+            raise ValueError(f"{path}: missing columns {missing}")
     return spark.read.schema(schema).format(fmt).load(path)
 
 
