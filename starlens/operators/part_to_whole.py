@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from starlens.functions.numeric import ratio
 from starlens.functions.text import pct_label
+from starlens.operators.preaggregate import dim_totals
 
 
 def part_totals(
@@ -32,14 +33,13 @@ def part_totals(
     """SUM(measure) per part, where the part columns come from the dimension.
 
     Sales whose key has no dimension row fall into the all-NULL part. No
-    date filter is applied: undated sales still belong to the whole.
+    date filter is applied: undated sales still belong to the whole. The
+    fact is summed per key before the dimension join (exact for SUM).
     """
     if dim is None:
         return fact.groupBy(*part_cols).agg(F.sum(measure_col).alias(measure))
-    fs, d = fact.alias("fs"), dim.alias("d")
-    joined = fs.join(d, F.col(f"fs.{fact_key}") == F.col(f"d.{dim_key}"), "left")
-    return joined.groupBy(*[F.col(f"d.{c}").alias(c) for c in part_cols]).agg(
-        F.sum(f"fs.{measure_col}").alias(measure)
+    return dim_totals(
+        fact, dim, fact_key, dim_key, [(c, c) for c in part_cols], [(measure, "sum", measure_col)]
     )
 
 

@@ -4,9 +4,10 @@ and against its previous period.
 Plan shape: fact (date filter pushed to the scan) left-joined to the product
 dimension (broadcast when the planner's size check allows, else sort-merge
 with AQE skew splitting) -> partial/final aggregate per (period, entity) ->
-one hash exchange on the entity -> one sort -> window. The windows run on the
-aggregated series, whose rows per entity are bounded by the number of
-periods, so no window partition can grow with the fact table.
+one hash exchange on the entity -> one sort -> window.
+The windows run on the aggregated series, whose rows per entity are bounded
+by the number of periods, so no window partition can grow with the fact
+table.
 
 The LAG window is applied first: its (entity, period) ordering also
 satisfies the entity-only average window, so both share one sort.
@@ -43,7 +44,10 @@ def period_sales(
     """SUM(sales_amount) per (period bucket, product attribute), dated rows only.
 
     The entity comes from the *dimension* side of the left join, so sales of
-    unknown products form one NULL entity.
+    unknown products form one NULL entity. The fact rows are joined first
+    and then partially aggregated by (period, entity): a (period, product
+    key) pair is nearly unique per sale, so summing per key before the join
+    would add a shuffle without shrinking anything.
     """
     fs, dp = fact.alias("fs"), products.alias("dp")
     joined = fs.filter(F.col("fs.order_date").isNotNull()).join(

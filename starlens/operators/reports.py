@@ -5,12 +5,13 @@ every read (the reference's view semantics) or :func:`materialize` it once
 to shared storage so many readers share one computation.
 
 Plan shape: fact (``IsNotNull(order_date)`` pushed into the scan) left-joined
-to the dimension (broadcast only under the planner's size threshold, else
-sort-merge with AQE skew splitting; all unmatched sales share the NULL key
-and so form one skewed partition) -> aggregate at the report grain. The two
-COUNT(DISTINCT) measures are expanded once and aggregated in two stages; the
-first stage shuffles on (grain, distinct column), so even a product or
-customer with a third of all sales is spread across tasks.
+to the dimension's key column (broadcast only under the planner's size
+threshold, else sort-merge with AQE skew splitting; all unmatched sales share
+the NULL key and so form one skewed partition) -> aggregate per key -> join
+of the per-key rows to the dimension attributes. The two COUNT(DISTINCT)
+measures are expanded once and aggregated in two stages; the first stage
+shuffles on (key, distinct column), so even a product or customer with a
+third of all sales is spread across tasks.
 """
 
 from __future__ import annotations
@@ -65,6 +66,42 @@ def age_group(age):
     return first_match(branches, AGE_GROUP_DEFAULT)
 
 
+_DIM_KEY = "__grain_key"
+
+
+def _grain_aggregates(
+    fact: DataFrame, dim: DataFrame, key: str, other_key: str, other_alias: str
+) -> DataFrame:
+    """Report measures per dimension key over dated sales.
+
+    The grain is the dimension key: every other grain column of the
+    reference (names, category, cost, age) is an attribute of that key. So
+    the fact is joined to the dimension's *key column only*, aggregated per
+    key, and the attributes are joined to the per-key rows afterwards. The
+    fact-level join, the Expand of the two COUNT(DISTINCT) and their shuffles
+    carry one long instead of several strings. Requires unique dimension
+    keys (one row per key, as a star schema's surrogate key is).
+    """
+    keys = dim.select(F.col(key).alias(_DIM_KEY))
+    base = fact.filter(F.col("order_date").isNotNull()).join(
+        keys, F.col(key) == F.col(_DIM_KEY), "left"
+    )
+    first, last = F.min("order_date"), F.max("order_date")
+    measures = [
+        F.count_distinct("order_number").alias("total_orders"),
+        F.sum("sales_amount").alias("total_sales"),
+        F.sum("quantity").alias("total_qty"),
+        F.count_distinct(other_key).alias(other_alias),
+        last.alias("last_date"),
+        month_boundaries(first, last).alias("lifespan"),
+    ]
+    if key == "product_key":
+        measures.append(F.avg(ratio("sales_amount", "quantity")).alias("avg_selling_price"))
+    agg = base.groupBy(_DIM_KEY).agg(*measures)
+    last_name = "last_sale_date" if key == "product_key" else "last_order_date"
+    return agg.withColumnRenamed("last_date", last_name)
+
+
 def report_products(
     fact: DataFrame,
     products: DataFrame,
@@ -81,23 +118,14 @@ def report_products(
     - ``recency_in_months``: month boundaries from the last sale to ``as_of``.
     """
     today = as_of_date(as_of)
-    fs, dp = fact.alias("fs"), products.alias("dp")
-    base = fs.filter(F.col("fs.order_date").isNotNull()).join(
-        dp, F.col("fs.product_key") == F.col("dp.product_key"), "left"
-    )
-    grain = [F.col(f"dp.{c}").alias(c) for c in ("product_key", "product_name", "category", "subcategory", "cost")]
-    first, last = F.min("fs.order_date"), F.max("fs.order_date")
-    agg = base.groupBy(*grain).agg(
-        F.count_distinct("fs.order_number").alias("total_orders"),
-        F.sum("fs.sales_amount").alias("total_sales"),
-        F.sum("fs.quantity").alias("total_qty"),
-        F.count_distinct("fs.customer_key").alias("total_customers"),
-        last.alias("last_sale_date"),
-        month_boundaries(first, last).alias("lifespan"),
-        F.avg(ratio("fs.sales_amount", "fs.quantity")).alias("avg_selling_price"),
-    )
+    agg = _grain_aggregates(fact, products, "product_key", "customer_key", "total_customers")
+    attrs = products.select(
+        F.col("product_key").alias(_DIM_KEY), "product_key", "product_name", "category",
+        "subcategory", "cost",
+    )
+    rows = agg.join(attrs, _DIM_KEY, "left")
     sales, orders, life = F.col("total_sales"), F.col("total_orders"), F.col("lifespan")
-    return agg.select(
+    return rows.select(
         "product_key", "product_name", "category", "subcategory", "cost",
         product_segment(sales, high, mid).alias("product_segment"),
         "total_orders", "total_sales", "total_customers", "total_qty", "last_sale_date",
@@ -124,28 +152,20 @@ def report_customers(
     - ``AMS``: total_sales when the lifespan is 0, else total_sales div lifespan.
     """
     today = as_of_date(as_of)
-    fs, dc = fact.alias("fs"), customers.alias("dc")
-    base = fs.filter(F.col("fs.order_date").isNotNull()).join(
-        dc, F.col("fs.customer_key") == F.col("dc.customer_key"), "left"
-    )
-    grain = [
-        F.col("dc.customer_key").alias("customer_key"),
-        F.col("dc.customer_number").alias("customer_number"),
-        full_name(F.col("dc.first_name"), F.col("dc.last_name")).alias("customer_name"),
-        year_boundaries(F.col("dc.birthdate"), today).alias("customer_age"),
-    ]
-    first, last = F.min("fs.order_date"), F.max("fs.order_date")
-    agg = base.groupBy(*grain).agg(
-        F.count_distinct("fs.order_number").alias("total_orders"),
-        F.sum("fs.sales_amount").alias("total_sales"),
-        F.sum("fs.quantity").alias("total_qty"),
-        F.count_distinct("fs.product_key").alias("total_products"),
-        last.alias("last_order_date"),
-        month_boundaries(first, last).alias("lifespan"),
+    agg = _grain_aggregates(fact, customers, "customer_key", "product_key", "total_products")
+    attrs = customers.select(
+        F.col("customer_key").alias(_DIM_KEY),
+        "customer_key",
+        "customer_number",
+        full_name("first_name", "last_name").alias("customer_name"),
+        year_boundaries("birthdate", today).alias("customer_age"),
     )
+    rows = agg.join(attrs, _DIM_KEY, "left")
+    # An unknown customer has no dimension row; its name still reads as ' '.
+    name = F.coalesce(F.col("customer_name"), full_name(F.lit(None), F.lit(None)))
     sales, orders, life = F.col("total_sales"), F.col("total_orders"), F.col("lifespan")
-    return agg.select(
-        "customer_key", "customer_number", "customer_name", "customer_age",
+    return rows.select(
+        "customer_key", "customer_number", name.alias("customer_name"), "customer_age",
         age_group("customer_age").alias("age_groups"),
         loyalty_segment(life, sales, min_months, vip_spending).alias("customer_segment"),
         "total_orders", "total_sales", "total_qty", "total_products", "last_order_date",

@@ -8,8 +8,10 @@ Scale notes:
   window partitioned by band: with four bands that would put a quarter of
   the dimension into one task. Instead the counts (at most one row per
   band, a bound fixed by the rules) are broadcast and joined back.
-- Customer spending groups the fact by the dimension key after a left
-  join; SUM/MIN/MAX are all combined map-side.
+- Customer spending sums the fact per customer key first (SUM/MIN/MAX are
+  combined map-side), joins those per-customer rows to the dimension and
+  re-aggregates by the dimension key, so unknown keys still merge into the
+  NULL group.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from starlens.functions.classify import first_match, range_band
 from starlens.functions.dates import month_boundaries
+from starlens.operators.preaggregate import dim_totals
 
 # Fixed values of the reference: cost band edges, and the loyalty rule
 # (at least 12 months of history; spending above 5000 is VIP).
@@ -94,15 +97,19 @@ def customer_spending(fact: DataFrame, customers: DataFrame) -> DataFrame:
     customer whose dates are all NULL has a NULL lifespan. Sales whose key
     is missing from the dimension group under a NULL key.
     """
-    fs, dc = fact.alias("fs"), customers.alias("dc")
-    joined = fs.join(dc, F.col("fs.customer_key") == F.col("dc.customer_key"), "left")
-    first, last = F.min("fs.order_date"), F.max("fs.order_date")
-    return joined.groupBy(F.col("dc.customer_key").alias("customer_key")).agg(
-        F.sum("fs.sales_amount").alias("total_spending"),
-        first.alias("first_order"),
-        last.alias("last_order"),
-        month_boundaries(first, last).alias("lifespan"),
+    totals = dim_totals(
+        fact,
+        customers,
+        "customer_key",
+        "customer_key",
+        [("customer_key", "customer_key")],
+        [
+            ("total_spending", "sum", "sales_amount"),
+            ("first_order", "min", "order_date"),
+            ("last_order", "max", "order_date"),
+        ],
     )
+    return totals.withColumn("lifespan", month_boundaries("first_order", "last_order"))
 
 
 def segment_customers(
