@@ -108,5 +108,7 @@ def test_bucket_rejects_unknown_grain():
 
 def test_no_python_udfs_in_expressions(spark):
     df = spark.createDataFrame([("a", 1.0)], StructType([StructField("s", StringType()), StructField("x", DoubleType())]))
-    plan = df.select(pct_label("x", 2), full_name("s", "s")).__getattribute__("_jdf").queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    from starlens.plans.explain import PYTHON_NODES, plan_text
+
+    plan = plan_text(df.select(pct_label("x", 2), full_name("s", "s")))
+    assert not any(node in plan for node in PYTHON_NODES)

@@ -84,3 +84,29 @@ def test_year_filter_prunes_fact_partitions(spark, scratch):
     fact = spark.read.parquet(f"{root}/fact_sales")
     text = plan_text(fact.filter(F.col("order_year") == 1995).select("sales_amount"))
     assert "PartitionFilters: [isnotnull(order_year" in text
+
+
+def test_cte_and_derived_table_forms_are_one_plan(spark):
+    """The reference writes the running total twice (derived table, then CTE)."""
+    from starlens.operators import running_sales
+
+    star = cat.star(spark, SF_SMALL)
+    star.register(prefix="u_")
+    inner = """SELECT trunc(order_date, 'MM') AS order_month, SUM(sales_amount) AS total_sales
+               FROM u_fact_sales WHERE month(order_date) IS NOT NULL
+               GROUP BY trunc(order_date, 'MM')"""
+    derived = spark.sql(
+        f"SELECT order_month, total_sales, SUM(total_sales) OVER (ORDER BY order_month) AS running_total FROM ({inner}) z1"
+    )
+    cte = spark.sql(
+        f"WITH x1 AS ({inner}) SELECT order_month, total_sales, SUM(total_sales) OVER (ORDER BY order_month) AS running_total FROM x1"
+    )
+    import re
+
+    def shape(df):  # physical plan without expression ids and plan ids
+        return re.sub(r"#\d+L?|plan_id=\d+", "", plan_text(df, "simple"))
+
+    assert shape(derived) == shape(cte)
+    ours = running_sales(star.fact_sales)
+    key = lambda rows: sorted((r[0], r[1], r[2]) for r in rows)
+    assert key(derived.collect()) == key(cte.collect()) == key(ours.collect())
