@@ -40,6 +40,13 @@ AGE_GROUPS = (
 )
 AGE_GROUP_DEFAULT = "50 and above"
 
+# avg_selling_price is a floating mean. A distributed SUM of doubles adds
+# partial sums in whatever order tasks finish, so its last bits vary from
+# run to run and with the partitioning. Rounding to 6 decimal places (far
+# below a cent) makes the report reproducible; pass price_digits=None for
+# the raw double.
+PRICE_DIGITS = 6
+
 PRODUCT_REPORT_COLUMNS = [
     "product_key", "product_name", "category", "subcategory", "cost", "product_segment",
     "total_orders", "total_sales", "total_customers", "total_qty", "last_sale_date",
@@ -70,7 +77,12 @@ _DIM_KEY = "__grain_key"
 
 
 def _grain_aggregates(
-    fact: DataFrame, dim: DataFrame, key: str, other_key: str, other_alias: str
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    other_key: str,
+    other_alias: str,
+    price_digits: int | None = PRICE_DIGITS,
 ) -> DataFrame:
     """Report measures per dimension key over dated sales.
 
@@ -96,7 +108,10 @@ def _grain_aggregates(
         month_boundaries(first, last).alias("lifespan"),
     ]
     if key == "product_key":
-        measures.append(F.avg(ratio("sales_amount", "quantity")).alias("avg_selling_price"))
+        price = F.avg(ratio("sales_amount", "quantity"))
+        if price_digits is not None:
+            price = F.round(price, price_digits)
+        measures.append(price.alias("avg_selling_price"))
     agg = base.groupBy(_DIM_KEY).agg(*measures)
     last_name = "last_sale_date" if key == "product_key" else "last_order_date"
     return agg.withColumnRenamed("last_date", last_name)
@@ -108,17 +123,21 @@ def report_products(
     as_of=None,
     high: float = REFERENCE_HIGH_PERFORMER,
     mid: float = REFERENCE_MID_RANGE,
+    price_digits: int | None = PRICE_DIGITS,
 ) -> DataFrame:
     """One row per product (dimension grain) with order, sales and recency KPIs.
 
     - ``avg_selling_price``: AVG(sales / NULLIF(quantity, 0)); zero-quantity
-      lines leave the mean.
+      lines leave the mean. Rounded to ``price_digits`` places (see
+      :data:`PRICE_DIGITS`).
     - ``AOR``: 0 when total_sales is 0, else total_sales div total_orders.
     - ``AMR``: 0 when the lifespan is 0, else total_sales div lifespan.
     - ``recency_in_months``: month boundaries from the last sale to ``as_of``.
     """
     today = as_of_date(as_of)
-    agg = _grain_aggregates(fact, products, "product_key", "customer_key", "total_customers")
+    agg = _grain_aggregates(
+        fact, products, "product_key", "customer_key", "total_customers", price_digits
+    )
     attrs = products.select(
         F.col("product_key").alias(_DIM_KEY), "product_key", "product_name", "category",
         "subcategory", "cost",

@@ -11,8 +11,12 @@ scans the columns it uses (Catalyst prunes the ``ReadSchema``).
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,32 +58,41 @@ def read_table(
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def read_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
-    """Read a gold layer laid out as ``{root}/{fact_sales,dim_products,dim_customers}``."""
+def read_star(spark: SparkSession, root: str, fmt: str = "parquet", validate: bool = True) -> Star:
+    """Read a gold layer laid out as ``{root}/{fact_sales,dim_products,dim_customers}``.
+
+    Only the declared columns are returned (a year-partitioned fact also
+    carries its ``order_year`` folder column, which is dropped here).
+    """
     root = root.rstrip("/")
     return Star(
         **{
-            name: read_table(spark, f"{root}/{name}", schema, fmt)
+            name: read_table(spark, f"{root}/{name}", schema, fmt, validate).select(
+                *schema.fieldNames()
+            )
             for name, schema in schemas.STAR.items()
         }
     )
 
 
-def write_star(star: Star, root: str, mode: str = "overwrite") -> None:
+def write_star(star: Star, root: str, mode: str = "overwrite", partition_by_year: bool = True) -> None:
     """Write the star as Parquet.
 
-    The fact is partitioned by order year so year-bounded queries prune
-    folders; the dimensions are written as plain Parquet.
+    With ``partition_by_year`` the fact goes into one folder per order year,
+    so year-bounded reads prune folders. The ``rebalance`` hint lets AQE cut
+    each year into files of about the advisory partition size (splitting a
+    year that holds most of the rows, merging small ones) instead of every
+    task writing one small file per year.
     """
     root = root.rstrip("/")
-    (
-        star.fact_sales.withColumn("order_year", F.year("order_date"))
-        .write.mode(mode)
-        .partitionBy("order_year")
-        .parquet(f"{root}/fact_sales")
-    )
-    star.dim_products.write.mode(mode).parquet(f"{root}/dim_products")
-    star.dim_customers.write.mode(mode).parquet(f"{root}/dim_customers")
+    fact = star.fact_sales
+    if partition_by_year:
+        fact = fact.withColumn("order_year", F.year("order_date")).hint("rebalance", "order_year")
+        fact.write.mode(mode).partitionBy("order_year").parquet(f"{root}/fact_sales")
+    else:
+        fact.hint("rebalance").write.mode(mode).parquet(f"{root}/fact_sales")
+    star.dim_products.hint("rebalance").write.mode(mode).parquet(f"{root}/dim_products")
+    star.dim_customers.hint("rebalance").write.mode(mode).parquet(f"{root}/dim_customers")
 
 
 def raw_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -158,3 +171,59 @@ def star_from_tables(spark: SparkSession, data_dir: str) -> Star:
         dim_products=dim_products_from(raw_table(spark, data_dir, "part")),
         dim_customers=dim_customers_from(raw_table(spark, data_dir, "customer")),
     )
+
+
+# --- derive once, read many --------------------------------------------------
+
+RAW_TABLES = ("lineitem", "orders", "part", "customer")
+
+
+def _fingerprint(data_dir: str) -> str | None:
+    """Key of a derived star: input file sizes and times plus the derivation code.
+
+    Changing an input file or a derivation rule gives a new key, so a stale
+    star is never read. None when the inputs cannot be listed locally.
+    """
+    h = hashlib.sha256()
+    for name in RAW_TABLES:
+        path = f"{data_dir.rstrip('/')}/{name}.parquet"
+        try:
+            st = os.stat(path)
+        except OSError:
+            return None
+        h.update(f"{os.path.abspath(path)}:{st.st_size}:{st.st_mtime_ns};".encode())
+    for fn in (fact_sales_from, dim_products_from, dim_customers_from, write_star, _null_when, _days_after):
+        h.update(inspect.getsource(fn).encode())
+    h.update(repr([schemas.STAR, schemas.RAW]).encode())
+    return h.hexdigest()[:20]
+
+
+def _complete(spark: SparkSession, root: str) -> bool:
+    """All three tables were committed (each has its ``_SUCCESS`` marker)."""
+    try:
+        for name in schemas.STAR:
+            spark.read.text(f"{root}/{name}/_SUCCESS")
+    except AnalysisException:
+        return False
+    return True
+
+
+def materialized_star(spark: SparkSession, data_dir: str) -> Star:
+    """The star derived from ``data_dir``, written once to the shared folder.
+
+    The derivation joins the two largest tables (lines to orders); doing it
+    once and letting every report read the written gold tables is how a
+    star is used in production. The tables go under
+    ``{spark.checkpoint.dir}/starlens/gold/<key>`` (shared storage on a
+    cluster, so a lost executor never loses them). Without a checkpoint
+    folder, or when the inputs cannot be fingerprinted, the star is derived
+    lazily inside each query instead.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    key = _fingerprint(data_dir) if base else None
+    if key is None:
+        return star_from_tables(spark, data_dir)
+    root = f"{base.rstrip('/')}/starlens/gold/{key}"
+    if not _complete(spark, root):
+        write_star(star_from_tables(spark, data_dir), root)
+    return read_star(spark, root, validate=False)

@@ -58,3 +58,22 @@ def test_missing_column_fails_fast(spark, scratch):
         spark.range(3).write.parquet(f"{scratch}/bad/{name}")
     with pytest.raises(ValueError, match="missing columns"):
         read_star(spark, f"{scratch}/bad")
+
+
+def test_materialized_star_is_written_once_and_reused(spark):
+    from starlens.sources.star import _complete, _fingerprint, materialized_star
+
+    key = _fingerprint(SF_SMALL)
+    assert key and key == _fingerprint(SF_SMALL)
+    first = materialized_star(spark, SF_SMALL)
+    root = f"{checkpoint_root(spark)}/starlens/gold/{key}"
+    assert _complete(spark, root)
+    files = first.fact_sales.inputFiles()
+    assert files and all(f"/starlens/gold/{key}/fact_sales/" in f for f in files)
+    again = materialized_star(spark, SF_SMALL)
+    assert sorted(again.fact_sales.inputFiles()) == sorted(files)  # read, not rebuilt
+    from starlens.sources.star import star_from_tables
+
+    lazy = star_from_tables(spark, SF_SMALL)
+    assert sorted(map(str, again.fact_sales.collect())) == sorted(map(str, lazy.fact_sales.collect()))
+    assert not _complete(spark, f"{root}-missing")
