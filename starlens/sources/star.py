@@ -224,6 +224,15 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
     if key is None:
         return star_from_tables(spark, data_dir)
     root = f"{base.rstrip('/')}/starlens/gold/{key}"
-    if not _complete(spark, root):
-        write_star(star_from_tables(spark, data_dir), root)
-    return read_star(spark, root, validate=False)
+    memo = (spark.sparkContext.applicationId, root)
+    if memo not in _STARS:
+        if not _complete(spark, root):
+            write_star(star_from_tables(spark, data_dir), root)
+        _STARS[memo] = read_star(spark, root, validate=False)
+    return _STARS[memo]
+
+
+# Gold stars already read in this application, by folder. A folder's key
+# changes whenever its inputs or derivation change, so its contents are
+# immutable and the DataFrames (with their file listings) can be reused.
+_STARS: dict[tuple[str, str], Star] = {}
