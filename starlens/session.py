@@ -21,9 +21,12 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Only dimensions whose estimated size is under this bound are broadcast
-    # by the planner; bigger ones are sort-merge joined.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Static broadcast only for sides *estimated* (from file sizes) under
+    # 10 MB; anything else is sort-merge joined, and AQE may still convert
+    # the join to a broadcast once the side's shuffle output is *measured*
+    # under 64 MB.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import hashlib
 import inspect
-import os
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -178,20 +177,31 @@ def star_from_tables(spark: SparkSession, data_dir: str) -> Star:
 RAW_TABLES = ("lineitem", "orders", "part", "customer")
 
 
-def _fingerprint(data_dir: str) -> str | None:
-    """Key of a derived star: input file sizes and times plus the derivation code.
+def _fingerprint(spark: SparkSession, data_dir: str) -> str | None:
+    """Key of a derived star: input file metadata plus the derivation code.
 
-    Changing an input file or a derivation rule gives a new key, so a stale
-    star is never read. None when the inputs cannot be listed locally.
+    File paths, sizes and modification times are read with the
+    ``binaryFile`` source (its ``content`` column is not selected, so no file
+    is read) and folded into one order-independent hash by Spark, on any
+    file system. Changing an input file or a derivation rule gives a new
+    key, so a stale star is never read. None when an input is missing.
     """
     h = hashlib.sha256()
     for name in RAW_TABLES:
         path = f"{data_dir.rstrip('/')}/{name}.parquet"
         try:
-            st = os.stat(path)
-        except OSError:
+            meta = spark.read.format("binaryFile").load(path)
+        except AnalysisException:
             return None
-        h.update(f"{os.path.abspath(path)}:{st.st_size}:{st.st_mtime_ns};".encode())
+        row = meta.agg(
+            F.count("*").alias("n"),
+            F.sum("length").alias("bytes"),
+            F.max("modificationTime").alias("mtime"),
+            F.sum(F.xxhash64("path", "length", "modificationTime") % 1000000007).alias("h"),
+        ).first()
+        if not row["n"]:
+            return None
+        h.update(f"{name}:{row['n']}:{row['bytes']}:{row['mtime']}:{row['h']};".encode())
     for fn in (fact_sales_from, dim_products_from, dim_customers_from, write_star, _null_when, _days_after):
         h.update(inspect.getsource(fn).encode())
     h.update(repr([schemas.STAR, schemas.RAW]).encode())
@@ -220,19 +230,21 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
     lazily inside each query instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    key = _fingerprint(data_dir) if base else None
-    if key is None:
+    if not base:
         return star_from_tables(spark, data_dir)
-    root = f"{base.rstrip('/')}/starlens/gold/{key}"
-    memo = (spark.sparkContext.applicationId, root)
+    memo = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
     if memo not in _STARS:
+        key = _fingerprint(spark, data_dir)
+        if key is None:
+            return star_from_tables(spark, data_dir)
+        root = f"{base.rstrip('/')}/starlens/gold/{key}"
         if not _complete(spark, root):
             write_star(star_from_tables(spark, data_dir), root)
         _STARS[memo] = read_star(spark, root, validate=False)
     return _STARS[memo]
 
 
-# Gold stars already read in this application, by folder. A folder's key
-# changes whenever its inputs or derivation change, so its contents are
-# immutable and the DataFrames (with their file listings) can be reused.
+# Gold stars already read in this application, by input folder. Inputs are
+# taken as immutable for the life of an application (as Spark's own file
+# listings are); a new application re-checks the fingerprint.
 _STARS: dict[tuple[str, str], Star] = {}

@@ -63,8 +63,9 @@ def test_missing_column_fails_fast(spark, scratch):
 def test_materialized_star_is_written_once_and_reused(spark):
     from starlens.sources.star import _complete, _fingerprint, materialized_star
 
-    key = _fingerprint(SF_SMALL)
-    assert key and key == _fingerprint(SF_SMALL)
+    key = _fingerprint(spark, SF_SMALL)
+    assert key and key == _fingerprint(spark, SF_SMALL)
+    assert _fingerprint(spark, f"{SF_SMALL}/no-such-folder") is None
     first = materialized_star(spark, SF_SMALL)
     root = f"{checkpoint_root(spark)}/starlens/gold/{key}"
     assert _complete(spark, root)
