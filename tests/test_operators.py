@@ -23,7 +23,7 @@ from starlens.operators import (
     yearly_performance,
     yearly_running_with_avg_price,
 )
-from tests.fixtures import collect, customers, fact, products, star
+from tests.fixtures import collect, fact, products, star
 
 
 def test_m1_yearly_benchmark_golden(spark):
