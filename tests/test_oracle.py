@@ -53,3 +53,34 @@ def test_entry_contract(spark):
         "last_order_date", "lifespan", "recency", "AVO", "AMS",
     ]
     assert set(mod.queries()) == set(mod.oracle_sql())
+
+
+OTHER_SESSION = {
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.session.timeZone": "America/Los_Angeles",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "200",
+}
+
+
+def test_results_do_not_depend_on_session_settings(spark, duck_small):
+    """A driver session may differ from build_session; answers must not."""
+    saved = {k: spark.conf.get(k, None) for k in OTHER_SESSION}
+    try:
+        for k, v in OTHER_SESSION.items():
+            spark.conf.set(k, v)
+        bad = []
+        for key in sorted(QUERIES):
+            res = compare(
+                QUERIES[key](spark, SF_SMALL).toArrow(), duck_small.sql(ORACLE_SQL[key]).to_arrow_table(), key
+            )
+            if not res.ok:
+                bad.append((key, res.detail))
+        assert not bad, bad
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
