@@ -19,6 +19,7 @@ from starlens.operators.performance import (
 from starlens.operators.reports import (
     age_group_summary,
     customers_in_age_range,
+    register_reports,
     report_customers,
     report_products,
 )
@@ -52,6 +53,7 @@ __all__ = [
     "period_sales",
     "period_totals",
     "preview",
+    "register_reports",
     "report_customers",
     "report_products",
     "running_quantity_shipped",

@@ -206,3 +206,35 @@ def age_group_summary(report: DataFrame) -> DataFrame:
         F.count("customer_number").alias("total_customers"),
         F.sum("total_sales").alias("total_sales"),
     )
+
+
+def register_reports(
+    fact: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    as_of=None,
+    prefix: str = "",
+    **params,
+) -> dict[str, DataFrame]:
+    """Create or replace the views ``report_products`` and ``report_customers``.
+
+    The reference's drop-and-recreate views: each read of a view re-runs its
+    plan, so pass a fixed ``as_of`` to keep ages and recency stable. Extra
+    keyword arguments go to the report whose signature names them.
+    """
+    prod_keys = {"high", "mid", "price_digits"}
+    cust_keys = {"min_months", "vip_spending"}
+    unknown = set(params) - prod_keys - cust_keys
+    if unknown:
+        raise TypeError(f"unknown report parameters {sorted(unknown)}")
+    views = {
+        "report_products": report_products(
+            fact, products, as_of, **{k: v for k, v in params.items() if k in prod_keys}
+        ),
+        "report_customers": report_customers(
+            fact, customers, as_of, **{k: v for k, v in params.items() if k in cust_keys}
+        ),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return views

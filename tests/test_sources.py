@@ -78,3 +78,26 @@ def test_materialized_star_is_written_once_and_reused(spark):
     lazy = star_from_tables(spark, SF_SMALL)
     assert sorted(map(str, again.fact_sales.collect())) == sorted(map(str, lazy.fact_sales.collect()))
     assert not _complete(spark, f"{root}-missing")
+
+
+def test_report_views_answer_the_reference_ad_hoc_sql(spark):
+    """The reference queries its report views with plain SQL; so can Spark."""
+    from starlens.operators import register_reports
+
+    s = cat.star(spark, SF_SMALL)
+    register_reports(
+        s.fact_sales, s.dim_products, s.dim_customers, cat.AS_OF,
+        high=cat.HIGH_PERFORMER, mid=cat.MID_RANGE, min_months=cat.MIN_MONTHS, vip_spending=cat.VIP_SPENDING,
+    )
+    k3 = spark.sql("SELECT * FROM report_customers WHERE customer_age BETWEEN 30 AND 39")
+    k4 = spark.sql(
+        "SELECT age_groups, COUNT(customer_number) AS total_customers, SUM(total_sales) AS total_sales "
+        "FROM report_customers GROUP BY age_groups"
+    )
+    top = spark.sql("SELECT * FROM report_products ORDER BY product_key NULLS FIRST LIMIT 10")
+    as_rows = lambda df: sorted(map(str, df.collect()))
+    assert as_rows(k3) == as_rows(cat.QUERIES["customers_aged_30_39"](spark, SF_SMALL))
+    assert as_rows(k4) == as_rows(cat.QUERIES["age_group_summary"](spark, SF_SMALL))
+    assert as_rows(top) == as_rows(cat.QUERIES["preview_report_products"](spark, SF_SMALL))
+    with pytest.raises(TypeError):
+        register_reports(s.fact_sales, s.dim_products, s.dim_customers, cat.AS_OF, colour="red")
