@@ -62,6 +62,12 @@ def contribution(
     ``"label"`` by the text label as the reference's customer query does
     (so ``9.5%`` ranks above ``10.1%``), ``"measure"`` by the part total,
     ``None`` leaves the rows unsorted.
+
+    The reference leaves the order within ties open. Here ties are broken by
+    the measure and then the part columns: with one row per customer almost
+    every share rounds to the same few labels, and a range-partitioned sort
+    cannot split equal keys, so without tiebreakers one task would sort
+    nearly all rows.
     """
     grand = parts.agg(F.sum(measure)).scalar()
     share = ratio(measure, grand) * 100
@@ -70,10 +76,11 @@ def contribution(
         grand.alias(total),
         pct_label(share, places).alias(label),
     )
+    keys = [F.col(c).asc_nulls_first() for c in parts.columns if c != measure]
     if sort_by == "share":
-        return out.orderBy(ratio(measure, total).desc())
+        return out.orderBy(ratio(measure, total).desc(), *keys)
     if sort_by == "label":
-        return out.orderBy(F.col(label).desc())
+        return out.orderBy(F.col(label).desc(), F.col(measure).desc(), *keys)
     if sort_by == "measure":
-        return out.orderBy(F.col(measure).desc())
+        return out.orderBy(F.col(measure).desc(), *keys)
     return out

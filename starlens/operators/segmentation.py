@@ -69,7 +69,10 @@ def band_rows(
     out = rows.join(F.broadcast(counts), "cost_range", "left").select(
         "product_key", "product_name", "cost", "cost_range", "total_products"
     )
-    return out.orderBy(F.col("total_products").desc()) if sort else out
+    # total_products takes at most one value per band; the product key breaks
+    # the ties so the range-partitioned sort can split a band across tasks.
+    order = [F.col("total_products").desc(), F.col("cost_range"), F.col("product_key").asc_nulls_first()]
+    return out.orderBy(*order) if sort else out
 
 
 def loyalty_segment(

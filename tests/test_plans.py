@@ -110,3 +110,13 @@ def test_cte_and_derived_table_forms_are_one_plan(spark):
     ours = running_sales(star.fact_sales)
     key = lambda rows: sorted((r[0], r[1], r[2]) for r in rows)
     assert key(derived.collect()) == key(cte.collect()) == key(ours.collect())
+
+
+@pytest.mark.parametrize("key", ["customer_contribution", "cost_band_rows"])
+def test_large_sorts_break_ties(spark, key):
+    """Sorts over one row per customer/product must not range-partition on a few values."""
+    text = plan_text(cat.QUERIES[key](spark, SF_SMALL))
+    ranges = [ln for ln in text.splitlines() if "rangepartitioning(" in ln]
+    assert ranges
+    expected = "customer_key" if key == "customer_contribution" else "product_key"
+    assert all(expected in ln for ln in ranges), ranges
