@@ -83,6 +83,7 @@ def _grain_aggregates(
     other_key: str,
     other_alias: str,
     price_digits: int | None = PRICE_DIGITS,
+    how: str = "left",
 ) -> DataFrame:
     """Report measures per dimension key over dated sales.
 
@@ -93,10 +94,13 @@ def _grain_aggregates(
     fact-level join, the Expand of the two COUNT(DISTINCT) and their shuffles
     carry one long instead of several strings. Requires unique dimension
     keys (one row per key, as a star schema's surrogate key is).
+
+    ``how="inner"`` keeps only sales of keys present in ``dim`` (no NULL
+    group), for a report restricted by a predicate on the dimension.
     """
     keys = dim.select(F.col(key).alias(_DIM_KEY))
     base = fact.filter(F.col("order_date").isNotNull()).join(
-        keys, F.col(key) == F.col(_DIM_KEY), "left"
+        keys, F.col(key) == F.col(_DIM_KEY), how
     )
     first, last = F.min("order_date"), F.max("order_date")
     measures = [
@@ -161,9 +165,16 @@ def report_customers(
     as_of=None,
     min_months: int = REFERENCE_MIN_MONTHS,
     vip_spending: float = REFERENCE_VIP_SPENDING,
+    age_range: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per customer (dimension grain) with age, loyalty and spend KPIs.
 
+    ``age_range=(low, high)`` returns exactly the rows of the full report
+    with ``low <= customer_age <= high``, but filters the customer dimension
+    *before* the fact join: the age depends only on the dimension, and the
+    NULL group of unknown customers has no age, so it never qualifies. The
+    other customers' sales then never reach the aggregation or its shuffles.
+
     - ``customer_name``: first and last name joined by a space, NULL parts read as ''.
     - ``customer_age``: year boundaries from birthdate to ``as_of``.
     - ``AVO``: 0 when total_sales is 0, else total_sales div total_orders
@@ -171,7 +182,14 @@ def report_customers(
     - ``AMS``: total_sales when the lifespan is 0, else total_sales div lifespan.
     """
     today = as_of_date(as_of)
-    agg = _grain_aggregates(fact, customers, "customer_key", "product_key", "total_products")
+    how = "left"
+    if age_range is not None:
+        low, high = age_range
+        customers = customers.filter(year_boundaries("birthdate", today).between(low, high))
+        how = "inner"
+    agg = _grain_aggregates(
+        fact, customers, "customer_key", "product_key", "total_products", how=how
+    )
     attrs = customers.select(
         F.col("customer_key").alias(_DIM_KEY),
         "customer_key",
@@ -179,7 +197,7 @@ def report_customers(
         full_name("first_name", "last_name").alias("customer_name"),
         year_boundaries("birthdate", today).alias("customer_age"),
     )
-    rows = agg.join(attrs, _DIM_KEY, "left")
+    rows = agg.join(attrs, _DIM_KEY, how)
     # An unknown customer has no dimension row; its name still reads as ' '.
     name = F.coalesce(F.col("customer_name"), full_name(F.lit(None), F.lit(None)))
     sales, orders, life = F.col("total_sales"), F.col("total_orders"), F.col("lifespan")
@@ -196,7 +214,12 @@ def report_customers(
 
 
 def customers_in_age_range(report: DataFrame, low: int = 30, high: int = 39) -> DataFrame:
-    """Report rows with ``low <= customer_age <= high``."""
+    """Report rows with ``low <= customer_age <= high``.
+
+    For an existing (e.g. materialised) report. To compute the rows from the
+    fact, ``report_customers(..., age_range=(low, high))`` gives the same
+    rows while reading only the qualifying customers' sales.
+    """
     return report.filter(F.col("customer_age").between(low, high))
 
 

@@ -223,7 +223,11 @@ def report_customers(s: Star) -> DataFrame:
 
 
 def customers_aged_30_39(s: Star) -> DataFrame:
-    return rep.customers_in_age_range(report_customers(s), 30, 39)
+    # Same rows as filtering the full report; the age filter is applied to
+    # the customer dimension before the fact is aggregated.
+    return rep.report_customers(
+        s.fact_sales, s.dim_customers, AS_OF, MIN_MONTHS, VIP_SPENDING, age_range=(30, 39)
+    )
 
 
 def age_group_summary(s: Star) -> DataFrame:

@@ -297,3 +297,16 @@ def test_benchmark_generic_entity(spark):
         (1, "y", 5, 3, 2, "Above average", None, None, "No change"),
         (3, "y", 1, 3, -2, "Below average", 5, -4, "Decrease"),
     ]
+
+
+def test_age_range_pushdown_equals_filtering_the_report(spark):
+    from starlens.plans import catalog as cat
+    from tests.conftest import SF_CHECK
+
+    s = cat.star(spark, SF_CHECK)
+    full = report_customers(s.fact_sales, s.dim_customers, cat.AS_OF, cat.MIN_MONTHS, cat.VIP_SPENDING)
+    for low, high in [(30, 39), (-100, 19), (50, 200)]:
+        pushed = report_customers(
+            s.fact_sales, s.dim_customers, cat.AS_OF, cat.MIN_MONTHS, cat.VIP_SPENDING, age_range=(low, high)
+        )
+        assert sorted(map(str, pushed.collect())) == sorted(map(str, customers_in_age_range(full, low, high).collect()))
