@@ -19,6 +19,7 @@ from starlens.operators.performance import (
 from starlens.operators.reports import (
     age_group_summary,
     customers_in_age_range,
+    preview_report_products,
     register_reports,
     report_customers,
     report_products,
@@ -53,6 +54,7 @@ __all__ = [
     "period_sales",
     "period_totals",
     "preview",
+    "preview_report_products",
     "register_reports",
     "report_customers",
     "report_products",

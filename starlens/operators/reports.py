@@ -76,6 +76,29 @@ def age_group(age):
 _DIM_KEY = "__grain_key"
 
 
+def _keyed_sales(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Dated sales with the grain key: the dimension key, NULL for unknown keys."""
+    keys = dim.select(F.col(key).alias(_DIM_KEY))
+    return fact.filter(F.col("order_date").isNotNull()).join(
+        keys, F.col(key) == F.col(_DIM_KEY), how
+    )
+
+
+def first_grain_keys(fact: DataFrame, dim: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` smallest grain keys of a report (NULL first), without building it.
+
+    Per-task partial aggregation of the key alone, then a top-n merge: only
+    ``n`` keys per task reach the driver side of the plan.
+    """
+    return (
+        _keyed_sales(fact, dim, key)
+        .select(_DIM_KEY)
+        .distinct()
+        .orderBy(F.col(_DIM_KEY).asc_nulls_first())
+        .limit(n)
+    )
+
+
 def _grain_aggregates(
     fact: DataFrame,
     dim: DataFrame,
@@ -84,6 +107,7 @@ def _grain_aggregates(
     other_alias: str,
     price_digits: int | None = PRICE_DIGITS,
     how: str = "left",
+    only_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Report measures per dimension key over dated sales.
 
@@ -97,11 +121,16 @@ def _grain_aggregates(
 
     ``how="inner"`` keeps only sales of keys present in ``dim`` (no NULL
     group), for a report restricted by a predicate on the dimension.
+    ``only_keys`` (a small DataFrame with one column of grain keys, NULL
+    meaning the unknown group) restricts the report to those rows.
     """
-    keys = dim.select(F.col(key).alias(_DIM_KEY))
-    base = fact.filter(F.col("order_date").isNotNull()).join(
-        keys, F.col(key) == F.col(_DIM_KEY), how
-    )
+    base = _keyed_sales(fact, dim, key, how)
+    if only_keys is not None:
+        wanted = only_keys.select(F.col(only_keys.columns[0]).alias("__wanted"))
+        # bounded by construction (a top-n of keys), so broadcast is safe
+        base = base.join(
+            F.broadcast(wanted), F.col(_DIM_KEY).eqNullSafe(F.col("__wanted")), "left_semi"
+        )
     first, last = F.min("order_date"), F.max("order_date")
     measures = [
         F.count_distinct("order_number").alias("total_orders"),
@@ -128,6 +157,7 @@ def report_products(
     high: float = REFERENCE_HIGH_PERFORMER,
     mid: float = REFERENCE_MID_RANGE,
     price_digits: int | None = PRICE_DIGITS,
+    only_keys: DataFrame | None = None,
 ) -> DataFrame:
     """One row per product (dimension grain) with order, sales and recency KPIs.
 
@@ -140,8 +170,9 @@ def report_products(
     """
     today = as_of_date(as_of)
     agg = _grain_aggregates(
-        fact, products, "product_key", "customer_key", "total_customers", price_digits
-    )
+        fact, products, "product_key", "customer_key", "total_customers", price_digits,
+        only_keys=only_keys,
+    )
     attrs = products.select(
         F.col("product_key").alias(_DIM_KEY), "product_key", "product_name", "category",
         "subcategory", "cost",
@@ -213,6 +244,20 @@ def report_customers(
     )
 
 
+def preview_report_products(
+    fact: DataFrame, products: DataFrame, n: int = 10, as_of=None, **params
+) -> DataFrame:
+    """The first ``n`` rows of the product report by product_key (NULL first).
+
+    Equal to ``preview(report_products(...), n, ["product_key"])``, but the
+    report is only aggregated for the ``n`` keys that can appear: a
+    distinct-key pass finds them, and only their sales are aggregated.
+    """
+    top = first_grain_keys(fact, products, "product_key", n)
+    report = report_products(fact, products, as_of, only_keys=top, **params)
+    return report.orderBy(F.col("product_key").asc_nulls_first()).limit(n)
+
+
 def customers_in_age_range(report: DataFrame, low: int = 30, high: int = 39) -> DataFrame:
     """Report rows with ``low <= customer_age <= high``.
 

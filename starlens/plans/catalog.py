@@ -215,7 +215,11 @@ def report_products(s: Star) -> DataFrame:
 
 
 def preview_report_products(s: Star) -> DataFrame:
-    return rows.preview(report_products(s), 10, ["product_key"])
+    # Same rows as preview(report_products(s), 10); only the 10 keys shown
+    # are aggregated.
+    return rep.preview_report_products(
+        s.fact_sales, s.dim_products, 10, AS_OF, high=HIGH_PERFORMER, mid=MID_RANGE
+    )
 
 
 def report_customers(s: Star) -> DataFrame:

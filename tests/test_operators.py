@@ -310,3 +310,18 @@ def test_age_range_pushdown_equals_filtering_the_report(spark):
             s.fact_sales, s.dim_customers, cat.AS_OF, cat.MIN_MONTHS, cat.VIP_SPENDING, age_range=(low, high)
         )
         assert sorted(map(str, pushed.collect())) == sorted(map(str, customers_in_age_range(full, low, high).collect()))
+
+
+def test_preview_report_aggregates_only_the_shown_keys(spark):
+    from starlens.operators import preview_report_products
+    from starlens.plans import catalog as cat
+    from tests.conftest import SF_CHECK
+
+    s = cat.star(spark, SF_CHECK)
+    for n in (1, 10, 25):
+        fast = preview_report_products(s.fact_sales, s.dim_products, n, cat.AS_OF)
+        slow = preview(report_products(s.fact_sales, s.dim_products, cat.AS_OF), n, ["product_key"])
+        assert collect(fast) == collect(slow)
+    # with no unknown products the NULL group is absent and keys start at the smallest
+    known = s.fact_sales.join(s.dim_products.select("product_key"), "product_key", "left_semi")
+    assert collect(preview_report_products(known, s.dim_products, 3, cat.AS_OF), "product_key")[0][0] is not None
