@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import hashlib
 import inspect
+import threading
+import warnings
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -226,25 +228,33 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
     star is used in production. The tables go under
     ``{spark.checkpoint.dir}/starlens/gold/<key>`` (shared storage on a
     cluster, so a lost executor never loses them). Without a checkpoint
-    folder, or when the inputs cannot be fingerprinted, the star is derived
-    lazily inside each query instead.
+    folder, when the inputs cannot be fingerprinted or when the folder
+    cannot be written, the star is derived lazily inside each query instead.
+    Within one application a lock serialises the build; two applications
+    deriving the same new star at the same moment would both write it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         return star_from_tables(spark, data_dir)
     memo = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
-    if memo not in _STARS:
-        key = _fingerprint(spark, data_dir)
-        if key is None:
-            return star_from_tables(spark, data_dir)
-        root = f"{base.rstrip('/')}/starlens/gold/{key}"
-        if not _complete(spark, root):
-            write_star(star_from_tables(spark, data_dir), root)
-        _STARS[memo] = read_star(spark, root, validate=False)
-    return _STARS[memo]
+    with _BUILD_LOCK:  # one derivation per folder even with concurrent callers
+        if memo not in _STARS:
+            key = _fingerprint(spark, data_dir)
+            if key is None:
+                return star_from_tables(spark, data_dir)
+            root = f"{base.rstrip('/')}/starlens/gold/{key}"
+            try:
+                if not _complete(spark, root):
+                    write_star(star_from_tables(spark, data_dir), root)
+            except Exception as exc:  # e.g. the folder is not writable
+                warnings.warn(f"star not materialised under {root} ({exc}); deriving per query")
+                return star_from_tables(spark, data_dir)
+            _STARS[memo] = read_star(spark, root, validate=False)
+        return _STARS[memo]
 
 
 # Gold stars already read in this application, by input folder. Inputs are
 # taken as immutable for the life of an application (as Spark's own file
 # listings are); a new application re-checks the fingerprint.
 _STARS: dict[tuple[str, str], Star] = {}
+_BUILD_LOCK = threading.Lock()

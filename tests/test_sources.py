@@ -101,3 +101,13 @@ def test_report_views_answer_the_reference_ad_hoc_sql(spark):
     assert as_rows(top) == as_rows(cat.QUERIES["preview_report_products"](spark, SF_SMALL))
     with pytest.raises(TypeError):
         register_reports(s.fact_sales, s.dim_products, s.dim_customers, cat.AS_OF, colour="red")
+
+
+def test_concurrent_callers_share_one_star(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from starlens.sources.star import materialized_star
+
+    with ThreadPoolExecutor(4) as pool:
+        stars = list(pool.map(lambda _: materialized_star(spark, SF_SMALL), range(4)))
+    assert all(s is stars[0] for s in stars)
