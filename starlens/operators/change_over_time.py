@@ -44,18 +44,27 @@ def trend(
     date_col: str = "order_date",
     drop_null_dates: bool = True,
     sort: bool = True,
+    chronological: bool = False,
 ) -> DataFrame:
     """Aggregate ``measures`` per date bucket.
 
     ``by`` lists ``(alias, grain)`` pairs, e.g. ``[("order_year", "year"),
     ("order_month", "month_number")]``. Rows whose date is NULL are dropped
     unless ``drop_null_dates`` is False, in which case they form a NULL bucket.
-    Output is sorted by the bucket columns (NULL first), as the reference does.
+    Output is sorted by the bucket columns (NULL first), as the reference does;
+    a ``month_label`` bucket then sorts as text (``2011-Apr`` before
+    ``2011-Jan``). ``chronological=True`` sorts by each bucket's earliest date
+    instead (the label itself is unchanged).
     """
     df = fact.filter(F.col(date_col).isNotNull()) if drop_null_dates else fact
     keys = [bucket(F.col(date_col), grain).alias(alias) for alias, grain in by]
-    out = df.groupBy(*keys).agg(*[_measure(m) for m in measures])
-    return out.orderBy(*[alias for alias, _ in by]) if sort else out
+    aggs = [_measure(m) for m in measures]
+    if not (sort and chronological):
+        out = df.groupBy(*keys).agg(*aggs)
+        return out.orderBy(*[alias for alias, _ in by]) if sort else out
+    first = "__first_date"
+    out = df.groupBy(*keys).agg(*aggs, F.min(date_col).alias(first))
+    return out.orderBy(F.col(first).asc_nulls_first(), *[alias for alias, _ in by]).drop(first)
 
 
 def new_entities(

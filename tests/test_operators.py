@@ -325,3 +325,14 @@ def test_preview_report_aggregates_only_the_shown_keys(spark):
     # with no unknown products the NULL group is absent and keys start at the smallest
     known = s.fact_sales.join(s.dim_products.select("product_key"), "product_key", "left_semi")
     assert collect(preview_report_products(known, s.dim_products, 3, cat.AS_OF), "product_key")[0][0] is not None
+
+
+def test_month_label_trend_text_or_chronological_order(spark):
+    f = fact(
+        spark,
+        [{"order_date": d, "sales_amount": 1} for d in ("2011-01-05", "2011-02-05", "2011-04-05", "2010-12-05")],
+    )
+    text = [r[0] for r in collect(trend(f, [("order_year", "month_label")], ["total_sales"]))]
+    chrono = [r[0] for r in collect(trend(f, [("order_year", "month_label")], ["total_sales"], chronological=True))]
+    assert text == ["2010-Dec", "2011-Apr", "2011-Feb", "2011-Jan"]
+    assert chrono == ["2010-Dec", "2011-Jan", "2011-Feb", "2011-Apr"]
