@@ -1,6 +1,7 @@
 """Column expressions with the reference's SQL semantics (all JVM-side built-ins)."""
 
 from starlens.functions.classify import band_labels, first_match, range_band, sign_label
+from starlens.functions.columns import as_col, as_cols
 from starlens.functions.dates import (
     GRAINS,
     as_of_date,
@@ -18,6 +19,8 @@ from starlens.functions.text import concat_text, full_name, pct_label, short_num
 
 __all__ = [
     "GRAINS",
+    "as_col",
+    "as_cols",
     "as_of_date",
     "avg_of",
     "band_labels",

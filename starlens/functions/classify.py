@@ -11,9 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from starlens.functions.columns import as_col
 
 
 def first_match(branches: Sequence[tuple[Column, object]], default: object) -> Column:
@@ -39,7 +37,7 @@ def range_band(value: Column | str, edges: Sequence[float]) -> Column:
     """
     if not edges:
         raise ValueError("at least one edge is required")
-    v = _col(value)
+    v = as_col(value)
     branches = [(v < edges[0], f"Below {_fmt(edges[0])}")]
     for lo, hi in zip(edges, edges[1:]):
         branches.append((v.between(lo, hi), f"{_fmt(lo)}-{_fmt(hi)}"))
@@ -55,5 +53,5 @@ def band_labels(edges: Sequence[float]) -> list[str]:
 
 def sign_label(diff: Column | str, positive: str, negative: str, zero: str) -> Column:
     """Label the sign of a difference; NULL (no previous value) counts as ``zero``."""
-    d = _col(diff)
+    d = as_col(diff)
     return first_match([(d > 0, positive), (d < 0, negative)], zero)

@@ -9,19 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from starlens.functions.columns import as_col
 
 
 def year_number(d: Column | str) -> Column:
     """YEAR(d): an int like 2013."""
-    return F.year(_col(d))
+    return F.year(as_col(d))
 
 
 def month_number(d: Column | str) -> Column:
     """MONTH(d): 1..12; merges the same month of different years."""
-    return F.month(_col(d))
+    return F.month(as_col(d))
 
 
 def month_start(d: Column | str) -> Column:
@@ -29,17 +27,17 @@ def month_start(d: Column | str) -> Column:
 
     ``trunc`` keeps DateType; ``date_trunc`` would return a timestamp.
     """
-    return F.trunc(_col(d), "month")
+    return F.trunc(as_col(d), "month")
 
 
 def year_start(d: Column | str) -> Column:
     """DATETRUNC(YEAR, d): January 1st of the year, a DATE."""
-    return F.trunc(_col(d), "year")
+    return F.trunc(as_col(d), "year")
 
 
 def month_label(d: Column | str) -> Column:
     """FORMAT(d, 'yyyy-MMM'), e.g. ``2011-Jan``; a string, so it sorts alphabetically."""
-    return F.date_format(_col(d), "yyyy-MMM")
+    return F.date_format(as_col(d), "yyyy-MMM")
 
 
 GRAINS = {
@@ -65,13 +63,13 @@ def month_boundaries(start: Column | str, end: Column | str) -> Column:
     This is the calendar count of DATEDIFF(MONTH, start, end):
     2011-01-31 -> 2011-02-01 is 1, not 0 as ``months_between`` would give.
     """
-    s, e = _col(start), _col(end)
+    s, e = as_col(start), as_col(end)
     return (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
 
 
 def year_boundaries(start: Column | str, end: Column | str) -> Column:
     """DATEDIFF(YEAR, start, end): year boundaries crossed (age as the reference counts it)."""
-    return F.year(_col(end)) - F.year(_col(start))
+    return F.year(as_col(end)) - F.year(as_col(start))
 
 
 def as_of_date(as_of) -> Column:

@@ -11,24 +11,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from starlens.functions.columns import as_col
 
 
 def zero_to_null(c: Column | str) -> Column:
     """NULLIF(c, 0)."""
-    return F.nullif(_col(c), F.lit(0))
+    return F.nullif(as_col(c), F.lit(0))
 
 
 def int_div(a: Column | str, b: Column | str) -> Column:
     """Integer division truncating toward zero; NULL when ``b`` is 0 or NULL."""
-    return F.call_function("div", _col(a), zero_to_null(b))
+    return F.call_function("div", as_col(a), zero_to_null(b))
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:
     """Floating-point ``a / b`` with a zero divisor mapped to NULL."""
-    return _col(a).cast("double") / zero_to_null(b)
+    return as_col(a).cast("double") / zero_to_null(b)
 
 
 def avg_of(c: Column | str, mode: str = "truncate", over: WindowSpec | None = None) -> Column:
@@ -38,7 +36,7 @@ def avg_of(c: Column | str, mode: str = "truncate", over: WindowSpec | None = No
     AVG of the reference). ``mode="exact"``: the floating mean. With ``over``
     the same is computed as a window aggregate.
     """
-    c = _col(c)
+    c = as_col(c)
     if mode == "exact":
         return F.avg(c) if over is None else F.avg(c).over(over)
     if mode != "truncate":

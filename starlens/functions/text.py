@@ -6,9 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from starlens.functions.columns import as_col
 
 
 def concat_text(*parts: Column | str) -> Column:
@@ -17,7 +15,7 @@ def concat_text(*parts: Column | str) -> Column:
     ``concat_text(first, lit(' '), last)`` with a null first name gives
     ``' Smith'``, as the reference does.
     """
-    return F.concat(*[F.coalesce(_col(p).cast("string"), F.lit("")) for p in parts])
+    return F.concat(*[F.coalesce(as_col(p).cast("string"), F.lit("")) for p in parts])
 
 
 def full_name(first: Column | str, last: Column | str) -> Column:
@@ -31,7 +29,7 @@ def short_number(x: Column | str, places: int) -> Column:
     double-to-string (``1.0E-4``); trailing zeros and a bare point are then
     removed.
     """
-    rounded = F.round(_col(x), places).cast(DecimalType(38, places)).cast("string")
+    rounded = F.round(as_col(x), places).cast(DecimalType(38, places)).cast("string")
     if places <= 0:
         return rounded
     return F.regexp_replace(rounded, r"\.?0+$", "")

@@ -1,7 +1,7 @@
 """Cumulative analysis: running totals and expanding averages over a period series.
 
 These operators take an *aggregated* series (one row per period, e.g. the
-output of :func:`starlens.operators.trend.trend`). Its size is bounded by the
+output of :func:`starlens.operators.change_over_time.trend`). Its size is bounded by the
 calendar (months or years in the data), not by the fact table, so a window
 without PARTITION BY, which Spark evaluates in one task, stays small at any
 data volume. With ``partition_by`` the window is spread by partition key.
@@ -13,26 +13,17 @@ first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from starlens.functions.columns import as_cols
 from starlens.functions.dates import month_start, year_start
 from starlens.functions.numeric import avg_of
 
 
-def _cols(cs: Sequence[Column | str] | Column | str | None) -> list[Column]:
-    if cs is None:
-        return []
-    if isinstance(cs, (str, Column)):
-        cs = [cs]
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
-
-
 def running_window(order_by: str, partition_by=None) -> WindowSpec:
-    parts = _cols(partition_by)
+    parts = as_cols(partition_by)
     w = Window.partitionBy(*parts) if parts else Window
     return w.orderBy(F.col(order_by).asc_nulls_first()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow

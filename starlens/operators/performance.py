@@ -21,18 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starlens.functions.classify import sign_label
+from starlens.functions.columns import as_cols
 from starlens.functions.dates import bucket
 from starlens.functions.numeric import avg_of
 
 
-def _cols(cs) -> list[Column]:
-    if cs is None:
-        return []
-    if isinstance(cs, (str, Column)):
-        cs = [cs]
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
-
-
 def period_sales(
     fact: DataFrame,
     products: DataFrame,
@@ -81,8 +74,8 @@ def benchmark(
       entity, i.e. the previous *present* period, not the previous calendar
       period. A missing previous value yields ``No change``.
     """
-    avg_by = _cols(avg_by)
-    diff_by = avg_by if diff_avg_by is None else _cols(diff_avg_by)
+    avg_by = as_cols(avg_by)
+    diff_by = avg_by if diff_avg_by is None else as_cols(diff_avg_by)
     ent = F.col(entity)
     m = F.col(measure)
 
