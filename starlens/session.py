@@ -27,6 +27,10 @@ SCALE_CONF = {
     # under 64 MB.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # AQE may replace a sort-merge join by a shuffled hash join (no sort)
+    # when every post-shuffle partition is measured under this size, so the
+    # per-task hash map is bounded.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",

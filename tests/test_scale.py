@@ -66,6 +66,7 @@ def test_preaggregation_rejects_non_decomposable(spark):
 
 
 SKEW_CONF = {
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
@@ -75,8 +76,9 @@ SKEW_CONF = {
 }
 
 
-def test_reports_survive_skew_split(spark):
-    """Force sort-merge joins and AQE skew splitting; results must not change."""
+@pytest.mark.parametrize("algorithm", ["SortMergeJoin", "ShuffledHashJoin"])
+def test_reports_survive_skew_split(spark, algorithm):
+    """Force shuffle joins and AQE skew splitting; results must not change."""
     star = cat.star(spark, SF_CHECK)
     # A hot key: a third of the sales moved onto customer 1, on top of the
     # NULL keys that all land in one partition of the left join.
@@ -89,19 +91,22 @@ def test_reports_survive_skew_split(spark):
         "segments": lambda: cat.seg.segment_counts(hot, star.dim_customers, cat.MIN_MONTHS, cat.VIP_SPENDING),
     }
     expected = {k: rows(q()) for k, q in queries.items()}
-    saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    conf = dict(SKEW_CONF)
+    if algorithm == "ShuffledHashJoin":
+        conf["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"] = "1g"
+    saved = {k: spark.conf.get(k, None) for k in conf}
     try:
-        for k, v in SKEW_CONF.items():
+        for k, v in conf.items():
             spark.conf.set(k, v)
         for name, q in queries.items():
             df = q()
             assert rows(df) == expected[name], name
             final = plan_text(df)
             assert "isFinalPlan=true" in final
-            assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+            assert algorithm in final and "BroadcastHashJoin" not in final
             if name == "report":
                 # the fact side of fact LEFT JOIN customers was split
-                assert "SortMergeJoin(skew=true) LeftOuter" in final
+                assert f"{algorithm}(skew=true) LeftOuter" in final, final[:3000]
     finally:
         for k, v in saved.items():
             if v is None:
