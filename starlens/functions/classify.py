@@ -25,6 +25,11 @@ def first_match(branches: Sequence[tuple[Column, object]], default: object) -> C
     return expr.otherwise(default)
 
 
+# Fixed values of the reference: band label formats ("Below 100",
+# "100-500", "Above 1000" for edges 100, 500, 1000).
+BELOW, BETWEEN, ABOVE = "Below {}", "{}-{}", "Above {}"
+
+
 def _fmt(edge: float) -> str:
     return f"{edge:g}"
 
@@ -38,17 +43,17 @@ def range_band(value: Column | str, edges: Sequence[float]) -> Column:
     if not edges:
         raise ValueError("at least one edge is required")
     v = as_col(value)
-    branches = [(v < edges[0], f"Below {_fmt(edges[0])}")]
+    branches = [(v < edges[0], BELOW.format(_fmt(edges[0])))]
     for lo, hi in zip(edges, edges[1:]):
-        branches.append((v.between(lo, hi), f"{_fmt(lo)}-{_fmt(hi)}"))
-    return first_match(branches, f"Above {_fmt(edges[-1])}")
+        branches.append((v.between(lo, hi), BETWEEN.format(_fmt(lo), _fmt(hi))))
+    return first_match(branches, ABOVE.format(_fmt(edges[-1])))
 
 
 def band_labels(edges: Sequence[float]) -> list[str]:
     """All labels :func:`range_band` can produce, in ascending order."""
-    labels = [f"Below {_fmt(edges[0])}"]
-    labels += [f"{_fmt(lo)}-{_fmt(hi)}" for lo, hi in zip(edges, edges[1:])]
-    return labels + [f"Above {_fmt(edges[-1])}"]
+    labels = [BELOW.format(_fmt(edges[0]))]
+    labels += [BETWEEN.format(_fmt(lo), _fmt(hi)) for lo, hi in zip(edges, edges[1:])]
+    return labels + [ABOVE.format(_fmt(edges[-1]))]
 
 
 def sign_label(diff: Column | str, positive: str, negative: str, zero: str) -> Column:

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from starlens.functions.columns import as_col
 
 
+# Fixed value of the reference: the year-month label format (e.g. 2011-Jan).
+MONTH_LABEL_FORMAT = "yyyy-MMM"
+
+
 def year_number(d: Column | str) -> Column:
     """YEAR(d): an int like 2013."""
     return F.year(as_col(d))
@@ -37,7 +41,7 @@ def year_start(d: Column | str) -> Column:
 
 def month_label(d: Column | str) -> Column:
     """FORMAT(d, 'yyyy-MMM'), e.g. ``2011-Jan``; a string, so it sorts alphabetically."""
-    return F.date_format(as_col(d), "yyyy-MMM")
+    return F.date_format(as_col(d), MONTH_LABEL_FORMAT)
 
 
 GRAINS = {

@@ -25,6 +25,10 @@ from starlens.functions.columns import as_cols
 from starlens.functions.dates import bucket
 from starlens.functions.numeric import avg_of
 
+# Fixed values of the reference: the labels of the two comparisons.
+ABOVE_AVERAGE, BELOW_AVERAGE, AT_AVERAGE = "Above average", "Below average", "Average"
+INCREASE, DECREASE, NO_CHANGE = "Increase", "Decrease", "No change"
+
 
 def period_sales(
     fact: DataFrame,
@@ -96,10 +100,10 @@ def benchmark(
         measure,
         "average_sales",
         "diff_avg",
-        sign_label("diff_avg", "Above average", "Below average", "Average").alias("avg_change"),
+        sign_label("diff_avg", ABOVE_AVERAGE, BELOW_AVERAGE, AT_AVERAGE).alias("avg_change"),
         previous,
         "diff_py",
-        sign_label("diff_py", "Increase", "Decrease", "No change").alias("py_change"),
+        sign_label("diff_py", INCREASE, DECREASE, NO_CHANGE).alias("py_change"),
     )
     return out.orderBy(entity, period) if sort else out
 

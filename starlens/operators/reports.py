@@ -29,9 +29,10 @@ from starlens.operators.segmentation import (
     loyalty_segment,
 )
 
-# Fixed values of the reference: product revenue segments and age groups.
+# Fixed values of the reference: product revenue segments (bounds and labels) and age groups.
 REFERENCE_HIGH_PERFORMER = 50000  # total_sales above this: High-Performers
 REFERENCE_MID_RANGE = 10000  # total_sales from this: Mid-Range
+HIGH_PERFORMERS, MID_RANGE, LOW_PERFORMERS = "High-Performers", "Mid-Range", "Low-Performers"
 AGE_GROUPS = (
     ("Under 20", None, 19),
     ("20 to 29", 20, 29),
@@ -62,7 +63,7 @@ CUSTOMER_REPORT_COLUMNS = [
 
 def product_segment(total_sales, high: float = REFERENCE_HIGH_PERFORMER, mid: float = REFERENCE_MID_RANGE):
     s = F.col(total_sales) if isinstance(total_sales, str) else total_sales
-    return first_match([(s > high, "High-Performers"), (s >= mid, "Mid-Range")], "Low-Performers")
+    return first_match([(s > high, HIGH_PERFORMERS), (s >= mid, MID_RANGE)], LOW_PERFORMERS)
 
 
 def age_group(age):

@@ -25,11 +25,12 @@ from starlens.functions.classify import first_match, range_band
 from starlens.functions.dates import month_boundaries
 from starlens.operators.preaggregate import dim_totals
 
-# Fixed values of the reference: cost band edges, and the loyalty rule
+# Fixed values of the reference: cost band edges, the loyalty rule and its labels
 # (at least 12 months of history; spending above 5000 is VIP).
 REFERENCE_COST_EDGES = (100, 500, 1000)
 REFERENCE_MIN_MONTHS = 12
 REFERENCE_VIP_SPENDING = 5000
+VIP, REGULAR, NEW = "VIP", "Regular", "New"
 
 
 def cost_bands(
@@ -86,10 +87,10 @@ def loyalty_segment(
     spend = F.col(spending) if isinstance(spending, str) else spending
     return first_match(
         [
-            ((life >= min_months) & (spend > vip_spending), "VIP"),
-            ((life >= min_months) & (spend <= vip_spending), "Regular"),
+            ((life >= min_months) & (spend > vip_spending), VIP),
+            ((life >= min_months) & (spend <= vip_spending), REGULAR),
         ],
-        "New",
+        NEW,
     )
 
 
