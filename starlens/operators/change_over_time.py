@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlens.functions.dates import bucket
+from starlens.functions.dates import bucket, month_label
 
 # Named measures over fact_sales (aliases are the reference's column names).
 MEASURES: dict[str, Callable[[], Column]] = {
@@ -57,14 +57,30 @@ def trend(
     instead (the label itself is unchanged).
     """
     df = fact.filter(F.col(date_col).isNotNull()) if drop_null_dates else fact
-    keys = [bucket(F.col(date_col), grain).alias(alias) for alias, grain in by]
+    date = F.col(date_col)
+    keys, finals = [], []
+    for alias, grain in by:
+        if grain == "month_label":
+            # The label is a one-to-one function of the month start: group on
+            # the date and format only the aggregated rows, not every sale.
+            hidden = f"__{alias}_month"
+            keys.append(bucket(date, "month").alias(hidden))
+            finals.append(month_label(F.col(hidden)).alias(alias))
+        else:
+            keys.append(bucket(date, grain).alias(alias))
+            finals.append(F.col(alias))
     aggs = [_measure(m) for m in measures]
-    if not (sort and chronological):
-        out = df.groupBy(*keys).agg(*aggs)
-        return out.orderBy(*[alias for alias, _ in by]) if sort else out
+    names = [m if isinstance(m, str) else m[0] for m in measures]
     first = "__first_date"
-    out = df.groupBy(*keys).agg(*aggs, F.min(date_col).alias(first))
-    return out.orderBy(F.col(first).asc_nulls_first(), *[alias for alias, _ in by]).drop(first)
+    chrono = sort and chronological
+    if chrono:
+        aggs.append(F.min(date_col).alias(first))
+    out = df.groupBy(*keys).agg(*aggs).select(*finals, *names, *([first] if chrono else []))
+    if not sort:
+        return out
+    order = [F.col(first).asc_nulls_first()] if chrono else []
+    out = out.orderBy(*order, *[alias for alias, _ in by])
+    return out.drop(first) if chrono else out
 
 
 def new_entities(

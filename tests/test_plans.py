@@ -120,3 +120,10 @@ def test_large_sorts_break_ties(spark, key):
     assert ranges
     expected = "customer_key" if key == "customer_contribution" else "product_key"
     assert all(expected in ln for ln in ranges), ranges
+
+
+def test_month_labels_are_formatted_after_aggregation(spark):
+    text = plan_text(cat.QUERIES["month_label_overview"](spark, SF_SMALL))
+    agg_keys = [b for b in node_details(text, "HashAggregate")]
+    assert agg_keys and not any("date_format" in b.split("Functions")[0] for b in agg_keys)
+    assert "date_format" in text  # applied to the aggregated rows
