@@ -230,8 +230,12 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
     cluster, so a lost executor never loses them). Without a checkpoint
     folder, when the inputs cannot be fingerprinted or when the folder
     cannot be written, the star is derived lazily inside each query instead.
-    Within one application a lock serialises the build; two applications
-    deriving the same new star at the same moment would both write it.
+    Within one application a lock serialises the build. If two applications
+    build the same new star at the same moment, the second overwrite removes
+    the first one's uncommitted output, that job fails and its application
+    falls back to per-query derivation, so results stay correct. A star
+    whose three tables are committed is never written again, so readers are
+    never disturbed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
