@@ -64,24 +64,32 @@ def build_session(
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The cluster's shared folder: ``spark.checkpoint.dir``, else the context's checkpoint dir."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/") if root else None
+
+
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage that survives the
     loss of any executor, so materialised tables and checkpoints go there.
-    Only when it is unset (tests, a laptop) is ``fallback`` installed.
+    Only when no folder is configured (tests, a laptop) is ``fallback``
+    installed, through ``SparkContext.setCheckpointDir`` (the setting itself
+    cannot change once the context runs).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    root = shared_folder(spark)
+    if root is None:
         if fallback is None:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; pass a shared folder as fallback"
             )
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        root = fallback
-    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(fallback)
+        root = shared_folder(spark)
+    elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    return root
 
 
 def env_int(name: str, default: int) -> int:

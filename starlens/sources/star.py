@@ -21,6 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlens.session import shared_folder
 from starlens.sources import schemas
 
 
@@ -237,7 +238,7 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
     whose three tables are committed is never written again, so readers are
     never disturbed.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared_folder(spark)
     if not base:
         return star_from_tables(spark, data_dir)
     memo = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
@@ -246,7 +247,7 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
             key = _fingerprint(spark, data_dir)
             if key is None:
                 return star_from_tables(spark, data_dir)
-            root = f"{base.rstrip('/')}/starlens/gold/{key}"
+            root = f"{base}/starlens/gold/{key}"
             try:
                 if not _complete(spark, root):
                     write_star(star_from_tables(spark, data_dir), root)

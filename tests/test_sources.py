@@ -111,3 +111,41 @@ def test_concurrent_callers_share_one_star(spark):
     with ThreadPoolExecutor(4) as pool:
         stars = list(pool.map(lambda _: materialized_star(spark, SF_SMALL), range(4)))
     assert all(s is stars[0] for s in stars)
+
+
+class _Context:
+    def __init__(self):
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = f"{folder}/app-1"
+
+
+class _Conf:
+    def get(self, key, default=None):
+        return default
+
+
+class _Session:
+    """A session whose spark.checkpoint.dir is unset (cannot be set at runtime)."""
+
+    def __init__(self):
+        self.conf = _Conf()
+        self.sparkContext = _Context()
+
+
+def test_checkpoint_fallback_only_when_unset(spark):
+    from starlens.session import shared_folder
+
+    unset = _Session()
+    assert shared_folder(unset) is None
+    with pytest.raises(RuntimeError):
+        checkpoint_root(unset)
+    assert checkpoint_root(unset, fallback="/shared/tests") == "/shared/tests/app-1"
+    assert shared_folder(unset) == "/shared/tests/app-1"
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:  # a configured folder always wins over a fallback
+        assert checkpoint_root(spark, fallback="/elsewhere") == configured.rstrip("/")
