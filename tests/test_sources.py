@@ -149,3 +149,29 @@ def test_checkpoint_fallback_only_when_unset(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:  # a configured folder always wins over a fallback
         assert checkpoint_root(spark, fallback="/elsewhere") == configured.rstrip("/")
+
+
+def test_unwritable_star_falls_back_to_per_query_derivation(spark, scratch, monkeypatch):
+    import shutil
+    import warnings
+
+    from starlens.sources import star as star_mod
+
+    data = f"{scratch}/inputs"
+    import os
+
+    os.makedirs(data)
+    for name in star_mod.RAW_TABLES:
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", f"{data}/{name}.parquet")
+
+    def fail(*args, **kwargs):
+        raise OSError("read-only folder")
+
+    monkeypatch.setattr(star_mod, "write_star", fail)
+    with warnings.catch_warnings(record=True) as caught:
+        warnings.simplefilter("always")
+        got = star_mod.materialized_star(spark, data)
+    assert any("deriving per query" in str(w.message) for w in caught)
+    assert not any("/starlens/gold/" in f for f in got.fact_sales.inputFiles())
+    lazy = star_mod.star_from_tables(spark, SF_SMALL)
+    assert got.fact_sales.count() == lazy.fact_sales.count()
