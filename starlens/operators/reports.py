@@ -122,13 +122,13 @@ def _grain_aggregates(
 
     ``how="inner"`` keeps only sales of keys present in ``dim`` (no NULL
     group), for a report restricted by a predicate on the dimension.
-    ``only_keys`` (a small DataFrame with one column of grain keys, NULL
-    meaning the unknown group) restricts the report to those rows.
+    ``only_keys`` (the output of :func:`first_grain_keys`: at most n keys,
+    NULL meaning the unknown group) restricts the report to those rows.
     """
     base = _keyed_sales(fact, dim, key, how)
     if only_keys is not None:
         wanted = only_keys.select(F.col(only_keys.columns[0]).alias("__wanted"))
-        # bounded by construction (a top-n of keys), so broadcast is safe
+        # at most n rows (a LIMIT n result), so broadcasting it is safe
         base = base.join(
             F.broadcast(wanted), F.col(_DIM_KEY).eqNullSafe(F.col("__wanted")), "left_semi"
         )
@@ -158,7 +158,6 @@ def report_products(
     high: float = REFERENCE_HIGH_PERFORMER,
     mid: float = REFERENCE_MID_RANGE,
     price_digits: int | None = PRICE_DIGITS,
-    only_keys: DataFrame | None = None,
 ) -> DataFrame:
     """One row per product (dimension grain) with order, sales and recency KPIs.
 
@@ -169,10 +168,28 @@ def report_products(
     - ``AMR``: 0 when the lifespan is 0, else total_sales div lifespan.
     - ``recency_in_months``: month boundaries from the last sale to ``as_of``.
     """
+    return _product_rows(fact, products, as_of, high, mid, price_digits)
+
+
+def _product_rows(
+    fact: DataFrame,
+    products: DataFrame,
+    as_of,
+    high: float,
+    mid: float,
+    price_digits: int | None,
+    first_keys: int | None = None,
+) -> DataFrame:
+    """The product report; with ``first_keys=n`` only its ``n`` smallest keys.
+
+    The restriction is a semi-join against at most ``n`` keys (a LIMIT n
+    result), which is why broadcasting them is safe.
+    """
     today = as_of_date(as_of)
+    only = None if first_keys is None else first_grain_keys(fact, products, "product_key", first_keys)
     agg = _grain_aggregates(
         fact, products, "product_key", "customer_key", "total_customers", price_digits,
-        only_keys=only_keys,
+        only_keys=only,
     )
     attrs = products.select(
         F.col("product_key").alias(_DIM_KEY), "product_key", "product_name", "category",
@@ -254,8 +271,12 @@ def preview_report_products(
     report is only aggregated for the ``n`` keys that can appear: a
     distinct-key pass finds them, and only their sales are aggregated.
     """
-    top = first_grain_keys(fact, products, "product_key", n)
-    report = report_products(fact, products, as_of, only_keys=top, **params)
+    high = params.pop("high", REFERENCE_HIGH_PERFORMER)
+    mid = params.pop("mid", REFERENCE_MID_RANGE)
+    price_digits = params.pop("price_digits", PRICE_DIGITS)
+    if params:
+        raise TypeError(f"unknown report parameters {sorted(params)}")
+    report = _product_rows(fact, products, as_of, high, mid, price_digits, first_keys=n)
     return report.orderBy(F.col("product_key").asc_nulls_first()).limit(n)
 
 
