@@ -113,3 +113,34 @@ def test_reports_survive_skew_split(spark, algorithm):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_product_side_operators_survive_a_hot_product(spark):
+    star = cat.star(spark, SF_CHECK)
+    hot_key = star.dim_products.agg(F.min("product_key")).first()[0]
+    hot = star.fact_sales.withColumn(
+        "product_key",
+        F.when(F.col("order_number") % 3 == 0, F.lit(hot_key)).otherwise(F.col("product_key")),
+    )
+    queries = {
+        "report": lambda: cat.rep.report_products(hot, star.dim_products, cat.AS_OF, cat.HIGH_PERFORMER, cat.MID_RANGE),
+        "yoy": lambda: cat.perf.yearly_performance(hot, star.dim_products),
+        "categories": lambda: cat.ctb.contribution(
+            cat.ctb.part_totals(hot, star.dim_products, "product_key", "product_key", ["category"]), places=2
+        ),
+    }
+    expected = {k: rows(q()) for k, q in queries.items()}
+    saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        for name, q in queries.items():
+            df = q()
+            assert rows(df) == expected[name], name
+            assert "BroadcastHashJoin" not in plan_text(df)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
