@@ -38,6 +38,13 @@ SCALE_CONF = {
 }
 
 
+# Initial shuffle width on a cluster. AQE coalesces partitions toward the
+# advisory size but never creates more than this, so it must be large enough
+# for the biggest shuffle (tens of TB for a report's distinct-count stage at
+# 100 TB of input, i.e. a few hundred MB per partition at this width).
+CLUSTER_SHUFFLE_PARTITIONS = 16384
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "starlens",
@@ -48,12 +55,16 @@ def build_session(
 
     ``shuffle_partitions`` is the *initial* shuffle width; with AQE on it is
     an upper bound that gets coalesced toward the advisory partition size.
-    On a cluster use a few thousand; in ``local[N]`` use about N.
+    Without a value, a cluster session gets :data:`CLUSTER_SHUFFLE_PARTITIONS`
+    and a ``local[N]`` session keeps Spark's default; tests and the bench
+    pass about N.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
+    if shuffle_partitions is None and not (master or "").startswith("local"):
+        shuffle_partitions = CLUSTER_SHUFFLE_PARTITIONS
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
