@@ -63,7 +63,13 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
-    if shuffle_partitions is None and not (master or "").startswith("local"):
+    cluster = not (master or "").startswith("local")
+    if cluster:
+        # Coalesce to the advisory size instead of to many ~1 MB partitions
+        # (the default favours parallelism, which on a shared cluster means
+        # floods of tiny tasks).
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    if shuffle_partitions is None and cluster:
         shuffle_partitions = CLUSTER_SHUFFLE_PARTITIONS
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
