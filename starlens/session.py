@@ -45,13 +45,12 @@ SCALE_CONF = {
 CLUSTER_SHUFFLE_PARTITIONS = 16384
 
 
-def build_session(
+def session_conf(
     master: str | None = None,
-    app_name: str = "starlens",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
-) -> SparkSession:
-    """Create (or reuse) a session with the scale defaults above.
+) -> dict[str, str]:
+    """The settings :func:`build_session` applies for ``master``.
 
     ``shuffle_partitions`` is the *initial* shuffle width; with AQE on it is
     an upper bound that gets coalesced toward the advisory partition size.
@@ -59,9 +58,6 @@ def build_session(
     and a ``local[N]`` session keeps Spark's default; tests and the bench
     pass about N.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
     conf = dict(SCALE_CONF)
     cluster = not (master or "").startswith("local")
     if cluster:
@@ -74,7 +70,20 @@ def build_session(
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    for key, value in conf.items():
+    return conf
+
+
+def build_session(
+    master: str | None = None,
+    app_name: str = "starlens",
+    shuffle_partitions: int | None = None,
+    extra: dict[str, str] | None = None,
+) -> SparkSession:
+    """Create (or reuse) a session with :func:`session_conf` applied."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    for key, value in session_conf(master, shuffle_partitions, extra).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

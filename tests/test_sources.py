@@ -175,3 +175,16 @@ def test_unwritable_star_falls_back_to_per_query_derivation(spark, scratch, monk
     assert not any("/starlens/gold/" in f for f in got.fact_sales.inputFiles())
     lazy = star_mod.star_from_tables(spark, SF_SMALL)
     assert got.fact_sales.count() == lazy.fact_sales.count()
+
+
+def test_session_conf_local_and_cluster():
+    from starlens.session import CLUSTER_SHUFFLE_PARTITIONS, session_conf
+
+    local = session_conf("local[8]", 8)
+    assert local["spark.sql.shuffle.partitions"] == "8"
+    assert "spark.sql.adaptive.coalescePartitions.parallelismFirst" not in local
+    cluster = session_conf(None)
+    assert cluster["spark.sql.shuffle.partitions"] == str(CLUSTER_SHUFFLE_PARTITIONS)
+    assert cluster["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert cluster["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert session_conf("yarn", 100, {"spark.sql.ansi.enabled": "false"})["spark.sql.ansi.enabled"] == "false"
