@@ -30,6 +30,24 @@ class Star:
     fact_sales: DataFrame
     dim_products: DataFrame
     dim_customers: DataFrame
+    # The fact with its ``order_year`` folder column, when it is stored
+    # partitioned by year (see :func:`write_star`); lets date predicates
+    # prune folders.
+    fact_by_year: DataFrame | None = None
+
+    def undated_sales(self) -> DataFrame:
+        """Fact rows without an order date (all fact columns).
+
+        On a year-partitioned fact these rows are exactly the NULL-year
+        folder (a NULL date has a NULL year and vice versa); stating both
+        predicates lets the scan read only that folder.
+        """
+        if self.fact_by_year is None:
+            return self.fact_sales.filter(F.col("order_date").isNull())
+        f = self.fact_by_year
+        return f.filter(F.col("order_year").isNull() & F.col("order_date").isNull()).select(
+            *schemas.FACT_SALES.fieldNames()
+        )
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -67,13 +85,14 @@ def read_star(spark: SparkSession, root: str, fmt: str = "parquet", validate: bo
     carries its ``order_year`` folder column, which is dropped here).
     """
     root = root.rstrip("/")
+    raw = {
+        name: read_table(spark, f"{root}/{name}", schema, fmt, validate)
+        for name, schema in schemas.STAR.items()
+    }
+    fact = raw["fact_sales"]
     return Star(
-        **{
-            name: read_table(spark, f"{root}/{name}", schema, fmt, validate).select(
-                *schema.fieldNames()
-            )
-            for name, schema in schemas.STAR.items()
-        }
+        **{name: df.select(*schemas.STAR[name].fieldNames()) for name, df in raw.items()},
+        fact_by_year=fact if "order_year" in fact.columns else None,
     )
 
 

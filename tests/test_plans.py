@@ -127,3 +127,14 @@ def test_month_labels_are_formatted_after_aggregation(spark):
     agg_keys = [b for b in node_details(text, "HashAggregate")]
     assert agg_keys and not any("date_format" in b.split("Functions")[0] for b in agg_keys)
     assert "date_format" in text  # applied to the aggregated rows
+
+
+def test_undated_sales_read_only_the_null_year_folder(spark):
+    from starlens.operators import null_rows
+
+    star = cat.star(spark, SF_SMALL)
+    assert star.fact_by_year is not None
+    df = star.undated_sales()
+    scans = node_details(plan_text(df), "Scan parquet")
+    assert any("PartitionFilters: [isnull(order_year" in b for b in scans), scans
+    assert sorted(map(str, df.collect())) == sorted(map(str, null_rows(star.fact_sales, "order_date").collect()))
