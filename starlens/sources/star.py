@@ -35,6 +35,20 @@ class Star:
     # prune folders.
     fact_by_year: DataFrame | None = None
 
+    def dated_sales(self) -> DataFrame:
+        """Fact rows with an order date; skips the NULL-year folder when partitioned.
+
+        For queries that drop undated sales anyway (trends, running totals,
+        benchmarks, reports): if undated sales are a large share, their
+        folder is never read.
+        """
+        if self.fact_by_year is None:
+            return self.fact_sales.filter(F.col("order_date").isNotNull())
+        f = self.fact_by_year
+        return f.filter(F.col("order_year").isNotNull() & F.col("order_date").isNotNull()).select(
+            *schemas.FACT_SALES.fieldNames()
+        )
+
     def undated_sales(self) -> DataFrame:
         """Fact rows without an order date (all fact columns).
 

@@ -138,3 +138,10 @@ def test_undated_sales_read_only_the_null_year_folder(spark):
     scans = node_details(plan_text(df), "Scan parquet")
     assert any("PartitionFilters: [isnull(order_year" in b for b in scans), scans
     assert sorted(map(str, df.collect())) == sorted(map(str, null_rows(star.fact_sales, "order_date").collect()))
+
+
+@pytest.mark.parametrize("key", ["month_bucket_overview", "report_customers", "product_yoy"])
+def test_dated_queries_skip_the_null_year_folder(spark, key):
+    scans = node_details(plan_text(cat.QUERIES[key](spark, SF_SMALL)), "Scan parquet")
+    fact_scans = [b for b in scans if "fact_sales" in b]
+    assert fact_scans and all("PartitionFilters: [isnotnull(order_year" in b for b in fact_scans)
