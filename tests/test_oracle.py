@@ -84,3 +84,21 @@ def test_results_do_not_depend_on_session_settings(spark, duck_small):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_every_query_on_an_unpartitioned_and_a_lazy_star(spark, duck_small, scratch):
+    """The same answers whether the fact is year-partitioned, flat, or derived per query."""
+    from starlens.plans.catalog import BY_STAR
+    from starlens.sources.star import read_star, star_from_tables, write_star
+
+    lazy = star_from_tables(spark, SF_SMALL)
+    write_star(lazy, f"{scratch}/flat", partition_by_year=False)
+    flat = read_star(spark, f"{scratch}/flat")
+    assert flat.fact_by_year is None and lazy.fact_by_year is None
+    bad = []
+    for name, star in (("flat", flat), ("lazy", lazy)):
+        for key, fn in BY_STAR.items():
+            res = compare(fn(star).toArrow(), duck_small.sql(ORACLE_SQL[key]).to_arrow_table(), key)
+            if not res.ok:
+                bad.append((name, key, res.detail))
+    assert not bad, bad
