@@ -65,9 +65,16 @@ def test_int_div_truncates_toward_zero(spark, pairs):
             assert r["q"] == (q if (a >= 0) == (b > 0) else -q)
 
 
-def short_text(x: float, places: int) -> str:
-    """The percent label's number: round half up, no trailing zeros, no exponent."""
-    d = Decimal(repr(x)).quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
+def short_text(x: float, places: int, exact: bool = False) -> str:
+    """The percent label's number: round half up, no trailing zeros, no exponent.
+
+    Spark rounds the decimal text of the double. That text is the shortest
+    one on newer JVMs but may carry extra digits on older ones (JDK 17), in
+    which case a value printed as an exact tie rounds like its binary value;
+    ``exact=True`` models that reading.
+    """
+    source = Decimal(x) if exact else Decimal(repr(x))
+    d = source.quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
     text = format(d, "f")
     if "." in text:
         text = text.rstrip("0").rstrip(".")
@@ -82,7 +89,8 @@ def short_text(x: float, places: int) -> str:
 def test_pct_label_matches_model(spark, shares, places):
     df = spark.createDataFrame([(s,) for s in shares], StructType([StructField("s", DoubleType())]))
     for r in df.select("s", pct_label("s", places).alias("p")).collect():
-        assert r["p"] == short_text(r["s"], places) + "%", r
+        allowed = {short_text(r["s"], places) + "%", short_text(r["s"], places, exact=True) + "%"}
+        assert r["p"] in allowed, r
 
 
 @SETTINGS
