@@ -41,6 +41,8 @@ def summarise(df) -> dict:
             f"{j} {m}" for j in JOINS for m in re.findall(rf"{j} (\w+)", t)
         ),
         "subquery_single": len(re.findall(r"SinglePartition", subs)),
+        "pruned": ", ".join(sorted(set(re.findall(r"PartitionFilters: \[(is(?:not)?null)\(order_year", main)))),
+        "reads_fact": "fact_sales" in main,
     }
     return out
 
@@ -57,10 +59,12 @@ def main(argv: list[str]) -> int:
         "planned without an estimate-based broadcast, as for cluster-scale "
         "dimensions. Counts are operators in the main plan; `single` is a "
         "`SinglePartition` exchange (all rows to one task), `subq single` one inside "
-        "a scalar subquery (partial sums only).\n"
+        "a scalar subquery (partial sums only). `year folders` tells which folders "
+        "of the year-partitioned fact are read: `isnotnull` skips the undated "
+        "folder, `isnull` reads only it.\n"
     )
-    print("| query | hash | range | single | subq single | bcast | sorts | windows | expand | top-n | joins |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | hash | range | single | subq single | bcast | sorts | windows | expand | top-n | joins | year folders |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     flagged = []
     for key in QUERIES:
         s = summarise(QUERIES[key](spark, data_dir))
@@ -68,7 +72,8 @@ def main(argv: list[str]) -> int:
             flagged.append(key)
         print(
             f"| `{key}` | {s['hash']} | {s['range']} | {s['single']} | {s['subquery_single']} | "
-            f"{s['broadcast']} | {s['sorts']} | {s['windows']} | {s['expand']} | {s['top_n']} | {s['joins'] or '-'} |"
+            f"{s['broadcast']} | {s['sorts']} | {s['windows']} | {s['expand']} | {s['top_n']} | {s['joins'] or '-'} | "
+            f"{s['pruned'] or ('all' if s['reads_fact'] else '-')} |"
         )
     print()
     print(
