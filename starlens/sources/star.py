@@ -245,7 +245,12 @@ def _fingerprint(spark: SparkSession, data_dir: str) -> str | None:
 
 
 def _complete(spark: SparkSession, root: str) -> bool:
-    """All three tables were committed (each has its ``_SUCCESS`` marker)."""
+    """All three tables were committed (each has its ``_SUCCESS`` marker).
+
+    Reading a marker that exists gives an empty DataFrame (Spark logs "All
+    paths were ignored", as the marker is a hidden file); a missing one
+    raises PATH_NOT_FOUND. Only path resolution runs, no job.
+    """
     try:
         for name in schemas.STAR:
             spark.read.text(f"{root}/{name}/_SUCCESS")
