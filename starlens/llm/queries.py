@@ -10,15 +10,43 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starlens.llm.common import table
+from starlens.llm import quality_knn, toxicity
+from starlens.llm.common import crc_remainder, table
 from starlens.llm.token_counts import token_counts
 
 
+#: A document with at least this score is predicted to have label 1.
+CUT = 0.3
+
+
+def _held_out(score: str, doc_id, modulus: int, remainder: int) -> list:
+    """The contract's columns of a scored table."""
+    held = F.coalesce(crc_remainder(doc_id, modulus) == remainder, F.lit(False))
+    return ["doc_id", held.alias("held_out"), score, (F.col(score) >= CUT).cast("int").alias("predicted")]
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_knn.fit(docs, table(spark, sf_dir, "labels"), crc_remainder(F.col("_id"), 5) != 0)
+    scored = quality_knn.quality_scores(docs.select("text", "doc_id"), model)
+    return scored.select(*_held_out("score", F.col("doc_id"), 5, 0))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_remainder(F.col("_id"), 4) != 2)
+    scored = toxicity.toxicity_scores(docs.select("text", "doc_id"), model)
+    return scored.select(*_held_out("score", F.col("doc_id"), 4, 2))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op6_toxicity": op6_toxicity,
     "op10_token_counts": op10_token_counts,
 }

@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starlens.llm.common import values
+
 #: The white space of the pre-tokenizer's pattern (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed pre-token pattern of byte-level vocabularies of this kind.
@@ -157,7 +159,7 @@ def merger(path: str) -> PairMerger:
 def _count_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = merger(path)
     for batch in batches:
-        counts = [counter.count(t) if t else 0 for t in map(pa.Scalar.as_py, batch.column(1))]
+        counts = [counter.count(t) if t else 0 for t in values(batch.column(1))]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
         )
