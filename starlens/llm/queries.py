@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.llm import quality_knn, toxicity
+from starlens.llm import quality_knn, simhash_pivots, toxicity
 from starlens.llm.common import crc_remainder, table
 from starlens.llm.token_counts import token_counts
 
@@ -41,6 +41,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*_held_out("score", F.col("doc_id"), 4, 2))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash_pivots.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_distance=3)
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -48,5 +53,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op6_toxicity": op6_toxicity,
+    "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }

@@ -112,7 +112,6 @@ def train(
     strength: float = COUNTERFACTUAL, steps: int = STEPS,
 ) -> ToxicityModel:
     """FISTA on the mean logistic loss + L1 + ``strength`` * mean squared score change of the swaps.
-
     rows, cols: the sample's (document, feature) incidences.
     """
     n, d = len(labels), len(names)
@@ -121,7 +120,6 @@ def train(
     b = np.array([at[x] for _, x, _ in pairs], np.int64)
     many = np.array([k for _, _, k in pairs], np.float64)
     many = many / many.sum() if len(many) else many
-    l1 = (0.5 + 0.0015 * n) / n
     # Lipschitz bound of the gradient: power iteration on X'X / 4n, the swaps' part, and room for the intercept
     v = np.random.default_rng(3).standard_normal(d)
     top = 1.0
@@ -130,22 +128,26 @@ def train(
         top = float(np.linalg.norm(v)) or 1.0
         v = v / top
     rate = 1 / (0.25 * top / n * 1.2 + 4 * strength + 0.25)
-    w, z, bias, zb, t = np.zeros(d), np.zeros(d), 0.0, 0.0, 1.0
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
-    for _ in range(steps):
-        margin = np.bincount(rows, z[cols], minlength=n) + zb
-        residual = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) / n
-        gradient = np.bincount(cols, residual[rows], minlength=d)
-        if len(many):
-            change = 2 * strength * many * (z[a] - z[b])
-            gradient += np.bincount(a, change, minlength=d) - np.bincount(b, change, minlength=d)
-        new = z - rate * gradient
-        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
-        new_bias = zb - rate * residual.sum()
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        z, zb = new + (t - 1) / t_new * (new - w), new_bias + (t - 1) / t_new * (new_bias - bias)
-        w, bias, t = new, new_bias, t_new
+    w, bias = np.zeros(d), 0.0
+    # the L1 pass selects features; the second pass frees the chosen ones of the L1 shrinkage
+    for l1, l2 in (((0.5 + 0.0015 * n) / n, 0.0), (0.0, 1.0 / n)):
+        kept = np.ones(d) if l1 else w != 0
+        z, zb, t = w.copy(), bias, 1.0
+        for _ in range(steps):
+            margin = np.bincount(rows, z[cols], minlength=n) + zb
+            residual = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) / n
+            gradient = np.bincount(cols, residual[rows], minlength=d) + l2 * z
+            if len(many):
+                change = 2 * strength * many * (z[a] - z[b])
+                gradient += np.bincount(a, change, minlength=d) - np.bincount(b, change, minlength=d)
+            new = (z - rate * gradient) * kept
+            new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
+            new_bias = zb - rate * residual.sum()
+            t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            z, zb = new + (t - 1) / t_new * (new - w), new_bias + (t - 1) / t_new * (new_bias - bias)
+            w, bias, t = new, new_bias, t_new
     # the classes weighed the same in training; the intercept moves to their true shares
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     return ToxicityModel({names[i]: float(w[i]) for i in np.flatnonzero(w)}, float(bias + np.log(prior / (1 - prior))))
