@@ -1,3 +1,67 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+
+def _fills(rounds: int) -> str:
+    """CTEs r1 .. rN: each picks, in order, the documents that still fit their source's goal."""
+    steps = []
+    for i in range(1, rounds + 1):
+        steps.append(f"""
+left{i} AS (
+  SELECT skey, max(goal) - sum(CASE WHEN pick THEN size ELSE 0 END) AS room FROM r{i - 1} GROUP BY skey
+),
+run{i} AS (
+  SELECT r.*, l.room, NOT r.pick AND r.size > 0 AND r.size <= l.room AS fits,
+         sum(CASE WHEN NOT r.pick AND r.size > 0 AND r.size <= l.room THEN r.size ELSE 0 END) OVER (
+           PARTITION BY r.skey ORDER BY r.ord, r.doc_id, r.size ROWS UNBOUNDED PRECEDING) AS run
+  FROM r{i - 1} r JOIN left{i} l USING (skey)
+),
+r{i} AS (SELECT * EXCLUDE (pick, room, fits, run), pick OR (fits AND run <= room) AS pick FROM run{i})""")
+    return ",".join(steps)
+
+
+OP8 = rf"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce('s' || source, 'n') AS skey,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':8') AS ord
+  FROM documents
+),
+totals AS (
+  SELECT skey, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY skey
+),
+weighed AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, source_size * 3 AS cap FROM totals
+),
+-- the share per unit of weight with the k most limited sources at their caps
+ranked AS (SELECT *, row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS k FROM weighed),
+stated AS (
+  SELECT a.k, a.cap, a.weight,
+         (SELECT sum(source_size) FROM ranked) - (SELECT coalesce(sum(cap), 0) FROM ranked b WHERE b.k < a.k) AS words,
+         (SELECT sum(weight) FROM ranked b WHERE b.k >= a.k) AS weights
+  FROM ranked a
+),
+level AS (SELECT k, words, weights FROM stated WHERE words * weight <= cap * weights ORDER BY k LIMIT 1),
+targets AS (
+  SELECT r.skey, r.source_size,
+         CASE WHEN r.k < l.k THEN CAST(r.cap AS DOUBLE)
+              ELSE CAST(CAST(l.words AS BIGINT) * r.weight AS DOUBLE) / CAST(l.weights AS DOUBLE) END AS target
+  FROM ranked r CROSS JOIN level l
+),
+passes AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM targets
+),
+goals AS (
+  SELECT skey, source_size, target, passes, (target - passes * source_size) * 2 > source_size AS leave_out,
+         CASE WHEN (target - passes * source_size) * 2 > source_size
+              THEN source_size - (target - passes * source_size) ELSE target - passes * source_size END AS goal
+  FROM passes
+),
+r0 AS (SELECT s.*, g.* EXCLUDE (skey), FALSE AS pick FROM sized s JOIN goals g USING (skey)),{_fills(3)}
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN size > 0 THEN size * (passes + CASE WHEN pick <> leave_out THEN 1 ELSE 0 END) ELSE 0 END AS BIGINT) AS taken
+FROM r3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8}

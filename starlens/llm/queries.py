@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.llm import quality_knn, simhash_pivots, toxicity
+from starlens.llm import best_fit_packing, quality_knn, simhash_pivots, source_mixing, toxicity
 from starlens.llm.common import crc_remainder, table
 from starlens.llm.token_counts import token_counts
 
@@ -41,6 +41,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*_held_out("score", F.col("doc_id"), 4, 2))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = best_fit_packing.packed(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096
+    )
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mix_table(table(spark, sf_dir, "documents"), max_epochs=3, shards=64, seed=8)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash_pivots.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_distance=3)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -52,7 +63,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_packing": op3_packing,
     "op6_toxicity": op6_toxicity,
+    "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
