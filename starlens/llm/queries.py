@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.llm import best_fit_packing, quality_knn, simhash_pivots, source_mixing, toxicity
+from starlens.llm import best_fit_packing, quality_knn, simhash_pivots, source_mixing, toxicity, winnowing
 from starlens.llm.common import crc_remainder, table
 from starlens.llm.token_counts import token_counts
 
@@ -48,6 +48,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = winnowing.edited_fingerprints(table(spark, sf_dir, "documents"), k=16, w=16)
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.digest(F.col("selected")).alias("fingerprint"),
+        winnowing.digest(F.col("edited_selected")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix_table(table(spark, sf_dir, "documents"), max_epochs=3, shards=64, seed=8)
 
@@ -65,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_packing": op3_packing,
     "op6_toxicity": op6_toxicity,
+    "op7_winnowing": op7_winnowing,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
