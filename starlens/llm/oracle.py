@@ -64,4 +64,24 @@ SELECT doc_id, size, source_size, target,
 FROM r3
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8}
+#: Base-32 of the digest: 160 bits as 32 groups of five, taken from the bit string of the hex digits.
+OP2 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
+t AS (
+  SELECT page_id, payload_bytes, hex,
+         list_aggregate(list_transform(generate_series(1, 40), lambda i:
+           lpad(right(bin(strpos('0123456789abcdef', hex[i]) - 1), 4), 4, '0')), 'string_agg', '') AS bits,
+         max(page_id) OVER (PARTITION BY hex) AS top
+  FROM d
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(generate_series(0, 31), lambda g:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_aggregate(list_transform(generate_series(1, 5), lambda j:
+           CAST(bits[5 * g + j] AS INTEGER) * CAST(pow(2, 5 - j) AS INTEGER)), 'sum')::INTEGER, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM t
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc": OP2, "op8_mixing": OP8}

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.llm import best_fit_packing, quality_knn, simhash_pivots, source_mixing, toxicity, winnowing
+from starlens.llm import best_fit_packing, quality_knn, simhash_pivots, source_mixing, toxicity, warc_index, winnowing
 from starlens.llm.common import crc_remainder, table
 from starlens.llm.token_counts import token_counts
 
@@ -41,6 +41,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*_held_out("score", F.col("doc_id"), 4, 2))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = best_fit_packing.packed(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096
@@ -76,6 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_warc": op2_warc,
     "op3_packing": op3_packing,
     "op6_toxicity": op6_toxicity,
     "op7_winnowing": op7_winnowing,
