@@ -84,4 +84,20 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
 FROM t
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_warc": OP2, "op8_mixing": OP8}
+OP5 = """
+WITH x AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(CAST(c AS DOUBLE)))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM x q JOIN x c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc": OP2, "op5_top_k": OP5, "op8_mixing": OP8}

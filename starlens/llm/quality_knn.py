@@ -168,19 +168,19 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_cl
     return LatentNeighbours(counts, np.array([r.label for r in rows]))
 
 
-def _score_batches(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score_batches(model, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fitted = model.value
     for batch in batches:
         scores = np.full(batch.num_rows, 0.5)
         for a in range(0, batch.num_rows, BLOCK) if fitted is not None else ():
             texts = [t or "" for t in values(batch.column(0).slice(a, BLOCK))]
             scores[a : a + BLOCK] = fitted.scores(np.stack([term_counts(t) for t in texts]))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
 
 
-def quality_scores(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with a column ``score``; ``docs`` must have its text in the first column."""
+def quality_scores(docs: DataFrame, model, name: str = "score") -> DataFrame:
+    """``docs`` with its score in a new column ``name``; ``docs`` must have its text in the first column."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(partial(_score_batches, shared), f"{fields}, score double")
+    return docs.mapInArrow(partial(_score_batches, shared, name), f"{fields}, `{name}` double")

@@ -12,7 +12,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.llm import best_fit_packing, quality_knn, simhash_pivots, source_mixing, toxicity, warc_index, winnowing
+from starlens.llm import (
+    best_fit_packing,
+    mtree_search,
+    pii_semicrf,
+    quality_knn,
+    simhash_pivots,
+    source_mixing,
+    toxicity,
+    warc_index,
+    winnowing,
+)
 from starlens.llm.common import crc_remainder, table
 from starlens.llm.token_counts import token_counts
 
@@ -34,6 +44,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*_held_out("score", F.col("doc_id"), 5, 0))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii_semicrf.found_spans(docs, pii_semicrf.fit(docs))
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_remainder(F.col("_id"), 4) != 2)
@@ -82,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
+    "op4_pii": op4_pii,
+    "op5_top_k": op5_top_k,
     "op6_toxicity": op6_toxicity,
     "op7_winnowing": op7_winnowing,
     "op8_mixing": op8_mixing,
