@@ -14,7 +14,15 @@ from starlens.functions.dates import (
     year_number,
     year_start,
 )
-from starlens.functions.numeric import avg_of, int_div, ratio, zero_to_null
+from starlens.functions.numeric import (
+    avg_of,
+    int_div,
+    is_integral,
+    quotient,
+    ratio,
+    stable_avg,
+    zero_to_null,
+)
 from starlens.functions.text import concat_text, full_name, pct_label, short_number
 
 __all__ = [
@@ -29,17 +37,20 @@ __all__ = [
     "first_match",
     "full_name",
     "int_div",
+    "is_integral",
     "month_boundaries",
     "month_label",
     "month_number",
     "month_start",
     "pct_label",
     "range_band",
+    "quotient",
     "ratio",
     "short_number",
     "sign_label",
     "year_boundaries",
     "year_number",
     "year_start",
+    "stable_avg",
     "zero_to_null",
 ]

@@ -1,14 +1,17 @@
-"""Integer arithmetic with the reference's rules.
+"""Arithmetic with the reference's rules, which follow the operands' types.
 
-- int / int truncates toward zero (Spark ``/`` would give a double).
-- AVG over integers is integral: the truncated quotient of SUM and COUNT.
+- whole / whole truncates toward zero (Spark ``/`` would give a double); any
+  other division is the ordinary one.
+- AVG over whole numbers is whole, the truncated quotient of SUM and COUNT; over
+  decimals and doubles it is the ordinary mean.
 - A zero divisor gives NULL instead of an error (ANSI mode raises).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import WindowSpec
 
 from starlens.functions.columns import as_col
@@ -24,24 +27,52 @@ def int_div(a: Column | str, b: Column | str) -> Column:
     return F.call_function("div", as_col(a), zero_to_null(b))
 
 
+def is_integral(df: DataFrame, column: str) -> bool:
+    """Whether the column holds whole numbers (any width)."""
+    return isinstance(df.schema[column].dataType, IntegralType)
+
+
+def quotient(a: Column | str, b: Column | str, integral: bool) -> Column:
+    """``a / b``, truncated when ``integral`` says that ``a`` is whole (``b`` is a count); NULL for a zero divisor."""
+    return int_div(a, b) if integral else as_col(a) / zero_to_null(b)
+
+
 def ratio(a: Column | str, b: Column | str) -> Column:
     """Floating-point ``a / b`` with a zero divisor mapped to NULL."""
     return as_col(a).cast("double") / zero_to_null(b)
 
 
-def avg_of(c: Column | str, mode: str = "truncate", over: WindowSpec | None = None) -> Column:
-    """AVG with the reference's integral semantics.
+def avg_of(
+    c: Column | str, mode: str = "truncate", over: WindowSpec | None = None, integral: bool = True
+) -> Column:
+    """AVG with the reference's semantics for the input's type.
 
-    ``mode="truncate"``: SUM div COUNT of the non-null values (the integral
-    AVG of the reference). ``mode="exact"``: the floating mean. With ``over``
-    the same is computed as a window aggregate.
+    ``mode="truncate"``: over whole numbers (``integral``) SUM div COUNT of the
+    non-null values, else the ordinary mean. ``mode="exact"``: the ordinary
+    mean for any type. With ``over`` the same is computed as a window aggregate.
     """
+    if mode not in ("truncate", "exact"):
+        raise ValueError("mode must be 'truncate' or 'exact'")
     c = as_col(c)
-    if mode == "exact":
+    if mode == "exact" or not integral:
         return F.avg(c) if over is None else F.avg(c).over(over)
-    if mode != "truncate":
-        raise ValueError("mode must be 'truncate' or 'exact'")
     total, count = F.sum(c), F.count(c)
     if over is not None:
         total, count = total.over(over), count.over(over)
     return int_div(total, count)
+
+
+#: Decimal places that :func:`stable_avg` keeps of each value.
+STABLE_PLACES = 12
+
+
+def stable_avg(c: Column) -> Column:
+    """The mean of doubles, the same for every partitioning.
+
+    A distributed SUM of doubles depends on the order in which partial sums meet.
+    Here each value is taken to 12 decimal places as a whole number, whose
+    38-digit sum is exact in any order (up to 10^26 in all), and only the
+    quotient is a double.
+    """
+    whole = F.round(c * F.lit(10.0**STABLE_PLACES), 0).cast("decimal(38,0)")
+    return F.sum(whole).cast("double") / zero_to_null(F.count(c)) / F.lit(10.0**STABLE_PLACES)

@@ -18,6 +18,7 @@ from starlens.operators.performance import (
 )
 from starlens.operators.reports import (
     age_group_summary,
+    age_group_totals,
     customers_in_age_range,
     preview_report_products,
     register_reports,
@@ -37,6 +38,7 @@ from starlens.operators.change_over_time import new_entities, trend
 
 __all__ = [
     "age_group_summary",
+    "age_group_totals",
     "band_counts",
     "band_rows",
     "benchmark",

@@ -19,7 +19,7 @@ from pyspark.sql.window import WindowSpec
 
 from starlens.functions.columns import as_cols
 from starlens.functions.dates import month_start, year_start
-from starlens.functions.numeric import avg_of
+from starlens.functions.numeric import avg_of, is_integral
 
 
 def running_window(order_by: str, partition_by=None) -> WindowSpec:
@@ -58,10 +58,10 @@ def expanding_avg(
     """AVG(measure) OVER (ORDER BY order_by): an expanding, unweighted mean.
 
     The reference calls it a moving average but the frame starts at the
-    first row. ``mode="truncate"`` keeps the integral AVG of integer input.
+    first row. ``mode="truncate"`` keeps the integral AVG of whole-number input.
     """
     w = running_window(order_by, partition_by)
-    return series.withColumn(out, avg_of(measure, mode, over=w))
+    return series.withColumn(out, avg_of(measure, mode, over=w, integral=is_integral(series, measure)))
 
 
 def period_totals(
@@ -124,7 +124,7 @@ def yearly_running_with_avg_price(fact: DataFrame, mode: str = "truncate") -> Da
     yearly = (
         fact.filter(F.col("order_date").isNotNull())
         .groupBy(year_start("order_date").alias("order_date"))
-        .agg(F.sum("sales_amount").alias("total_sales"), avg_of("price", mode).alias("avg_price"))
+        .agg(F.sum("sales_amount").alias("total_sales"), avg_of("price", mode, integral=is_integral(fact, "price")).alias("avg_price"))
     )
     out = running_total(yearly, "order_date", "total_sales")
     out = expanding_avg(out, "order_date", "avg_price", "moving_avg_price", mode=mode)

@@ -1,9 +1,9 @@
 """Row-level inspection: previews and null audits.
 
-``SELECT TOP n *`` without ORDER BY returns arbitrary rows. Here a preview
-always sorts by a total order first, so it is reproducible; Spark plans
-``orderBy(...).limit(n)`` as TakeOrderedAndProject (a per-task top-n, then a
-merge of n rows per task), which never sorts or moves the whole table.
+``SELECT TOP n *`` without ORDER BY returns any n rows and stops reading once it
+has them; so does :func:`preview`. With an order it plans as
+TakeOrderedAndProject (a per-task top-n, then a merge of n rows per task), which
+reads the whole table but never sorts or moves it.
 """
 
 from __future__ import annotations
@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 
 
 def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None) -> DataFrame:
-    """The first ``n`` rows by ``order_by`` (default: all columns, NULL first)."""
-    cols = list(order_by) if order_by else df.columns
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(n)
+    """``n`` rows: any without ``order_by``, else the first by those columns (NULL first).
+
+    Ordering by all columns (``order_by=df.columns``) makes a preview reproducible.
+    """
+    if not order_by:
+        return df.limit(n)
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order_by]).limit(n)
 
 
 def null_rows(df: DataFrame, col: str) -> DataFrame:

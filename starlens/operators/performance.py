@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from starlens.functions.classify import sign_label
 from starlens.functions.columns import as_cols
 from starlens.functions.dates import bucket
-from starlens.functions.numeric import avg_of
+from starlens.functions.numeric import avg_of, is_integral
 
 # Fixed values of the reference: the labels of the two comparisons.
 ABOVE_AVERAGE, BELOW_AVERAGE, AT_AVERAGE = "Above average", "Below average", "Average"
@@ -42,9 +42,11 @@ def period_sales(
 
     The entity comes from the *dimension* side of the left join, so sales of
     unknown products form one NULL entity. The fact rows are joined first
-    and then partially aggregated by (period, entity): a (period, product
-    key) pair is nearly unique per sale, so summing per key before the join
-    would add a shuffle without shrinking anything.
+    and then partially aggregated by (period, entity). At the month grain a
+    (period, product key) pair is nearly unique per sale (measured at sf0.1:
+    498,804 pairs in 600,000 rows), so summing per key before the join would
+    add a shuffle without shrinking anything; at the year grain there are 4.4
+    rows a pair (137,285 pairs), and the partial aggregation combines them.
     """
     fs, dp = fact.alias("fs"), products.alias("dp")
     joined = fs.filter(F.col("fs.order_date").isNotNull()).join(
@@ -65,6 +67,7 @@ def benchmark(
     avg_mode: str = "truncate",
     previous: str = "PY_sales",
     sort: bool = True,
+    period_order: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """Add average, previous-period value and their differences and labels.
 
@@ -77,6 +80,9 @@ def benchmark(
     - ``previous`` / ``diff_py`` / ``py_change``: LAG by period within the
       entity, i.e. the previous *present* period, not the previous calendar
       period. A missing previous value yields ``No change``.
+    - ``period_order``: columns that order rows as ``period`` does (default:
+      itself). Beginning with the ``avg_by`` columns, e.g. (year, month), they
+      let the LAG and both averages share one sort.
     """
     avg_by = as_cols(avg_by)
     diff_by = avg_by if diff_avg_by is None else as_cols(diff_avg_by)
@@ -84,15 +90,16 @@ def benchmark(
     m = F.col(measure)
 
     df = series.withColumn(
-        previous, F.lag(m, 1).over(Window.partitionBy(ent).orderBy(F.col(period)))
+        previous, F.lag(m, 1).over(Window.partitionBy(ent).orderBy(*as_cols(period_order or [period])))
     )
+    whole = is_integral(series, measure)
     df = df.withColumn(
-        "average_sales", avg_of(m, avg_mode, over=Window.partitionBy(ent, *avg_by))
+        "average_sales", avg_of(m, avg_mode, over=Window.partitionBy(ent, *avg_by), integral=whole)
     )
     if [str(c) for c in diff_by] == [str(c) for c in avg_by]:
         baseline = F.col("average_sales")
     else:
-        baseline = avg_of(m, avg_mode, over=Window.partitionBy(ent, *diff_by))
+        baseline = avg_of(m, avg_mode, over=Window.partitionBy(ent, *diff_by), integral=whole)
     df = df.withColumn("diff_avg", m - baseline).withColumn("diff_py", m - F.col(previous))
     out = df.select(
         period,
@@ -128,8 +135,11 @@ def monthly_performance(
     (otherwise against the all-time product average, as the reference does).
     """
     series = period_sales(fact, products, "order_month", "month")
-    avg_by = [F.year("order_month")] if year_baseline else None
+    if year_baseline:  # one column for the windows to share, so that their orderings are recognised as one
+        series = series.withColumn("__year", F.year("order_month"))
+    avg_by = ["__year"] if year_baseline else None
     diff_by = avg_by if (year_baseline and label_against_year) else []
     return benchmark(
-        series, "product_name", "order_month", avg_by=avg_by, diff_avg_by=diff_by, avg_mode=avg_mode
-    )
+        series, "product_name", "order_month", avg_by=avg_by, diff_avg_by=diff_by, avg_mode=avg_mode,
+        period_order=["__year", "order_month"] if year_baseline else None,
+    )

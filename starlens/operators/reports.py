@@ -5,10 +5,11 @@ every read (the reference's view semantics) or :func:`materialize` it once
 to shared storage so many readers share one computation.
 
 Plan shape: fact (``IsNotNull(order_date)`` pushed into the scan) left-joined
-to the dimension's key column (broadcast only under the planner's size
+to the dimension's distinct keys (broadcast only under the planner's size
 threshold, else sort-merge with AQE skew splitting; all unmatched sales share
 the NULL key and so form one skewed partition) -> aggregate per key -> join
-of the per-key rows to the dimension attributes. The two COUNT(DISTINCT)
+of the per-key rows to the dimension attributes, one row per distinct
+attribute tuple with its number of repeats. The two COUNT(DISTINCT)
 measures are expanded once and aggregated in two stages; the first stage
 shuffles on (key, distinct column), so even a product or customer with a
 third of all sales is spread across tasks.
@@ -16,12 +17,12 @@ third of all sales is spread across tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlens.functions.classify import first_match
 from starlens.functions.dates import as_of_date, month_boundaries, year_boundaries
-from starlens.functions.numeric import int_div, ratio
+from starlens.functions.numeric import is_integral, quotient, ratio, stable_avg
 from starlens.functions.text import full_name
 from starlens.operators.segmentation import (
     REFERENCE_MIN_MONTHS,
@@ -41,13 +42,6 @@ AGE_GROUPS = (
 )
 AGE_GROUP_DEFAULT = "50 and above"
 
-# avg_selling_price is a floating mean. A distributed SUM of doubles adds
-# partial sums in whatever order tasks finish, so its last bits vary from
-# run to run and with the partitioning. Rounding to 6 decimal places (far
-# below a cent) makes the report reproducible; pass price_digits=None for
-# the raw double.
-PRICE_DIGITS = 6
-
 PRODUCT_REPORT_COLUMNS = [
     "product_key", "product_name", "category", "subcategory", "cost", "product_segment",
     "total_orders", "total_sales", "total_customers", "total_qty", "last_sale_date",
@@ -75,80 +69,81 @@ def age_group(age):
 
 
 _DIM_KEY = "__grain_key"
+_REPEATS = "__repeats"
+
+
+def _dated(fact: DataFrame) -> DataFrame:
+    return fact.filter(F.col("order_date").isNotNull())
 
 
 def _keyed_sales(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Dated sales with the grain key: the dimension key, NULL for unknown keys."""
-    keys = dim.select(F.col(key).alias(_DIM_KEY))
-    return fact.filter(F.col("order_date").isNotNull()).join(
-        keys, F.col(key) == F.col(_DIM_KEY), how
-    )
+    """Dated sales with the grain key: the dimension key, NULL for unknown keys.
+
+    Keys are made distinct first, so a repeated dimension row repeats no sale.
+    """
+    keys = dim.select(F.col(key).alias(_DIM_KEY)).distinct()
+    return _dated(fact).join(keys, F.col(key) == F.col(_DIM_KEY), how)
 
 
-def first_grain_keys(fact: DataFrame, dim: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` smallest grain keys of a report (NULL first), without building it.
+def _first_keys_sales(fact: DataFrame, dim: DataFrame, key: str, n: int) -> DataFrame:
+    """The sales of the ``n`` smallest grain keys (NULL last), with their grain key.
 
-    Per-task partial aggregation of the key alone, then a top-n merge: only
-    ``n`` keys per task reach the driver side of the plan.
+    The keys come from the fact's distinct keys, so the fact is restricted by
+    its own key before any join. Sales of unknown keys (the NULL group, last)
+    are a branch of their own, whose rows pass only when there are fewer
+    than ``n`` known keys; the planner sees the bound of the LIMIT and needs
+    no hint.
     """
-    return (
-        _keyed_sales(fact, dim, key)
-        .select(_DIM_KEY)
-        .distinct()
-        .orderBy(F.col(_DIM_KEY).asc_nulls_first())
-        .limit(n)
-    )
+    dated = _dated(fact)
+    known = dim.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    first = dated.select(key).distinct().join(known, key, "left_semi").orderBy(key).limit(n)
+    own = dated.join(first, key, "left_semi").withColumn(_DIM_KEY, F.col(key))
+    room = first.agg(F.count("*")).scalar() < F.lit(n)
+    unknown = dated.filter(room).join(known, key, "left_anti").withColumn(_DIM_KEY, F.lit(None).cast(own.schema[_DIM_KEY].dataType))
+    return own.unionByName(unknown)
 
 
-def _grain_aggregates(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    other_key: str,
-    other_alias: str,
-    price_digits: int | None = PRICE_DIGITS,
-    how: str = "left",
-    only_keys: DataFrame | None = None,
-) -> DataFrame:
-    """Report measures per dimension key over dated sales.
+def _grain_aggregates(base: DataFrame, key: str, other_key: str, other_alias: str) -> DataFrame:
+    """Report measures per grain key over dated sales (``base``, see :func:`_keyed_sales`).
 
     The grain is the dimension key: every other grain column of the
     reference (names, category, cost, age) is an attribute of that key. So
     the fact is joined to the dimension's *key column only*, aggregated per
-    key, and the attributes are joined to the per-key rows afterwards. The
-    fact-level join, the Expand of the two COUNT(DISTINCT) and their shuffles
-    carry one long instead of several strings. Requires unique dimension
-    keys (one row per key, as a star schema's surrogate key is).
-
-    ``how="inner"`` keeps only sales of keys present in ``dim`` (no NULL
-    group), for a report restricted by a predicate on the dimension.
-    ``only_keys`` (the output of :func:`first_grain_keys`: at most n keys,
-    NULL meaning the unknown group) restricts the report to those rows.
+    key, and the attributes are joined to the per-key rows afterwards
+    (:func:`_with_attributes`). The fact-level join, the Expand of the two
+    COUNT(DISTINCT) and their shuffles carry one key instead of several
+    strings.
     """
-    base = _keyed_sales(fact, dim, key, how)
-    if only_keys is not None:
-        wanted = only_keys.select(F.col(only_keys.columns[0]).alias("__wanted"))
-        # at most n rows (a LIMIT n result), so broadcasting it is safe
-        base = base.join(
-            F.broadcast(wanted), F.col(_DIM_KEY).eqNullSafe(F.col("__wanted")), "left_semi"
-        )
     first, last = F.min("order_date"), F.max("order_date")
+    last_name = "last_sale_date" if key == "product_key" else "last_order_date"
     measures = [
         F.count_distinct("order_number").alias("total_orders"),
         F.sum("sales_amount").alias("total_sales"),
         F.sum("quantity").alias("total_qty"),
         F.count_distinct(other_key).alias(other_alias),
-        last.alias("last_date"),
+        last.alias(last_name),
         month_boundaries(first, last).alias("lifespan"),
     ]
     if key == "product_key":
-        price = F.avg(ratio("sales_amount", "quantity"))
-        if price_digits is not None:
-            price = F.round(price, price_digits)
-        measures.append(price.alias("avg_selling_price"))
-    agg = base.groupBy(_DIM_KEY).agg(*measures)
-    last_name = "last_sale_date" if key == "product_key" else "last_order_date"
-    return agg.withColumnRenamed("last_date", last_name)
+        measures.append(stable_avg(ratio("sales_amount", "quantity")).alias("avg_selling_price"))
+    return base.groupBy(_DIM_KEY).agg(*measures)
+
+
+def _attributes(dim: DataFrame, key: str, columns: list[Column]) -> DataFrame:
+    """The dimension's distinct grain tuples, each with its number of rows.
+
+    A sale joins every dimension row of its key, so sums of a tuple count
+    once per row; distinct counts, extremes and means don't change.
+    """
+    rows = dim.where(F.col(key).isNotNull()).select(F.col(key).alias(_DIM_KEY), *columns)
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias(_REPEATS))
+
+
+def _with_attributes(agg: DataFrame, attributes: DataFrame, how: str = "left") -> DataFrame:
+    repeats = F.coalesce(F.col(_REPEATS), F.lit(1))
+    rows = agg.join(attributes, _DIM_KEY, how)
+    # a sum keeps its type, which for decimals the product would widen
+    return rows.withColumns({c: (F.col(c) * repeats).cast(agg.schema[c].dataType) for c in ("total_sales", "total_qty")})
 
 
 def report_products(
@@ -157,57 +152,53 @@ def report_products(
     as_of=None,
     high: float = REFERENCE_HIGH_PERFORMER,
     mid: float = REFERENCE_MID_RANGE,
-    price_digits: int | None = PRICE_DIGITS,
 ) -> DataFrame:
     """One row per product (dimension grain) with order, sales and recency KPIs.
 
     - ``avg_selling_price``: AVG(sales / NULLIF(quantity, 0)); zero-quantity
-      lines leave the mean. Rounded to ``price_digits`` places (see
-      :data:`PRICE_DIGITS`).
-    - ``AOR``: 0 when total_sales is 0, else total_sales div total_orders.
-    - ``AMR``: 0 when the lifespan is 0, else total_sales div lifespan.
+      lines leave the mean. The same for every partitioning (see
+      :func:`starlens.functions.numeric.stable_avg`).
+    - ``AOR``: 0 when total_sales is 0, else total_sales / total_orders.
+    - ``AMR``: 0 when the lifespan is 0, else total_sales / lifespan.
     - ``recency_in_months``: month boundaries from the last sale to ``as_of``.
-    """
-    return _product_rows(fact, products, as_of, high, mid, price_digits)
 
+    Quotients of whole numbers are truncated.
+    """
+    return _product_rows(_keyed_sales(fact, products, "product_key"), products, as_of, high, mid)
 
-def _product_rows(
-    fact: DataFrame,
-    products: DataFrame,
-    as_of,
-    high: float,
-    mid: float,
-    price_digits: int | None,
-    first_keys: int | None = None,
-) -> DataFrame:
-    """The product report; with ``first_keys=n`` only its ``n`` smallest keys.
 
-    The restriction is a semi-join against at most ``n`` keys (a LIMIT n
-    result), which is why broadcasting them is safe.
-    """
+def _product_rows(base: DataFrame, products: DataFrame, as_of, high: float, mid: float) -> DataFrame:
+    """The product report over ``base``, sales with their grain key."""
     today = as_of_date(as_of)
-    only = None if first_keys is None else first_grain_keys(fact, products, "product_key", first_keys)
-    agg = _grain_aggregates(
-        fact, products, "product_key", "customer_key", "total_customers", price_digits,
-        only_keys=only,
-    )
-    attrs = products.select(
-        F.col("product_key").alias(_DIM_KEY), "product_key", "product_name", "category",
-        "subcategory", "cost",
-    )
-    rows = agg.join(attrs, _DIM_KEY, "left")
+    agg = _grain_aggregates(base, "product_key", "customer_key", "total_customers")
+    names = ["product_key", "product_name", "category", "subcategory", "cost"]
+    rows = _with_attributes(agg, _attributes(products, "product_key", [F.col(c) for c in names]))
     sales, orders, life = F.col("total_sales"), F.col("total_orders"), F.col("lifespan")
+    whole = is_integral(rows, "total_sales")
     return rows.select(
-        "product_key", "product_name", "category", "subcategory", "cost",
+        *names,
         product_segment(sales, high, mid).alias("product_segment"),
         "total_orders", "total_sales", "total_customers", "total_qty", "last_sale_date",
         "lifespan", "avg_selling_price",
         month_boundaries("last_sale_date", today).alias("recency_in_months"),
-        F.when(sales == 0, F.lit(0)).otherwise(int_div(sales, orders)).alias("AOR"),
-        F.when(life == 0, F.lit(0)).otherwise(int_div(sales, life)).alias("AMR"),
+        F.when(sales == 0, F.lit(0)).otherwise(quotient(sales, orders, whole)).alias("AOR"),
+        F.when(life == 0, F.lit(0)).otherwise(quotient(sales, life, whole)).alias("AMR"),
     )
 
 
+def _customer_attributes(customers: DataFrame, today) -> DataFrame:
+    return _attributes(
+        customers,
+        "customer_key",
+        [
+            F.col("customer_key"),
+            F.col("customer_number"),
+            full_name("first_name", "last_name").alias("customer_name"),
+            year_boundaries("birthdate", today).alias("customer_age"),
+        ],
+    )
+
+
 def report_customers(
     fact: DataFrame,
     customers: DataFrame,
@@ -226,9 +217,11 @@ def report_customers(
 
     - ``customer_name``: first and last name joined by a space, NULL parts read as ''.
     - ``customer_age``: year boundaries from birthdate to ``as_of``.
-    - ``AVO``: 0 when total_sales is 0, else total_sales div total_orders
+    - ``AVO``: 0 when total_sales is 0, else total_sales / total_orders
       (NULL when there are sales but no order number at all).
-    - ``AMS``: total_sales when the lifespan is 0, else total_sales div lifespan.
+    - ``AMS``: total_sales when the lifespan is 0, else total_sales / lifespan.
+
+    Quotients of whole numbers are truncated.
     """
     today = as_of_date(as_of)
     how = "left"
@@ -236,17 +229,10 @@ def report_customers(
         low, high = age_range
         customers = customers.filter(year_boundaries("birthdate", today).between(low, high))
         how = "inner"
-    agg = _grain_aggregates(
-        fact, customers, "customer_key", "product_key", "total_products", how=how
-    )
-    attrs = customers.select(
-        F.col("customer_key").alias(_DIM_KEY),
-        "customer_key",
-        "customer_number",
-        full_name("first_name", "last_name").alias("customer_name"),
-        year_boundaries("birthdate", today).alias("customer_age"),
-    )
-    rows = agg.join(attrs, _DIM_KEY, how)
+    base = _keyed_sales(fact, customers, "customer_key", how)
+    agg = _grain_aggregates(base, "customer_key", "product_key", "total_products")
+    rows = _with_attributes(agg, _customer_attributes(customers, today), how)
+    whole = is_integral(rows, "total_sales")
     # An unknown customer has no dimension row; its name still reads as ' '.
     name = F.coalesce(F.col("customer_name"), full_name(F.lit(None), F.lit(None)))
     sales, orders, life = F.col("total_sales"), F.col("total_orders"), F.col("lifespan")
@@ -257,27 +243,28 @@ def report_customers(
         "total_orders", "total_sales", "total_qty", "total_products", "last_order_date",
         "lifespan",
         month_boundaries("last_order_date", today).alias("recency"),
-        F.when(sales == 0, F.lit(0)).otherwise(int_div(sales, orders)).alias("AVO"),
-        F.when(life == 0, sales).otherwise(int_div(sales, life)).alias("AMS"),
+        F.when(sales == 0, F.lit(0)).otherwise(quotient(sales, orders, whole)).alias("AVO"),
+        F.when(life == 0, sales).otherwise(quotient(sales, life, whole)).alias("AMS"),
     )
 
 
 def preview_report_products(
-    fact: DataFrame, products: DataFrame, n: int = 10, as_of=None, **params
+    fact: DataFrame,
+    products: DataFrame,
+    n: int = 10,
+    as_of=None,
+    high: float = REFERENCE_HIGH_PERFORMER,
+    mid: float = REFERENCE_MID_RANGE,
 ) -> DataFrame:
-    """The first ``n`` rows of the product report by product_key (NULL first).
+    """The first ``n`` rows of the product report by product_key, the unknown products last.
 
-    Equal to ``preview(report_products(...), n, ["product_key"])``, but the
-    report is only aggregated for the ``n`` keys that can appear: a
-    distinct-key pass finds them, and only their sales are aggregated.
+    Equal to sorting the whole report so, but the fact is restricted to the
+    ``n`` keys that can appear before it is joined or aggregated: only distinct
+    keys and the shown keys' sales are shuffled.
     """
-    high = params.pop("high", REFERENCE_HIGH_PERFORMER)
-    mid = params.pop("mid", REFERENCE_MID_RANGE)
-    price_digits = params.pop("price_digits", PRICE_DIGITS)
-    if params:
-        raise TypeError(f"unknown report parameters {sorted(params)}")
-    report = _product_rows(fact, products, as_of, high, mid, price_digits, first_keys=n)
-    return report.orderBy(F.col("product_key").asc_nulls_first()).limit(n)
+    report = _product_rows(_first_keys_sales(fact, products, "product_key", n), products, as_of, high, mid)
+    order = ["product_key", "product_name", "category", "subcategory", "cost"]
+    return report.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
 
 
 def customers_in_age_range(report: DataFrame, low: int = 30, high: int = 39) -> DataFrame:
@@ -298,6 +285,21 @@ def age_group_summary(report: DataFrame) -> DataFrame:
     )
 
 
+def age_group_totals(fact: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
+    """:func:`age_group_summary` of the customer report, computed without the report.
+
+    The summary needs only each customer's sum of sales, so the fact is summed
+    per key first and only those per-key rows meet the dimension.
+    """
+    totals = _dated(fact).groupBy(F.col("customer_key").alias("__key")).agg(F.sum("sales_amount").alias("__sales"))
+    attributes = _customer_attributes(customers, as_of_date(as_of))
+    rows = totals.join(attributes, F.col("__key") == F.col(_DIM_KEY), "left")
+    return rows.groupBy(age_group("customer_age").alias("age_groups")).agg(
+        F.count("customer_number").alias("total_customers"),
+        F.sum((F.col("__sales") * F.coalesce(F.col(_REPEATS), F.lit(1))).cast(totals.schema["__sales"].dataType)).alias("total_sales"),
+    )
+
+
 def register_reports(
     fact: DataFrame,
     products: DataFrame,
@@ -312,7 +314,7 @@ def register_reports(
     plan, so pass a fixed ``as_of`` to keep ages and recency stable. Extra
     keyword arguments go to the report whose signature names them.
     """
-    prod_keys = {"high", "mid", "price_digits"}
+    prod_keys = {"high", "mid"}
     cust_keys = {"min_months", "vip_spending"}
     unknown = set(params) - prod_keys - cust_keys
     if unknown:

@@ -281,9 +281,10 @@ def test_age_group_summary_counts_customer_numbers(spark):
     assert summary == {"50 and above": (1, 12)}
 
 
-def test_preview_is_a_total_order(spark):
+def test_preview_orders_on_request(spark):
     f = fact(spark, [{"order_number": n, "sales_amount": n} for n in (5, 3, 9, 1)])
-    assert [r["order_number"] for r in preview(f, 2).collect()] == [1, 3]
+    assert [r["order_number"] for r in preview(f, 2, f.columns).collect()] == [1, 3]
+    assert len(preview(f, 2).collect()) == 2
 
 
 def test_benchmark_generic_entity(spark):
@@ -320,8 +321,14 @@ def test_preview_report_aggregates_only_the_shown_keys(spark):
     s = cat.star(spark, SF_CHECK)
     for n in (1, 10, 25):
         fast = preview_report_products(s.fact_sales, s.dim_products, n, cat.AS_OF)
-        slow = preview(report_products(s.fact_sales, s.dim_products, cat.AS_OF), n, ["product_key"])
+        report = report_products(s.fact_sales, s.dim_products, cat.AS_OF)
+        slow = report.orderBy(F.col("product_key").asc_nulls_last()).limit(n)
         assert collect(fast) == collect(slow)
+    # the unknown products' row comes last, and only when there is room for it
+    few = s.dim_products.where("product_key <= 3")
+    shown = preview_report_products(s.fact_sales, few, 10, cat.AS_OF)
+    assert sorted(map(str, shown.collect())) == sorted(map(str, report_products(s.fact_sales, few, cat.AS_OF).collect()))
+    assert shown.count() == 4
     # with no unknown products the NULL group is absent and keys start at the smallest
     known = s.fact_sales.join(s.dim_products.select("product_key"), "product_key", "left_semi")
     assert collect(preview_report_products(known, s.dim_products, 3, cat.AS_OF), "product_key")[0][0] is not None
