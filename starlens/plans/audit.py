@@ -41,12 +41,33 @@ def summarise(df) -> dict:
             f"{j} {m}" for j in JOINS for m in re.findall(rf"{j} (\w+)", t)
         ),
         "subquery_single": len(re.findall(r"SinglePartition", subs)),
-        "pruned": ", ".join(sorted(set(re.findall(r"PartitionFilters: \[(is(?:not)?null)\(order_year", main)))),
+        "pruned": ", ".join(sorted(set(re.findall(r"PartitionFilters: \[(is(?:not)?null)\(starlens_order_year", main)))),
         "reads_fact": "fact_sales" in main,
     }
     return out
 
 
+def single_readers(main: str) -> list[str]:
+    """For each SinglePartition exchange of the plan, what it gets and the operators above it up to the next exchange."""
+    lines = tree(main).splitlines()
+    single = set(re.findall(r"\((\d+)\) Exchange\n(?:[^\n]+\n)*?Arguments: SinglePartition", main))
+    out = []
+    for i, line in enumerate(lines):
+        m = re.search(r"Exchange \((\d+)\)", line)
+        if not m or m[1] not in single:
+            continue
+        below = re.search(r"(\w+) \(\d+\)", lines[i + 1]) if i + 1 < len(lines) else None
+        above = []
+        for x in reversed(lines[:i]):
+            name = re.search(r"(\w+) \(\d+\)", x)
+            if not name or name[1] == "Exchange":
+                break
+            if name[1] not in ("Project", "Sort", "InputAdapter", "AdaptiveSparkPlan"):
+                above.append(name[1])
+        out.append(f"{below[1] if below else '?'} -> {', '.join(above[:2]) or 'result'}")
+    return out
+
+
 def main(argv: list[str]) -> int:
     from starlens.plans.catalog import QUERIES
     from starlens.session import build_session
@@ -65,24 +86,22 @@ def main(argv: list[str]) -> int:
     )
     print("| query | hash | range | single | subq single | bcast | sorts | windows | expand | top-n | joins | year folders |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    flagged = []
+    flagged, readers = [], {}
     for key in QUERIES:
-        s = summarise(QUERIES[key](spark, data_dir))
+        df = QUERIES[key](spark, data_dir)
+        s = summarise(df)
         if s["single"]:
             flagged.append(key)
+            readers[key] = single_readers(split_plan(plan_text(df))[0])
         print(
             f"| `{key}` | {s['hash']} | {s['range']} | {s['single']} | {s['subquery_single']} | "
             f"{s['broadcast']} | {s['sorts']} | {s['windows']} | {s['expand']} | {s['top_n']} | {s['joins'] or '-'} | "
             f"{s['pruned'] or ('all' if s['reads_fact'] else '-')} |"
         )
     print()
-    print(
-        "Queries with a main-plan `SinglePartition` exchange: "
-        + (", ".join(f"`{k}`" for k in flagged) if flagged else "none")
-        + ". Each is a window without PARTITION BY over an aggregated series "
-        "(one row per month or year), bounded by the calendar, or a global "
-        "aggregate of per-task partial results."
-    )
+    print("Queries with a main-plan `SinglePartition` exchange, and the operator that reads it:")
+    for key in flagged or ["none"]:
+        print(f"- {key}" + (f": {', '.join(readers[key])}" if key in readers else ""))
     spark.stop()
     return 0
 

@@ -11,7 +11,11 @@ skips the NULL-year folder of the gold fact); the others read the whole fact.
 Parameters for the test data (FIXTURES.md section 2): with the reference's
 own thresholds every customer and product of these tables would land in one
 class, so the bounds below are scaled to the data. The operators' defaults
-are the reference values.
+are the reference values; the ``..._reference_bounds`` keys run with them.
+
+The ``view_...`` keys publish a report under a catalog name (see
+:func:`starlens.sources.sinks.publish_report`) and answer from that name, as
+the reference's readers do.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from starlens.operators import performance as perf
 from starlens.operators import reports as rep
 from starlens.operators import segmentation as seg
 from starlens.operators.change_over_time import OVERVIEW, new_entities, trend
+from starlens.sources.sinks import publish_report
 from starlens.sources.star import Star, materialized_star
 
 # Parameters for the derived test star (FIXTURES.md section 2).
@@ -92,7 +97,8 @@ def new_customers_by_year_bucket(s: Star) -> DataFrame:
 # --- cumulative -------------------------------------------------------------
 
 def preview_fact(s: Star) -> DataFrame:
-    return rows.preview(s.fact_sales, 10)
+    # ordered by every column, so that the ten rows are the same each time
+    return rows.preview(s.fact_sales, 10, s.fact_sales.columns)
 
 
 def monthly_sales(s: Star) -> DataFrame:
@@ -218,8 +224,8 @@ def report_products(s: Star) -> DataFrame:
 
 
 def preview_report_products(s: Star) -> DataFrame:
-    # Same rows as preview(report_products(s), 10); only the 10 keys shown
-    # are aggregated.
+    # The report's first rows by key, unknown products last; only the 10 keys
+    # shown are aggregated.
     return rep.preview_report_products(
         s.dated_sales(), s.dim_products, 10, AS_OF, high=HIGH_PERFORMER, mid=MID_RANGE
     )
@@ -238,7 +244,42 @@ def customers_aged_30_39(s: Star) -> DataFrame:
 
 
 def age_group_summary(s: Star) -> DataFrame:
-    return rep.age_group_summary(report_customers(s))
+    # Same rows as summarising the report, which needs only sums of it.
+    return rep.age_group_totals(s.dated_sales(), s.dim_customers, AS_OF)
+
+
+# --- reports read by name -----------------------------------------------------
+
+def view_report_products(s: Star) -> DataFrame:
+    return publish_report(report_products(s), "starlens_report_products")
+
+
+def view_customers_aged_30_39(s: Star) -> DataFrame:
+    publish_report(report_customers(s), "starlens_report_customers")
+    reader = s.fact_sales.sparkSession
+    return reader.sql("SELECT * FROM starlens_report_customers WHERE customer_age BETWEEN 30 AND 39")
+
+
+def view_age_group_summary(s: Star) -> DataFrame:
+    return rep.age_group_summary(publish_report(report_customers(s), "starlens_report_customers"))
+
+
+# --- the reference's own bounds -------------------------------------------------
+
+def cost_band_counts_reference_bounds(s: Star) -> DataFrame:
+    return seg.band_counts(s.dim_products)
+
+
+def customer_segment_counts_reference_bounds(s: Star) -> DataFrame:
+    return seg.segment_counts(s.fact_sales, s.dim_customers)
+
+
+def report_products_reference_bounds(s: Star) -> DataFrame:
+    return rep.report_products(s.dated_sales(), s.dim_products, AS_OF)
+
+
+def report_customers_reference_bounds(s: Star) -> DataFrame:
+    return rep.report_customers(s.dated_sales(), s.dim_customers, AS_OF)
 
 
 _BY_STAR = [
@@ -280,6 +321,13 @@ _BY_STAR = [
     report_customers,
     customers_aged_30_39,
     age_group_summary,
+    view_report_products,
+    view_customers_aged_30_39,
+    view_age_group_summary,
+    cost_band_counts_reference_bounds,
+    customer_segment_counts_reference_bounds,
+    report_products_reference_bounds,
+    report_customers_reference_bounds,
 ]
 
 QUERIES: dict[str, Query] = {fn.__name__: _star(fn) for fn in _BY_STAR}

@@ -13,7 +13,7 @@ from starlens.plans.explain import (
     split_plan,
     tree,
 )
-from starlens.sources.star import read_star, write_star
+from starlens.sources.star import YEAR_FOLDER, read_star, write_star
 from tests.conftest import SF_SMALL
 
 
@@ -57,9 +57,48 @@ def test_band_rows_broadcasts_the_bounded_count_table(spark):
 
 
 def test_preview_is_top_n_not_full_sort(spark):
-    t = main_tree(preview(cat.star(spark, SF_SMALL).fact_sales, 10))
+    fact = cat.star(spark, SF_SMALL).fact_sales
+    t = main_tree(preview(fact, 10, fact.columns))
     assert "TakeOrderedAndProject" in t
     assert "Sort (" not in t
+    plain = main_tree(preview(fact, 10))
+    assert "CollectLimit" in plain
+    assert "TakeOrdered" not in plain and "Exchange" not in plain
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as for dimensions too large to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_preview_report_restricts_the_fact_by_its_own_key(spark):
+    # The shown keys are a LIMIT result, whose bound the planner knows: no fact row is
+    # shuffled before that semi-join, and no join above it is on the dimension's key.
+    text = plan_text(cat.QUERIES["preview_report_products"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in text
+    semi = [b for b in node_details(text, "BroadcastHashJoin") if "LeftSemi" in b]
+    assert semi and all("product_key" in b for b in semi)
+
+
+def test_age_group_summary_aggregates_before_its_one_join(spark, no_broadcast):
+    t = main_tree(cat.QUERIES["age_group_summary"](spark, SF_SMALL))
+    assert count(t, r"Join") == 1
+    assert count(t, r"Exchange \(") <= 4  # per-key totals, attributes (grouped, then by key), age groups
+    below = t[t.index("Join"):]
+    assert "HashAggregate" in below  # the fact's side is per-key rows
+
+
+@pytest.mark.parametrize(("key", "sorts"), [("product_mom_year_baseline", 3), ("product_mom_year_baseline_consistent", 2)])
+def test_year_baseline_shares_the_lag_sort(spark, key, sorts):
+    window_part = main_tree(cat.QUERIES[key](spark, SF_SMALL)).split("HashAggregate")[0]
+    assert count(window_part, r"Sort \(") <= sorts
 
 
 def test_gold_star_pushes_filters_and_prunes_columns(spark, scratch):
@@ -81,9 +120,9 @@ def test_year_filter_prunes_fact_partitions(spark, scratch):
 
     root = f"{scratch}/gold"
     write_star(cat.star(spark, SF_SMALL), root)
-    fact = spark.read.parquet(f"{root}/fact_sales")
-    text = plan_text(fact.filter(F.col("order_year") == 1995).select("sales_amount"))
-    assert "PartitionFilters: [isnotnull(order_year" in text
+    fact = read_star(spark, root).fact_by_year
+    text = plan_text(fact.filter(F.col(YEAR_FOLDER) == 1995).select("sales_amount"))
+    assert f"PartitionFilters: [isnotnull({YEAR_FOLDER}" in text
 
 
 def test_cte_and_derived_table_forms_are_one_plan(spark):
@@ -136,7 +175,7 @@ def test_undated_sales_read_only_the_null_year_folder(spark):
     assert star.fact_by_year is not None
     df = star.undated_sales()
     scans = node_details(plan_text(df), "Scan parquet")
-    assert any("PartitionFilters: [isnull(order_year" in b for b in scans), scans
+    assert any("PartitionFilters: [isnull(starlens_order_year" in b for b in scans), scans
     assert sorted(map(str, df.collect())) == sorted(map(str, null_rows(star.fact_sales, "order_date").collect()))
 
 
@@ -144,4 +183,4 @@ def test_undated_sales_read_only_the_null_year_folder(spark):
 def test_dated_queries_skip_the_null_year_folder(spark, key):
     scans = node_details(plan_text(cat.QUERIES[key](spark, SF_SMALL)), "Scan parquet")
     fact_scans = [b for b in scans if "fact_sales" in b]
-    assert fact_scans and all("PartitionFilters: [isnotnull(order_year" in b for b in fact_scans)
+    assert fact_scans and all("PartitionFilters: [isnotnull(starlens_order_year" in b for b in fact_scans)
