@@ -12,7 +12,6 @@ Layout:
 - ``starlens.operators``  trend, running totals, benchmarks, segmentation,
                           contribution, reports
 - ``starlens.plans``      the registered query catalog and plan inspection
-- ``starlens.streaming``  (intentionally empty; see its docstring)
 """
 
 from starlens.session import build_session, checkpoint_root

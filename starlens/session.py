@@ -7,6 +7,7 @@ the shuffle partition count for ``local[N]``.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -118,6 +119,17 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     return root
 
 
+def writable_root(spark: SparkSession) -> str:
+    """:func:`checkpoint_root`, or on ``local[N]`` without a configured folder a new temporary one.
+
+    Every task of a local session sees the driver's folders; on a cluster an
+    unset ``spark.checkpoint.dir`` stays an error.
+    """
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    fallback = tempfile.mkdtemp(prefix="starlens-") if local and shared_folder(spark) is None else None
+    return checkpoint_root(spark, fallback)
+
+
 def env_int(name: str, default: int) -> int:
     value = os.environ.get(name)
     return int(value) if value else default

@@ -5,14 +5,18 @@ fails fast when a required column is missing.
 """
 
 from pyspark.sql.types import (
+    DataType,
     DateType,
     DoubleType,
     IntegerType,
+    IntegralType,
     LongType,
+    NumericType,
     StringType,
     StructField,
     StructType,
     TimestampNTZType,
+    TimestampType,
 )
 
 
@@ -56,6 +60,21 @@ STAR = {
     "dim_customers": DIM_CUSTOMERS,
 }
 
+#: Identifiers are only compared and counted: whole numbers or text will do.
+IDENTIFIERS = {"order_number", "product_key", "customer_key", "customer_number"}
+
+
+def usable(declared: StructField, found: DataType) -> bool:
+    """Whether a user's column can stand for a declared one: same kind, any width."""
+    if declared.name in IDENTIFIERS:
+        return isinstance(found, IntegralType | StringType)
+    if isinstance(declared.dataType, DateType):
+        return isinstance(found, DateType | TimestampType | TimestampNTZType)
+    if isinstance(declared.dataType, NumericType):
+        return isinstance(found, NumericType)
+    return isinstance(found, type(declared.dataType))
+
+
 # --- raw test tables (only the ones the star is derived from) --------------
 
 LINEITEM = _schema(

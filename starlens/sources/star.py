@@ -1,12 +1,15 @@
 """The star schema as three DataFrames, and the ways to obtain it.
 
-- :func:`read_star` reads an existing gold layer (one Parquet folder per table).
+- :func:`read_star` reads an existing gold layer (one Parquet folder per table),
+  or the current build of one that :func:`write_star` published.
 - :func:`star_from_tables` derives the star from the driver's TPC-H-like
   test tables with the rules of FIXTURES.md section 2.
-- :func:`write_star` materialises a star so many queries share one derivation.
+- :func:`write_star` publishes a star so many queries share one derivation.
+- :func:`materialized_star` derives, publishes and reads it; the first call for
+  new inputs runs the derivation's join.
 
-Everything is lazy: building a :class:`Star` runs no job, and each query only
-scans the columns it uses (Catalyst prunes the ``ReadSchema``).
+Otherwise building a :class:`Star` only reads file metadata, and each query
+scans only the columns it uses (Catalyst prunes the ``ReadSchema``).
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import threading
+import uuid
 import warnings
 from dataclasses import dataclass
 
@@ -23,6 +27,12 @@ from pyspark.sql import functions as F
 
 from starlens.session import shared_folder
 from starlens.sources import schemas
+from starlens.sources.publish import build_folder, publish, published
+
+#: Folder column of a fact that :func:`write_star` partitioned by order year, and the layout its pointer names.
+#: No other folder column is taken to say anything about the rows below it.
+YEAR_FOLDER = "starlens_order_year"
+BY_YEAR, FLAT = "by_year", "flat"
 
 
 @dataclass(frozen=True)
@@ -30,9 +40,8 @@ class Star:
     fact_sales: DataFrame
     dim_products: DataFrame
     dim_customers: DataFrame
-    # The fact with its ``order_year`` folder column, when it is stored
-    # partitioned by year (see :func:`write_star`); lets date predicates
-    # prune folders.
+    # The fact with its ``YEAR_FOLDER`` column, when :func:`write_star` stored
+    # it by year; lets date predicates prune folders.
     fact_by_year: DataFrame | None = None
 
     def dated_sales(self) -> DataFrame:
@@ -45,9 +54,7 @@ class Star:
         if self.fact_by_year is None:
             return self.fact_sales.filter(F.col("order_date").isNotNull())
         f = self.fact_by_year
-        return f.filter(F.col("order_year").isNotNull() & F.col("order_date").isNotNull()).select(
-            *schemas.FACT_SALES.fieldNames()
-        )
+        return f.filter(F.col(YEAR_FOLDER).isNotNull() & F.col("order_date").isNotNull()).drop(YEAR_FOLDER)
 
     def undated_sales(self) -> DataFrame:
         """Fact rows without an order date (all fact columns).
@@ -59,9 +66,7 @@ class Star:
         if self.fact_by_year is None:
             return self.fact_sales.filter(F.col("order_date").isNull())
         f = self.fact_by_year
-        return f.filter(F.col("order_year").isNull() & F.col("order_date").isNull()).select(
-            *schemas.FACT_SALES.fieldNames()
-        )
+        return f.filter(F.col(YEAR_FOLDER).isNull() & F.col("order_date").isNull()).drop(YEAR_FOLDER)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -76,42 +81,47 @@ class Star:
             df.createOrReplaceTempView(prefix + name)
 
 
-def read_table(
-    spark: SparkSession, path: str, schema, fmt: str = "parquet", validate: bool = True
-) -> DataFrame:
-    """Read with a declared schema; with ``validate`` fail fast on missing columns.
+def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """The table as its files have it, with every column, once the declared columns are found to be usable.
 
-    A declared column that is absent from the files would otherwise read as
-    NULL everywhere. Validation only reads file metadata (Parquet footers).
+    A missing column, or one of a type the operators can't use, is an error
+    here and not in some later query. Only file metadata is read.
     """
-    if validate:
-        found = {f.name.lower() for f in spark.read.format(fmt).load(path).schema}
-        missing = [f.name for f in schema if f.name.lower() not in found]
-        if missing:
-            raise ValueError(f"{path}: missing columns {missing}")
-    return spark.read.schema(schema).format(fmt).load(path)
-
-
-def read_star(spark: SparkSession, root: str, fmt: str = "parquet", validate: bool = True) -> Star:
+    df = spark.read.format(fmt).load(path)
+    found = {f.name.lower(): f for f in df.schema}
+    missing = [f.name for f in schema if f.name.lower() not in found]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    wrong = [
+        f"{f.name} is {found[f.name.lower()].dataType.simpleString()}"
+        for f in schema
+        if not schemas.usable(f, found[f.name.lower()].dataType)
+    ]
+    if wrong:
+        raise ValueError(f"{path}: unusable column types: {', '.join(wrong)}")
+    return df
+
+
+def read_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
     """Read a gold layer laid out as ``{root}/{fact_sales,dim_products,dim_customers}``.
 
-    Only the declared columns are returned (a year-partitioned fact also
-    carries its ``order_year`` folder column, which is dropped here).
+    Where :func:`write_star` published at ``root``, its current build is read.
+    All columns are returned, also those this library doesn't name.
     """
     root = root.rstrip("/")
-    raw = {
-        name: read_table(spark, f"{root}/{name}", schema, fmt, validate)
-        for name, schema in schemas.STAR.items()
-    }
-    fact = raw["fact_sales"]
+    pointer = published(spark, root)
+    if pointer is not None:
+        root = build_folder(root, pointer)
+    tables = {name: read_table(spark, f"{root}/{name}", schema, fmt) for name, schema in schemas.STAR.items()}
+    by_year = pointer is not None and pointer["layout"] == BY_YEAR
+    fact = tables.pop("fact_sales")
     return Star(
-        **{name: df.select(*schemas.STAR[name].fieldNames()) for name, df in raw.items()},
-        fact_by_year=fact if "order_year" in fact.columns else None,
+        fact_sales=fact.drop(YEAR_FOLDER) if by_year else fact, **tables, fact_by_year=fact if by_year else None
     )
 
 
-def write_star(star: Star, root: str, mode: str = "overwrite", partition_by_year: bool = True) -> None:
-    """Write the star as Parquet.
+def write_star(star: Star, root: str, partition_by_year: bool = True) -> str:
+    """Publish the star as a new Parquet build at ``root``; returns the build's folder.
 
     With ``partition_by_year`` the fact goes into one folder per order year,
     so year-bounded reads prune folders. The ``rebalance`` hint lets AQE cut
@@ -119,22 +129,23 @@ def write_star(star: Star, root: str, mode: str = "overwrite", partition_by_year
     year that holds most of the rows, merging small ones) instead of every
     task writing one small file per year.
     """
-    root = root.rstrip("/")
-    fact = star.fact_sales
-    if partition_by_year:
-        fact = fact.withColumn("order_year", F.year("order_date")).hint("rebalance", "order_year")
-        fact.write.mode(mode).partitionBy("order_year").parquet(f"{root}/fact_sales")
-    else:
-        fact.hint("rebalance").write.mode(mode).parquet(f"{root}/fact_sales")
-    star.dim_products.hint("rebalance").write.mode(mode).parquet(f"{root}/dim_products")
-    star.dim_customers.hint("rebalance").write.mode(mode).parquet(f"{root}/dim_customers")
+
+    def write(folder: str) -> None:
+        fact = star.fact_sales
+        if partition_by_year:
+            by_year = fact.withColumn(YEAR_FOLDER, F.year("order_date")).hint("rebalance", YEAR_FOLDER)
+            by_year.write.partitionBy(YEAR_FOLDER).parquet(f"{folder}/fact_sales")
+        else:
+            fact.hint("rebalance").write.parquet(f"{folder}/fact_sales")
+        star.dim_products.hint("rebalance").write.parquet(f"{folder}/dim_products")
+        star.dim_customers.hint("rebalance").write.parquet(f"{folder}/dim_customers")
+
+    return publish(star.fact_sales.sparkSession, root, write, BY_YEAR if partition_by_year else FLAT)
 
 
 def raw_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    # The raw test tables have a fixed, known layout; skipping validation
-    # saves a footer-reading job per table per query.
-    path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    return read_table(spark, path, schemas.RAW[name], validate=False)
+    # The raw test tables have a fixed, known layout: no footer-reading job per table and query.
+    return spark.read.schema(schemas.RAW[name]).parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- derivation from the test tables (FIXTURES.md section 2) ---------------
@@ -222,41 +233,29 @@ def _fingerprint(spark: SparkSession, data_dir: str) -> str | None:
     file system. Changing an input file or a derivation rule gives a new
     key, so a stale star is never read. None when an input is missing.
     """
-    h = hashlib.sha256()
-    for name in RAW_TABLES:
-        path = f"{data_dir.rstrip('/')}/{name}.parquet"
-        try:
-            meta = spark.read.format("binaryFile").load(path)
-        except AnalysisException:
-            return None
-        row = meta.agg(
-            F.count("*").alias("n"),
-            F.sum("length").alias("bytes"),
-            F.max("modificationTime").alias("mtime"),
-            F.sum(F.xxhash64("path", "length", "modificationTime") % 1000000007).alias("h"),
-        ).first()
-        if not row["n"]:
-            return None
-        h.update(f"{name}:{row['n']}:{row['bytes']}:{row['mtime']}:{row['h']};".encode())
+    paths = [f"{data_dir.rstrip('/')}/{name}.parquet" for name in RAW_TABLES]
+    try:
+        meta = spark.read.format("binaryFile").load(paths)
+    except AnalysisException:
+        return None
+    row = meta.agg(
+        F.count("*").alias("n"),
+        F.sum("length").alias("bytes"),
+        F.max("modificationTime").alias("mtime"),
+        F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("h"),
+    ).first()
+    if not row["n"]:
+        return None
+    h = hashlib.sha256(f"{row['n']}:{row['bytes']}:{row['mtime']}:{row['h']};".encode())
     for fn in (fact_sales_from, dim_products_from, dim_customers_from, write_star, _null_when, _days_after):
         h.update(inspect.getsource(fn).encode())
     h.update(repr([schemas.STAR, schemas.RAW]).encode())
     return h.hexdigest()[:20]
 
 
-def _complete(spark: SparkSession, root: str) -> bool:
-    """All three tables were committed (each has its ``_SUCCESS`` marker).
-
-    Reading a marker that exists gives an empty DataFrame (Spark logs "All
-    paths were ignored", as the marker is a hidden file); a missing one
-    raises PATH_NOT_FOUND. Only path resolution runs, no job.
-    """
-    try:
-        for name in schemas.STAR:
-            spark.read.text(f"{root}/{name}/_SUCCESS")
-    except AnalysisException:
-        return False
-    return True
+def _probe(spark: SparkSession, base: str) -> None:
+    """Write one row below ``base``; fails where the folder can't be written."""
+    spark.range(1).coalesce(1).write.parquet(f"{base}/starlens/probe/{uuid.uuid4().hex}")
 
 
 def materialized_star(spark: SparkSession, data_dir: str) -> Star:
@@ -264,40 +263,37 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
 
     The derivation joins the two largest tables (lines to orders); doing it
     once and letting every report read the written gold tables is how a
-    star is used in production. The tables go under
+    star is used in production. The tables are published under
     ``{spark.checkpoint.dir}/starlens/gold/<key>`` (shared storage on a
-    cluster, so a lost executor never loses them). Without a checkpoint
-    folder, when the inputs cannot be fingerprinted or when the folder
-    cannot be written, the star is derived lazily inside each query instead.
-    Within one application a lock serialises the build. If two applications
-    build the same new star at the same moment, the second overwrite removes
-    the first one's uncommitted output, that job fails and its application
-    falls back to per-query derivation, so results stay correct. A star
-    whose three tables are committed is never written again, so readers are
-    never disturbed.
+    cluster, so a lost executor never loses them); the key follows the inputs'
+    file metadata, which every call reads anew, so changed inputs give a new
+    star. Without a checkpoint folder, when an input is missing or when the
+    folder can't be written at all, the star is derived lazily inside each
+    query instead; any other failure of the derivation is raised.
+    Within one application a lock serialises the build. Two applications that
+    build the same star at once both publish theirs and read the later one.
     """
     base = shared_folder(spark)
     if not base:
         return star_from_tables(spark, data_dir)
-    memo = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
     with _BUILD_LOCK:  # one derivation per folder even with concurrent callers
+        key = _fingerprint(spark, data_dir)
+        if key is None:
+            return star_from_tables(spark, data_dir)
+        memo = (spark.sparkContext.applicationId, key)
         if memo not in _STARS:
-            key = _fingerprint(spark, data_dir)
-            if key is None:
-                return star_from_tables(spark, data_dir)
             root = f"{base}/starlens/gold/{key}"
-            try:
-                if not _complete(spark, root):
-                    write_star(star_from_tables(spark, data_dir), root)
-            except Exception as exc:  # e.g. the folder is not writable
-                warnings.warn(f"star not materialised under {root} ({exc}); deriving per query")
-                return star_from_tables(spark, data_dir)
-            _STARS[memo] = read_star(spark, root, validate=False)
+            if published(spark, root) is None:
+                try:
+                    _probe(spark, base)
+                except Exception as exc:  # whatever the file system says: nothing can be written there
+                    warnings.warn(f"{base} can't be written ({exc}); deriving per query")
+                    return star_from_tables(spark, data_dir)
+                write_star(star_from_tables(spark, data_dir), root)
+            _STARS[memo] = read_star(spark, root)
         return _STARS[memo]
 
 
-# Gold stars already read in this application, by input folder. Inputs are
-# taken as immutable for the life of an application (as Spark's own file
-# listings are); a new application re-checks the fingerprint.
+# Gold stars already opened in this application, by the key of their inputs.
 _STARS: dict[tuple[str, str], Star] = {}
 _BUILD_LOCK = threading.Lock()

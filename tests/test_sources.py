@@ -1,12 +1,28 @@
 """Star sources and report sinks."""
 
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from starlens.operators import report_customers
 from starlens.plans import catalog as cat
 from starlens.session import checkpoint_root
-from starlens.sources import drop_view, materialize, read_star, register, write_star
+from starlens.sources import (
+    Star,
+    drop_report,
+    drop_view,
+    materialize,
+    publish_report,
+    published,
+    read_materialized,
+    read_star,
+    register,
+    remove_superseded,
+    star_from_tables,
+    write_star,
+)
 from starlens.sources.schemas import DIM_CUSTOMERS, DIM_PRODUCTS, FACT_SALES
 from tests.conftest import SF_SMALL
 
@@ -61,23 +77,121 @@ def test_missing_column_fails_fast(spark, scratch):
 
 
 def test_materialized_star_is_written_once_and_reused(spark):
-    from starlens.sources.star import _complete, _fingerprint, materialized_star
+    from starlens.sources.star import _fingerprint, materialized_star, star_from_tables
 
     key = _fingerprint(spark, SF_SMALL)
     assert key and key == _fingerprint(spark, SF_SMALL)
     assert _fingerprint(spark, f"{SF_SMALL}/no-such-folder") is None
     first = materialized_star(spark, SF_SMALL)
     root = f"{checkpoint_root(spark)}/starlens/gold/{key}"
-    assert _complete(spark, root)
+    assert published(spark, root) is not None
     files = first.fact_sales.inputFiles()
-    assert files and all(f"/starlens/gold/{key}/fact_sales/" in f for f in files)
+    assert files and all(f"/starlens/gold/{key}/builds/" in f for f in files)
     again = materialized_star(spark, SF_SMALL)
     assert sorted(again.fact_sales.inputFiles()) == sorted(files)  # read, not rebuilt
-    from starlens.sources.star import star_from_tables
-
     lazy = star_from_tables(spark, SF_SMALL)
     assert sorted(map(str, again.fact_sales.collect())) == sorted(map(str, lazy.fact_sales.collect()))
-    assert not _complete(spark, f"{root}-missing")
+    assert published(spark, f"{root}-missing") is None
+
+
+def _copied_inputs(folder):
+    from starlens.sources.star import RAW_TABLES
+
+    for name in RAW_TABLES:
+        os.makedirs(f"{folder}/{name}.parquet")
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", f"{folder}/{name}.parquet/part-0.parquet")
+    return folder
+
+
+def test_changed_inputs_give_a_new_star_in_the_same_application(spark, scratch):
+    data = _copied_inputs(f"{scratch}/inputs")
+    total = lambda: cat.QUERIES["overall_sales"](spark, data).first()[0]
+    before = total()
+    spark.read.parquet(f"{data}/lineitem.parquet").limit(100).write.mode("append").parquet(f"{data}/lineitem.parquet")
+    assert total() > before
+    lazy = star_from_tables(spark, data).fact_sales.agg(F.sum("sales_amount")).first()[0]
+    assert total() == lazy
+
+
+def _gold(spark, folder, year_of):
+    """A gold layer this library did not write, its fact in ``order_year`` folders by the given rule."""
+    s = star_from_tables(spark, SF_SMALL)
+    s.fact_sales.withColumn("order_year", year_of).write.partitionBy("order_year").parquet(f"{folder}/fact_sales")
+    s.dim_products.withColumn("colour", F.lit("red")).write.parquet(f"{folder}/dim_products")
+    s.dim_customers.write.parquet(f"{folder}/dim_customers")
+    return s
+
+
+@pytest.mark.parametrize(
+    "rule",
+    [
+        lambda: F.coalesce(F.year("order_date"), F.lit(1900)),  # a sentinel folder for undated rows
+        lambda: F.when(F.month("order_date") > 6, F.year("order_date")),  # dated rows in the NULL folder
+    ],
+)
+def test_foreign_year_folders_lose_no_rows(spark, scratch, rule):
+    s = _gold(spark, f"{scratch}/gold", rule())
+    gold = read_star(spark, f"{scratch}/gold")
+    assert gold.fact_by_year is None
+    for mine, theirs in ((gold.dated_sales(), s.dated_sales()), (gold.undated_sales(), s.undated_sales())):
+        assert mine.count() == theirs.count() > 0
+    assert cat.BY_STAR["null_date_sales"](gold).count() == s.undated_sales().count()
+    # SELECT * keeps what this library doesn't name
+    assert "colour" in cat.BY_STAR["scan_products"](gold).columns
+    assert "order_year" in gold.fact_sales.columns
+
+
+def test_text_order_numbers_are_fine_and_unusable_types_fail_at_read(spark, scratch):
+    s = star_from_tables(spark, SF_SMALL)
+    for folder, change in (("text", F.concat(F.lit("SO"), F.col("order_number"))), ("bad", F.array("order_number"))):
+        s.fact_sales.withColumn("order_number", change).write.parquet(f"{scratch}/{folder}/fact_sales")
+        s.dim_products.write.parquet(f"{scratch}/{folder}/dim_products")
+        s.dim_customers.write.parquet(f"{scratch}/{folder}/dim_customers")
+    gold = read_star(spark, f"{scratch}/text")
+    orders = lambda star: sorted(r["total_orders"] for r in cat.BY_STAR["report_customers"](star).collect())
+    assert orders(gold) == orders(s)
+    with pytest.raises(ValueError, match="order_number"):
+        read_star(spark, f"{scratch}/bad")
+
+
+def test_readers_go_on_while_newer_builds_are_published(spark, scratch):
+    s = star_from_tables(spark, SF_SMALL)
+    write_star(s, f"{scratch}/gold")
+    old = read_star(spark, f"{scratch}/gold")
+    n = old.fact_sales.count()
+    write_star(Star(s.fact_sales.limit(10), s.dim_products, s.dim_customers), f"{scratch}/gold")
+    assert old.fact_sales.count() == n
+    assert read_star(spark, f"{scratch}/gold").fact_sales.count() == 10
+    assert remove_superseded(spark, f"{scratch}/gold") == 1
+    assert remove_superseded(spark, f"{scratch}/gold") == 0
+    assert read_star(spark, f"{scratch}/gold").fact_sales.count() == 10
+
+    first = materialize(spark.range(5), "chain", f"{scratch}/chain")
+    second = materialize(first.union(first), "chain", f"{scratch}/chain")  # rebuilt from itself
+    assert (first.count(), second.count()) == (5, 10)
+    assert read_materialized(spark, "chain", f"{scratch}/chain").count() == 10
+
+
+def test_two_builders_of_one_star_both_finish(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    s = star_from_tables(spark, SF_SMALL)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda _: write_star(s, f"{scratch}/gold"), range(2)))
+    assert read_star(spark, f"{scratch}/gold").fact_sales.count() == s.fact_sales.count()
+
+
+def test_published_reports_are_read_by_name_in_other_sessions(spark):
+    other = spark.newSession()
+    publish_report(spark.range(3).toDF("n"), "starlens_test_report")
+    held = other.table("starlens_test_report")
+    assert held.count() == 3
+    publish_report(spark.range(4).toDF("n"), "starlens_test_report")  # drop and recreate
+    assert held.count() == 3
+    assert other.sql("SELECT COUNT(*) FROM starlens_test_report").first()[0] == 4
+    drop_report(spark, "starlens_test_report")
+    drop_report(spark, "starlens_test_report")
+    assert not other.catalog.tableExists("starlens_test_report")
 
 
 def test_report_views_answer_the_reference_ad_hoc_sql(spark):
@@ -94,7 +208,7 @@ def test_report_views_answer_the_reference_ad_hoc_sql(spark):
         "SELECT age_groups, COUNT(customer_number) AS total_customers, SUM(total_sales) AS total_sales "
         "FROM report_customers GROUP BY age_groups"
     )
-    top = spark.sql("SELECT * FROM report_products ORDER BY product_key NULLS FIRST LIMIT 10")
+    top = spark.sql("SELECT * FROM report_products ORDER BY product_key NULLS LAST LIMIT 10")
     as_rows = lambda df: sorted(map(str, df.collect()))
     assert as_rows(k3) == as_rows(cat.QUERIES["customers_aged_30_39"](spark, SF_SMALL))
     assert as_rows(k4) == as_rows(cat.QUERIES["age_group_summary"](spark, SF_SMALL))
@@ -151,30 +265,28 @@ def test_checkpoint_fallback_only_when_unset(spark):
         assert checkpoint_root(spark, fallback="/elsewhere") == configured.rstrip("/")
 
 
-def test_unwritable_star_falls_back_to_per_query_derivation(spark, scratch, monkeypatch):
-    import shutil
+def test_unwritable_folder_falls_back_and_other_failures_are_raised(spark, scratch, monkeypatch):
     import warnings
 
     from starlens.sources import star as star_mod
 
-    data = f"{scratch}/inputs"
-    import os
-
-    os.makedirs(data)
-    for name in star_mod.RAW_TABLES:
-        shutil.copy(f"{SF_SMALL}/{name}.parquet", f"{data}/{name}.parquet")
+    data = _copied_inputs(f"{scratch}/inputs")
 
     def fail(*args, **kwargs):
         raise OSError("read-only folder")
 
-    monkeypatch.setattr(star_mod, "write_star", fail)
-    with warnings.catch_warnings(record=True) as caught:
-        warnings.simplefilter("always")
-        got = star_mod.materialized_star(spark, data)
+    with monkeypatch.context() as patched:
+        patched.setattr(star_mod, "_probe", fail)
+        with warnings.catch_warnings(record=True) as caught:
+            warnings.simplefilter("always")
+            got = star_mod.materialized_star(spark, data)
     assert any("deriving per query" in str(w.message) for w in caught)
     assert not any("/starlens/gold/" in f for f in got.fact_sales.inputFiles())
-    lazy = star_mod.star_from_tables(spark, SF_SMALL)
-    assert got.fact_sales.count() == lazy.fact_sales.count()
+    assert got.fact_sales.count() == star_from_tables(spark, SF_SMALL).fact_sales.count()
+    with monkeypatch.context() as patched:
+        patched.setattr(star_mod, "write_star", fail)
+        with pytest.raises(OSError, match="read-only"):
+            star_mod.materialized_star(spark, data)
 
 
 def test_session_conf_local_and_cluster():
