@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm import best_fit_packing, pii_semicrf, quality_knn, simhash_pivots, source_mixing
-from starlens.llm.common import table, written
+from starlens.llm.common import free_name, table, written
 
 #: Documents that score below are rejected.
 QUALITY_CUT = 0.3
@@ -35,8 +35,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels of its own input, doesn't reject."""
     model = quality_knn.fit(docs, table(spark, sf_dir, "labels"))
     order = ["text", *(c for c in docs.columns if c != "text")]
-    scored = quality_knn.quality_scores(docs.select(*order), model, "_score")
-    return scored.where(F.col("_score") >= QUALITY_CUT).select(*docs.columns)
+    score = free_name(docs, "_score")
+    scored = quality_knn.quality_scores(docs.select(*order), model, score)
+    return scored.where(F.col(score) >= QUALITY_CUT).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.session import checkpoint_root
-from starlens.session import shared_folder as shared_setting
+from starlens.session import writable_root
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -36,10 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the session's ``spark.checkpoint.dir``, for one run of one operator."""
-    fallback = None
-    if shared_setting(spark) is None and spark.sparkContext.master.startswith("local["):
-        fallback = tempfile.mkdtemp(prefix="starlens-")  # one process: every task sees this folder
-    return f"{checkpoint_root(spark, fallback)}/llm/{name}-{uuid.uuid4().hex}"
+    return f"{writable_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -49,6 +44,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, lengthened until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def values(column: pa.Array) -> Iterator:
     """A column's Python values one by one; long texts aren't all held at once."""
     return (x.as_py() for x in column)

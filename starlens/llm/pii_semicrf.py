@@ -373,7 +373,8 @@ def _region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, most: int = SAMPLE_REGIONS) -> SemiMarkov:
     """Train on at most ``most`` regions of the ``documents`` documents with the least id hashes."""
     chosen = docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").orderBy(F.xxhash64("_id"), "_id").limit(documents)
-    sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left_semi").select("text")
+    texts = docs.select("doc_id", "text")
+    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left_semi").select("text")
     found = sample.mapInArrow(_region_batches, "text string, spans string").distinct().orderBy(F.xxhash64("text"), "text").limit(most).collect()
     examples = []
     for n, r in enumerate(found):

@@ -123,14 +123,17 @@ class LatentNeighbours:
         for _ in range(4):
             q, _ = np.linalg.qr(x.T @ (x @ q))
         _, _, v = np.linalg.svd(x @ q, full_matrices=False)
-        self.projection = (q @ v[:rank].T).astype(np.float32)
-        self.vectors = _unit(x @ self.projection).astype(np.float32)
+        self.projection = (q @ v[:rank].T).astype(np.float64)
+        self.vectors = _unit(x.astype(np.float64) @ self.projection)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
-        latent = _unit(_weighted(counts, self.idf) @ self.projection)
-        cosine = latent @ self.vectors.T
-        near = np.argpartition(-cosine, self.neighbours - 1, axis=1)[:, : self.neighbours]
-        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-3).astype(np.float64) ** SHARPNESS
+        latent = _unit(_weighted(counts, self.idf).astype(np.float64) @ self.projection)
+        # The last bits of a product depend on the block it is computed in. Without them equal texts score
+        # the same; ties go to the earlier vector.
+        cosine = np.round(latent @ self.vectors.T, 9)
+        cosine -= np.arange(cosine.shape[1]) * 1e-13
+        near = np.sort(np.argpartition(-cosine, self.neighbours - 1, axis=1)[:, : self.neighbours], axis=1)
+        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-3) ** SHARPNESS
         return np.clip((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), 0.0, 1.0)
 
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlens.llm.common import table_sum, values, written
+from starlens.llm.common import free_name, table_sum, values, written
 
 SEED = 42
 PIVOTS = 24
@@ -73,10 +73,10 @@ def _fingerprint_batches(words: int, batches: Iterator[pa.RecordBatch]) -> Itera
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
 
 
-def _with_fingerprint(words: int, at: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_fingerprint(words: int, at: int, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(t or "", words) for t in values(batch.column(at))], np.uint64)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], [*batch.schema.names, "_fp"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], [*batch.schema.names, name])
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
@@ -251,10 +251,10 @@ def deduplicated(docs: DataFrame, words_per_shingle: int, max_distance: int) ->
     stay = near.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     unnamed = near.where("component_id IS NULL").select("fp").distinct()
-    bare = docs.where("doc_id IS NULL")
+    bare, name = docs.where("doc_id IS NULL"), free_name(docs, "_fp")
     prints = bare.mapInArrow(
-        partial(_with_fingerprint, words_per_shingle, docs.columns.index("text")),
-        ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "`_fp` long"]),
+        partial(_with_fingerprint, words_per_shingle, docs.columns.index("text"), name),
+        ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` long"]),
     )
-    rest = prints.join(unnamed.withColumnRenamed("fp", "_fp"), "_fp", "left_semi").dropDuplicates(["_fp"])
+    rest = prints.join(unnamed.withColumnRenamed("fp", name), name, "left_semi").dropDuplicates([name])
     return kept.unionByName(rest.select(*docs.columns))
