@@ -14,8 +14,8 @@ partition is bulk-loaded into a paged M-tree of its own: leaf pages of
 ``page`` vectors, inner nodes of ``page`` children, each with its covering
 radius and its distance from its parent.
 
-The search runs in two rounds. First every query searches its nearest clusters'
-trees, which gives a score that the k-th best at least has. Then the pairs
+The search runs in two rounds. First every query searches one tree of each of its
+nearest clusters, which gives a score that the k-th best at least has. Then the pairs
 (query, tree) whose root bound reaches that score are formed from the directory
 of roots, and each tree is searched best-first by its queries with that score as
 the start. Both rounds return at most k rows a pair; ties at the limit are kept.
@@ -23,7 +23,7 @@ the start. Both rounds return at most k rows a pair; ties at the limit are kept.
 Defined results: vectors that are null, or hold a null or non-finite component,
 or whose length differs from most vectors' (the most frequent one, the longer on
 ties) take no part; null ids take no part; rows that repeat an id are candidates
-each, but none for a query of that id; ties go to the smaller id; an empty table
+each, but none for a query of that id, and are one query together; ties go to the smaller id; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -40,10 +40,11 @@ from pyspark.sql import functions as F
 
 from starlens.llm.common import values, written
 
-SAMPLE = 2048
+#: Routing vectors are chosen among the rows of least id hash: at least so many, and four for each cluster.
+SAMPLE = 256
 #: Vectors a tree should hold; the number of clusters follows from it, up to ``CLUSTERS``.
 TREE_ROWS = 4096
-CLUSTERS = 512
+CLUSTERS = 2048
 PAGE = 64
 #: Clusters that the first round searches for each query.
 FIRST = 2
@@ -211,8 +212,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int) -> DataFrame
     spark = vectors.sparkSession
     rows = written(integer_vectors(vectors, scale), "vectors")
     count = rows.count()
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    clusters = max(1, min(CLUSTERS, len(sample), count // TREE_ROWS))
+    wanted = max(1, min(CLUSTERS, count // TREE_ROWS))
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(max(SAMPLE, 4 * wanted)).collect()
+    clusters = max(1, min(wanted, len(sample)))
     routing = _far_apart(np.array([r.v for r in sample], np.float64), clusters) if sample else np.zeros((1, 1))
     shared = spark.sparkContext.broadcast(routing)
     shape = "id long, v array<long>, cluster int"
@@ -223,19 +225,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int) -> DataFrame
     trees = written(
         placed.withColumn("part", (F.pmod(F.xxhash64("id", "v"), by_cluster)).cast("int")), "trees"
     )
-    queries = written(rows.where(is_query), "queries")
+    queries = written(rows.where(is_query).distinct(), "queries")
     result = "query_id long, id long, score long"
     search = partial(_search_group, k)
 
-    # round one: the trees of each query's nearest clusters
+    # round one: one tree of each of a query's nearest clusters
     near = queries.mapInArrow(partial(_nearest_batches, shared, FIRST), shape)
+    one = F.pmod(F.xxhash64("id"), by_cluster).cast("int").alias("part")
     # a tree meets its queries in blocks of bounded size, each with its own copy of the tree
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     copies = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     every = F.explode(F.sequence(F.lit(0), by_cluster - 1)).alias("part")
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
     keys = ["cluster", "part", "block"]
-    sent = near.select("id", "v", "cluster", every, block).withColumn("least", F.lit(None).cast("long"))
+    sent = near.select("id", "v", "cluster", one, block).withColumn("least", F.lit(None).cast("long"))
     first = written(copies.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(search, result), "first")
     least = _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
 
@@ -246,8 +249,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int) -> DataFrame
         reach[cluster] = radius
     limits = spark.sparkContext.broadcast(reach)
     known = queries.join(least, "id", "left").select("id", "v", "least")
-    wanted = known.mapInArrow(partial(_reached_batches, shared, limits), "id long, v array<long>, least long, cluster int")
-    again = wanted.join(near.select("id", "cluster").distinct(), ["id", "cluster"], "left_anti").select("id", "v", "cluster", every, block, "least")
+    reached = known.mapInArrow(partial(_reached_batches, shared, limits), "id long, v array<long>, least long, cluster int")
+    searched = near.select("id", "cluster", one).distinct()
+    again = reached.select("id", "v", "cluster", every, block, "least").join(searched, ["id", "cluster", "part"], "left_anti")
     second = copies.groupBy(*keys).cogroup(again.groupBy(*keys)).applyInArrow(search, result)
     both = first.unionByName(second)
     return _best(both, k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")

@@ -1,0 +1,357 @@
+"""Packing, mixing, near duplicates, archives and top-k search: against brute force and SQL."""
+
+import itertools
+import random
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from starlens.llm import best_fit_packing as packing
+from starlens.llm import mtree_search, simhash_pivots, source_mixing, warc_index
+from starlens.llm.common import shared_folder
+from starlens.llm.oracle import ORACLE_SQL
+from starlens.llm.queries import QUERIES
+from starlens.plans.verify import compare
+from tests.conftest import SF_CHECK, SF_SMALL
+from tests.llm.odd import ROWS, odd_documents
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def documents(spark, sf=SF_SMALL):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+@pytest.mark.parametrize("key", sorted(ORACLE_SQL))
+def test_queries_equal_their_sql(spark, key):
+    con = duckdb.connect()
+    for name in ("documents", "pages", "embeddings"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_CHECK}/{name}.parquet'")
+    result = compare(QUERIES[key](spark, SF_CHECK).toArrow(), con.execute(ORACLE_SQL[key]).to_arrow_table(), key)
+    assert result.types_match and result.values_exact, result
+
+
+# --- packing --------------------------------------------------------------------
+
+def check_packing(rows, texts, capacity):
+    """Every id is packed once, pieces are cut as stated, sequences are gapless and within capacity."""
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    want = Counter()
+    for d, text in texts:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        for k, a in enumerate(range(0, len(ids), capacity)):
+            part = np.array(ids[a : a + capacity], "<u4")
+            want[d, k, a, len(part), zlib.crc32(part.tobytes())] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    for _, group in itertools.groupby(sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])), lambda r: r["sequence_id"]):
+        at = 0
+        for r in group:
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity
+    return len({r["sequence_id"] for r in rows}), -(-sum(r["length"] for r in rows) // capacity)
+
+
+def test_packing_of_documents(spark):
+    rows = QUERIES["op3_packing"](spark, SF_SMALL).collect()
+    bins, bound = check_packing(rows, [(r["doc_id"], r["text"]) for r in documents(spark).collect()], 4096)
+    assert bins == bound
+
+
+def test_packing_awkward_rows_and_exchange(spark, monkeypatch):
+    docs = odd_documents(spark)
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    for tokens in (packing.PARTITION_TOKENS, 2000):  # one partition, and many that have to exchange
+        monkeypatch.setattr(packing, "PARTITION_TOKENS", tokens)
+        bins, bound = check_packing(packing.packed(docs, WORD_BPE, 1, 512).collect(), texts, 512)
+        assert bins <= bound + 1
+    assert packing.packed(docs.limit(0), WORD_BPE, 1, 512).count() == 0
+
+
+def test_exchange_closes_gaps(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PARTITION_TOKENS", 30_000)
+    docs = documents(spark)
+    bins, bound = check_packing(packing.packed(docs, WORD_BPE, 1, 4096).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], 4096)
+    assert bins <= bound + 1  # six partitions, whose open bins meet in a seventh
+
+
+def test_bound_and_best_fit_against_the_optimum():
+    rng = random.Random(1)
+    for _ in range(150):
+        sizes = [rng.randint(1, 20) for _ in range(rng.randint(1, 7))]
+        bins, offsets, count = packing.best_fit_decreasing(np.array(sizes), 20)
+        for b in range(count):
+            spans = sorted((offsets[i], sizes[i]) for i in range(len(sizes)) if bins[i] == b)
+            assert spans[0][0] == 0 and all(x + n == y for (x, n), (y, _) in zip(spans, spans[1:], strict=False))
+            assert spans[-1][0] + spans[-1][1] <= 20
+        best = min(
+            len(set(a)) for a in itertools.product(range(count), repeat=len(sizes))
+            if all(sum(s for s, x in zip(sizes, a, strict=True) if x == b) <= 20 for b in set(a))
+        ) if len(sizes) <= 6 and count <= 4 else count
+        assert packing.lower_bound(np.bincount(sizes, minlength=21), 20) <= best <= count
+    assert packing.lower_bound(np.bincount([11] * 9, minlength=21), 20) == 9  # above half: a bin each
+    assert packing.lower_bound(np.bincount([8] * 9, minlength=21), 20) == 5
+
+
+def test_encoder_equals_the_library(monkeypatch):
+    rng, tokenizer = random.Random(2), Tokenizer.from_file(WORD_BPE)
+    alphabet = " \t\n\r\x0b\x1c\x85\xa0 　aABb's'lléÉİΣßǅ中🙂Ⅷ²٣.,!?$*()-́가<|endoftext|>"
+    for entries in (packing.CACHE_ENTRIES, 200):
+        monkeypatch.setattr(packing, "CACHE_ENTRIES", entries)
+        encoder = packing.ChunkEncoder(WORD_BPE)
+        for _ in range(500):
+            texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3)]
+            texts.append("a" * rng.randint(60, 70) + ", b.")
+            for text, ids in zip(texts, encoder.encode(texts), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+# --- mixing ------------------------------------------------------------------------
+
+def test_targets_and_taken(spark):
+    rows = QUERIES["op8_mixing"](spark, SF_CHECK).collect()
+    sources = {r["doc_id"]: r["source"] for r in documents(spark, SF_CHECK).collect()}
+    by = {}
+    for r in rows:
+        assert r["taken"] <= 3 * r["size"] and r["taken"] % max(1, r["size"]) == 0
+        total = by.setdefault(sources[r["doc_id"]], [0, 0, r["source_size"], r["target"]])
+        total[0] += r["size"]
+        total[1] += r["taken"]
+    whole = sum(t[0] for t in by.values())
+    assert sum(t[3] for t in by.values()) == pytest.approx(whole)
+    for size, taken, source_size, target in by.values():
+        assert size == source_size and target <= 3 * size + 1e-6
+        assert abs(taken - target) <= 0.02 * target
+
+
+def test_caps_and_awkward_rows(spark):
+    docs = odd_documents(spark)
+    rows = source_mixing.mix_table(docs, 3, 9000, 1).collect()
+    assert len(rows) == len(ROWS)
+    assert sum(dict((r["source_size"], r["target"]) for r in rows).values()) == pytest.approx(sum(r["size"] for r in rows))
+    assert all(r["taken"] == 0 for r in rows if r["size"] == 0) and all(r["taken"] <= 3 * r["size"] for r in rows)
+    again = source_mixing.mix_table(docs.repartition(3), 3, 9000, 1).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    assert source_mixing.mix_table(docs.limit(0), 3, 9000, 1).count() == 0
+    out = source_mixing.mixed(docs, 3, 9000, 1)
+    assert out.columns == docs.columns
+    drawn = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    taken = Counter()
+    for r, size in ((r, r["size"]) for r in rows):
+        if size:
+            taken[r["doc_id"]] += r["taken"] // size
+    assert Counter({d: sum(n for (i, _), n in drawn.items() if i == d) for d in {i for i, _ in drawn}}) == +taken
+
+
+def test_splitting_tree_gives_exact_disjoint_quotas():
+    counts = np.array([1000, 17, 0, 250])
+    for shards in (1, 5, 16):
+        parts = [source_mixing.quota(counts, shards, s, seed=3) for s in range(shards)]
+        assert (sum(n for _, n in parts) == counts).all()
+        totals = [int(n.sum()) for _, n in parts]
+        assert max(totals) - min(totals) <= max(1, int(np.ceil(np.log2(shards))) if shards > 1 else 0)
+        for source in range(4):  # the shards' runs tile the source's blocks
+            runs = sorted((int(f[source]), int(n[source])) for f, n in parts if n[source])
+            assert [a for a, _ in runs] == [0, *np.cumsum([n for _, n in runs])[:-1]] if runs else True
+
+
+# --- near duplicates ----------------------------------------------------------------
+
+def plain_fingerprint(text, k=3):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", lower) if w]
+    shingles = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(fps, most):
+    parent = {f: f for f in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(parent), 2):
+        if (a ^ b).bit_count() <= most:
+            parent[find(b)] = find(a)
+    return {f: find(f) for f in parent}
+
+
+def check_near(rows, texts):
+    fps = {d: plain_fingerprint(t or "") for d, t in texts}
+    root = roots(set(fps.values()), 3)
+    least = {}
+    for d, f in fps.items():
+        least[root[f]] = min(least.get(root[f], d), d)
+    for r in rows:
+        f = fps[r["doc_id"]]
+        assert r["fp"] & (1 << 64) - 1 == f and r["component_id"] == least[root[f]]
+
+
+def test_components_equal_brute_force(spark):
+    texts = [(r["doc_id"], r["text"]) for r in documents(spark).collect()]
+    check_near(simhash_pivots.near_duplicates(documents(spark), 3, 3).collect(), texts)
+
+
+@pytest.mark.parametrize("bucket_rows", [2, 4096])
+def test_links_of_dense_groups_and_chains(spark, bucket_rows):
+    rng = random.Random(4)
+    fps = set()
+    for _ in range(6):
+        x = rng.getrandbits(64)
+        for _ in range(60):  # a walk of one to four bits a step: chains, some of them broken
+            for bit in rng.sample(range(64), rng.randint(1, 4)):
+                x ^= 1 << bit
+            fps.add(x)
+    fps |= {rng.getrandbits(64) for _ in range(200)} | {0, 1, (1 << 64) - 1}
+    signed = [(simhash_pivots._signed(f),) for f in fps]
+    links = simhash_pivots.links(spark.createDataFrame(signed, "fp long"), 3, bucket_rows)
+    assert all((r["u"] ^ r["v"]).bit_count() <= 3 or ((r["u"] ^ r["v"]) & (1 << 64) - 1).bit_count() <= 3 for r in links.collect())
+    got = {r["node"]: r["root"] for r in simhash_pivots.components(links).collect()}
+    want = roots({f & (1 << 64) - 1 for f in fps}, 3)
+    groups = lambda label: {frozenset(g) for g in _grouped(label)}
+
+    def _grouped(label):
+        by = {}
+        for f in fps:
+            by.setdefault(label(f), set()).add(f)
+        return by.values()
+
+    assert groups(lambda f: got.get(simhash_pivots._signed(f), simhash_pivots._signed(f))) == groups(lambda f: want[f])
+
+
+def test_block_masks_catch_every_close_pair():
+    rng, masks = random.Random(5), simhash_pivots.block_masks(3)
+    for _ in range(2000):
+        x = y = rng.getrandbits(64)
+        for bit in rng.sample(range(64), 3):
+            y ^= 1 << bit
+        assert any(x & m == y & m for m in masks)
+
+
+def test_near_duplicates_awkward_rows(spark):
+    docs = odd_documents(spark)
+    rows = simhash_pivots.near_duplicates(docs, 3, 3).collect()
+    assert len(rows) == len(ROWS)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[2]["component_id"] == 1 and {by[d]["fp"] for d in (3, 4, 7)} == {0} and by[7]["component_id"] == 3
+    assert by[None]["component_id"] is None
+    stay = simhash_pivots.deduplicated(docs, 3, 3)
+    assert stay.columns == docs.columns
+    assert Counter(r["doc_id"] for r in stay.collect()) == Counter([1, 3, 5, 6, 8, 9, 10, None])
+    assert simhash_pivots.near_duplicates(docs.limit(0), 3, 3).count() == 0
+    assert simhash_pivots.deduplicated(docs.limit(0), 3, 3).count() == 0
+
+
+# --- archives -----------------------------------------------------------------------
+
+PAGES = [
+    (1, "http://www.example.org/a?x=1 2", "<p>same</p>"),
+    (2, "https://example.org/b", "<p>same</p>"),
+    (3, "https://example.org:8080/é", "été 中"),
+    (4, None, None),
+    (5, "", ""),
+    (6, "http://sub.example.org/b", "x" * 200_000),
+    (6, "http://sub.example.org/b", "x" * 200_000),
+    (None, "not a url", "<p>same</p>"),
+    (7, "http://[broken", "\r\n\r\nWARC/1.1\r\n\r\n"),
+]
+
+
+def pages(spark):
+    return spark.createDataFrame([(*p, "extra") for p in PAGES], "page_id long, url string, html string, digest string")
+
+
+def test_archive_awkward_rows(spark):
+    got = warc_index.round_trip(pages(spark)).collect()
+    want = []
+    for page, _, html in PAGES:
+        payload = (html or "").encode()
+        same = [p for p, _, h in PAGES if (h or "") == (html or "") and p is not None]
+        revisit = bool(same) and page != max(same)
+        want.append((page, len(payload), warc_index.base32_sha1(payload), "revisit" if revisit else "response", max(same) if revisit else None))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+    assert warc_index.round_trip(pages(spark).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block_lines", [1, 2, 512])
+def test_look_up_of_single_keys_over_many_blocks(spark, block_lines):
+    many = spark.range(40).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") < 25, "http://hot.example.org/x").otherwise(F.concat(F.lit("http://a.example.org/"), F.col("id"))).alias("url"),
+        F.concat(F.lit("page "), F.col("id")).alias("html"),
+    )
+    folder = shared_folder(spark, "warc-test")
+    lines = warc_index.write_archives(many, folder)
+    shards = warc_index.write_index(lines, folder, block_lines)
+    keys = lambda *urls: spark.createDataFrame([(warc_index.url_key(u),) for u in urls], "key string")
+    found = lambda *urls: sorted((r["page_id"], bytes(r["payload"]).decode()) for r in warc_index.look_up(keys(*urls), shards, folder, payloads=True).collect())
+    assert found("http://hot.example.org/x") == [(i, f"page {i}") for i in range(25)]
+    assert found("http://a.example.org/30") == [(30, "page 30")]
+    assert found("http://a.example.org/3", "http://zz.example.org/") == []
+
+
+def test_keys_and_search():
+    assert warc_index.url_key("http://www.Example.org/a?b") == "org,example)/a?b"
+    assert warc_index.url_key("https://a.b.example.org:8080") == "org,example,b,a:8080)/"
+    firsts = ["a", "c", "c", "d"]
+    for key in "0abcde":
+        runs = warc_index.run_of(firsts, key)
+        assert all(i in runs for i, f in enumerate(firsts) if f == key)
+        before = [i for i, f in enumerate(firsts) if f < key]
+        assert not before or before[-1] in runs  # its last lines may hold the key
+
+
+# --- top-k ----------------------------------------------------------------------------
+
+def test_tree_search_equals_brute_force_and_skips_work():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(0, 40, (30, 16))
+    x = np.floor(centres[rng.integers(0, 30, 6000)] + rng.normal(0, 3, (6000, 16)))
+    x[100:400] = x[100]  # one vector many times
+    ids = rng.permutation(6000)
+    tree = mtree_search.MTree(ids, x)
+    tree.computed = 0
+    queries = [*range(0, 6000, 97), 100]
+    for i in queries:
+        scores = x @ x[i]
+        best = sorted(((-s, d) for s, d in zip(scores.astype(int).tolist(), ids.tolist(), strict=True) if d != ids[i]))[:5]
+        assert tree.search(x[i], int(ids[i]), 5, -np.inf) == [(-s, d) for s, d in best]
+    assert tree.computed < 0.5 * len(queries) * len(x)
+    assert [d for _, d in tree.search(np.zeros(16), -1, 5, -np.inf)] == [0, 1, 2, 3, 4]
+
+
+def test_top_k_many_trees_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mtree_search, "TREE_ROWS", 40)
+    monkeypatch.setattr(mtree_search, "QUERY_BLOCK", 3)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_CHECK}/embeddings.parquet'")
+    got = mtree_search.top_k(spark.read.parquet(f"{SF_CHECK}/embeddings.parquet"), F.col("id") % 50 == 0, 5, 256)
+    result = compare(got.toArrow(), con.execute(ORACLE_SQL["op5_top_k"]).to_arrow_table(), "op5")
+    assert result.types_match and result.values_exact, result
+
+
+def test_top_k_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]),
+        (7, [1.0]), (None, [1.0, 1.0]), (50, [-1.0, 0.0]), (50, [-1.0, 0.0]), (8, []),
+    ]
+    vectors = spark.createDataFrame([(*r, "extra") for r in rows], "vec_id long, embedding array<float>, id string")
+    got = mtree_search.top_k(vectors, F.col("id") % 50 == 0, 5, 256).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        by.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert by[0] == [(1, 1, 128 * 256), (2, 2, 128 * 256), (3, 50, -65536), (4, 50, -65536)]
+    assert [x[1] for x in by[50]] == [1, 2, 0]
+    assert mtree_search.top_k(vectors.limit(0), F.col("id") % 50 == 0, 5, 256).count() == 0
