@@ -19,7 +19,8 @@ from starlens.llm.common import free_name, table, written
 #: Documents that score below are rejected.
 QUALITY_CUT = 0.3
 MAX_EPOCHS = 3
-SHARDS = 64
+#: Words of an output shard on average, about 50 MB of text.
+SHARD_WORDS = 8_000_000
 SEED = 8
 
 
@@ -52,7 +53,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix draws, as often as it draws them, by output shard."""
-    return source_mixing.mixed(docs, max_epochs=MAX_EPOCHS, shards=SHARDS, seed=SEED)
+    return source_mixing.mixed(docs, max_epochs=MAX_EPOCHS, shard_words=SHARD_WORDS, seed=SEED)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,7 +85,7 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_mixing.mix_table(table(spark, sf_dir, "documents"), max_epochs=3, shards=64, seed=8)
+    return source_mixing.mix_table(table(spark, sf_dir, "documents"), max_epochs=3, shard_words=8_000_000, seed=8)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

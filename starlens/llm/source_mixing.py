@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starlens.llm.common import written
+from starlens.llm.common import free_name, written
 
 #: A word of the size rule.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -105,6 +105,16 @@ def running(docs: DataFrame, value: Column, name: str) -> DataFrame:
     )
 
 
+def _known(docs: DataFrame, by_source: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``by_source`` (one row a source), by way of the order's buckets.
+
+    A join on the source alone would send all rows of a source to one task; a
+    source has at most 65,536 buckets.
+    """
+    cells = docs.select("key", "a", "b").distinct().join(by_source, "key")
+    return docs.join(cells, ["key", "a", "b"])
+
+
 def chosen(docs: DataFrame, max_epochs: int) -> DataFrame:
     """``sized`` documents with source_size, target and ``copies``, the number of times the mix takes each.
 
@@ -117,11 +127,11 @@ def chosen(docs: DataFrame, max_epochs: int) -> DataFrame:
     leave = F.col("rest") * 2 > F.col("source_size")
     goals = targets.withColumn("passes", passes).withColumn("rest", rest).withColumn("leave", leave)
     goals = goals.withColumn("goal", F.when(F.col("leave"), F.col("source_size") - F.col("rest")).otherwise(F.col("rest")))
-    rows = docs.join(goals.drop("rest"), "key").withColumn("pick", F.lit(False))
+    rows = _known(docs, goals.drop("rest")).withColumn("pick", F.lit(False))
     left = goals.select("key", F.col("goal").alias("_left"))  # one row a source: the words still to pick
     for i in range(FILLS):
         fits = ~F.col("pick") & (F.col("size") > 0) & (F.col("size") <= F.col("_left"))
-        rows = running(rows.join(left, "key"), F.when(fits, F.col("size")).otherwise(0), "_run")
+        rows = running(_known(rows, left), F.when(fits, F.col("size")).otherwise(0), "_run")
         pick = F.col("pick") | (fits & (F.col("_run") <= F.col("_left")))
         rows = written(rows.withColumn("pick", pick).drop("_run", "_left"), f"mix-fill{i}")
         left = rows.groupBy("key").agg((F.max("goal") - F.sum(F.when(F.col("pick"), F.col("size")).otherwise(0))).alias("_left"))
@@ -162,15 +172,21 @@ def _quotas(keys: list[str], counts: list[int], shards: int, seed: int, frames:
             yield pd.DataFrame({"key": keys, "shard": int(shard), "first": first, "many": many})
 
 
-def draws(picked: DataFrame, shards: int, seed: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """One row a draw: doc_id, key, mark, size, copy (from 0), shard. ``picked`` as ``chosen`` gives it."""
+def draws(picked: DataFrame, shard_words: int, seed: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """One row a draw: doc_id, key, mark, size, copy (from 0), shard. ``picked`` as ``chosen`` gives it.
+
+    There are as many shards as it takes for ``shard_words`` words in each on average.
+    """
     spark = picked.sparkSession
     # place of a draw in its source's sequence: a running count of draws
     places = running(picked, F.col("copies"), "_end").where("copies > 0")
     places = places.select(
         "doc_id", "key", "mark", "size", F.posexplode(F.sequence(F.col("_end") - F.col("copies"), F.col("_end") - 1)).alias("copy", "place")
     )
-    sources = [(r.key, -(-r.n // block_docs)) for r in picked.groupBy("key").agg(F.sum("copies").alias("n")).orderBy("key").collect() if r.n]
+    drawn = picked.groupBy("key").agg(F.sum("copies").alias("n"), F.sum(F.col("size") * F.col("copies")).alias("words"))
+    found = [r for r in drawn.orderBy("key").collect() if r.n]  # one row a source
+    sources = [(r.key, -(-r.n // block_docs)) for r in found]
+    shards = max(1, -(-sum(r.words for r in found) // shard_words))
     if not sources:
         return places.select("doc_id", "key", "mark", "size", "copy", F.lit(0).cast("long").alias("shard"))
     # one permutation of each source's blocks: block -> (block * step + seed) mod blocks, step without common factor
@@ -191,10 +207,10 @@ def draws(picked: DataFrame, shards: int, seed: int, block_docs: int = BLOCK_DOC
     return places.join(slots, ["key", "slot"]).select("doc_id", "key", "mark", "size", "copy", "shard")
 
 
-def mix_table(docs: DataFrame, max_epochs: int, shards: int, seed: int) -> DataFrame:
+def mix_table(docs: DataFrame, max_epochs: int, shard_words: int, seed: int) -> DataFrame:
     """Per document: doc_id, size, source_size, target and taken, the words of its draws over all shards."""
     picked = written(chosen(written(sized(docs, seed), "mix-sizes"), max_epochs), "mix-chosen")
-    drawn = draws(picked, shards, seed).groupBy("key", "doc_id", "mark", "size").agg(F.count("*").alias("_draws"))
+    drawn = draws(picked, shard_words, seed).groupBy("key", "doc_id", "mark", "size").agg(F.count("*").alias("_draws"))
     # equal rows (same id, source and text) are drawn as one; each keeps its own number of copies
     same = F.expr("p.key = d.key AND p.doc_id <=> d.doc_id AND p.mark = d.mark AND p.size = d.size")
     taken = F.when(F.col("_draws").isNull(), 0).otherwise(F.col("p.size") * F.col("copies")).cast("long")
@@ -203,19 +219,21 @@ def mix_table(docs: DataFrame, max_epochs: int, shards: int, seed: int) -> DataF
     )
 
 
-def mixed(docs: DataFrame, max_epochs: int, shards: int, seed: int) -> DataFrame:
+def mixed(docs: DataFrame, max_epochs: int, shard_words: int, seed: int) -> DataFrame:
     """The mix itself in the columns of ``docs``: drawn documents, repeats included, a file a shard, shuffled within it."""
     picked = written(chosen(written(sized(docs, seed), "mix-sizes"), max_epochs), "mix-chosen")
-    found = draws(picked, shards, seed).select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("mark").alias("_mark"), F.col("copy").alias("_copy"), F.col("shard").alias("_shard")
-    )
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
-    # equal rows have as many draws as the rows together; each draw needs one of them
-    texts = docs.withColumns({"_k": key, "_m": F.xxhash64("text")})
-    one = texts.dropDuplicates(["doc_id", "_k", "_m"])
-    joined = one.join(found, F.expr("doc_id <=> _id AND _k = _key AND _m = _mark"))
+    drawn = draws(picked, shard_words, seed).select(F.struct("doc_id", "key", "mark", "copy", "shard").alias("draw"))
+    # the source's key and the text's hash beside whatever columns the documents have
+    key, mark, draw = (free_name(docs, n) for n in ("_key", "_mark", "_draw"))
+    texts = docs.withColumns({
+        key: F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")), mark: F.xxhash64("text"),
+    })
+    one = texts.dropDuplicates(["doc_id", key, mark])  # equal rows have their draws together
+    same = F.expr(f"doc_id <=> {draw}.doc_id AND {key} = {draw}.key AND {mark} = {draw}.mark")
+    joined = one.join(drawn.withColumnRenamed("draw", draw), same)
+    shuffled = F.xxhash64(F.lit(seed), f"{draw}.doc_id", f"{draw}.mark", f"{draw}.copy")
     return (
-        joined.repartition(F.col("_shard"))
-        .sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "_id", "_mark", "_copy"))
+        joined.repartition(F.col(f"{draw}.shard"))
+        .sortWithinPartitions(F.col(f"{draw}.shard"), shuffled)
         .select(*docs.columns)
     )
