@@ -308,7 +308,9 @@ def look_up(keys: DataFrame, shards: DataFrame, folder: str, payloads: bool = Fa
     # equal first keys: any order will do, all of them are searched
     shared = spark.sparkContext.broadcast(([k for k, _ in known], [s for _, s in known]))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    located = keys.mapInArrow(partial(_locate_batches, f"{folder}/index", shared), "shard string, at long, size long, key string")
+    # in key order a task needs few directories
+    ordered = keys.repartitionByRange(n, keys.columns[0]).sortWithinPartitions(keys.columns[0])
+    located = ordered.mapInArrow(partial(_locate_batches, f"{folder}/index", shared), "shard string, at long, size long, key string")
     blocks = located.repartition(n, "shard", "at").sortWithinPartitions("shard", "at")
     places = blocks.mapInArrow(partial(_block_batches, f"{folder}/index"), "file string, offset long, length long")
     runs = places.repartition(n, "file", F.floor(F.col("offset") / READ_AHEAD)).sortWithinPartitions("file", "offset")

@@ -16,8 +16,8 @@ so each gram is hashed from its own code points, k being constant.
 Defined results: a null text counts as empty; an empty text has no hashes (an
 empty fingerprint, like 1.0 to another empty one and 0.0 to others); a text
 shorter than k is one gram, one with fewer than w grams one window; rows are
-ordered by id, then by text, null ids last; the document after the last is the
-first (a single document is its own next); repeated rows get a row each; an empty table
+ordered by id, null ids last, and rows of one id by a hash of their texts; the
+document after the last is the first (a single document is its own next); repeated rows get a row each; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -109,13 +109,16 @@ def likeness(a: str, b: str) -> Column:
 
 
 def bucketed(docs: DataFrame) -> DataFrame:
-    """``docs`` (column pos) with ``range`` and ``bucket``: runs of consecutive ids of about ``BUCKET_ROWS`` rows.
+    """``docs`` (columns pos, mark) with ``range`` and ``bucket``: runs of about ``BUCKET_ROWS`` rows in their order.
 
-    Ranges are quantiles; a range is cut evenly into buckets. Only the
-    quantiles (at most ``RANGES``) come to the driver.
+    Ranges are quantiles of ids; a range is cut evenly into buckets. Rows
+    without an id (pos ``_LAST``) follow in buckets of their own, cut evenly
+    by mark. Only counts and the quantiles (at most ``RANGES``) come to the
+    driver.
     """
     known = F.when(F.col("pos") < _LAST, F.col("pos"))
-    rows = docs.agg(F.count("*")).first()[0]
+    rows, named = docs.agg(F.count("*"), F.count(known)).first()
+    tail = max(1, -(-(rows - named) // BUCKET_ROWS))
     ranges = max(1, min(RANGES, -(-rows // BUCKET_ROWS)))
     cuts = docs.agg(F.percentile_approx(known, [i / ranges for i in range(ranges + 1)], 10_000)).first()[0] or [0, 1]
     cuts = sorted(set(cuts))
@@ -125,11 +128,13 @@ def bucketed(docs: DataFrame) -> DataFrame:
     low = F.element_at(F.array(*[F.lit(c).cast("double") for c in cuts]), F.col("range") + 1)
     high = F.element_at(F.array(*[F.lit(c).cast("double") for c in [*cuts[1:], cuts[-1] + 1]]), F.col("range") + 1)
     part = F.floor((F.col("pos") - low) * per_range / F.greatest(high - low, F.lit(1.0)))
-    return docs.withColumn("bucket", F.least(F.lit(per_range - 1), F.greatest(F.lit(0), part)).cast("int"))
+    by_id = F.least(F.lit(per_range - 1), F.greatest(F.lit(0), part))
+    by_mark = F.least(F.lit(tail - 1), F.floor((F.col("mark") / 2.0**64 + 0.5) * tail)) + per_range
+    return docs.withColumn("bucket", F.when(F.col("pos") == _LAST, by_mark).otherwise(by_id).cast("int"))
 
 
 def _follow(firsts: DataFrame) -> DataFrame:
-    """For each bucket's first row (pos): the bucket before it, around the end; ``firsts``: range, bucket, pos."""
+    """For each bucket's first row (pos, mark): the bucket before it, around the end; ``firsts``: range, bucket, pos, mark."""
     inside = Window.partitionBy("range").orderBy("bucket")
     ends = firsts.groupBy("range").agg(F.max("bucket").alias("end"))  # at most RANGES rows
     every = Window.partitionBy(F.lit(1))
@@ -142,6 +147,7 @@ def _follow(firsts: DataFrame) -> DataFrame:
     before = firsts.withColumn("_lag", F.lag("bucket").over(inside))
     return before.join(back, "range").select(
         F.col("pos").alias("_pos"),
+        F.col("mark").alias("_mark"),
         F.when(F.col("_lag").isNull(), F.col("to_range")).otherwise(F.col("range")).alias("_range"),
         F.when(F.col("_lag").isNull(), F.col("to_bucket")).otherwise(F.col("_lag")).alias("_bucket"),
     )
@@ -159,17 +165,19 @@ def edited_fingerprints(docs: DataFrame, k: int, w: int) -> DataFrame:
             "doc_id",
             F.coalesce("text", F.lit("")).alias("text"),
             F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("pos"),
+            F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"),
         )
     )
-    firsts = written(base.groupBy("range", "bucket").agg(F.min("pos").alias("pos")), "winnow-buckets")
+    firsts = base.groupBy("range", "bucket").agg(F.min(F.struct("pos", "mark")).alias("least"))
+    firsts = written(firsts.select("range", "bucket", "least.pos", "least.mark"), "winnow-buckets")
     guests = (
-        base.select("pos", "text")
-        .join(_follow(firsts), F.col("pos") == F.col("_pos"))
+        base.select("pos", "mark", "text")
+        .join(_follow(firsts), (F.col("pos") == F.col("_pos")) & (F.col("mark") == F.col("_mark")))
         .groupBy("_range", "_bucket")
         .agg(F.min("text").alias("guest"))
         .withColumn("guest_hashes", hashes(winnow("guest", k, w)))
     )
-    here = Window.partitionBy("range", "bucket").orderBy("pos", "text")
+    here = Window.partitionBy("range", "bucket").orderBy("pos", "mark", "text")
     rows = base.withColumn("next", F.lead("text").over(here))
     rows = rows.withColumn("selected", winnow("text", k, w)).withColumn("hashes", hashes(F.col("selected")))
     rows = rows.withColumn("next_hashes", F.lead("hashes").over(here))

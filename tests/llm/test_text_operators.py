@@ -221,9 +221,11 @@ def test_query_equals_brute_force(spark):
 @pytest.mark.parametrize("bucket", [1, 3, 4096])
 def test_next_document_across_buckets_gaps_and_awkward_rows(spark, monkeypatch, bucket):
     monkeypatch.setattr(winnowing, "BUCKET_ROWS", bucket)
-    docs = odd_documents(spark).withColumn("doc_id", F.col("doc_id") * F.when(F.col("doc_id") > 5, 1000).otherwise(1))
+    more = [(None, f"another text without an id, number {i}, of its own", "c") for i in range(9)]
+    docs = odd_documents(spark, [*ROWS, *more]).withColumn("doc_id", F.col("doc_id") * F.when(F.col("doc_id") > 5, 1000).otherwise(1))
     rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
-    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1].encode()))
+    mark = lambda t: (h := xxhash.xxh64_intdigest(t.encode(), 42)) - (h >> 63 << 64)
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, mark(r[1]), r[1].encode()))
     got = winnowing.edited_fingerprints(docs, 16, 16).withColumn("sha", F.sha2("edited", 256)).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
     want = sorted(check_edited(rows), key=key)
