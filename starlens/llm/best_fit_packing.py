@@ -32,14 +32,21 @@ from starlens.llm.common import values, written
 PARTITION_TOKENS = 16_000_000
 PARTITION_PIECES = 100_000
 ROUNDS = 6
-CACHE_ENTRIES = 300_000
+#: Entries of a Python worker's two caches, about 200 bytes each.
+CACHE_ENTRIES = 500_000
+WORD_ENTRIES = 800_000
+#: Code points of texts that are encoded together.
+GROUP_CHARACTERS = 400_000
 
 
 class ChunkEncoder:
     """Token ids as little-endian 32-bit bytes, by the ``tokenizers`` library.
 
-    White space never reaches a token of this kind of vocabulary, so a text is cut
-    there, each distinct chunk is encoded once and the ids are joined.
+    White space never reaches a token of this kind of vocabulary, so texts are cut
+    there and each distinct chunk is encoded once. A chunk of letters and trailing
+    marks is a word and a run of marks to the pre-tokenizer, which are encoded
+    once each too. New words of many texts go through the library together; as
+    every word's last token carries the word-end mark, its ids are found again.
     """
 
     def __init__(self, path: str):
@@ -47,22 +54,95 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        chunks = text.encode().split()
-        known = self.known
-        missing = list({c for c in chunks if c not in known})
-        if not missing:
-            return b"".join(map(known.__getitem__, chunks))
-        if len(known) + len(missing) > CACHE_ENTRIES:
-            known.clear()
-            missing = list(set(chunks))
-        found = self.tokenizer.encode_batch([c.decode() for c in missing], add_special_tokens=False)
-        local = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(missing, found, strict=True)}
-        if len(missing) <= CACHE_ENTRIES:
-            known.update((c, ids) for c, ids in local.items() if len(c) <= 64)
-        return b"".join([local[c] if c in local else known[c] for c in chunks])
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.missed = 0
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _new_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """ids of distinct words, all letters, by one call of the library."""
+        ids = np.array(self.tokenizer.encode(" ".join([w.decode() for w in words]), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(words):  # some letter became more than one word when normalised
+            return {w: self._ids(w.decode()) for w in words}
+        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return {w: data[a:b] for w, a, b in zip(words, bounds, bounds[1:], strict=False)}
+
+    def _new_chunks(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        found, parts, words = {}, [], self.words
+        unknown: dict[bytes, None] = {}
+        for chunk in chunks:
+            word = chunk.rstrip(_MARKS)
+            lower = word.lower() if word.isalpha() else _lower_letters(word)
+            if not lower:
+                found[chunk] = self._ids(chunk.decode())
+                continue
+            marks = chunk[len(word) :]
+            if marks and marks not in words:
+                words[marks] = self._ids(marks.decode())
+            ids = words.get(lower)
+            if ids is None:
+                unknown[lower] = None
+                parts.append((chunk, lower, marks))
+            else:
+                found[chunk] = ids + words[marks] if marks else ids
+        if unknown:
+            new = self._new_words(list(unknown))
+            for chunk, lower, marks in parts:
+                found[chunk] = new[lower] + words[marks] if marks else new[lower]
+            if len(words) + len(new) <= WORD_ENTRIES:
+                words.update(new)
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.encode().split() for t in texts]
+        get = self.chunks.get
+        found = [list(map(get, chunks)) for chunks in split]
+        gaps = [_gaps(ids) for ids in found]
+        missing = list({chunks[i] for chunks, places in zip(split, gaps, strict=True) for i in places})
+        if missing:
+            new = self._new_chunks(missing)
+            for chunks, ids, places in zip(split, found, gaps, strict=True):
+                for i in places:
+                    ids[i] = new[chunks[i]]
+            # The most frequent chunks come early, so a full cache is kept, until the texts have changed so much
+            # that four times as many chunks were missed since.
+            if len(self.chunks) + len(missing) <= CACHE_ENTRIES:
+                self.chunks.update((c, ids) for c, ids in new.items() if len(c) <= 64)
+            else:
+                self.missed += len(missing)
+                if self.missed > 4 * CACHE_ENTRIES:
+                    self.missed, self.chunks, self.words = 0, {}, {}
+        return [b"".join(ids) for ids in found]
+
+
+def _gaps(ids: list) -> list[int]:
+    """Places of None."""
+    places, i = [], -1
+    try:
+        while True:
+            i = ids.index(None, i + 1)
+            places.append(i)
+    except ValueError:
+        return places
+
+
+#: Marks that may follow a word; the pre-tokenizer makes them a run of their own.
+_MARKS = b'.,!?;:|*$%&#()"-'
+
+
+def _lower_letters(word: bytes) -> bytes:
+    """The word lower-cased if it is letters only, before and after; else nothing."""
+    if word.isascii():
+        return b""
+    text = word.decode()
+    lower = text.lower()
+    return lower.encode() if text.isalpha() and lower.isalpha() and "\u03a3" not in text else b""
 
 
 @lru_cache(maxsize=4)
@@ -70,13 +150,27 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
+def _grouped(texts: Iterator[str | None]) -> Iterator[list[str]]:
+    """Runs of texts of about ``GROUP_CHARACTERS`` together."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
+        if size >= GROUP_CHARACTERS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _piece_batches(path: str, end_id: int, capacity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encode = encoder(path).encode
     end = end_id.to_bytes(4, "little")
     for batch in batches:
         row, piece, start, length, crc = [], [], [], [], []
-        for i, text in enumerate(values(batch.column(1))):
-            ids = encode(text or "") + end
+        documents = (ids for group in _grouped(values(batch.column(1))) for ids in encode(group))
+        for i, document in enumerate(documents):
+            ids = document + end
             for k, a in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[a : a + 4 * capacity]
                 row.append(i)
