@@ -33,6 +33,10 @@ from starlens.session import build_session, env_int, writable_root  # noqa: E402
 from starlens.sources import remove_superseded, star_from_tables, write_star  # noqa: E402
 
 
+#: One key per statement; the keys that only publish a report first, or only change its bounds, time nothing new.
+TIMED = [k for k in QUERIES if not k.startswith("view_") and not k.endswith("_reference_bounds")]
+
+
 def run_once(spark, key: str, data_dir: str) -> float:
     t0 = time.perf_counter()
     QUERIES[key](spark, data_dir).write.format("noop").mode("overwrite").save()
@@ -45,7 +49,7 @@ def main() -> None:
     repeat = max(1, env_int("BENCH_REPEAT", 2))
     spark = build_session(f"local[{cpus}]", app_name="starlens-bench", shuffle_partitions=cpus)
 
-    for key in QUERIES:  # warm-up (also derives the shared star once)
+    for key in TIMED:  # warm-up (also derives the shared star once)
         run_once(spark, key, data_dir)
     # always the same folder, whose earlier builds are removed: no copy of the fact is left behind by each run
     scratch = f"{writable_root(spark)}/bench/star"
@@ -55,7 +59,7 @@ def main() -> None:
     remove_superseded(spark, scratch)
     best: dict[str, float] = {}
     for _ in range(repeat):
-        for key in QUERIES:
+        for key in TIMED:
             secs = run_once(spark, key, data_dir)
             best[key] = min(secs, best.get(key, secs))
 

@@ -5,11 +5,11 @@ every read (the reference's view semantics) or :func:`materialize` it once
 to shared storage so many readers share one computation.
 
 Plan shape: fact (``IsNotNull(order_date)`` pushed into the scan) left-joined
-to the dimension's distinct keys (broadcast only under the planner's size
+to the dimension's keys (broadcast only under the planner's size
 threshold, else sort-merge with AQE skew splitting; all unmatched sales share
 the NULL key and so form one skewed partition) -> aggregate per key -> join
 of the per-key rows to the dimension attributes, one row per distinct
-attribute tuple with its number of repeats. The two COUNT(DISTINCT)
+attribute tuple with its number of rows. The two COUNT(DISTINCT)
 measures are expanded once and aggregated in two stages; the first stage
 shuffles on (key, distinct column), so even a product or customer with a
 third of all sales is spread across tasks.
@@ -17,7 +17,7 @@ third of all sales is spread across tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starlens.functions.classify import first_match
@@ -70,6 +70,7 @@ def age_group(age):
 
 _DIM_KEY = "__grain_key"
 _REPEATS = "__repeats"
+_KEY_ROWS = "__key_rows"
 
 
 def _dated(fact: DataFrame) -> DataFrame:
@@ -79,9 +80,12 @@ def _dated(fact: DataFrame) -> DataFrame:
 def _keyed_sales(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Dated sales with the grain key: the dimension key, NULL for unknown keys.
 
-    Keys are made distinct first, so a repeated dimension row repeats no sale.
+    A sale appears once for each dimension row of its key, usually one;
+    :func:`_with_attributes` takes repeats out of the sums again. (Making the
+    keys distinct first would put an aggregate between the shuffle and the
+    join, and AQE could no longer split a hot key's partition.)
     """
-    keys = dim.select(F.col(key).alias(_DIM_KEY)).distinct()
+    keys = dim.select(F.col(key).alias(_DIM_KEY))
     return _dated(fact).join(keys, F.col(key) == F.col(_DIM_KEY), how)
 
 
@@ -130,20 +134,30 @@ def _grain_aggregates(base: DataFrame, key: str, other_key: str, other_alias: st
 
 
 def _attributes(dim: DataFrame, key: str, columns: list[Column]) -> DataFrame:
-    """The dimension's distinct grain tuples, each with its number of rows.
+    """The dimension's distinct grain tuples, with the numbers of rows of the tuple and of its key.
 
-    A sale joins every dimension row of its key, so sums of a tuple count
-    once per row; distinct counts, extremes and means don't change.
+    In a join with the dimension's rows, the sums of a tuple count once per row
+    of the tuple; distinct counts, extremes and means don't change.
     """
     rows = dim.where(F.col(key).isNotNull()).select(F.col(key).alias(_DIM_KEY), *columns)
-    return rows.groupBy(*rows.columns).agg(F.count("*").alias(_REPEATS))
+    tuples = rows.groupBy(*rows.columns).agg(F.count("*").alias(_REPEATS))
+    return tuples.withColumn(_KEY_ROWS, F.sum(_REPEATS).over(Window.partitionBy(_DIM_KEY)))
 
 
-def _with_attributes(agg: DataFrame, attributes: DataFrame, how: str = "left") -> DataFrame:
-    repeats = F.coalesce(F.col(_REPEATS), F.lit(1))
+def _with_attributes(agg: DataFrame, attributes: DataFrame, how: str = "left", sales_repeated: bool = True) -> DataFrame:
+    """Per-key measures with each attribute tuple of the key, sums scaled to the tuple's rows.
+
+    ``sales_repeated``: the measures saw every sale once per dimension row of its key.
+    """
     rows = agg.join(attributes, _DIM_KEY, how)
-    # a sum keeps its type, which for decimals the product would widen
-    return rows.withColumns({c: (F.col(c) * repeats).cast(agg.schema[c].dataType) for c in ("total_sales", "total_qty")})
+    seen = F.col(_KEY_ROWS) if sales_repeated else F.lit(1)
+
+    def scaled(c: str) -> Column:
+        # a sum keeps its type, which for decimals the product would widen
+        whole = quotient(F.col(c) * F.col(_REPEATS), seen, is_integral(agg, c)).cast(agg.schema[c].dataType)
+        return F.when(F.col(_REPEATS).isNull() | (F.col(_REPEATS) == seen), F.col(c)).otherwise(whole)
+
+    return rows.withColumns({c: scaled(c) for c in ("total_sales", "total_qty")})
 
 
 def report_products(
@@ -167,12 +181,15 @@ def report_products(
     return _product_rows(_keyed_sales(fact, products, "product_key"), products, as_of, high, mid)
 
 
-def _product_rows(base: DataFrame, products: DataFrame, as_of, high: float, mid: float) -> DataFrame:
+def _product_rows(
+    base: DataFrame, products: DataFrame, as_of, high: float, mid: float, sales_repeated: bool = True
+) -> DataFrame:
     """The product report over ``base``, sales with their grain key."""
     today = as_of_date(as_of)
     agg = _grain_aggregates(base, "product_key", "customer_key", "total_customers")
     names = ["product_key", "product_name", "category", "subcategory", "cost"]
-    rows = _with_attributes(agg, _attributes(products, "product_key", [F.col(c) for c in names]))
+    attributes = _attributes(products, "product_key", [F.col(c) for c in names])
+    rows = _with_attributes(agg, attributes, sales_repeated=sales_repeated)
     sales, orders, life = F.col("total_sales"), F.col("total_orders"), F.col("lifespan")
     whole = is_integral(rows, "total_sales")
     return rows.select(
@@ -262,7 +279,8 @@ def preview_report_products(
     ``n`` keys that can appear before it is joined or aggregated: only distinct
     keys and the shown keys' sales are shuffled.
     """
-    report = _product_rows(_first_keys_sales(fact, products, "product_key", n), products, as_of, high, mid)
+    base = _first_keys_sales(fact, products, "product_key", n)
+    report = _product_rows(base, products, as_of, high, mid, sales_repeated=False)
     order = ["product_key", "product_name", "category", "subcategory", "cost"]
     return report.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
 
