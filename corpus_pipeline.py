@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm import best_fit_packing, pii_semicrf, quality_knn, simhash_pivots, source_mixing
-from starlens.llm.common import free_name, table, written
+from starlens.llm.common import free_name, prepare, table, written
 
 #: Documents that score below are rejected.
 QUALITY_CUT = 0.3
@@ -48,6 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its personal data replaced by the kind's name."""
+    prepare(spark)
     return _lengths(pii_semicrf.redacted(docs, pii_semicrf.fit(docs)))
 
 

@@ -33,8 +33,8 @@ PARTITION_TOKENS = 16_000_000
 PARTITION_PIECES = 100_000
 ROUNDS = 6
 #: Entries of a Python worker's two caches, about 200 bytes each.
-CACHE_ENTRIES = 500_000
-WORD_ENTRIES = 800_000
+CACHE_ENTRIES = 300_000
+WORD_ENTRIES = 400_000
 #: Code points of texts that are encoded together.
 GROUP_CHARACTERS = 400_000
 

@@ -14,13 +14,20 @@ from starlens.session import writable_root
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+#: Rows of an Arrow batch between Spark and a Python worker.
+BATCH_ROWS = 1000
+
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package from the driver's path.
+    """Settings of the session that the operators rely on.
 
-    Workers started by a plain ``python`` driver inherit PYTHONPATH only; on a
-    cluster the package is installed or shipped with ``--py-files`` as usual.
+    Python workers import this package from the driver's path (workers of a
+    plain ``python`` driver inherit PYTHONPATH only; on a cluster the package
+    is installed or shipped with ``--py-files`` as usual), and get at most
+    ``BATCH_ROWS`` rows at once, since a row may hold a very long text.
     """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
     paths = [p for p in (env.get("PYTHONPATH") or os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:
@@ -39,6 +46,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here and nothing is computed twice."""
+    prepare(df.sparkSession)
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,7 +28,6 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from starlens.llm.common import labelled_sample, values
 
@@ -41,7 +40,7 @@ NEIGHBOURS = 25
 SHARPNESS = 4
 PER_CLASS = 1500
 BLOCK = 256
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 _RUN = re.compile(r"(.)\1+")
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 

@@ -50,7 +50,7 @@ VOCABULARY = 20_000
 PREFIX = 5
 STEPS = 200
 COUNTERFACTUAL = 0.5
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
 
