@@ -8,7 +8,9 @@ of at most ``MOST_TOKENS`` tokens by features of the whole span: its shape, its
 number of digits, checksum, octets, separators and neighbours. Bounded-entity
 dynamic programming picks the best segmentation, boundaries and kinds together.
 Base spans are held fixed in it; other segments of the best segmentation whose
-marginal probability is at least ``SURE`` are added.
+marginal probability is at least ``SURE`` are added. The programme runs over a
+whole region, or over pieces of it that no candidate crosses, in linear time
+and with a few numbers a token.
 
 The weights are trained on regions of a bounded sample of documents, labelled
 by the base patterns, and on copies of them altered by rule: forms the patterns
@@ -28,9 +30,12 @@ import hashlib
 import math
 import random
 import re
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +47,7 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 6000
 SAMPLE_REGIONS = 1200
 MOST_TOKENS = 24
-#: A region is cut at a blank once it has so many tokens.
+#: A region is cut after a line end or tab, which no candidate holds, once it has so many tokens.
 REGION_TOKENS = 96
 REACH = 24
 SURE = 0.9
@@ -154,11 +159,11 @@ def regions(text: str) -> list[tuple[int, int]]:
 
 
 def tokens(text: str, start: int, end: int) -> list[list[tuple[int, int]]]:
-    """The region's tokens, in pieces of about ``REGION_TOKENS`` cut at blanks."""
+    """The region's tokens, in pieces of at least ``REGION_TOKENS`` cut where no candidate crosses."""
     pieces, piece = [], []
     for m in _TOKEN.finditer(text, start, end):
         piece.append(m.span())
-        if len(piece) >= REGION_TOKENS and text[m.start()].isspace():
+        if len(piece) >= REGION_TOKENS and text[m.start()] in "\n\r\t":
             pieces.append(piece)
             piece = []
     return [*pieces, piece] if piece else pieces
@@ -199,20 +204,50 @@ def span_features(span: str, left: str, right: str) -> tuple[str, ...]:
     )
 
 
+def candidate_ends(text: str, piece: list[tuple[int, int]], i: int) -> Iterator[int]:
+    """The j of token ranges [i, j) that may be entities: they start and end visibly and hold a digit or an at-sign."""
+    a = piece[i][0]
+    if not (text[a].isalnum() or text[a] in "+("):
+        return
+    anchor = False
+    for j in range(i, min(len(piece), i + MOST_TOKENS)):
+        b, e = piece[j]
+        c = text[b]
+        if c in "\n\r\t":
+            break
+        anchor = anchor or c.isdigit() or c == "@" or text[b:e].lower() == "at"
+        if anchor and (c.isalnum()) and e - a >= 5:
+            yield j + 1
+
+
 def candidates(text: str, piece: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Token ranges [i, j) that may be entities: they start and end visibly and hold a digit or an at-sign."""
-    for i, (a, _) in enumerate(piece):
-        if not (text[a].isalnum() or text[a] in "+("):
-            continue
-        anchor = False
-        for j in range(i, min(len(piece), i + MOST_TOKENS)):
-            b, e = piece[j]
-            c = text[b]
-            if c in "\n\r\t":
-                break
-            anchor = anchor or c.isdigit() or c == "@" or text[b:e].lower() == "at"
-            if anchor and (c.isalnum()) and e - a >= 5:
-                yield i, j + 1
+    """The candidates [i, j) of every token."""
+    for i in range(len(piece)):
+        for j in candidate_ends(text, piece, i):
+            yield i, j
+
+
+class Fixed:
+    """Spans by start, with the farthest end of each and all before it."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.spans = spans
+        self.starts = [s for s, _, _ in spans]
+        self.reach = list(accumulate((e for _, e, _ in spans), max))
+
+    def before(self, a: int) -> int | None:
+        """How many spans start before ``a``; None if one of them goes on beyond it."""
+        n = bisect_left(self.starts, a)
+        return None if n and self.reach[n - 1] > a else n
+
+
+def _log_add(x: float, y: float) -> float:
+    return max(x, y) + math.log1p(math.exp(-abs(x - y)))
+
+
+def _log_sum(scores: list[float]) -> float:
+    top = max(scores)
+    return top + math.log(sum(math.exp(s - top) for s in scores))
 
 
 class SemiMarkov:
@@ -234,20 +269,28 @@ class SemiMarkov:
             self.cache[features] = found
         return found
 
-    def segments(self, text: str, piece, fixed: list[tuple[int, int, int]]):
-        """(i, j, features, scores) of the candidates that don't cut across a fixed span."""
-        out = []
-        for i, j in candidates(text, piece):
-            a, b = piece[i][0], piece[j - 1][1]
-            if any(s < b and a < e and (s, e) != (a, b) for s, e, _ in fixed):
+    def starting(self, text: str, piece, i: int, fixed: Fixed):
+        """(j, features, scores) of the candidates from token ``i`` that don't cut across a fixed span."""
+        a = piece[i][0]
+        n = fixed.before(a)
+        if n is None:
+            return
+        for j in candidate_ends(text, piece, i):
+            b = piece[j - 1][1]
+            inside = fixed.spans[n : bisect_left(fixed.starts, b, n)]
+            if any((s, e) != (a, b) for s, e, _ in inside):
                 continue
             features = span_features(text[a:b], text[a - 1 : a], text[b : b + 1])
             scores = self.scores(features)
-            kinds = {k for s, e, k in fixed if (s, e) == (a, b)}
-            if kinds:  # a base span keeps its kind
+            if inside:  # a base span keeps its kind
+                kinds = {k for _, _, k in inside}
                 scores = [x + (1e3 if k in kinds else -1e3) for k, x in enumerate(scores)]
-            out.append((i, j, features, scores))
-        return out
+            yield j, features, scores
+
+    def segments(self, text: str, piece, fixed: list[tuple[int, int, int]]):
+        """(i, j, features, scores) of the candidates that don't cut across a fixed span."""
+        held = Fixed(fixed)
+        return [(i, *rest) for i in range(len(piece)) for rest in self.starting(text, piece, i, held)]
 
     def best(self, n: int, segments) -> list[tuple[int, int, int]]:
         """Viterbi over segmentations: (i, j, kind) of the chosen entities."""
@@ -272,9 +315,6 @@ class SemiMarkov:
 
     def marginals(self, n: int, segments) -> dict[tuple[int, int, int], float]:
         """Forward-backward: the probability of each (i, j, kind)."""
-        def add(x, y):
-            return max(x, y) + math.log1p(math.exp(-abs(x - y)))
-
         by_end, by_start = defaultdict(list), defaultdict(list)
         for i, j, _, scores in segments:
             by_end[j].append((i, scores))
@@ -284,18 +324,62 @@ class SemiMarkov:
             ahead[j] = ahead[j - 1]
             for i, scores in by_end[j]:
                 for s in scores:
-                    ahead[j] = add(ahead[j], ahead[i] + s)
+                    ahead[j] = _log_add(ahead[j], ahead[i] + s)
         for i in range(n - 1, -1, -1):
             behind[i] = behind[i + 1]
             for j, scores in by_start[i]:
                 for s in scores:
-                    behind[i] = add(behind[i], behind[j] + s)
+                    behind[i] = _log_add(behind[i], behind[j] + s)
         return {
             (i, j, k): math.exp(min(0.0, ahead[i] + s + behind[j] - ahead[n]))
             for i, j, _, scores in segments
             for k, s in enumerate(scores)
         }
 
+    def added(self, text: str, piece, fixed: Fixed) -> list[tuple[int, int, int]]:
+        """(start, end, kind) of the best segmentation besides the fixed spans, if its marginal is at least ``SURE``.
+
+        The same as by ``best`` and ``marginals``, without holding the segments of a long piece.
+        """
+        n = len(piece)
+        value, ahead = array("d", [-math.inf]) * (n + 1), array("d", [-math.inf]) * (n + 1)
+        value[0] = ahead[0] = 0.0
+        back: dict[int, tuple[int, int, float]] = {}
+        for i in range(n):
+            if value[i] >= value[i + 1]:
+                value[i + 1] = value[i]
+                back.pop(i + 1, None)
+            ahead[i + 1] = _log_add(ahead[i + 1], ahead[i])
+            for j, _, scores in self.starting(text, piece, i, fixed):
+                k = max(range(len(KINDS)), key=scores.__getitem__)
+                if value[i] + scores[k] > value[j]:
+                    value[j], back[j] = value[i] + scores[k], (i, k, scores[k])
+                ahead[j] = _log_add(ahead[j], ahead[i] + _log_sum(scores))
+        own = set(fixed.spans)
+        chosen, j = [], n
+        while j > 0:
+            if j not in back:
+                j -= 1
+                continue
+            i, k, score = back[j]
+            a, b = piece[i][0], piece[j - 1][1]
+            if not any((a, b, x) in own for x in range(len(KINDS))):
+                chosen.append((i, j, k, score))
+            j = i
+        if not chosen:
+            return []
+        behind = array("d", bytes(8 * (n + 1)))
+        for i in range(n - 1, chosen[-1][1] - 1, -1):
+            total = behind[i + 1]
+            for j, _, scores in self.starting(text, piece, i, fixed):
+                total = _log_add(total, behind[j] + _log_sum(scores))
+            behind[i] = total
+        return [
+            (piece[i][0], piece[j - 1][1], k)
+            for i, j, k, score in reversed(chosen)
+            if math.exp(min(0.0, ahead[i] + score + behind[j] - ahead[n])) >= SURE
+        ]
+
     def train(self, examples: list[tuple[str, list[tuple[int, int, int]]]], epochs: int = EPOCHS) -> SemiMarkov:
         """AdaGrad on the log-likelihood of (text, spans) examples."""
         prepared = []
@@ -392,18 +476,12 @@ def all_spans(text: str, base: list[tuple[int, int, int]], model: SemiMarkov) ->
     for a, b in regions(text):
         while covered < len(base) and base[covered][1] <= a:
             covered += 1
-        fixed = []
-        for s in base[covered:]:
-            if s[0] >= b:
-                break
-            fixed.append(s)
+        last = covered
+        while last < len(base) and base[last][0] < b:
+            last += 1
+        fixed = Fixed(base[covered:last])
         for piece in tokens(text, a, b):
-            segments = model.segments(text, piece, fixed)
-            own = {(s, e) for s, e, _ in fixed}
-            chosen = [c for c in model.best(len(piece), segments) if (piece[c[0]][0], piece[c[1] - 1][1]) not in own]
-            if chosen:
-                sure = model.marginals(len(piece), segments)
-                added += [(piece[i][0], piece[j - 1][1], k) for i, j, k in chosen if sure[i, j, k] >= SURE]
+            added += model.added(text, piece, fixed)
     return sorted([*base, *added], key=lambda s: (s[0], s[2])) if added else base
 
 

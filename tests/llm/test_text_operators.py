@@ -142,6 +142,45 @@ def test_best_segmentation_is_the_best_of_all(model):
             assert all(0 <= p <= 1 + 1e-9 for p in model.marginals(len(piece), segments).values())
 
 
+@pytest.mark.parametrize(("span", "fill"), [("1 (555) 123-4567", "7;"), ("1 (555) 123-4567", "a1"), ("4111.1111.1111.1111", "a1")])
+def test_spans_at_any_place_of_a_long_region(model, span, fill):
+    for before in range(27, 37):
+        for lead in ("", "1 ", "1  ", "1 a "):  # the span's blanks fall on the 96th token and around it
+            text = lead + " ".join([fill] * before + [span, ";"] + [fill] * 40)
+            assert len(pii.regions(text)) == 1
+            assert span in [text[a:b] for a, b, _ in pii.all_spans(text, pii.base_spans(text), model)], text
+
+
+def test_pieces_are_cut_where_no_candidate_crosses():
+    text = "\n".join(f"{i} 12 (212) 555-0199 x\t{i}.5" for i in range(60)) + " 3" * 300
+    pieces = pii.tokens(text, 0, len(text))
+    assert len(pieces) > 5 and [t for p in pieces for t in p] == [m.span() for m in pii._TOKEN.finditer(text)]
+    whole = list(pii.candidates(text, [t for p in pieces for t in p]))
+    assert len(whole) == sum(len(list(pii.candidates(text, p))) for p in pieces)
+
+
+def test_added_equals_best_and_marginals(model):
+    rng = random.Random(9)
+    parts = ["7", " ", "(212) 555-0199", "4111.1111.1111.1111", "+1 212 555 0199", "a@b.co", "1.2.3.4", "x", ".", "-", "12", " at "]
+    several = 0
+    for _ in range(150):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 60)))
+        base = pii.base_spans(text)
+        piece = [m.span() for m in pii._TOKEN.finditer(text)]
+        segments = model.segments(text, piece, base)
+        sure = model.marginals(len(piece), segments)
+        own = {(a, b) for a, b, _ in base}
+        want = [(piece[i][0], piece[j - 1][1], k) for i, j, k in model.best(len(piece), segments) if sure[i, j, k] >= pii.SURE]
+        want = [s for s in want if s[:2] not in own]
+        several += len(want) > 1
+        assert model.added(text, piece, pii.Fixed(base)) == want, text
+        for i, j in pii.candidates(text, piece):
+            a, b = piece[i][0], piece[j - 1][1]
+            crosses = any(s < b and a < e and (s, e) != (a, b) for s, e, _ in base)
+            assert crosses == (not any((x, y) == (i, j) for x, y, _, _ in segments)), text
+    assert several
+
+
 def test_redaction_and_awkward_rows(spark, model):
     docs = odd_documents(spark)
     out = pii.redacted(docs, model)
