@@ -135,7 +135,7 @@ def regions(text: str) -> list[tuple[int, int]]:
     while at >= 0:
         anchors.append((at, at + 1))
         at = text.find("@", at + 1)
-    if "at]" in text or "at)" in text or "AT]" in text or "AT)" in text:
+    if _WRITTEN_AT.search(text):  # a linear scan from brackets
         anchors += [m.span() for m in _WRITTEN.finditer(text)]
     anchors.sort()
     merged: list[list[int]] = []

@@ -181,6 +181,16 @@ def test_added_equals_best_and_marginals(model):
     assert several
 
 
+@pytest.mark.parametrize("at", ["[at]", "[At]", "[aT]", "[AT]", "(at)", "(At)", "(AT)", "[ at ]", "( AT )", "[ At]", "(aT )"])
+def test_written_at_signs_in_any_case_and_with_inner_blanks(model, at):
+    text = f"write to bob {at} example.org now"
+    assert [text[a:b] for a, b in pii.regions(text)] == [f"bob {at} example.org"]
+    assert pii.regions(text.replace(at, "at")) == []
+    same = text.replace(at, "[at]")
+    if len(text) == len(same) and at.startswith("["):  # the case of letters is no feature
+        assert pii.all_spans(text, [], model) == pii.all_spans(same, [], model) == [(9, 9 + len(f"bob {at} example.org"), 0)]
+
+
 def test_redaction_and_awkward_rows(spark, model):
     docs = odd_documents(spark)
     out = pii.redacted(docs, model)
