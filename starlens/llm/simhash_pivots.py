@@ -70,13 +70,9 @@ def fingerprint(text: str, words_per_shingle: int) -> int:
 def _fingerprint_batches(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(t or "", words) for t in values(batch.column(1))], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
-
-
-def _with_fingerprint(words: int, at: int, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        prints = np.array([fingerprint(t or "", words) for t in values(batch.column(at))], np.uint64)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], [*batch.schema.names, name])
+        others = [i for i in range(batch.num_columns) if i != 1]  # all but the text
+        names = [batch.schema.names[i] for i in others]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in others), pa.array(prints.view(np.int64))], [*names, "fp"])
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
@@ -230,31 +226,41 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _placed(prints: DataFrame, first, max_distance: int) -> DataFrame:
+    """(fp, root, least): each distinct fingerprint, its component's root and the least ``first`` of its rows."""
+    classes = written(prints.groupBy("fp").agg(F.min(first).alias("least")), "classes")
+    roots = components(links(classes, max_distance))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int, max_distance: int) -> DataFrame:
     """(doc_id, fp, component_id): the smallest id reachable over links of at most ``max_distance`` bits."""
     prints = written(fingerprints(docs, words_per_shingle), "fingerprints")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes, max_distance))
-    placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = _placed(prints, F.col("doc_id"), max_distance)
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = placed.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, words_per_shingle: int, max_distance: int) -> DataFrame:
-    """One document of each component, that of the smallest id, in the columns of ``docs``.
+    """One row of each component, in the columns of ``docs``: the least by id (null ids last), text hash and row hash.
 
-    Of rows that share the staying id, one stays. A component none of whose
-    rows has an id keeps one row for each of its fingerprints.
+    The staying row is found again by its id and both hashes, so texts that
+    share an id are kept apart; of wholly equal rows, one stays.
     """
-    near = near_duplicates(docs, words_per_shingle, max_distance)
-    stay = near.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = near.where("component_id IS NULL").select("fp").distinct()
-    bare, name = docs.where("doc_id IS NULL"), free_name(docs, "_fp")
-    prints = bare.mapInArrow(
-        partial(_with_fingerprint, words_per_shingle, docs.columns.index("text"), name),
-        ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` long"]),
+    mark, row = free_name(docs, "_mark"), free_name(docs, "_row")
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    marked = docs.withColumns({mark: F.xxhash64("text"), row: F.xxhash64(*plain)})
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    prints = written(
+        marked.select("doc_id", "text", F.col(mark).alias("mark"), F.col(row).alias("row")).mapInArrow(
+            partial(_fingerprint_batches, words_per_shingle), f"doc_id {kind}, mark long, row long, fp long"
+        ),
+        "fingerprints",
     )
-    rest = prints.join(unnamed.withColumnRenamed("fp", name), name, "left_semi").dropDuplicates([name])
-    return kept.unionByName(rest.select(*docs.columns))
+    first = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "mark", "row")
+    stay = _placed(prints, first, max_distance).groupBy("root").agg(F.min("least").alias("least"))
+    stay = stay.select(*(F.col(f"least.{c}").alias(f"_stay_{c}") for c in ("doc_id", "mark", "row")))
+    same = F.col("doc_id").eqNullSafe(F.col("_stay_doc_id")) & (F.col(mark) == F.col("_stay_mark")) & (F.col(row) == F.col("_stay_row"))
+    kept = marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", mark, row])
+    return kept.select(*docs.columns)

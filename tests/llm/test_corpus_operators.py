@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -252,6 +253,29 @@ def test_near_duplicates_awkward_rows(spark):
     assert simhash_pivots.deduplicated(docs.limit(0), 3, 3).count() == 0
 
 
+def test_one_row_of_each_group_whatever_the_ids(spark, monkeypatch):
+    prints = {"near a": 0x1, "near b": 0x3, "near c": 0x7, "far": 0xF0F0, "wide": 0xFFFF0000, "lone": 0xAAAAAAAA}
+
+    def given(words, batches):
+        for batch in batches:
+            fps = pa.array([prints[t] for t in batch.column(1).to_pylist()], pa.int64())
+            others = [i for i in range(batch.num_columns) if i != 1]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in others), fps], [*(batch.schema.names[i] for i in others), "fp"])
+
+    monkeypatch.setattr(simhash_pivots, "_fingerprint_batches", given)
+    rows = [
+        (1, "far"), (1, "near a"), (1, "near a"), (2, "near b"), (3, "near c"),  # an id with texts of two groups
+        (5, "wide"), (5, "lone"), (6, "lone"), (None, "lone"),
+    ]
+    docs = odd_documents(spark, [(d, t, "a") for d, t in rows])
+    stay = simhash_pivots.deduplicated(docs, 3, 3)
+    assert stay.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in stay.collect()) == [(1, "far"), (1, "near a"), (5, "lone"), (5, "wide")]
+    bare = odd_documents(spark, [(None, t, "a") for t in ("near a", "near b", "near c", "far", "far")])
+    got = [r["text"] for r in simhash_pivots.deduplicated(bare, 3, 3).collect()]
+    assert len(got) == 2 and "far" in got
+
+
 # --- archives -----------------------------------------------------------------------
 
 PAGES = [
