@@ -31,7 +31,6 @@ from starlens.llm.common import values, written
 #: Most tokens and pieces a packing partition gets on average.
 PARTITION_TOKENS = 16_000_000
 PARTITION_PIECES = 100_000
-ROUNDS = 6
 #: Entries of a Python worker's two caches, about 200 bytes each.
 CACHE_ENTRIES = 300_000
 WORD_ENTRIES = 400_000
@@ -253,7 +252,7 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return best
 
 
-def _pack_batches(capacity: int, turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_batches(capacity: int, first: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A whole partition: its pieces with sequence, offset, that bin's room, and whether the partition is certified."""
     from pyspark import TaskContext
 
@@ -265,19 +264,19 @@ def _pack_batches(capacity: int, turn: int, batches: Iterator[pa.RecordBatch]) -
     bins, offsets, count = best_fit_decreasing(lengths, capacity)
     certified = count == lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
     room = capacity - np.bincount(bins, lengths, count).astype(np.int64)
-    base = (turn << 56) + (TaskContext.get().partitionId() << 32)
+    base = (first + TaskContext.get().partitionId()) << 32
     out = rows.select(["doc_id", "piece", "start", "length", "ids_crc32"])
     for name, column in (("sequence_id", base + bins), ("offset", offsets), ("room", room[bins])):
         out = out.append_column(name, pa.array(column, pa.int64()))
     yield from out.append_column("certified", pa.array(np.full(len(bins), certified))).to_batches()
 
 
-def _pack(rows: DataFrame, capacity: int, turn: int, partitions: int) -> DataFrame:
-    """``rows`` dealt evenly over partitions and packed in each; written, so that sequences never change afterwards."""
+def _pack(rows: DataFrame, capacity: int, first: int, partitions: int) -> DataFrame:
+    """``rows`` dealt evenly over partitions, numbered from ``first``, and packed in each; written, so that sequences never change afterwards."""
     dealt = rows.select("doc_id", "piece", "start", "length", "ids_crc32").repartition(partitions)
     kind = rows.schema["doc_id"].dataType.simpleString()
     packed = dealt.mapInArrow(
-        partial(_pack_batches, capacity, turn),
+        partial(_pack_batches, capacity, first),
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, room long, certified boolean",
     )
     return written(packed, "packed")
@@ -299,12 +298,11 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
     for r in found.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[r["length"]] = r["count"]
     bound = lower_bound(counts, capacity)
-    current = _pack(found, capacity, 0, _width(int((counts * np.arange(capacity + 1)).sum()), int(counts.sum())))
+    used = _width(int((counts * np.arange(capacity + 1)).sum()), int(counts.sum()))
+    current = _pack(found, capacity, 0, used)
     total = _bins(current)
     closed = None
-    for turn in range(1, ROUNDS + 1):
-        if total <= bound:
-            break
+    while total > bound:  # each round saves a sequence or is the last
         # Bins with room give up their pieces; a certified partition can only gain across partitions, a few
         # tokens of room in a bin gain nothing there.
         spare = F.col("room") >= F.when(F.col("certified"), capacity // 16).otherwise(1)
@@ -313,7 +311,9 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
         before = _bins(released)
         if before < 2:
             break
-        again = _pack(released, capacity, turn, _width(*map(int, size)))
+        width = _width(*map(int, size))
+        again = _pack(released, capacity, used, width)
+        used += width
         after = _bins(again)
         kept = current.where(~spare)
         if after >= before:

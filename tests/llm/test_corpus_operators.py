@@ -83,6 +83,19 @@ def test_exchange_closes_gaps(spark, monkeypatch):
     assert bins <= bound + 1  # six partitions, whose open bins meet in a seventh
 
 
+def test_exchange_goes_on_while_a_round_saves(spark, monkeypatch):
+    said, firsts, pack = iter([100, *[50, 49] * 9, 50, 50]), [], packing._pack
+    monkeypatch.setattr(packing, "PARTITION_TOKENS", 30_000)
+    monkeypatch.setattr(packing, "lower_bound", lambda counts, capacity: 0)
+    monkeypatch.setattr(packing, "_bins", lambda rows: next(said))
+    monkeypatch.setattr(packing, "_pack", lambda rows, capacity, first, width: firsts.append(first) or pack(rows, capacity, first, width))
+    docs = documents(spark)
+    rows = packing.packed(docs, WORD_BPE, 1, 4096).collect()
+    monkeypatch.undo()
+    assert len(firsts) == len(set(firsts)) == 11 and next(said, None) is None  # all ten rounds, none with another's numbers
+    check_packing(rows, [(r["doc_id"], r["text"]) for r in docs.collect()], 4096)
+
+
 def test_bound_and_best_fit_against_the_optimum():
     rng = random.Random(1)
     for _ in range(150):
