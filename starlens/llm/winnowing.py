@@ -197,7 +197,10 @@ def edited_fingerprints(docs: DataFrame, k: int, w: int) -> DataFrame:
         "same", F.greatest(F.lit(0), F.floor((F.col("n_chars") - F.col("cut") - F.lit(k + w - 2)) / SEGMENT)).cast("int")
     )
     rest = segments(f"encode(substring(edited, same * {SEGMENT} + 1), 'UTF-32')", "same", k, w)
-    rows = rows.withColumn("edited_selected", F.expr(f"concat(slice(selected, 1, same), {rest})"))
+    # without a full window after them, the segments taken over are all
+    done = f"same > 0 and length(edited) - same * {SEGMENT} < {k + w - 1}"
+    none = "cast(array() as array<array<bigint>>)"
+    rows = rows.withColumn("edited_selected", F.expr(f"concat(slice(selected, 1, same), if({done}, {none}, {rest}))"))
     rows = rows.withColumn("edited_hashes", hashes(F.col("edited_selected")))
     return rows.select(
         "doc_id",

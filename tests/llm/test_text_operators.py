@@ -287,6 +287,17 @@ def test_next_document_across_buckets_gaps_and_awkward_rows(spark, monkeypatch,
     assert one["near_next"] == 1.0
 
 
+def test_edited_text_that_ends_with_a_segment(spark):
+    rng, rows = random.Random(6), []
+    for n in [left + left // 3 for j in (1, 2) for left in (512 * j + 29, 512 * j + 30, 512 * j + 31)] * 20:
+        rows += [(len(rows), "".join(rng.choice("abcdefgh ") for _ in range(n))), (len(rows) + 1, rng.choice(["", None]))]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    wrong = 0
+    for r in winnowing.edited_fingerprints(df, 16, 16).withColumn("p", winnowing.positions(F.col("edited_selected"))).collect():
+        wrong += {(p["hash"], p["position"]) for p in r["p"]} != selected(r["edited"], 16, 16)
+    assert wrong == 0
+
+
 def test_no_python_in_the_plan(spark):
     from starlens.plans.explain import PYTHON_NODES, plan_text
 
