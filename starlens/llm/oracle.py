@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from starlens.llm.quality_rules import STOP_WORDS
+
 
 def _fills(rounds: int) -> str:
     """CTEs r1 .. rN: each picks, in order, the documents that still fit their source's goal."""
@@ -100,4 +102,85 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_warc": OP2, "op5_top_k": OP5, "op8_mixing": OP8}
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+),
+worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+),
+grams AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM worded
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM worded
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM worded
+),
+counted AS (SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counted WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, 1 AS k, c.w[1] AS head, array_to_string(c.w[2:], ' ') AS rest FROM candidates c
+  UNION ALL
+  SELECT c.lang, c.phrase, c.a, 2, array_to_string(c.w[:2], ' '), c.w[3] FROM candidates c WHERE size = 3
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, 1000000 * c.a * c.a // (x.f * y.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000000 * c.a * c.a // (x.f * y.f), c.k) AS place
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head JOIN counted y ON y.lang = c.lang AND y.phrase = c.rest
+),
+kept AS (
+  SELECT * FROM scored s WHERE place = 1 AND NOT EXISTS (
+    SELECT 1 FROM candidates c
+    WHERE c.size = 3 AND c.lang = s.lang AND 100 * c.a >= 50 * s.a
+      AND s.phrase IN (c.w[1] || ' ' || c.w[2], c.w[2] || ' ' || c.w[3]))
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+_STOP = ", ".join(f"'{w}'" for w in sorted({w for group in STOP_WORDS.values() for w in group.split()}))
+
+OP13 = rf"""
+WITH worded AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+),
+windows AS (
+  SELECT row, unnest(range(1, len(w) - 6)) AS i,
+         unnest(list_transform(range(1, len(w) - 6), lambda p: array_to_string(w[p:p + 7], ' '))) AS words
+  FROM worded
+),
+twice AS (SELECT row, i FROM (SELECT *, count(*) OVER (PARTITION BY row, words) AS times FROM windows) WHERE times > 1),
+repeated AS (
+  SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + 8)) AS place FROM twice) GROUP BY row
+),
+measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         len(regexp_extract_all(text, '[!?]')) AS n_marks, len(lines) AS n_lines,
+         len(list_filter(w, lambda x: rtrim(lower(x), '.,;:!?') IN ({_STOP}))) AS n_stop_words
+  FROM worded LEFT JOIN repeated USING (row)
+),
+based AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 100 * n_symbols > 10 * n_words
+            OR 100 * n_marks > 50 * n_words OR 100 * n_stop_words < 3 * n_words OR 100 * n_dup_lines > 50 * n_lines) AS kept
+FROM based
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_warc": OP2, "op5_top_k": OP5, "op8_mixing": OP8, "op12_collocations": OP12, "op13_quality_rules": OP13}

@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from starlens.llm import (
     best_fit_packing,
+    collocations,
     mtree_search,
     pii_semicrf,
     quality_knn,
+    quality_rules,
     simhash_pivots,
     source_mixing,
+    token_alignment,
     toxicity,
     warc_index,
     winnowing,
@@ -97,6 +100,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.alignments(table(spark, sf_dir, "documents"), *vocabularies)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, top=2000, inside_percent=50)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"), into="rules")
+    measured = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select("doc_id", *(f"rules.measures.{c}" for c in measured), "rules.base_failed", "rules.kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -108,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_quality_rules": op13_quality_rules,
 }
