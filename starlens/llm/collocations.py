@@ -1,7 +1,7 @@
 """Phrase collocations by prefix-free parsing.
 
 A text's pieces (runs between sentence marks) are cut into chunks at trigger
-windows: two neighbouring words whose hash is zero modulo ``EVERY``. A chunk reaches
+windows: two neighbouring words of which the bits ``MASK`` of a hash are zero. A chunk reaches
 from one trigger window to the end of the next, so neighbouring chunks share a
 window, and no 3-word phrase falls between two chunks. As triggers depend on
 content alone, equal passages give equal chunks wherever they occur: the corpus
@@ -38,8 +38,8 @@ from xxhash import xxh3_64_intdigest
 
 from starlens.llm.common import values, written
 
-#: A window of two words is a trigger when its hash is 0 modulo this.
-EVERY = 16
+#: A window of two words is a trigger when these bits of its hash are 0: one in 16.
+MASK = 15
 #: Entries of a task's tables of chunks, words and phrases, and of its array of hashes; a full one is handed on and emptied.
 ENTRIES = 300_000
 HASHES = 3_000_000
@@ -71,17 +71,16 @@ def chunks_of(text: bytes) -> Iterator[tuple[bytes, int]]:
             out.append(GAP)
         hashes = list(map(crc32, words))
         begin, last = 0, len(words) - 1
-        for i in range(last):
-            if (hashes[i] * 31 + hashes[i + 1]) % EVERY == 0:
-                # words[begin] and the next one are the shared window of a chunk that began in this piece
-                yield b" ".join([*out, *words[begin : i + 2]]), counted + i + 2 - begin - (2 if out[-1:] == [SHARED] else 0)
-                out, counted, begin = [SHARED], 0, i
+        for i in [i for i, (x, y) in enumerate(zip(hashes, hashes[1:], strict=False)) if not (31 * x + y) & MASK]:
+            # words[begin] and the next one are the shared window of a chunk that began in this piece
+            yield b" ".join([*out, *words[begin : i + 2]]), counted + i + 2 - begin - (2 if out[-1:] == [SHARED] else 0)
+            out, counted, begin = [SHARED], 0, i
         if out == [SHARED] and begin == last - 1:
             out = []  # nothing follows the shared window
             continue
         counted += last + 1 - begin - (2 if out[-1:] == [SHARED] else 0)
         out += words[begin:]
-        if hashes[-1] % EVERY == 0:
+        if not hashes[-1] & MASK:
             yield b" ".join(out), counted
             out, counted = [], 0
     if out:
@@ -212,15 +211,17 @@ class _Hashes(dict):
     """Hash by word of one language; 0, as a gap, for words that aren't frequent."""
 
     def __init__(self, lang: str, frequent: Bitmap):
-        self.lang, self.frequent = lang, frequent
+        self.seed, self.shift, self.bits = xxh3_64_intdigest(lang.encode()), frequent.shift, frequent.data.tobytes()
         self[GAP], self[SHARED] = 0, 1
 
     def __missing__(self, word: bytes) -> int:
-        h = word_hash(self.lang, word)
-        known = bool(self.frequent.has(np.array([h], np.uint64))[0])
+        h = max(xxh3_64_intdigest(word, self.seed), 2)
+        slot = h >> self.shift
+        if not self.bits[slot >> 3] >> (slot & 7) & 1:
+            h = 0
         if len(self) < ENTRIES:
-            self[word] = h if known else 0
-        return h if known else 0
+            self[word] = h
+        return h
 
 
 def _pairs(batches, frequent: Bitmap):
@@ -270,7 +271,7 @@ def _hash_pairs(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 def _count_phrases(tables, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase, words, n) of pairs whose hash is frequent, and of triples of two such pairs."""
     frequent, pairs = tables.value
-    found: dict[tuple[str, int], dict[bytes, int]] = {}
+    found: dict[tuple[str, int], Counter] = {}
 
     def rows() -> Iterator[pa.RecordBatch]:
         for (lang, words), counts in found.items():
@@ -281,11 +282,12 @@ def _count_phrases(tables, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
     for lang, tokens, weights, h, valid, shared in _pairs(batches, frequent):
         often = valid & pairs.has(h)
         for words, chosen in ((2, often & ~shared), (3, often & np.append(often[1:], False))):
-            counts = found.setdefault((lang, words), {})
-            places = np.flatnonzero(chosen)
+            counts = found.setdefault((lang, words), Counter())
+            single = weights == 1
+            counts.update([b" ".join(tokens[i : i + words]) for i in np.flatnonzero(chosen & single).tolist()])
+            places = np.flatnonzero(chosen & ~single)
             for i, n in zip(places.tolist(), weights[places].tolist(), strict=True):
-                phrase = b" ".join(tokens[i : i + words])
-                counts[phrase] = counts.get(phrase, 0) + n
+                counts[b" ".join(tokens[i : i + words])] += n
         if sum(map(len, found.values())) >= ENTRIES:
             yield from rows()
             found.clear()
