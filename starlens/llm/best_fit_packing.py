@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from unicodedata import normalize, ucd_3_2_0
 from zlib import crc32
 
 import numpy as np
@@ -136,12 +137,18 @@ _MARKS = b'.,!?;:|*$%&#()"-'
 
 
 def _lower_letters(word: bytes) -> bytes:
-    """The word lower-cased if it is letters only, before and after; else nothing."""
+    """The word lower-cased if it is letters only to any version of the character tables, before and after; else nothing.
+
+    Normalisation comes first, as in the library: some letters of Indic, Hebrew and
+    other scripts decompose into a letter and a mark, which is no letter.
+    """
     if word.isascii():
         return b""
-    text = word.decode()
+    text = normalize("NFC", word.decode())
     lower = text.lower()
-    return lower.encode() if text.isalpha() and lower.isalpha() and "\u03a3" not in text else b""
+    if not text.isalpha() or not lower.isalpha() or "\u03a3" in text:
+        return b""
+    return lower.encode() if all(ucd_3_2_0.category(c)[0] == "L" for c in lower) else b""
 
 
 @lru_cache(maxsize=4)
