@@ -33,8 +33,9 @@ from starlens.session import build_session, env_int, writable_root  # noqa: E402
 from starlens.sources import remove_superseded, star_from_tables, write_star  # noqa: E402
 
 
-#: One key per statement; the keys that only publish a report first, or only change its bounds, time nothing new.
-TIMED = [k for k in QUERIES if not k.startswith("view_") and not k.endswith("_reference_bounds")]
+#: One key per statement; the keys that answer the same statements by other means or bounds are timed once and reported apart.
+MORE = [k for k in QUERIES if k.startswith(("view_", "lattice_", "bitmap_", "live_")) or k.endswith("_reference_bounds")]
+TIMED = [k for k in QUERIES if k not in MORE]
 
 
 def run_once(spark, key: str, data_dir: str) -> float:
@@ -63,6 +64,10 @@ def main() -> None:
             secs = run_once(spark, key, data_dir)
             best[key] = min(secs, best.get(key, secs))
 
+    for key in MORE:  # their first call builds the summaries or views they read
+        run_once(spark, key, data_dir)
+    more = {key: run_once(spark, key, data_dir) for key in MORE}
+
     match = re.search(r"sf([0-9.]+)", data_dir.rstrip("/").split("/")[-1])
     sf = float(match.group(1)) if match else None
     print(
@@ -72,6 +77,7 @@ def main() -> None:
                 "value": round(sum(best.values()), 3),
                 "unit": "sec",
                 "queries": {k: round(v, 3) for k, v in best.items()},
+                "more_queries": {k: round(v, 3) for k, v in more.items()},
                 "sf": sf,
                 "star_build_sec": round(build, 3),
                 "total_with_star_build": round(sum(best.values()) + build, 3),

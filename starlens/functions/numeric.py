@@ -74,5 +74,14 @@ def stable_avg(c: Column) -> Column:
     38-digit sum is exact in any order (up to 10^26 in all), and only the
     quotient is a double.
     """
-    whole = F.round(c * F.lit(10.0**STABLE_PLACES), 0).cast("decimal(38,0)")
-    return F.sum(whole).cast("double") / zero_to_null(F.count(c)) / F.lit(10.0**STABLE_PLACES)
+    return units_mean(F.sum(stable_units(c)), F.count(c))
+
+
+def stable_units(c: Column) -> Column:
+    """The value in whole units of 10^-12, for sums that merge exactly."""
+    return F.round(c * F.lit(10.0**STABLE_PLACES), 0).cast("decimal(38,0)")
+
+
+def units_mean(total: Column | str, count: Column | str) -> Column:
+    """The mean from a sum of :func:`stable_units` and a count; NULL for none."""
+    return as_col(total).cast("double") / zero_to_null(count) / F.lit(10.0**STABLE_PLACES)

@@ -9,7 +9,9 @@ from starlens.operators.cumulative import (
     running_total,
     yearly_running_with_avg_price,
 )
+from starlens.operators.distinct_bitmaps import dense_codes, set_words
 from starlens.operators.inspect_rows import null_rows, preview
+from starlens.operators.lattice import Lattice, build_lattice, fresh_lattice, open_lattice
 from starlens.operators.performance import (
     benchmark,
     monthly_performance,
@@ -23,7 +25,9 @@ from starlens.operators.reports import (
     preview_report_products,
     register_reports,
     report_customers,
+    report_customers_from_bitmaps,
     report_products,
+    report_products_from_bitmaps,
 )
 from starlens.operators.segmentation import (
     band_counts,
@@ -37,6 +41,14 @@ from starlens.operators.segmentation import (
 from starlens.operators.change_over_time import new_entities, trend
 
 __all__ = [
+    "Lattice",
+    "build_lattice",
+    "dense_codes",
+    "fresh_lattice",
+    "open_lattice",
+    "report_customers_from_bitmaps",
+    "report_products_from_bitmaps",
+    "set_words",
     "age_group_summary",
     "age_group_totals",
     "band_counts",

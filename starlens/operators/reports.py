@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from starlens.functions.classify import first_match
 from starlens.functions.dates import as_of_date, month_boundaries, year_boundaries
-from starlens.functions.numeric import is_integral, quotient, ratio, stable_avg
+from starlens.functions.numeric import is_integral, quotient, ratio, stable_avg, stable_units, units_mean
 from starlens.functions.text import full_name
+from starlens.operators.distinct_bitmaps import BITS, coarser, set_words, with_code
 from starlens.operators.segmentation import (
     REFERENCE_MIN_MONTHS,
     REFERENCE_VIP_SPENDING,
@@ -185,8 +186,15 @@ def _product_rows(
     base: DataFrame, products: DataFrame, as_of, high: float, mid: float, sales_repeated: bool = True
 ) -> DataFrame:
     """The product report over ``base``, sales with their grain key."""
-    today = as_of_date(as_of)
     agg = _grain_aggregates(base, "product_key", "customer_key", "total_customers")
+    return _product_report(agg, products, as_of, high, mid, sales_repeated)
+
+
+def _product_report(
+    agg: DataFrame, products: DataFrame, as_of, high: float, mid: float, sales_repeated: bool = True
+) -> DataFrame:
+    """The product report from its measures per grain key."""
+    today = as_of_date(as_of)
     names = ["product_key", "product_name", "category", "subcategory", "cost"]
     attributes = _attributes(products, "product_key", [F.col(c) for c in names])
     rows = _with_attributes(agg, attributes, sales_repeated=sales_repeated)
@@ -248,6 +256,13 @@ def report_customers(
         how = "inner"
     base = _keyed_sales(fact, customers, "customer_key", how)
     agg = _grain_aggregates(base, "customer_key", "product_key", "total_products")
+    return _customer_report(agg, customers, today, min_months, vip_spending, how)
+
+
+def _customer_report(
+    agg: DataFrame, customers: DataFrame, today, min_months: int, vip_spending: float, how: str = "left"
+) -> DataFrame:
+    """The customer report from its measures per grain key."""
     rows = _with_attributes(agg, _customer_attributes(customers, today), how)
     whole = is_integral(rows, "total_sales")
     # An unknown customer has no dimension row; its name still reads as ' '.
@@ -265,6 +280,79 @@ def report_customers(
     )
 
 
+def _bitmap_aggregates(
+    fact: DataFrame, dim: DataFrame, key: str, other_key: str, other_alias: str, order_codes: DataFrame | None
+) -> DataFrame:
+    """:func:`_grain_aggregates` from bitmaps, without a fact-level join.
+
+    Dated sales become words of orders and words of the other key per *fact* key
+    (partial sums before any shuffle), those rows meet the dimension's keys, and
+    sets and sums of all unknown keys unite under NULL. Nothing is expanded: each
+    distinct column has an aggregate of its own, the first also carries the sums,
+    and one last aggregate per key puts them together.
+    """
+    dated = _dated(fact)
+    sums = {"total_sales": F.sum("sales_amount"), "total_qty": F.sum("quantity")}
+    sums |= {"__first": F.min("order_date"), "__last": F.max("order_date")}
+    merge = {"total_sales": F.sum, "total_qty": F.sum, "__first": F.min, "__last": F.max}
+    if key == "product_key":
+        price = ratio("sales_amount", "quantity")
+        sums |= {"__prices": F.sum(stable_units(price)), "__priced": F.count(price)}
+        merge |= {"__prices": F.sum, "__priced": F.sum}
+    keys = dim.select(F.col(key).alias(_DIM_KEY))
+    again = [how(c).alias(c) for c, how in merge.items()]
+
+    def branch(column: str, out: str, carries: bool) -> DataFrame:
+        sales = with_code(dated, column, "__code", order_codes if column == "order_number" else None)
+        words = set_words(sales, [key], "__code", *[a.alias(c) for c, a in sums.items() if carries])
+        known = coarser(words.join(keys, F.col(key) == F.col(_DIM_KEY), "left"), [_DIM_KEY], *(again if carries else []))
+        count = F.coalesce(F.bit_count(BITS), F.lit(0)).cast("long")
+        return known.select(_DIM_KEY, count.alias(out), *(merge if carries else []))
+
+    orders = branch("order_number", "total_orders", True)
+    others = branch(other_key, other_alias, False)
+    rows = orders.unionByName(others, allowMissingColumns=True)
+    agg = rows.groupBy(_DIM_KEY).agg(F.sum("total_orders").alias("total_orders"), F.sum(other_alias).alias(other_alias), *again)
+    last = F.col("__last")
+    columns = [_DIM_KEY, "total_orders", F.col("total_sales"), F.col("total_qty"), other_alias]
+    columns += [last.alias("last_sale_date" if key == "product_key" else "last_order_date")]
+    columns += [month_boundaries("__first", "__last").alias("lifespan")]
+    if key == "product_key":
+        columns.append(units_mean("__prices", "__priced").alias("avg_selling_price"))
+    return agg.select(*columns)
+
+
+def report_products_from_bitmaps(
+    fact: DataFrame,
+    products: DataFrame,
+    as_of=None,
+    high: float = REFERENCE_HIGH_PERFORMER,
+    mid: float = REFERENCE_MID_RANGE,
+    order_codes: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`report_products` with its two distinct counts from bitmaps.
+
+    For facts whose two distinct columns are whole numbers, or with
+    ``order_codes`` (:func:`starlens.operators.distinct_bitmaps.dense_codes` of the
+    order numbers, made once per input) for text ones. Same rows.
+    """
+    agg = _bitmap_aggregates(fact, products, "product_key", "customer_key", "total_customers", order_codes)
+    return _product_report(agg, products, as_of, high, mid)
+
+
+def report_customers_from_bitmaps(
+    fact: DataFrame,
+    customers: DataFrame,
+    as_of=None,
+    min_months: int = REFERENCE_MIN_MONTHS,
+    vip_spending: float = REFERENCE_VIP_SPENDING,
+    order_codes: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`report_customers` with its two distinct counts from bitmaps; see :func:`report_products_from_bitmaps`."""
+    agg = _bitmap_aggregates(fact, customers, "customer_key", "product_key", "total_products", order_codes)
+    return _customer_report(agg, customers, as_of_date(as_of), min_months, vip_spending)
+
+
 def preview_report_products(
     fact: DataFrame,
     products: DataFrame,

@@ -13,6 +13,12 @@ own thresholds every customer and product of these tables would land in one
 class, so the bounds below are scaled to the data. The operators' defaults
 are the reference values; the ``..._reference_bounds`` keys run with them.
 
+The ``lattice_...`` keys answer from stored summaries
+(:mod:`starlens.operators.lattice`), built once per input version; the ``bitmap_...``
+keys count distinct keys by bitmaps (:mod:`starlens.operators.distinct_bitmaps`); the
+``live_...`` keys read catalog views that are re-evaluated on every read
+(:mod:`starlens.sources.live_views`), under names of the input version.
+
 The ``view_...`` keys publish a report under a catalog name (see
 :func:`starlens.sources.sinks.publish_report`) and answer from that name, as
 the reference's readers do.
@@ -33,8 +39,11 @@ from starlens.operators import performance as perf
 from starlens.operators import reports as rep
 from starlens.operators import segmentation as seg
 from starlens.operators.change_over_time import OVERVIEW, new_entities, trend
+from starlens.operators.lattice import Lattice, fresh_lattice
+from starlens.session import writable_root
+from starlens.sources.live_views import catalog_star, create_live_reports, read_view
 from starlens.sources.sinks import publish_report
-from starlens.sources.star import Star, materialized_star
+from starlens.sources.star import Star, materialized_star, write_star
 
 # Parameters for the derived test star (FIXTURES.md section 2).
 AS_OF = datetime.date(2001, 12, 31)
@@ -282,6 +291,119 @@ def report_customers_reference_bounds(s: Star) -> DataFrame:
     return rep.report_customers(s.dated_sales(), s.dim_customers, AS_OF)
 
 
+# --- from the summary lattice ------------------------------------------------------
+
+_LATTICES: dict[tuple[str, str], Lattice] = {}
+
+
+def lattice(s: Star) -> Lattice:
+    """The lattice of the star's input version, built and published when there is none; without a version, one that stores nothing."""
+    if s.version is None:
+        return Lattice(s)
+    spark = s.fact_sales.sparkSession
+    memo = (spark.sparkContext.applicationId, s.version)
+    if memo not in _LATTICES:
+        _LATTICES[memo] = fresh_lattice(spark, s, f"{writable_root(spark)}/starlens/lattice/{s.version}", s.version)
+    return _LATTICES[memo]
+
+
+def lattice_seasonal_month_sales(s: Star) -> DataFrame:
+    return lattice(s).trend([("order_month", "month_number")], ["total_sales"])
+
+
+def lattice_yearly_overview(s: Star) -> DataFrame:
+    return lattice(s).trend([("order_year", "year")])
+
+
+def lattice_seasonal_month_overview(s: Star) -> DataFrame:
+    return lattice(s).trend([("order_month", "month_number")])
+
+
+def lattice_year_month_overview(s: Star) -> DataFrame:
+    return lattice(s).trend([("order_year", "year"), ("order_month", "month_number")])
+
+
+def lattice_month_bucket_overview(s: Star) -> DataFrame:
+    return lattice(s).trend([("order_date", "month")])
+
+
+def lattice_year_bucket_overview(s: Star) -> DataFrame:
+    return lattice(s).trend([("order_year", "year_start")])
+
+
+def lattice_month_label_overview(s: Star) -> DataFrame:
+    return lattice(s).trend([("order_year", "month_label")])
+
+
+def lattice_monthly_sales(s: Star) -> DataFrame:
+    return lattice(s).monthly().orderBy("order_month")
+
+
+def lattice_running_monthly_sales(s: Star) -> DataFrame:
+    return lattice(s).running_sales()
+
+
+def lattice_running_monthly_sales_by_order_date(s: Star) -> DataFrame:
+    return lattice(s).running_sales("order_date")
+
+
+def lattice_running_qty_by_ship_month(s: Star) -> DataFrame:
+    return lattice(s).running_quantity_shipped()
+
+
+def lattice_running_degenerate_partition(s: Star) -> DataFrame:
+    return lattice(s).running_sales("order_date", partition_by_period=True)
+
+
+def lattice_running_sales_reset_yearly(s: Star) -> DataFrame:
+    return lattice(s).running_sales("order_date", reset_by=F.year)
+
+
+def lattice_running_yearly_with_avg_price(s: Star) -> DataFrame:
+    return lattice(s).yearly_running_with_avg_price()
+
+
+def lattice_product_yearly_sales(s: Star) -> DataFrame:
+    return lattice(s).product_sales().orderBy("product_name", "order_year")
+
+
+# --- distinct counts from bitmaps ----------------------------------------------------
+
+def bitmap_report_products(s: Star) -> DataFrame:
+    return rep.report_products_from_bitmaps(s.dated_sales(), s.dim_products, AS_OF, HIGH_PERFORMER, MID_RANGE)
+
+
+def bitmap_report_customers(s: Star) -> DataFrame:
+    return rep.report_customers_from_bitmaps(s.dated_sales(), s.dim_customers, AS_OF, MIN_MONTHS, VIP_SPENDING)
+
+
+# --- live catalog views ---------------------------------------------------------------
+
+def _live(s: Star, report: str) -> DataFrame:
+    """A read of the live report view over the star's catalogued tables."""
+    spark = s.fact_sales.sparkSession
+    root, prefix = s.root, f"starlens_{s.version}_"
+    if root is None:  # a star that isn't written has no folder to catalog
+        root, prefix = f"{writable_root(spark)}/starlens/live", "starlens_live_"
+        write_star(s, root)
+    catalog_star(spark, root, prefix=prefix)
+    bounds = {"high": HIGH_PERFORMER, "mid": MID_RANGE, "min_months": MIN_MONTHS, "vip_spending": VIP_SPENDING}
+    names = create_live_reports(spark, AS_OF, prefix=prefix, **bounds)
+    return read_view(spark, next(n for n in names if report in n))
+
+
+def live_report_products(s: Star) -> DataFrame:
+    return _live(s, "report_products")
+
+
+def live_report_customers(s: Star) -> DataFrame:
+    return _live(s, "report_customers")
+
+
+def live_age_group_summary(s: Star) -> DataFrame:
+    return rep.age_group_summary(_live(s, "report_customers"))
+
+
 _BY_STAR = [
     seasonal_month_sales,
     yearly_overview,
@@ -328,6 +450,26 @@ _BY_STAR = [
     customer_segment_counts_reference_bounds,
     report_products_reference_bounds,
     report_customers_reference_bounds,
+    lattice_seasonal_month_sales,
+    lattice_yearly_overview,
+    lattice_seasonal_month_overview,
+    lattice_year_month_overview,
+    lattice_month_bucket_overview,
+    lattice_year_bucket_overview,
+    lattice_month_label_overview,
+    lattice_monthly_sales,
+    lattice_running_monthly_sales,
+    lattice_running_monthly_sales_by_order_date,
+    lattice_running_qty_by_ship_month,
+    lattice_running_degenerate_partition,
+    lattice_running_sales_reset_yearly,
+    lattice_running_yearly_with_avg_price,
+    lattice_product_yearly_sales,
+    bitmap_report_products,
+    bitmap_report_customers,
+    live_report_products,
+    live_report_customers,
+    live_age_group_summary,
 ]
 
 QUERIES: dict[str, Query] = {fn.__name__: _star(fn) for fn in _BY_STAR}

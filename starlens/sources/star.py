@@ -19,7 +19,7 @@ import inspect
 import threading
 import uuid
 import warnings
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +43,9 @@ class Star:
     # The fact with its ``YEAR_FOLDER`` column, when :func:`write_star` stored
     # it by year; lets date predicates prune folders.
     fact_by_year: DataFrame | None = None
+    # Where a written star lies and the version of the inputs it was derived from.
+    root: str | None = None
+    version: str | None = None
 
     def dated_sales(self) -> DataFrame:
         """Fact rows with an order date; skips the NULL-year folder when partitioned.
@@ -290,7 +293,7 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
                     warnings.warn(f"{base} can't be written ({exc}); deriving per query")
                     return star_from_tables(spark, data_dir)
                 write_star(star_from_tables(spark, data_dir), root)
-            _STARS[memo] = read_star(spark, root)
+            _STARS[memo] = replace(read_star(spark, root), root=root, version=key)
         return _STARS[memo]
 
 
