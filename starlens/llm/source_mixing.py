@@ -173,22 +173,22 @@ def _quotas(keys: list[str], counts: list[int], shards: int, seed: int, frames:
 
 
 def draws(picked: DataFrame, shard_words: int, seed: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """One row a draw: doc_id, key, mark, size, copy (from 0), shard. ``picked`` as ``chosen`` gives it.
+    """One row a draw: doc_id, key, mark, size, end, copy (from 0), shard. ``picked`` as ``placed`` gives it.
+
+    ``end`` names the row within its source: the running count of draws up to it.
 
     There are as many shards as it takes for ``shard_words`` words in each on average.
     """
     spark = picked.sparkSession
-    # place of a draw in its source's sequence: a running count of draws
-    places = running(picked, F.col("copies"), "_end").where("copies > 0")
-    places = places.select(
-        "doc_id", "key", "mark", "size", F.posexplode(F.sequence(F.col("_end") - F.col("copies"), F.col("_end") - 1)).alias("copy", "place")
-    )
+    # a row's draws have neighbouring places in their source's sequence
+    ends = F.sequence(F.col("end") - F.col("copies"), F.col("end") - 1)
+    places = picked.where("copies > 0").select("doc_id", "key", "mark", "size", "end", F.posexplode(ends).alias("copy", "place"))
     drawn = picked.groupBy("key").agg(F.sum("copies").alias("n"), F.sum(F.col("size") * F.col("copies")).alias("words"))
     found = [r for r in drawn.orderBy("key").collect() if r.n]  # one row a source
     sources = [(r.key, -(-r.n // block_docs)) for r in found]
     shards = max(1, -(-sum(r.words for r in found) // shard_words))
     if not sources:
-        return places.select("doc_id", "key", "mark", "size", "copy", F.lit(0).cast("long").alias("shard"))
+        return places.select("doc_id", "key", "mark", "size", "end", "copy", F.lit(0).cast("long").alias("shard"))
     # one permutation of each source's blocks: block -> (block * step + seed) mod blocks, step without common factor
     steps = []
     for key, blocks in sources:
@@ -204,24 +204,30 @@ def draws(picked: DataFrame, shard_words: int, seed: int, block_docs: int = BLOC
         partial(_quotas, [k for k, _ in sources], [n for _, n in sources], shards, seed), "key string, shard long, first long, many long"
     )
     slots = quotas.where("many > 0").select("key", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("many") - 1)).alias("slot"))
-    return places.join(slots, ["key", "slot"]).select("doc_id", "key", "mark", "size", "copy", "shard")
+    return places.join(slots, ["key", "slot"]).select("doc_id", "key", "mark", "size", "end", "copy", "shard")
+
+
+def placed(docs: DataFrame, max_epochs: int, seed: int) -> DataFrame:
+    """``chosen`` documents with ``end``, the running count of draws over their source's order; written."""
+    picked = chosen(written(sized(docs, seed), "mix-sizes"), max_epochs)
+    return written(running(picked, F.col("copies"), "end"), "mix-places")
 
 
 def mix_table(docs: DataFrame, max_epochs: int, shard_words: int, seed: int) -> DataFrame:
-    """Per document: doc_id, size, source_size, target and taken, the words of its draws over all shards."""
-    picked = written(chosen(written(sized(docs, seed), "mix-sizes"), max_epochs), "mix-chosen")
-    drawn = draws(picked, shard_words, seed).groupBy("key", "doc_id", "mark", "size").agg(F.count("*").alias("_draws"))
-    # equal rows (same id, source and text) are drawn as one; each keeps its own number of copies
-    same = F.expr("p.key = d.key AND p.doc_id <=> d.doc_id AND p.mark = d.mark AND p.size = d.size")
-    taken = F.when(F.col("_draws").isNull(), 0).otherwise(F.col("p.size") * F.col("copies")).cast("long")
-    return picked.alias("p").join(drawn.alias("d"), same, "left").select(
+    """Per document: doc_id, size, source_size, target and taken, the words of the draws that the shards have of its row."""
+    picked = placed(docs, max_epochs, seed)
+    drawn = draws(picked, shard_words, seed).groupBy("key", "end").agg(F.count("*").alias("_draws"))
+    # rows without draws share the end of the row before them, which is none of theirs
+    own = F.expr("p.copies > 0 AND p.key = d.key AND p.end = d.end")
+    taken = F.col("p.size") * F.coalesce("_draws", F.lit(0).cast("long"))
+    return picked.alias("p").join(drawn.alias("d"), own, "left").select(
         "p.doc_id", "p.size", "source_size", "target", taken.alias("taken")
     )
 
 
 def mixed(docs: DataFrame, max_epochs: int, shard_words: int, seed: int) -> DataFrame:
-    """The mix itself in the columns of ``docs``: drawn documents, repeats included, a file a shard, shuffled within it."""
-    picked = written(chosen(written(sized(docs, seed), "mix-sizes"), max_epochs), "mix-chosen")
+    """The mix itself in the columns of ``docs``: drawn documents, repeats included, each shard together in one file and shuffled."""
+    picked = placed(docs, max_epochs, seed)
     drawn = draws(picked, shard_words, seed).select(F.struct("doc_id", "key", "mark", "copy", "shard").alias("draw"))
     # the source's key and the text's hash beside whatever columns the documents have
     key, mark, draw = (free_name(docs, n) for n in ("_key", "_mark", "_draw"))

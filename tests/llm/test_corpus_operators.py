@@ -176,6 +176,43 @@ def test_splitting_tree_gives_exact_disjoint_quotas():
             assert [a for a, _ in runs] == [0, *np.cumsum([n for _, n in runs])[:-1]] if runs else True
 
 
+def _broken_quotas(fault):
+    """Shards that all get every block (draws repeat), or none of the blocks after the first."""
+
+    def quotas(keys, counts, shards, seed, frames):
+        import pandas as pd
+
+        for frame in frames:
+            for shard in frame["id"]:
+                many = counts if fault == "repeated" else [min(n, 1) if shard == 0 else 0 for n in counts]
+                yield pd.DataFrame({"key": keys, "shard": int(shard), "first": 0, "many": many})
+
+    return quotas
+
+
+def test_taken_words_come_from_the_trees_draws(spark, monkeypatch):
+    """Several shards give the SQL's words; a tree that repeats or loses draws doesn't."""
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_CHECK}/documents.parquet'")
+    want = Counter(con.execute(f"SELECT doc_id, taken FROM ({ORACLE_SQL['op8_mixing']})").fetchall())
+    taken = lambda: Counter((r["doc_id"], r["taken"]) for r in source_mixing.mix_table(docs, 3, 50_000, 8).collect())
+    assert taken() == want
+    placed = source_mixing.placed(docs, 3, 8)
+    drawn = source_mixing.draws(placed, 50_000, 8).groupBy("shard").agg(F.sum("size").alias("words")).collect()
+    assert len(drawn) >= 7 and sum(r["words"] for r in drawn) == sum(n for _, n in want.elements())
+    for fault in ("repeated", "lost"):
+        monkeypatch.setattr(source_mixing, "_quotas", _broken_quotas(fault))
+        assert taken() != want
+
+
+def test_equal_rows_have_their_own_draws(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "x"), (1, "a b c d", "x"), (1, "a b c d", "x"), (2, "e f", "y")], "doc_id long, text string, source string")
+    rows = source_mixing.mix_table(docs, 3, 4, 1).collect()
+    picked = source_mixing.placed(docs, 3, 1).collect()
+    assert Counter((r["doc_id"], r["taken"]) for r in rows) == Counter((r["doc_id"], r["size"] * r["copies"]) for r in picked)
+
+
 # --- near duplicates ----------------------------------------------------------------
 
 def plain_fingerprint(text, k=3):
@@ -392,3 +429,41 @@ def test_top_k_awkward_rows(spark):
     assert by[0] == [(1, 1, 128 * 256), (2, 2, 128 * 256), (3, 50, -65536), (4, 50, -65536)]
     assert [x[1] for x in by[50]] == [1, 2, 0]
     assert mtree_search.top_k(vectors.limit(0), F.col("id") % 50 == 0, 5, 256).count() == 0
+
+
+@pytest.mark.parametrize("reach", [2**20, 2**24, 2**27, 2**29, 2**31, 2**40])
+def test_tree_scores_are_exact_at_any_size(reach):
+    """Products on both sides of 2^53 and 2^63, with neighbours that doubles can't tell apart."""
+    rng = np.random.default_rng(reach)
+    x = rng.integers(reach - 50, reach + 50, (300, 8))
+    tree = mtree_search.MTree(np.arange(300), x, page=16)
+    for q in (x[0], rng.integers(-reach, reach, 8)):
+        exact = sorted(((sum(int(a) * int(b) for a, b in zip(row, q, strict=True)), -i) for i, row in enumerate(x) if i), reverse=True)[:5]
+        assert tree.search(q, 0, 5, -np.inf) == [(score, -i) for score, i in exact]
+
+
+def test_top_k_of_large_components(spark):
+    rows = [(i, [1e6 + i % 7, 1e6, float(i % 5)]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mtree_search.top_k(docs, F.col("id") % 50 == 0, 5, 256).collect()
+    v = {i: [int(256 * c) for c in e] for i, e in rows}
+    for q in (0, 50, 100):
+        want = sorted((-sum(a * b for a, b in zip(v[q], v[i], strict=True)), i) for i in v if i != q)[:5]
+        assert sorted((-r["score"], r["vec_id"]) for r in got if r["query_id"] == q) == want
+    for big, says in ((1e17, "vector 7 is beyond a long"), (1e14, "is beyond a long")):
+        worse = docs.union(spark.createDataFrame([(7, [big, big, 0.0]), (50, [big, 1.0, 1.0])], docs.schema))
+        with pytest.raises(Exception, match=says):
+            mtree_search.top_k(worse, F.col("id") % 50 == 0, 5, 256).collect()
+
+
+def test_encoder_equals_the_library_in_every_script():
+    """Every letter before a mark; letters that normalisation takes apart before all marks, also inside words."""
+    import unicodedata
+
+    mine, theirs = packing.ChunkEncoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    apart = [c for c in letters if unicodedata.normalize("NFC", c) != c]
+    texts = [" ".join(c + "." for c in letters[i : i + 500]) for i in range(0, len(letters), 500)]
+    texts += [" ".join(w for c in apart for w in (c + m, "a" + c + m, c + "a" + m)) for m in packing._MARKS.decode()]
+    for text, ids in zip(texts, mine.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids, text[:20]

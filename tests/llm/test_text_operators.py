@@ -37,6 +37,17 @@ def test_counts_equal_the_library_on_random_text():
     assert mine.count("a" * 20_000) == len(theirs.encode("a" * 20_000).ids)
 
 
+def test_counts_equal_the_library_for_every_code_point():
+    """Between letters, digits and marks, whatever version of the character tables either side has."""
+    mine, theirs = PairMerger(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    points = [c for c in range(0x40000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 512):
+        text = "".join(f"a{chr(c)}1{chr(c)}! {chr(c)}." for c in points[i : i + 512])
+        assert mine.count(text) == len(theirs.encode(text, add_special_tokens=False).ids), hex(points[i])
+    for text in ("\U000191c6x", "a\U00011de0 b", "1\U00012475\U00012550."):
+        assert mine.count(text) == len(theirs.encode(text, add_special_tokens=False).ids)
+
+
 def test_counts_of_documents_and_awkward_rows(spark):
     theirs = Tokenizer.from_file(BYTE_BPE)
     for docs in (documents(spark), odd_documents(spark)):
