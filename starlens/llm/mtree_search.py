@@ -11,7 +11,7 @@ The forest: routing vectors drawn from the table (a bounded sample) cut it into
 clusters by nearest routing vector; large clusters are dealt over several
 partitions, so a vector that a third of the rows share is no single task. Each
 partition is bulk-loaded into a paged M-tree of its own: leaf pages of
-``page`` vectors, inner nodes of ``page`` children, each with its covering
+``page`` vectors, inner nodes of up to 8 children, each with its covering
 radius and its distance from its parent.
 
 The search runs in two rounds. First every query searches one tree of each of its
@@ -23,7 +23,8 @@ the start. Both rounds return at most k rows a pair; ties at the limit are kept.
 Defined results: vectors that are null, or hold a null or non-finite component,
 or whose length differs from most vectors' (the most frequent one, the longer on
 ties) take no part; null ids take no part; rows that repeat an id are candidates
-each, but none for a query of that id, and are one query together; ties go to the smaller id; an empty table
+each, but none for a query of that id, and are one query together; products are exact
+at any size, and a component or score beyond a 64-bit integer is an error that names its rows; ties go to the smaller id; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -62,18 +63,24 @@ def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
     lengths = clean.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1)
     usual = lengths.first()
     width = usual.n if usual else 0
-    return clean.where(F.size("x") == width).select("id", F.transform("x", lambda c: F.floor(c * float(scale)).cast("long")).alias("v"))
+    beyond = F.raise_error(F.concat(F.lit("a component of vector "), F.col("id").cast("string"), F.lit(" is beyond a long")))
+    whole = F.transform("x", lambda c: F.when(F.abs(c * float(scale)) >= 2.0**63, beyond.cast("long")).otherwise(F.floor(c * float(scale))))
+    return clean.where(F.size("x") == width).select("id", whole.alias("v"))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _integers(column: pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if not len(column):
-        return np.zeros((0, 0), np.float64)
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
+        return np.zeros((0, 0), np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return _integers(column).astype(np.float64)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of integer rows; the squares are exact."""
+    """Euclidean distances of rows, to choose clusters by; bounds are taken from differences instead."""
     square = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
     return np.sqrt(np.maximum(square, 0))
 
@@ -92,6 +99,11 @@ def _nearest_batches(routing, many: int, batches: Iterator[pa.RecordBatch]) -> I
             )
 
 
+def _slack(norm, longest):
+    """What rounding may take from a bound on products of a query and vectors of these lengths."""
+    return (1e-6 + 1e-12 * longest) * (1 + norm)
+
+
 class Node:
     """Routing vector (a row number), covering radius, distance from the parent's, and children or rows."""
 
@@ -105,7 +117,8 @@ class MTree:
     """A paged M-tree over the rows of one partition, bulk-loaded by halving along far-apart pivots."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, page: int = PAGE):
-        self.ids, self.x, self.page = ids, x, page
+        self.ids, self.integers, self.x, self.page = ids, x, x.astype(np.float64), page
+        self.longest = float(np.sqrt((self.x**2).sum(axis=1)).max(initial=0))
         self.computed = 0
         self.root = self._load(np.arange(len(ids)))
 
@@ -143,10 +156,21 @@ class MTree:
             child.parent_distance = float(self._to(routing, np.array([child.routing]))[0])
         return node
 
-    def search(self, q: np.ndarray, own: int, k: int, least: float) -> list[tuple[int, int]]:
+    def _scores(self, rows: np.ndarray, q: np.ndarray, norm: float) -> list[int]:
+        """Exact inner products. |x| |q| bounds every partial sum: doubles are exact below 2^53, longs below 2^63."""
+        most = norm * self.longest
+        if most < 2.0**52:
+            return (self.x[rows] @ q.astype(np.float64)).astype(np.int64).tolist()
+        if most < 2.0**62:
+            return (self.integers[rows].astype(np.int64) @ q.astype(np.int64)).tolist()
+        query = [int(c) for c in q.tolist()]
+        return [sum(int(a) * b for a, b in zip(row, query, strict=True)) for row in self.integers[rows].tolist()]
+
+    def search(self, integers: np.ndarray, own: int, k: int, least: float) -> list[tuple[int, int]]:
         """(score, id) of the k best rows scoring at least ``least``, best-first; row ids equal to ``own`` don't count."""
+        q = integers.astype(np.float64)
         norm = float(np.sqrt((q * q).sum()))
-        slack = 1e-6 * (1 + norm)  # bounds are floating point, scores exact
+        slack = _slack(norm, self.longest)  # bounds are floating point, scores exact
         best: list[tuple[int, int]] = []  # heap of (score, -id)
         at_root = float(q @ self.x[self.root.routing])
         queue = [(-(at_root + norm * self.root.radius), 0, at_root, self.root)]
@@ -160,11 +184,11 @@ class MTree:
                 reach = np.searchsorted(node.children, (least - slack - product) / norm if norm else -1.0)
                 rows = node.rows[reach:] if norm else node.rows
                 self.computed += len(rows)
-                scores = self.x[rows] @ q
-                for score, i in zip(scores.tolist(), self.ids[rows].tolist(), strict=True):
+                scores = self._scores(rows, integers, norm)
+                for score, i in zip(scores, self.ids[rows].tolist(), strict=True):
                     if i == own or score < least:
                         continue
-                    entry = (int(score), -i)
+                    entry = (score, -i)
                     if len(best) < k:
                         heapq.heappush(best, entry)
                     elif entry > best[0]:
@@ -188,10 +212,12 @@ def _search_group(k: int, key, left: pa.Table, right: pa.Table) -> pa.Table:
     """One tree's vectors and the queries sent to it -> each query's k best."""
     out = {"query_id": [], "id": [], "score": []}
     if left.num_rows and right.num_rows:
-        tree = MTree(left.column("id").to_numpy(), _matrix(left.column("v")))
-        queries, own = _matrix(right.column("v")), right.column("id").to_pylist()
+        tree = MTree(left.column("id").to_numpy(), _integers(left.column("v")))
+        queries, own = _integers(right.column("v")), right.column("id").to_pylist()
         for q, i, least in zip(queries, own, right.column("least").to_pylist(), strict=True):
             for score, found in tree.search(q, i, k, -np.inf if least is None else least):
+                if not -(2**63) <= score < 2**63:
+                    raise ValueError(f"the product of vectors {i} and {found} is beyond a long: {score}")
                 out["query_id"].append(i)
                 out["id"].append(found)
                 out["score"].append(score)
@@ -287,6 +313,7 @@ def _radius_batches(routing, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 def _reached_batches(routing, limits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, v, least) -> a row for each cluster that may hold a score of at least ``least``."""
     centres, radius = routing.value, limits.value
+    longest = float(np.sqrt((centres**2).sum(axis=1)).max() + radius.max())
     for batch in batches:
         for a in range(0, batch.num_rows, BLOCK):
             part = batch.slice(a, BLOCK)
@@ -295,7 +322,7 @@ def _reached_batches(routing, limits, batches: Iterator[pa.RecordBatch]) -> Iter
                 continue
             least = np.array([-np.inf if x is None else x for x in values(part.column(2))])
             norm = np.sqrt((q * q).sum(axis=1))[:, None]
-            bound = q @ centres.T + norm * radius[None, :] + 1e-6 * (1 + norm)
+            bound = q @ centres.T + norm * radius[None, :] + _slack(norm, longest)
             row, cluster = np.nonzero((bound >= least[:, None]) & (radius >= 0)[None, :])
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
