@@ -24,7 +24,6 @@ other columns are ignored. Frequencies up to 10^16 are exact.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -48,12 +47,16 @@ BITMAP_BITS = 28
 BITS_EACH = 16
 #: Bits of one block of a bitmap, as Spark's bitmap functions make them.
 BLOCK = 32768
+#: Parts of a language's phrases that are ranked on their own before all are.
+RANKED = 16
 #: Rows of a batch that are counted together.
 TOGETHER = 20_000
 
-_MARKS = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
 #: Tokens of a chunk that no word can be: between pieces, and before a window shared with the chunk before.
 GAP, SHARED = b".", b","
+#: The marks that end pieces become gaps, tabs blanks.
+_MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b".........." + b" ")
+_GAP_HASH = crc32(GAP)
 
 
 def chunks_of(text: bytes) -> Iterator[tuple[bytes, int]]:
@@ -61,30 +64,29 @@ def chunks_of(text: bytes) -> Iterator[tuple[bytes, int]]:
 
     Besides trigger windows, a trigger word at a piece's end ends a chunk, which needs no shared window there.
     """
-    out: list[bytes] = []
-    counted = 0
-    for piece in _MARKS.split(text):
-        words = piece.split()  # blanks and tabs; the other white space of bytes.split ends pieces
-        if not words:
-            continue
-        if out:
-            out.append(GAP)
-        hashes = list(map(crc32, words))
-        begin, last = 0, len(words) - 1
-        for i in [i for i, (x, y) in enumerate(zip(hashes, hashes[1:], strict=False)) if not (31 * x + y) & MASK]:
-            # words[begin] and the next one are the shared window of a chunk that began in this piece
-            yield b" ".join([*out, *words[begin : i + 2]]), counted + i + 2 - begin - (2 if out[-1:] == [SHARED] else 0)
-            out, counted, begin = [SHARED], 0, i
-        if out == [SHARED] and begin == last - 1:
-            out = []  # nothing follows the shared window
-            continue
-        counted += last + 1 - begin - (2 if out[-1:] == [SHARED] else 0)
-        out += words[begin:]
-        if not hashes[-1] & MASK:
-            yield b" ".join(out), counted
-            out, counted = [], 0
-    if out:
-        yield b" ".join(out), counted
+    tokens = text.translate(_MARKS).replace(GAP, b" . ").split()  # no other white space is left
+    many = len(tokens)
+    hashes = np.fromiter(map(crc32, tokens), np.uint32, many)
+    word = hashes != _GAP_HASH
+    for i in np.flatnonzero(~word).tolist():
+        if tokens[i] != GAP:
+            word[i] = True
+    words = np.append(0, np.cumsum(word))
+    ends = np.append(~word[1:], True) & word if many else word
+    windows = np.flatnonzero(word[:-1] & word[1:] & (31 * hashes[:-1] + hashes[1:] & MASK == 0)) + 1
+    # where chunks end, in order: a window's second word before a piece's last word at the same place
+    cuts = np.sort(np.append(2 * windows, 2 * np.flatnonzero(ends & (hashes & MASK == 0)) + 1)).tolist()
+    begin, shared = 0, False
+    for cut in [*cuts, 2 * many - 1]:
+        end = (cut >> 1) + 1
+        counted = int(words[end] - words[begin]) - 2 * shared
+        if counted > 0:
+            while not word[begin]:
+                begin += 1
+            yield b" ".join([SHARED, *tokens[begin:end]] if shared else tokens[begin:end]), counted
+        # a shared window that ends its piece is followed by nothing that could need it
+        shared = cut & 1 == 0 and end < many and bool(word[end])
+        begin = end - 2 if shared else end
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +138,14 @@ def _after(marked: np.ndarray, steps: int) -> np.ndarray:
     return out
 
 
+class _Numbers(dict):
+    """Numbers of words in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tables: dict[str, tuple[dict[bytes, int], np.ndarray]] = {}
 
@@ -147,12 +157,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
     for lang, tokens, weights in _by_language(batches):
-        numbers, totals = tables.get(lang) or ({GAP: 0, SHARED: 1}, np.zeros(ENTRIES, np.int64))
-        new = set(tokens).difference(numbers)
-        numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
+        numbers, totals = tables.get(lang) or (_Numbers({GAP: 0, SHARED: 1}), np.zeros(ENTRIES, np.int64))
+        ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
         if len(numbers) > len(totals):
             totals = np.concatenate([totals, np.zeros(len(numbers), np.int64)])
-        ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
         shared = ids == 1
         counts = (ids > 1) & ~_after(shared, 1) & ~_after(shared, 2)
         np.add.at(totals, ids[counts], weights[counts])
@@ -346,6 +354,11 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, inside_perce
     kept = scored.join(inner, ["lang", "phrase"], "left").where(
         F.coalesce(100 * _decimal("_longer") < inside_percent * _decimal("a"), F.lit(True))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # The first of each language are among the first of its RANKED parts, so one task ranks RANKED * top rows at most.
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANKED)).alias("_part")
+    among = Window.partitionBy("lang", "_part").orderBy(*best)
+    kept = kept.select("*", part).withColumn("_place", F.row_number().over(among)).where(F.col("_place") <= top)
+    order = Window.partitionBy("lang").orderBy(*best)
     ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
