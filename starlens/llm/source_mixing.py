@@ -208,17 +208,21 @@ def draws(picked: DataFrame, shard_words: int, seed: int, block_docs: int = BLOC
 
 
 def placed(docs: DataFrame, max_epochs: int, seed: int) -> DataFrame:
-    """``chosen`` documents with ``end``, the running count of draws over their source's order; written."""
-    picked = chosen(written(sized(docs, seed), "mix-sizes"), max_epochs)
-    return written(running(picked, F.col("copies"), "end"), "mix-places")
+    """``chosen`` documents with ``end``, the running count of draws over their source's order; written.
+
+    Rows without draws would share the end of the row before them, whole runs of them: they get negative ones
+    instead, spread by their order, which no draw has.
+    """
+    picked = running(chosen(written(sized(docs, seed), "mix-sizes"), max_epochs), F.col("copies"), "end")
+    spread = -1 - F.pmod(F.xxhash64("order", "mark"), F.lit(1 << 40))
+    return written(picked.withColumn("end", F.when(F.col("copies") > 0, F.col("end")).otherwise(spread)), "mix-places")
 
 
 def mix_table(docs: DataFrame, max_epochs: int, shard_words: int, seed: int) -> DataFrame:
     """Per document: doc_id, size, source_size, target and taken, the words of the draws that the shards have of its row."""
     picked = placed(docs, max_epochs, seed)
     drawn = draws(picked, shard_words, seed).groupBy("key", "end").agg(F.count("*").alias("_draws"))
-    # rows without draws share the end of the row before them, which is none of theirs
-    own = F.expr("p.copies > 0 AND p.key = d.key AND p.end = d.end")
+    own = F.expr("p.key = d.key AND p.end = d.end")
     taken = F.col("p.size") * F.coalesce("_draws", F.lit(0).cast("long"))
     return picked.alias("p").join(drawn.alias("d"), own, "left").select(
         "p.doc_id", "p.size", "source_size", "target", taken.alias("taken")
