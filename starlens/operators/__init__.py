@@ -12,6 +12,7 @@ from starlens.operators.cumulative import (
 from starlens.operators.distinct_bitmaps import dense_codes, set_words
 from starlens.operators.inspect_rows import null_rows, preview
 from starlens.operators.lattice import Lattice, build_lattice, fresh_lattice, open_lattice
+from starlens.operators.prefix_scan import prefix_sums, running_rows
 from starlens.operators.performance import (
     benchmark,
     monthly_performance,
@@ -46,6 +47,8 @@ __all__ = [
     "dense_codes",
     "fresh_lattice",
     "open_lattice",
+    "prefix_sums",
+    "running_rows",
     "report_customers_from_bitmaps",
     "report_products_from_bitmaps",
     "set_words",

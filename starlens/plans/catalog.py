@@ -13,7 +13,9 @@ own thresholds every customer and product of these tables would land in one
 class, so the bounds below are scaled to the data. The operators' defaults
 are the reference values; the ``..._reference_bounds`` keys run with them.
 
-The ``lattice_...`` keys answer from stored summaries
+The ``running_line_...`` keys scan order lines (:mod:`starlens.operators.prefix_scan`),
+``exact_product_prices`` adds doubles exactly (:mod:`starlens.functions.exact_sums`). The
+``lattice_...`` keys answer from stored summaries
 (:mod:`starlens.operators.lattice`), built once per input version; the ``bitmap_...``
 keys count distinct keys by bitmaps (:mod:`starlens.operators.distinct_bitmaps`); the
 ``live_...`` keys read catalog views that are re-evaluated on every read
@@ -32,6 +34,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlens.functions.exact_sums import exact_totals
+from starlens.functions.numeric import ratio
 from starlens.operators import part_to_whole as ctb
 from starlens.operators import cumulative as cum
 from starlens.operators import inspect_rows as rows
@@ -40,6 +44,7 @@ from starlens.operators import reports as rep
 from starlens.operators import segmentation as seg
 from starlens.operators.change_over_time import OVERVIEW, new_entities, trend
 from starlens.operators.lattice import Lattice, fresh_lattice
+from starlens.operators.prefix_scan import running_rows
 from starlens.session import writable_root
 from starlens.sources.live_views import catalog_star, create_live_reports, read_view
 from starlens.sources.sinks import publish_report
@@ -291,6 +296,34 @@ def report_customers_reference_bounds(s: Star) -> DataFrame:
     return rep.report_customers(s.dated_sales(), s.dim_customers, AS_OF)
 
 
+# --- at order-line grain: running sums without a one-task window ---------------------
+
+_LINE = ["order_number", "product_key", "order_date", "sales_amount"]
+
+
+def running_line_sales(s: Star) -> DataFrame:
+    lines = s.dated_sales().select(*_LINE, "price")
+    out = running_rows(lines, "order_date", {"running_total": "sales_amount"}, {"moving_avg_price": "price"})
+    return out.select(*_LINE, "running_total", "moving_avg_price")
+
+
+def running_line_sales_reset_yearly(s: Star) -> DataFrame:
+    lines = s.dated_sales().select(*_LINE)
+    return running_rows(lines, "order_date", {"running_total": "sales_amount"}, partition_by=F.year("order_date"))
+
+
+def running_line_qty_by_ship_date(s: Star) -> DataFrame:
+    lines = s.fact_sales.select("order_number", "product_key", "shipping_date", "quantity")
+    return running_rows(lines, "shipping_date", {"running_qty": "quantity"})
+
+
+# --- correctly rounded sums of doubles ----------------------------------------------
+
+def exact_product_prices(s: Star) -> DataFrame:
+    price = ratio("sales_amount", "quantity")
+    return exact_totals(s.dated_sales(), "product_key", price, "total_price", count="priced_lines")
+
+
 # --- from the summary lattice ------------------------------------------------------
 
 _LATTICES: dict[tuple[str, str], Lattice] = {}
@@ -450,6 +483,10 @@ _BY_STAR = [
     customer_segment_counts_reference_bounds,
     report_products_reference_bounds,
     report_customers_reference_bounds,
+    running_line_sales,
+    running_line_sales_reset_yearly,
+    running_line_qty_by_ship_date,
+    exact_product_prices,
     lattice_seasonal_month_sales,
     lattice_yearly_overview,
     lattice_seasonal_month_overview,
