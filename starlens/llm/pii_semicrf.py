@@ -58,7 +58,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
 _PHONE = re.compile(r"[\x20().0-9-]*")
 _WRITTEN_AT = re.compile(r"[\[(] ?at ?[\])]", re.IGNORECASE)
-_WRITTEN = re.compile(r"[\w.%+-]{1,64} ?[\[(] ?at ?[\])] ?[\w.-]{1,80}", re.IGNORECASE)
+_WRITTEN_DOMAIN = re.compile(r" ?[\w.-]+")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|.", re.DOTALL)
 
 
@@ -128,6 +128,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _written(text: str) -> Iterator[tuple[int, int]]:
+    """Written-out addresses: word characters on both sides of ``(at)``, of any length, by linear scans from the brackets."""
+    done = 0
+    for m in _WRITTEN_AT.finditer(text):
+        stop = m.start() - (text[m.start() - 1 : m.start()] == " ")
+        start = stop
+        while start > done and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
+            start -= 1
+        domain = _WRITTEN_DOMAIN.match(text, m.end())
+        if start < stop and domain:
+            done = domain.end()
+            yield start, done
+
+
 def regions(text: str) -> list[tuple[int, int]]:
     """Stretches around digits and (written-out) at-signs, up to blanks on both sides."""
     anchors = [m.span() for m in _DIGITS.finditer(text)]
@@ -135,8 +149,7 @@ def regions(text: str) -> list[tuple[int, int]]:
     while at >= 0:
         anchors.append((at, at + 1))
         at = text.find("@", at + 1)
-    if _WRITTEN_AT.search(text):  # a linear scan from brackets
-        anchors += [m.span() for m in _WRITTEN.finditer(text)]
+    anchors += _written(text)
     anchors.sort()
     merged: list[list[int]] = []
     for a, b in anchors:
@@ -186,11 +199,11 @@ def span_features(span: str, left: str, right: str) -> tuple[str, ...]:
     octets = "none" if not groups else "ok" if all(map(_small, digits)) else "bad"
     written = bool(_WRITTEN_AT.search(span))
     letters = any(c.isalpha() for c in span)
-    marks = "".join(sorted({c for c in span if not c.isalnum()}))[:8]
+    marks = "".join(sorted({c for c in span if not c.isalnum()}))
     opened = span.count("(") - span.count(")")
     return (
         "bias",
-        "shape=" + shape[:40],
+        "shape=" + shape,
         f"digits={min(n, 20)}",
         f"check={check},{letters}",
         f"octets={octets}",

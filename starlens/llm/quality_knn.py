@@ -1,7 +1,7 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
 A document's terms are its hashed words, the hashed shapes of its words
-(``Aa,`` for ``The,``) and a few bucketed ratios (repeated words, repeated
+(``Aa,`` for ``The,``, over the whole word however long) and a few bucketed ratios (repeated words, repeated
 lines, ...). Term counts are damped, weighted by inverse document frequency
 and projected on the leading singular vectors of a bounded labelled sample.
 The labelled vectors are broadcast (their number is a parameter), each block of
@@ -46,9 +46,9 @@ _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
 def shape(chunk: str) -> str:
-    """Character classes of a chunk, equal neighbours merged: ``The,`` -> ``Aa,``."""
-    kinds = "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in chunk[:64])
-    return _RUN.sub(r"\1", kinds)[:12]
+    """Character classes of the whole chunk, equal neighbours merged: ``The,`` -> ``Aa,``."""
+    kinds = "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in chunk)
+    return _RUN.sub(r"\1", kinds)
 
 
 class _Terms(dict):

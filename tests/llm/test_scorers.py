@@ -109,3 +109,11 @@ def test_sample_is_bounded_and_ignores_clashing_columns(spark):
 
     got = labelled_sample(odd_documents(spark), odd_labels(spark), "quality", 2, F.col("_id") < 9).collect()
     assert len(got) == 4 and sorted(r["label"] for r in got) == [0, 0, 1, 1]
+
+
+def test_shapes_take_whole_chunks():
+    from starlens.llm.quality_knn import shape
+
+    head = "語" * 64
+    assert shape(head + "Aa,9") != shape(head + "9,aA")
+    assert shape("a-" * 30 + "9") != shape("a-" * 30 + "A")

@@ -314,3 +314,22 @@ def test_no_python_in_the_plan(spark):
 
     text = plan_text(QUERIES["op7_winnowing"](spark, SF_SMALL))
     assert not any(n in text for n in PYTHON_NODES)
+
+
+def test_written_addresses_of_any_length_are_in_a_region():
+    import time
+
+    from starlens.llm.pii_semicrf import regions, span_features
+
+    local, domain = "b" * 300, "d" * 400 + ".example.org"
+    for at in ("(at)", " [ AT ] ", " (At) "):
+        text = f"see {local}{at}{domain} now"
+        start = text.index(local)
+        assert any(a <= start and start + len(local + at + domain) <= b for a, b in regions(text))
+    assert regions("(at) x (at)") == regions("a ( at") == []
+    began = time.time()
+    regions("w" * 300_000 + " (at " + "(at)" * 50_000)
+    assert time.time() - began < 10
+    # features take the whole span
+    long = "1-2(3)4.5/6:7;8,9|0" * 4
+    assert span_features(long + "-1", "", "") != span_features(long + "(1", "", "")
