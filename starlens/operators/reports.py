@@ -17,6 +17,8 @@ third of all sales is spread across tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -280,37 +282,57 @@ def _customer_report(
     )
 
 
-def _bitmap_aggregates(
-    fact: DataFrame, dim: DataFrame, key: str, other_key: str, other_alias: str, order_codes: DataFrame | None
-) -> DataFrame:
-    """:func:`_grain_aggregates` from bitmaps, without a fact-level join.
+#: Per grain key: the other column whose distinct values its report counts, and the count's name.
+_COUNTED = {"product_key": ("customer_key", "total_customers"), "customer_key": ("product_key", "total_products")}
 
-    Dated sales become words of orders and words of the other key per *fact* key
-    (partial sums before any shuffle), those rows meet the dimension's keys, and
-    sets and sums of all unknown keys unite under NULL. Nothing is expanded: each
-    distinct column has an aggregate of its own, the first also carries the sums,
-    and one last aggregate per key puts them together.
-    """
-    dated = _dated(fact)
-    sums = {"total_sales": F.sum("sales_amount"), "total_qty": F.sum("quantity")}
-    sums |= {"__first": F.min("order_date"), "__last": F.max("order_date")}
-    merge = {"total_sales": F.sum, "total_qty": F.sum, "__first": F.min, "__last": F.max}
+
+def _mergeable(key: str) -> dict[str, tuple[Column, Callable]]:
+    """Measure -> (aggregate of sales, function that merges partial results)."""
+    found = {
+        "total_sales": (F.sum("sales_amount"), F.sum),
+        "total_qty": (F.sum("quantity"), F.sum),
+        "__first": (F.min("order_date"), F.min),
+        "__last": (F.max("order_date"), F.max),
+    }
     if key == "product_key":
         price = ratio("sales_amount", "quantity")
-        sums |= {"__prices": F.sum(stable_units(price)), "__priced": F.count(price)}
-        merge |= {"__prices": F.sum, "__priced": F.sum}
+        found |= {"__prices": (F.sum(stable_units(price)), F.sum), "__priced": (F.count(price), F.sum)}
+    return found
+
+
+def sales_words(fact: DataFrame, key: str, order_codes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Dated sales per *fact* key as words of its orders, which also carry the sums, and words of the other key.
+
+    Partial sums before any shuffle, no join. Rows of several inputs may be put
+    together (``union``) before :func:`_bitmap_aggregates` unites them.
+    """
+    dated = _dated(fact)
+    sums = [a.alias(c) for c, (a, _) in _mergeable(key).items()]
+    other = _COUNTED[key][0]
+    orders = set_words(with_code(dated, "order_number", "__code", order_codes), [key], "__code", *sums)
+    others = set_words(with_code(dated, other, "__code"), [key], "__code")
+    return orders, others
+
+
+def _bitmap_aggregates(words: tuple[DataFrame, DataFrame], dim: DataFrame, key: str) -> DataFrame:
+    """:func:`_grain_aggregates` from bitmaps (:func:`sales_words`), without a fact-level join.
+
+    The words meet the dimension's keys, and sets and sums of all unknown keys unite
+    under NULL. Nothing is expanded: each distinct column has an aggregate of its own,
+    the first also carries the sums, and one last aggregate per key puts them together.
+    """
+    other_alias = _COUNTED[key][1]
+    merge = {c: how for c, (_, how) in _mergeable(key).items()}
     keys = dim.select(F.col(key).alias(_DIM_KEY))
     again = [how(c).alias(c) for c, how in merge.items()]
 
-    def branch(column: str, out: str, carries: bool) -> DataFrame:
-        sales = with_code(dated, column, "__code", order_codes if column == "order_number" else None)
-        words = set_words(sales, [key], "__code", *[a.alias(c) for c, a in sums.items() if carries])
-        known = coarser(words.join(keys, F.col(key) == F.col(_DIM_KEY), "left"), [_DIM_KEY], *(again if carries else []))
+    def branch(found: DataFrame, out: str, carries: bool) -> DataFrame:
+        known = coarser(found.join(keys, F.col(key) == F.col(_DIM_KEY), "left"), [_DIM_KEY], *(again if carries else []))
         count = F.coalesce(F.bit_count(BITS), F.lit(0)).cast("long")
         return known.select(_DIM_KEY, count.alias(out), *(merge if carries else []))
 
-    orders = branch("order_number", "total_orders", True)
-    others = branch(other_key, other_alias, False)
+    orders = branch(words[0], "total_orders", True)
+    others = branch(words[1], other_alias, False)
     rows = orders.unionByName(others, allowMissingColumns=True)
     agg = rows.groupBy(_DIM_KEY).agg(F.sum("total_orders").alias("total_orders"), F.sum(other_alias).alias(other_alias), *again)
     last = F.col("__last")
@@ -322,6 +344,19 @@ def _bitmap_aggregates(
     return agg.select(*columns)
 
 
+def product_report_of(words: tuple[DataFrame, DataFrame], products: DataFrame, as_of=None,
+                      high: float = REFERENCE_HIGH_PERFORMER, mid: float = REFERENCE_MID_RANGE) -> DataFrame:
+    """:func:`report_products` from :func:`sales_words`."""
+    return _product_report(_bitmap_aggregates(words, products, "product_key"), products, as_of, high, mid)
+
+
+def customer_report_of(words: tuple[DataFrame, DataFrame], customers: DataFrame, as_of=None,
+                       min_months: int = REFERENCE_MIN_MONTHS, vip_spending: float = REFERENCE_VIP_SPENDING) -> DataFrame:
+    """:func:`report_customers` from :func:`sales_words`."""
+    agg = _bitmap_aggregates(words, customers, "customer_key")
+    return _customer_report(agg, customers, as_of_date(as_of), min_months, vip_spending)
+
+
 def report_products_from_bitmaps(
     fact: DataFrame,
     products: DataFrame,
@@ -336,8 +371,7 @@ def report_products_from_bitmaps(
     ``order_codes`` (:func:`starlens.operators.distinct_bitmaps.dense_codes` of the
     order numbers, made once per input) for text ones. Same rows.
     """
-    agg = _bitmap_aggregates(fact, products, "product_key", "customer_key", "total_customers", order_codes)
-    return _product_report(agg, products, as_of, high, mid)
+    return product_report_of(sales_words(fact, "product_key", order_codes), products, as_of, high, mid)
 
 
 def report_customers_from_bitmaps(
@@ -349,8 +383,7 @@ def report_customers_from_bitmaps(
     order_codes: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`report_customers` with its two distinct counts from bitmaps; see :func:`report_products_from_bitmaps`."""
-    agg = _bitmap_aggregates(fact, customers, "customer_key", "product_key", "total_products", order_codes)
-    return _customer_report(agg, customers, as_of_date(as_of), min_months, vip_spending)
+    return customer_report_of(sales_words(fact, "customer_key", order_codes), customers, as_of, min_months, vip_spending)
 
 
 def preview_report_products(

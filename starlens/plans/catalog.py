@@ -21,6 +21,9 @@ keys count distinct keys by bitmaps (:mod:`starlens.operators.distinct_bitmaps`)
 ``live_...`` keys read catalog views that are re-evaluated on every read
 (:mod:`starlens.sources.live_views`), under names of the input version.
 
+The ``incremental_...`` keys answer from a state that reads only new files
+(:mod:`starlens.operators.increments`).
+
 The ``view_...`` keys publish a report under a catalog name (see
 :func:`starlens.sources.sinks.publish_report`) and answer from that name, as
 the reference's readers do.
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 
 from starlens.functions.exact_sums import exact_totals
 from starlens.functions.numeric import ratio
+from starlens.operators import increments as inc
 from starlens.operators import part_to_whole as ctb
 from starlens.operators import cumulative as cum
 from starlens.operators import inspect_rows as rows
@@ -47,6 +51,7 @@ from starlens.operators.lattice import Lattice, fresh_lattice
 from starlens.operators.prefix_scan import running_rows
 from starlens.session import writable_root
 from starlens.sources.live_views import catalog_star, create_live_reports, read_view
+from starlens.sources.publish import build_folder, published
 from starlens.sources.sinks import publish_report
 from starlens.sources.star import Star, materialized_star, write_star
 
@@ -410,6 +415,25 @@ def bitmap_report_customers(s: Star) -> DataFrame:
     return rep.report_customers_from_bitmaps(s.dated_sales(), s.dim_customers, AS_OF, MIN_MONTHS, VIP_SPENDING)
 
 
+# --- incremental refresh ----------------------------------------------------------------
+
+def _state(s: Star) -> inc.ReportState:
+    """The report state of the written star's sales, with the files that were not folded in yet."""
+    spark, root = s.fact_sales.sparkSession, s.root
+    if root is None:  # a star that isn't written has no files to fold in
+        root = f"{writable_root(spark)}/starlens/folded"
+        write_star(s, root)
+    return inc.refresh(spark, f"{build_folder(root, published(spark, root))}/fact_sales", f"{root}/report_state")
+
+
+def incremental_report_products(s: Star) -> DataFrame:
+    return _state(s).report_products(s.dim_products, AS_OF, high=HIGH_PERFORMER, mid=MID_RANGE)
+
+
+def incremental_report_customers(s: Star) -> DataFrame:
+    return _state(s).report_customers(s.dim_customers, AS_OF, min_months=MIN_MONTHS, vip_spending=VIP_SPENDING)
+
+
 # --- live catalog views ---------------------------------------------------------------
 
 def _live(s: Star, report: str) -> DataFrame:
@@ -504,6 +528,8 @@ _BY_STAR = [
     lattice_product_yearly_sales,
     bitmap_report_products,
     bitmap_report_customers,
+    incremental_report_products,
+    incremental_report_customers,
     live_report_products,
     live_report_customers,
     live_age_group_summary,
