@@ -13,8 +13,7 @@ own thresholds every customer and product of these tables would land in one
 class, so the bounds below are scaled to the data. The operators' defaults
 are the reference values; the ``..._reference_bounds`` keys run with them.
 
-The ``running_line_...`` keys scan order lines (:mod:`starlens.operators.prefix_scan`),
-``exact_product_prices`` adds doubles exactly (:mod:`starlens.functions.exact_sums`). The
+The ``running_line_...`` keys scan order lines (:mod:`starlens.operators.prefix_scan`). The
 ``lattice_...`` keys answer from stored summaries
 (:mod:`starlens.operators.lattice`), built once per input version; the ``bitmap_...``
 keys count distinct keys by bitmaps (:mod:`starlens.operators.distinct_bitmaps`); the
@@ -37,8 +36,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.functions.exact_sums import exact_totals
-from starlens.functions.numeric import ratio
 from starlens.operators import increments as inc
 from starlens.operators import part_to_whole as ctb
 from starlens.operators import cumulative as cum
@@ -322,13 +319,6 @@ def running_line_qty_by_ship_date(s: Star) -> DataFrame:
     return running_rows(lines, "shipping_date", {"running_qty": "quantity"})
 
 
-# --- correctly rounded sums of doubles ----------------------------------------------
-
-def exact_product_prices(s: Star) -> DataFrame:
-    price = ratio("sales_amount", "quantity")
-    return exact_totals(s.dated_sales(), "product_key", price, "total_price", count="priced_lines")
-
-
 # --- from the summary lattice ------------------------------------------------------
 
 _LATTICES: dict[tuple[str, str], Lattice] = {}
@@ -510,7 +500,6 @@ _BY_STAR = [
     running_line_sales,
     running_line_sales_reset_yearly,
     running_line_qty_by_ship_date,
-    exact_product_prices,
     lattice_seasonal_month_sales,
     lattice_yearly_overview,
     lattice_seasonal_month_overview,
