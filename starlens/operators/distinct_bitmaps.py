@@ -80,7 +80,7 @@ def with_code(df: DataFrame, column: str, code: str, codes: DataFrame | None = N
     return df.join(found, F.col(column) == F.col(f"{code}_value"), "left").drop(f"{code}_value")
 
 
-def set_words(df: DataFrame, keys: Sequence[Column | str], code: str, *merged: Column) -> DataFrame:
+def set_words(df: DataFrame, keys: Sequence[Column | str], code: Column | str, *merged: Column) -> DataFrame:
     """One row per (keys, word) with the word's bits; ``merged`` are further aggregates, e.g. sums, of the same rows."""
     return df.groupBy(*keys, word_of(code).alias(WORD)).agg(union_of(bit_of(code)).alias(BITS), *merged)
 

@@ -27,6 +27,7 @@ from starlens.functions.dates import as_of_date, month_boundaries, year_boundari
 from starlens.functions.numeric import is_integral, quotient, ratio, stable_avg, stable_units, units_mean
 from starlens.functions.text import full_name
 from starlens.operators.distinct_bitmaps import BITS, coarser, set_words, with_code
+from starlens.operators.known_keys import MOST_WORDS, grain_sales
 from starlens.operators.segmentation import (
     REFERENCE_MIN_MONTHS,
     REFERENCE_VIP_SPENDING,
@@ -262,10 +263,16 @@ def report_customers(
 
 
 def _customer_report(
-    agg: DataFrame, customers: DataFrame, today, min_months: int, vip_spending: float, how: str = "left"
+    agg: DataFrame,
+    customers: DataFrame,
+    today,
+    min_months: int,
+    vip_spending: float,
+    how: str = "left",
+    sales_repeated: bool = True,
 ) -> DataFrame:
     """The customer report from its measures per grain key."""
-    rows = _with_attributes(agg, _customer_attributes(customers, today), how)
+    rows = _with_attributes(agg, _customer_attributes(customers, today), how, sales_repeated)
     whole = is_integral(rows, "total_sales")
     # An unknown customer has no dimension row; its name still reads as ' '.
     name = F.coalesce(F.col("customer_name"), full_name(F.lit(None), F.lit(None)))
@@ -386,6 +393,102 @@ def report_customers_from_bitmaps(
     return customer_report_of(sales_words(fact, "customer_key", order_codes), customers, as_of, min_months, vip_spending)
 
 
+def report_products_by_known_keys(
+    fact: DataFrame,
+    products: DataFrame,
+    as_of=None,
+    high: float = REFERENCE_HIGH_PERFORMER,
+    mid: float = REFERENCE_MID_RANGE,
+    most_words: int = MOST_WORDS,
+) -> DataFrame:
+    """:func:`report_products` without its fact-level join: sales get their grain key from a membership filter.
+
+    The fact is shuffled once, for the distinct counts. A dimension too large for the
+    filter (see :mod:`starlens.operators.known_keys`) is joined as in :func:`report_products`.
+    """
+    base = grain_sales(_dated(fact), products, "product_key", _DIM_KEY, most_words)
+    if base is None:
+        return report_products(fact, products, as_of, high, mid)
+    return _product_rows(base, products, as_of, high, mid, sales_repeated=False)
+
+
+def report_customers_by_known_keys(
+    fact: DataFrame,
+    customers: DataFrame,
+    as_of=None,
+    min_months: int = REFERENCE_MIN_MONTHS,
+    vip_spending: float = REFERENCE_VIP_SPENDING,
+    most_words: int = MOST_WORDS,
+) -> DataFrame:
+    """:func:`report_customers` without its fact-level join; see :func:`report_products_by_known_keys`."""
+    base = grain_sales(_dated(fact), customers, "customer_key", _DIM_KEY, most_words)
+    if base is None:
+        return report_customers(fact, customers, as_of, min_months, vip_spending)
+    agg = _grain_aggregates(base, "customer_key", "product_key", "total_products")
+    return _customer_report(agg, customers, as_of_date(as_of), min_months, vip_spending, sales_repeated=False)
+
+
+def _near_aggregates(sales: DataFrame, key: str) -> DataFrame:
+    """:func:`_grain_aggregates` of sales that lie together by their key, all of it known.
+
+    An ``Expand`` would lose the layout, so each distinct count is an aggregate of its own.
+    """
+    other_key, other_alias = _COUNTED[key]
+    dated = _dated(sales).withColumn(_DIM_KEY, F.col(key))
+    first, last = F.min("order_date"), F.max("order_date")
+    measures = [
+        F.count_distinct("order_number").alias("total_orders"),
+        F.sum("sales_amount").alias("total_sales"),
+        F.sum("quantity").alias("total_qty"),
+        last.alias("last_sale_date" if key == "product_key" else "last_order_date"),
+        month_boundaries(first, last).alias("lifespan"),
+    ]
+    if key == "product_key":
+        measures.append(stable_avg(ratio("sales_amount", "quantity")).alias("avg_selling_price"))
+    orders = dated.groupBy(_DIM_KEY).agg(*measures)
+    return orders.join(dated.groupBy(_DIM_KEY).agg(F.count_distinct(other_key).alias(other_alias)), _DIM_KEY)
+
+
+def _apart_aggregates(apart: DataFrame, grain: str, key: str) -> DataFrame:
+    """:func:`_grain_aggregates` of sales that are spread whatever their key."""
+    return _grain_aggregates(_dated(apart).withColumn(_DIM_KEY, F.col(grain)), key, *_COUNTED[key])
+
+
+def report_products_copartitioned(
+    sales: DataFrame,
+    apart: DataFrame,
+    grain: str,
+    products: DataFrame,
+    as_of=None,
+    high: float = REFERENCE_HIGH_PERFORMER,
+    mid: float = REFERENCE_MID_RANGE,
+) -> DataFrame:
+    """:func:`report_products` over a :class:`starlens.sources.copartitioned.CoPartitioned` layout.
+
+    Products in buckets are aggregated and get their attributes without an exchange;
+    only ``apart`` (hot and unknown products, by column ``grain``) is shuffled.
+    """
+    parts = (_near_aggregates(sales, "product_key"), _apart_aggregates(apart, grain, "product_key"))
+    near, far = (_product_report(agg, products, as_of, high, mid, sales_repeated=False) for agg in parts)
+    return near.unionByName(far)
+
+
+def report_customers_copartitioned(
+    sales: DataFrame,
+    apart: DataFrame,
+    grain: str,
+    customers: DataFrame,
+    as_of=None,
+    min_months: int = REFERENCE_MIN_MONTHS,
+    vip_spending: float = REFERENCE_VIP_SPENDING,
+) -> DataFrame:
+    """:func:`report_customers` over a co-partitioned layout; see :func:`report_products_copartitioned`."""
+    today = as_of_date(as_of)
+    parts = (_near_aggregates(sales, "customer_key"), _apart_aggregates(apart, grain, "customer_key"))
+    near, far = (_customer_report(agg, customers, today, min_months, vip_spending, sales_repeated=False) for agg in parts)
+    return near.unionByName(far)
+
+
 def preview_report_products(
     fact: DataFrame,
     products: DataFrame,

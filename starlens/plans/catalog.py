@@ -17,7 +17,9 @@ The ``running_line_...`` keys scan order lines (:mod:`starlens.operators.prefix_
 ``lattice_...`` keys answer from stored summaries
 (:mod:`starlens.operators.lattice`), built once per input version; the ``bitmap_...``
 keys count distinct keys by bitmaps (:mod:`starlens.operators.distinct_bitmaps`); the
-``live_...`` keys read catalog views that are re-evaluated on every read
+``known_...`` keys tell known keys by a membership filter (:mod:`starlens.operators.known_keys`),
+the ``copartitioned_...`` keys read sales that lie with their dimension
+(:mod:`starlens.sources.copartitioned`); the ``live_...`` keys read catalog views that are re-evaluated on every read
 (:mod:`starlens.sources.live_views`), under names of the input version.
 
 The ``incremental_...`` keys answer from a state that reads only new files
@@ -47,6 +49,7 @@ from starlens.operators.change_over_time import OVERVIEW, new_entities, trend
 from starlens.operators.lattice import Lattice, fresh_lattice
 from starlens.operators.prefix_scan import running_rows
 from starlens.session import writable_root
+from starlens.sources.copartitioned import GRAIN, CoPartitioned, open_copartitioned, write_copartitioned
 from starlens.sources.live_views import catalog_star, create_live_reports, read_view
 from starlens.sources.publish import build_folder, published
 from starlens.sources.sinks import publish_report
@@ -405,6 +408,46 @@ def bitmap_report_customers(s: Star) -> DataFrame:
     return rep.report_customers_from_bitmaps(s.dated_sales(), s.dim_customers, AS_OF, MIN_MONTHS, VIP_SPENDING)
 
 
+# --- grain keys from a membership filter ---------------------------------------------
+
+def known_report_products(s: Star) -> DataFrame:
+    return rep.report_products_by_known_keys(s.dated_sales(), s.dim_products, AS_OF, HIGH_PERFORMER, MID_RANGE)
+
+
+def known_report_customers(s: Star) -> DataFrame:
+    return rep.report_customers_by_known_keys(s.dated_sales(), s.dim_customers, AS_OF, MIN_MONTHS, VIP_SPENDING)
+
+
+# --- from the co-partitioned layout ----------------------------------------------------
+
+def copartitioned(s: Star, key: str) -> CoPartitioned:
+    """The layout of the star's input version by ``key``, written when there is none; a star without a version gets a new one."""
+    dim = s.dim_products if key == "product_key" else s.dim_customers
+    spark = s.fact_sales.sparkSession
+    root = f"{s.root or f'{writable_root(spark)}/starlens/unwritten'}/by_{key}"
+    layout = open_copartitioned(spark, root) if s.root else None
+    if layout is None:
+        write_copartitioned(s.fact_sales, dim, key, root)
+        layout = open_copartitioned(spark, root)
+    return layout
+
+
+def copartitioned_report_products(s: Star) -> DataFrame:
+    by = copartitioned(s, "product_key")
+    return rep.report_products_copartitioned(by.sales, by.apart, GRAIN, by.dimension, AS_OF, HIGH_PERFORMER, MID_RANGE)
+
+
+def copartitioned_report_customers(s: Star) -> DataFrame:
+    by = copartitioned(s, "customer_key")
+    return rep.report_customers_copartitioned(by.sales, by.apart, GRAIN, by.dimension, AS_OF, MIN_MONTHS, VIP_SPENDING)
+
+
+def copartitioned_product_yearly_sales(s: Star) -> DataFrame:
+    sales = copartitioned(s, "product_key").joined("product_name").where(F.col("order_date").isNotNull())
+    rows = sales.groupBy(F.year("order_date").alias("order_year"), "product_name").agg(F.sum("sales_amount").alias("current_sales"))
+    return rows.orderBy("product_name", "order_year")
+
+
 # --- incremental refresh ----------------------------------------------------------------
 
 def _state(s: Star) -> inc.ReportState:
@@ -517,6 +560,11 @@ _BY_STAR = [
     lattice_product_yearly_sales,
     bitmap_report_products,
     bitmap_report_customers,
+    known_report_products,
+    known_report_customers,
+    copartitioned_report_products,
+    copartitioned_report_customers,
+    copartitioned_product_yearly_sales,
     incremental_report_products,
     incremental_report_customers,
     live_report_products,
