@@ -7,9 +7,12 @@
 4. Two fingerprints within ``max_distance`` bits agree in all but that many of
    ``max_distance + 2`` bit blocks, so they share a bucket of some pair of
    blocks; buckets list candidates without pairing everything with everything.
-   A bucket above ``BUCKET_ROWS`` fingerprints is dealt out by cells of its
-   pivot distances (with the overlap that ``max_distance`` asks for), so no
-   task gets an unbounded group and no pair is lost.
+   Of the bits that a bucket doesn't fix, cut into ``max_distance + 1`` runs, such
+   a pair agrees in at least one run as well. So a bucket above ``BUCKET_ROWS``
+   fingerprints is dealt into buckets that fix one more run each, and those again,
+   as long as that lessens the pairs of the bucket; no pair is lost. What stays
+   large is a bucket that no such cut lessens: fingerprints that nearly all lie
+   within a few bits of one template, where step 5 reaches most at once.
 5. Within a bucket a pair is discarded when any pivot's distances differ by
    more than ``max_distance`` (triangle inequality); survivors are verified by
    the Hamming distance. A bucket returns a spanning forest of its links, at
@@ -41,8 +44,8 @@ from starlens.llm.common import free_name, table_sum, values, written
 SEED = 42
 PIVOTS = 24
 BUCKET_ROWS = 4096
-#: Pivots whose cells split a large bucket, and the width of a cell in bits.
-CELL_PIVOTS = 4
+#: Times a large bucket is cut at most; for 3 bits, buckets cut four times leave 11 bits free, so 2048 fingerprints.
+CUTS = 4
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -147,9 +150,9 @@ def _link_batches(max_distance: int, batches: Iterator[pa.RecordBatch]) -> Itera
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
-        fps = batch.column(3).to_numpy(zero_copy_only=False)
-        pivots = np.frombuffer(b"".join(values(batch.column(4))), np.uint8).reshape(len(fps), -1)
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)], axis=1)
+        fps = batch.column(2).to_numpy(zero_copy_only=False)
+        pivots = np.frombuffer(b"".join(values(batch.column(3))), np.uint8).reshape(len(fps), -1)
         if held and (held[-1][0][-1] != keys[0]).any():
             yield solved(*(np.concatenate(x) for x in zip(*held, strict=True)))
             held = []
@@ -165,13 +168,55 @@ def _link_batches(max_distance: int, batches: Iterator[pa.RecordBatch]) -> Itera
         yield solved(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
-def _appended(homes):
-    """cell -> that cell's number with each of ``homes`` as its next digit."""
+def cut_masks(mask: int, max_distance: int) -> list[int]:
+    """``mask`` with each of ``max_distance + 1`` runs of its free bits; none where no more bits are free than may differ."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    if len(free) <= max_distance:
+        return []
+    return [mask | sum(1 << int(b) for b in run) for run in np.array_split(free, max_distance + 1)]
 
-    def step(c):
-        return F.transform(homes, lambda h: c * 64 + h)
 
-    return step
+def buckets(with_pivots: DataFrame, max_distance: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(mask, key, fp, pivots): every two fingerprints within ``max_distance`` share some bucket (mask, key).
+
+    Above ``bucket_rows`` rows are only buckets that no cut lessens. The loop ends after
+    ``CUTS`` levels; the driver sees whether large buckets are left, and the masks (at most 2560 for 3 bits).
+    """
+    spark = with_pivots.sparkSession
+    masks = block_masks(max_distance)
+    level = with_pivots.select("fp", "pivots", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask")).select(
+        "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "pivots"
+    )
+    finished = []
+    for _ in range(CUTS):
+        sizes = level.groupBy("mask", "key").agg(F.count("*").alias("many"))
+        large = written(sizes.where(F.col("many") > bucket_rows), "large-buckets")
+        if large.isEmpty():
+            break
+        cuts = [(m, cut_masks(m, max_distance)) for m in masks]
+        masks = sorted({c for _, found in cuts for c in found})
+        offered = spark.createDataFrame(
+            [(_signed(m), _signed(c)) for m, found in cuts for c in found], "mask long, cut long"
+        )
+        cut_rows = written(
+            level.join(large, ["mask", "key"])
+            .join(F.broadcast(offered), "mask")
+            .select("mask", "key", "many", "cut", F.col("fp").bitwiseAND(F.col("cut")).alias("cut_key"), "fp", "pivots"),
+            "cut-buckets",
+        )
+        parts = cut_rows.groupBy("mask", "key", "many", "cut", "cut_key").agg(F.count("*").cast("decimal(19,0)").alias("n"))
+        pairs = parts.groupBy("mask", "key", "many").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+        whole = F.col("many").cast("decimal(19,0)")
+        lessened = written(pairs.where(F.col("pairs") < whole * whole).select("mask", "key"), "lessened-buckets")
+        # neither small nor lessened by a cut: stays as it is
+        stays = level.join(large.join(lessened, ["mask", "key"], "left_anti").select("mask", "key"), ["mask", "key"], "left_semi")
+        finished += [level.join(large.select("mask", "key"), ["mask", "key"], "left_anti"), stays]
+        level = cut_rows.join(lessened, ["mask", "key"], "left_semi").select(
+            F.col("cut").alias("mask"), F.col("cut_key").alias("key"), "fp", "pivots"
+        )
+    for rows in finished:
+        level = level.unionByName(rows)
+    return level
 
 
 def links(distinct: DataFrame, max_distance: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -179,26 +224,8 @@ def links(distinct: DataFrame, max_distance: int, bucket_rows: int = BUCKET_ROWS
     spark = distinct.sparkSession
     refs = [r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(PIVOTS).collect()] or [0]
     with_pivots = distinct.select("fp").mapInArrow(partial(_pivot_batches, refs), "fp long, pivots binary")
-    masks = F.array(*[F.lit(_signed(m)) for m in block_masks(max_distance)])
-    dealt = with_pivots.select("fp", "pivots", F.posexplode(masks).alias("part", "mask")).select(
-        "part", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "pivots"
-    )
-    sizes = dealt.groupBy("part", "key").count().where(F.col("count") > bucket_rows).select("part", "key", F.lit(True).alias("large"))
-    marked = dealt.join(sizes, ["part", "key"], "left")
-    # Cells of a large bucket: width max_distance + 1, so close pairs are at most one cell apart. A row
-    # goes to its own cell and, within reach of the lower border, to the cell below: every close pair meets.
-    width = max_distance + 1
-    cell = F.lit(0).cast("long")
-    cells = F.array(cell)
-    for j in range(min(CELL_PIVOTS, len(refs))):
-        d = F.conv(F.hex(F.substring("pivots", j + 1, 1)), 16, 10).cast("int")
-        home = F.floor(d / F.lit(width)).cast("long")
-        both = F.when((d % width < max_distance) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
-        cells = F.flatten(F.transform(cells, _appended(both)))
-    own = F.when(F.col("large"), cells).otherwise(F.array(F.lit(-1).cast("long")))
-    rows = marked.select(F.col("part").cast("long").alias("part"), "key", F.explode(own).alias("cell"), "fp", "pivots")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    arranged = rows.repartition(n, "part", "key", "cell").sortWithinPartitions("part", "key", "cell", "fp")
+    arranged = buckets(with_pivots, max_distance, bucket_rows).repartition(n, "mask", "key").sortWithinPartitions("mask", "key", "fp")
     return arranged.mapInArrow(partial(_link_batches, max_distance), "u long, v long")
 
 

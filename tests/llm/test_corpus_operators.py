@@ -280,6 +280,56 @@ def test_links_of_dense_groups_and_chains(spark, bucket_rows):
     assert groups(lambda f: got.get(simhash_pivots._signed(f), simhash_pivots._signed(f))) == groups(lambda f: want[f])
 
 
+def test_many_variants_of_one_template_are_cut(spark):
+    """A third of a large table around one template: no bucket above the bound, links as by brute force."""
+    rng = np.random.default_rng(8)
+    template = np.uint64(0x0123456789ABCDEF)
+    flips = np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(4, 13), replace=False)) for _ in range(12_000)], np.uint64)
+    fps = np.unique(np.concatenate([template ^ flips, rng.integers(0, 1 << 64, 8000, np.uint64, endpoint=False)]))
+    df = spark.createDataFrame([(x,) for x in fps.view(np.int64).tolist()], "fp long")
+    dealt = simhash_pivots.buckets(df.withColumn("pivots", F.lit(b"")), 3, 512)
+    sizes = [r["count"] for r in dealt.groupBy("mask", "key").count().collect()]
+    assert max(sizes) <= 512 and sum(sizes) < 40 * len(fps)
+    got = {r["node"]: r["root"] for r in simhash_pivots.components(simhash_pivots.links(df, 3, 512)).collect()}
+    parent = list(range(len(fps)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= 3) + i + 1:
+            parent[find(i)] = find(int(j))
+    signed = fps.view(np.int64).tolist()
+    named = {}
+    for i, x in enumerate(signed):
+        named.setdefault(find(i), set()).add(got.get(x, x))
+    assert all(len(roots) == 1 for roots in named.values())
+    assert len({r for roots in named.values() for r in roots}) == len(named)
+
+
+def test_a_bucket_that_no_cut_lessens_stays_whole(spark):
+    ball = [0, *(1 << i for i in range(64)), *(1 << i | 1 << j for i in range(64) for j in range(i))]
+    df = spark.createDataFrame([(simhash_pivots._signed(x),) for x in ball], "fp long")
+    got = simhash_pivots.components(simhash_pivots.links(df, 3, 50)).collect()
+    assert len({r["root"] for r in got}) == 1 and len({r["node"] for r in got} | {r["root"] for r in got}) == len(ball)
+
+
+@pytest.mark.parametrize("distance", [1, 3, 5])
+def test_cuts_keep_every_close_pair(distance):
+    rng = random.Random(distance)
+    for _ in range(500):
+        x = y = rng.getrandbits(64)
+        for bit in rng.sample(range(64), distance):
+            y ^= 1 << bit
+        shared = [m for m in simhash_pivots.block_masks(distance) if x & m == y & m]
+        for _ in range(simhash_pivots.CUTS):
+            assert shared
+            shared = [c for m in shared for c in simhash_pivots.cut_masks(m, distance) if x & c == y & c]
+
+
 def test_block_masks_catch_every_close_pair():
     rng, masks = random.Random(5), simhash_pivots.block_masks(3)
     for _ in range(2000):
