@@ -4,13 +4,15 @@ Features are the words of a document and the five-letter beginnings of longer
 words, present or not. The vocabulary holds the features that separate the
 classes best among a bounded labelled sample, plus every identity term. Weights
 minimise the logistic loss of the sample, an L1 penalty, and a counterfactual
-penalty: for each labelled sentence that names a group, the term is swapped for
-each other term of its kind, and the squared change of the sentence's score is
-added. So a mention of a group can't raise a score by itself, whichever group
+penalty: in each labelled sentence that names a group, the term is swapped for
+each other term of its kind, and the squared change that this makes to its
+document's score is added. Features say whether a word is present, so a term that
+another sentence names too does not go, and one that the document names already does
+not come; a swap that changes no feature adds nothing. So a mention of a group can't raise a score by itself, whichever group
 it is and however often toxic documents name it.
 
 Only texts enter a score. Defined results: a null text counts as empty; an empty
-text scores the intercept (the share of label 1); without usable labels every
+text scores the intercept, which is moved to the labels' true class shares; without usable labels every
 score is 0.5; repeated rows get equal scores; an empty table gives an empty
 result; other columns are ignored. Whole texts are read.
 """
@@ -18,6 +20,7 @@ result; other columns are ignored. Whole texts are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -67,16 +70,29 @@ def features(text: str) -> set[str]:
     return {f for w in set(_WORD.findall(text.lower())) for f in word_features(w)}
 
 
+def swaps(text: str) -> list[tuple[str, str]]:
+    """For each sentence, each identity term in it and each other term of its kind: the term that goes from the
+    document's features and the one that comes, '' where none does; swaps that change nothing are left out."""
+    sentences = [set(_WORD.findall(s)) for s in _SENTENCE.split(text.lower())]
+    many = Counter(t for s in sentences for t in s & _IDENTITY_SET)
+    out = []
+    for sentence in sentences:
+        for term in sorted(sentence & _IDENTITY_SET):
+            gone = term if many[term] == 1 else ""
+            for other in sorted({o for kind in KINDS.values() if term in kind for o in kind} - {term}):
+                come = "" if many[other] else other
+                if gone or come:
+                    out.append((gone, come))
+    return out
+
+
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_id, label, feature) rows, and a feature ``=term`` for each sentence that names a group."""
+    """(_id, label, feature) rows, and a feature ``=gone>come`` for each swap of a term in a sentence."""
     for batch in batches:
         for key, text, label in zip(*(batch.column(i) for i in range(3)), strict=True):
             text = text.as_py() or ""
             found = sorted(features(text))
-            lower = text.lower()
-            named = [] if _IDENTITY_SET.isdisjoint(found) else [
-                "=" + t for s in _SENTENCE.split(lower) for t in sorted(_IDENTITY_SET.intersection(_WORD.findall(s)))
-            ]
+            named = [] if _IDENTITY_SET.isdisjoint(found) else [f"={gone}>{come}" for gone, come in swaps(text)]
             n = len(found) + len(named)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key.as_py()] * n, pa.int64()), pa.array([label.as_py()] * n, pa.int32()), pa.array(found + named, pa.string())],
@@ -95,27 +111,15 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-margin))
 
 
-def swap_pairs(sentences: dict[str, int]) -> list[tuple[str, str, int]]:
-    """(term, term put in its place, number of labelled sentences), each kind on its own."""
-    return [
-        (term, other, sentences[term])
-        for terms in KINDS.values()
-        for term in terms
-        if sentences.get(term)
-        for other in terms
-        if other != term
-    ]
-
-
 def train(
     rows: np.ndarray, cols: np.ndarray, labels: np.ndarray, names: list[str], pairs, prior: float,
     strength: float = COUNTERFACTUAL, steps: int = STEPS,
 ) -> ToxicityModel:
     """FISTA on the mean logistic loss + L1 + ``strength`` * mean squared score change of the swaps.
-    rows, cols: the sample's (document, feature) incidences.
+    rows, cols: the sample's (document, feature) incidences; pairs: (term that goes, term that comes, number of swaps).
     """
     n, d = len(labels), len(names)
-    at = {name: i for i, name in enumerate(names)}
+    at = {name: i for i, name in enumerate(names)} | {"": d}  # no term: a feature whose weight stays 0
     a = np.array([at[x] for x, _, _ in pairs], np.int64)
     b = np.array([at[x] for _, x, _ in pairs], np.int64)
     many = np.array([k for _, _, k in pairs], np.float64)
@@ -140,8 +144,9 @@ def train(
             residual = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) / n
             gradient = np.bincount(cols, residual[rows], minlength=d) + l2 * z
             if len(many):
-                change = 2 * strength * many * (z[a] - z[b])
-                gradient += np.bincount(a, change, minlength=d) - np.bincount(b, change, minlength=d)
+                padded = np.append(z, 0.0)
+                change = 2 * strength * many * (padded[a] - padded[b])
+                gradient += (np.bincount(a, change, minlength=d + 1) - np.bincount(b, change, minlength=d + 1))[:d]
             new = (z - rate * gradient) * kept
             new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
             new_bias = zb - rate * residual.sum()
@@ -178,7 +183,8 @@ def fit(
         .agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("q"))
         .withColumn("named", F.col("feature").startswith("="))
     )
-    sentences = {r.feature[1:]: int(r.p + r.q) for r in counted.where("named").collect()}  # at most one row a term
+    # at most a row for each two identity terms
+    swapped = [(*r.feature[1:].split(">"), int(r.p + r.q)) for r in counted.where("named").orderBy("feature").collect()]
     chance = (F.col("p") + F.col("q")) / F.lit(total)
     contrast = F.abs(F.col("p") / n1 - F.col("q") / n0) / F.sqrt(chance * (1.0001 - chance) * (1 / n1 + 1 / n0))
     chosen = counted.where(~F.col("named") & (F.col("p") + F.col("q") >= 2)).orderBy(contrast.desc(), "feature")
@@ -189,7 +195,7 @@ def fit(
     found = hits.orderBy("_id").collect()
     rows = np.repeat(np.arange(len(found)), [len(r["at"]) for r in found])
     cols = np.concatenate([np.array(r["at"], np.int64) for r in found]) if found else np.zeros(0, np.int64)
-    return train(rows, cols, np.array([r.label for r in found], float), names, swap_pairs(sentences), float(prior))
+    return train(rows, cols, np.array([r.label for r in found], float), names, swapped, float(prior))
 
 
 class _Weighted(dict):

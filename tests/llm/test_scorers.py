@@ -1,5 +1,9 @@
 """Quality and toxicity: held-out accuracy, method checks, awkward rows."""
 
+import random
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,9 +67,9 @@ def test_counterfactual_penalty_evens_out_identity_terms():
     labels = np.array([1.0] * 40 + [0.0] * 50)
     rows = np.repeat(np.arange(90), [len(d) for d in documents])
     cols = np.array([names.index(f) for d in documents for f in d])
-    pairs = toxicity.swap_pairs({"muslims": 30, "christians": 10})
-    assert ("muslims", "jews", 30) in pairs and ("christians", "muslims", 10) in pairs
-    pairs = [p for p in pairs if p[1] in names]
+    pairs = Counter(p for d in documents for p in toxicity.swaps(" ".join(d)))
+    assert pairs["muslims", "jews"] == 30 and pairs["christians", "muslims"] == 10
+    pairs = [(gone, come, n) for (gone, come), n in pairs.items() if come in names]
     plain = toxicity.train(rows, cols, labels, names, pairs, 0.4, strength=0.0)
     fair = toxicity.train(rows, cols, labels, names, pairs, 0.4, strength=5.0)
     gap = lambda m: abs(m.weights.get("muslims", 0) - m.weights.get("christians", 0))
@@ -74,6 +78,65 @@ def test_counterfactual_penalty_evens_out_identity_terms():
     assert fair.score("vile") > 0.5
 
 
+def test_swaps_are_the_feature_changes_of_rewritten_documents():
+    rng = random.Random(6)
+    words = ["muslims", "Christians", "jews", "people", "women", "men", "are", "kind", "ugly", "peoples", "womenfolk"]
+    for _ in range(300):
+        sentences = [" ".join(rng.choices(words, k=rng.randint(0, 6))) for _ in range(rng.randint(1, 4))]
+        text = "".join(s + rng.choice([". ", "!\n", "? "]) for s in sentences)
+        want = Counter()
+        before = toxicity.features(text)
+        for i, sentence in enumerate(sentences):
+            for term in set(sentence.lower().split()) & set(toxicity.IDENTITY):
+                for other in {o for kind in toxicity.KINDS.values() if term in kind for o in kind} - {term}:
+                    rewritten = re.sub(rf"(?i)\b{term}\b", other, sentence)
+                    after = toxicity.features(". ".join([*sentences[:i], rewritten, *sentences[i + 1 :]]))
+                    if before != after:
+                        gone, come = before - after, after - before
+                        assert len(gone) <= 1 and len(come) <= 1
+                        want["".join(gone), "".join(come)] += 1
+        assert Counter(toxicity.swaps(text)) == want
+
+
+def test_penalty_is_the_mean_squared_score_change():
+    """The fitted weights are a stationary point of the whole objective, its penalty computed from rewritten documents."""
+    rng = np.random.default_rng(2)
+    names = ["muslims", "jews", "vile", "kind"]
+    texts, labels = [], []
+    for _ in range(120):
+        toxic = rng.random() < 0.4
+        group = rng.choice(["muslims", "jews", "muslims jews", ""], p=[0.6, 0.1, 0.1, 0.2] if toxic else [0.1, 0.4, 0.1, 0.4])
+        texts.append(f"{group} {'vile' if toxic and rng.random() < 0.8 else 'kind'}. {rng.choice(['muslims kind', 'kind'])}")
+        labels.append(float(toxic))
+    labels = np.array(labels)
+    found = [sorted(names.index(f) for f in toxicity.features(t) if f in names) for t in texts]
+    rows, cols = np.repeat(np.arange(len(texts)), [len(f) for f in found]), np.concatenate(found)
+    pairs = [(g, c, 1) for t in texts for g, c in toxicity.swaps(t) if {g, c} <= {*names, ""}]
+    assert any(not g for g, _, _ in pairs) and any(not c for _, c, _ in pairs)
+    strength = 2.0
+    model = toxicity.train(rows, cols, labels, names, pairs, 0.4, strength=strength, steps=4000)
+    w = np.array([model.weights.get(x, 0.0) for x in names])
+    share = labels.mean()
+    x = np.zeros((len(texts), 4))
+    x[rows, cols] = 1
+    scale = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    bias = model.intercept - np.log(0.4 / 0.6)
+    value = lambda w, n: w[names.index(n)] if n else 0.0
+
+    def objective(w, bias):
+        margin = x @ w + bias
+        loss = (scale * (np.logaddexp(0, margin) - labels * margin)).mean()
+        changes = [(value(w, g) - value(w, c)) ** 2 for g, c, _ in pairs]
+        return loss + 0.5 * (w @ w) / len(texts) + strength * np.mean(changes)
+
+    chosen = np.flatnonzero(w)
+    for i in chosen:
+        step = np.zeros(4)
+        step[i] = 1e-5
+        assert abs(objective(w + step, bias) - objective(w - step, bias)) / 2e-5 < 1e-4
+    assert len(chosen) >= 2
+
+
 def test_awkward_rows_quality(spark):
     docs = odd_documents(spark)
     model = quality_knn.fit(docs, odd_labels(spark))
