@@ -18,7 +18,9 @@ capture is range-read from its archive in file order. Several blocks of one key
 are separate rows, so a key with most captures is no single task.
 
 Folders are reached through ``pyarrow.fs``, which covers local, HDFS and object
-stores by the URI in ``spark.checkpoint.dir``.
+stores by URI. A folder without a scheme is qualified by the session's default file
+system first, as Spark's own writes are. Payloads of any length are one record; a task
+holds one at a time.
 
 Defined results: a null html is an empty payload; a null URL has the empty key;
 rows that share both payload and the largest id are all responses, as a payload
@@ -42,7 +44,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.common import shared_folder, values, written
@@ -70,8 +72,17 @@ def url_key(url: str | None) -> str:
     return re.sub(r"\s", "%20", key)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the file system that Spark's own writes would take for it (``fs.defaultFS`` if it names none)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    """A qualified folder's file system and path."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), re.sub("^file:(//)?", "", uri)
+    return fs.FileSystem.from_uri(uri)
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -169,6 +180,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     joins each page with its class by (digest, id), which spreads a payload
     that most pages share.
     """
+    folder = qualified(pages.sparkSession, folder)
     narrow = pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")).select(
         "page_id", F.sha1(F.encode("html", "UTF-8")).alias("digest")
     )
@@ -222,6 +234,7 @@ def _index_batches(folder: str, block_lines: int, batches: Iterator[pa.RecordBat
 
 def write_index(lines: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
     """The sorted, compressed index of capture lines below ``folder``; (first, shard, blocks) of each shard, written."""
+    folder = qualified(lines.sparkSession, folder)
     shards = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = lines.repartitionByRange(shards, "key", "page_id", "file", "offset").sortWithinPartitions("key", "page_id", "file", "offset")
     return written(
@@ -304,6 +317,7 @@ def look_up(keys: DataFrame, shards: DataFrame, folder: str, payloads: bool = Fa
     ``shards``: one row an index shard, at most as many as shuffle partitions; their first keys are broadcast.
     """
     spark = keys.sparkSession
+    folder = qualified(spark, folder)
     known = sorted((r.first, r.shard) for r in shards.select(F.col("first"), "shard").collect())
     # equal first keys: any order will do, all of them are searched
     shared = spark.sparkContext.broadcast(([k for k, _ in known], [s for _, s in known]))

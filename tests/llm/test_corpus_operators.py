@@ -4,6 +4,7 @@ import itertools
 import random
 import zlib
 from collections import Counter
+from functools import partial
 
 import duckdb
 import numpy as np
@@ -408,6 +409,21 @@ def test_archive_awkward_rows(spark):
     assert warc_index.round_trip(pages(spark).limit(0)).count() == 0
 
 
+def test_archive_folders_without_a_scheme_are_qualified(spark, scratch, monkeypatch):
+    folder = f"{scratch}/a folder"
+    assert warc_index.qualified(spark, folder) == f"file:{folder}"
+    assert warc_index.qualified(spark, f"file://{folder}") == f"file:{folder}"
+    assert warc_index.opened(f"file:{folder}")[1] == folder
+    given = []
+    monkeypatch.setattr(warc_index, "partial", lambda f, *a: (given.append(a[0]), partial(f, *a))[1])
+    few = pages(spark).limit(5)
+    lines = warc_index.write_archives(few, folder)
+    shards = warc_index.write_index(lines, folder)
+    assert warc_index.look_up(lines.select("key").distinct(), shards, folder).count() == few.count()
+    assert given and all(g.startswith("file:/") for g in given)
+
+
+
 @pytest.mark.parametrize("block_lines", [1, 2, 512])
 def test_look_up_of_single_keys_over_many_blocks(spark, block_lines):
     many = spark.range(40).select(
