@@ -12,8 +12,8 @@ marginal probability is at least ``SURE`` are added. The programme runs over a
 whole region, or over pieces of it that no candidate crosses, in linear time
 and with a few numbers a token.
 
-The weights are trained on regions of a bounded sample of documents, labelled
-by the base patterns, and on copies of them altered by rule: forms the patterns
+The weights are trained on a bounded number of regions of each kind, drawn from
+all documents and labelled by the base patterns, and on copies of them altered by rule: forms the patterns
 miss (a phone number without its plus, a written-out at-sign, a card number with
 dots) keep their label, damaged ones (a wrong check digit, an octet above
 255, a phone number cut short) lose it.
@@ -38,14 +38,17 @@ from functools import partial
 from itertools import accumulate
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlens.llm.common import values
+from starlens.llm.common import values, written
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCUMENTS = 6000
-SAMPLE_REGIONS = 1200
+#: Training regions of each base kind, how many times as many without any, and the most characters of one.
+SAMPLE_REGIONS = 200
+SAMPLE_NONE = 3
+SAMPLE_CHARACTERS = 400
 MOST_TOKENS = 24
 #: A region is cut after a line end or tab, which no candidate holds, once it has so many tokens.
 REGION_TOKENS = 96
@@ -454,31 +457,68 @@ def altered(text: str, spans: list[tuple[int, int, int]], seed: int) -> list[tup
     return [put(short), put(re.sub(r"^[0-9]{1,3}[ .-]", "", short)), put(span[: rng.randint(2, min(6, len(span)))].rstrip(" (.-"), False)]
 
 
-def _region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _region_batches(most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, mark, text, spans): a task's regions of each kind, and of none, with the least text hashes."""
+    best: list[dict[str, tuple[int, str]]] = [{} for _ in (*KINDS, "none")]
+
+    def trimmed(k: int) -> dict[str, tuple[int, str]]:
+        return dict(sorted(best[k].items(), key=lambda x: (x[1][0], x[0]))[: _most(k, most)])
+
     for batch in batches:
-        found = []
         for text in values(batch.column(0)):
-            if text:
-                spans = base_spans(text)
-                for a, b in regions(text):
-                    inside = [(s - a, e - a, k) for s, e, k in spans if a <= s and e <= b]
-                    if b - a <= 400 and sum(s < b and a < e for s, e, _ in spans) == len(inside):
-                        found.append((text[a:b], ",".join(f"{k}:{s}:{e}" for s, e, k in inside)))
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.string())], ["text", "spans"])
-
-
-def fit(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, most: int = SAMPLE_REGIONS) -> SemiMarkov:
-    """Train on at most ``most`` regions of the ``documents`` documents with the least id hashes."""
-    chosen = docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").orderBy(F.xxhash64("_id"), "_id").limit(documents)
-    texts = docs.select("doc_id", "text")
-    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left_semi").select("text")
-    found = sample.mapInArrow(_region_batches, "text string, spans string").distinct().orderBy(F.xxhash64("text"), "text").limit(most).collect()
+            if not text:
+                continue
+            spans = base_spans(text)
+            for a, b in regions(text):
+                if b - a > SAMPLE_CHARACTERS:
+                    continue
+                # spans are in order: those before the region end before those in it
+                inside = [(s - a, e - a, k) for s, e, k in spans[_first_in(spans, a) : bisect_left(spans, (b,))]]
+                if any(s < 0 or e > b - a for s, e, _ in inside):
+                    continue
+                region = text[a:b]
+                mark = xxhash.xxh64_intdigest(region.encode(), 42) >> 1
+                for k in {k for _, _, k in inside} or {len(KINDS)}:
+                    best[k][region] = (mark, ",".join(f"{k}:{s}:{e}" for s, e, k in inside))
+                    if len(best[k]) >= 8 * _most(k, most):
+                        best[k] = trimmed(k)
+    rows = [(k, mark, text, spans) for k in range(len(best)) for text, (mark, spans) in trimmed(k).items()]
+    kinds = (pa.int32(), pa.int64(), pa.string(), pa.string())
+    columns = zip(*rows, strict=True) if rows else [()] * 4
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["kind", "mark", "text", "spans"])
+
+
+def _most(kind: int, most: int) -> int:
+    """Training regions of a kind; number ``len(KINDS)`` stands for none."""
+    return most if kind < len(KINDS) else SAMPLE_NONE * most
+
+
+def _first_in(spans: list[tuple[int, int, int]], a: int) -> int:
+    """The first span that may reach beyond ``a``; spans of several kinds may overlap, so some before it can end later."""
+    i = bisect_left(spans, (a,))
+    while i and spans[i - 1][1] > a:
+        i -= 1
+    return i
+
+
+def fit(docs: DataFrame, most: int = SAMPLE_REGIONS) -> SemiMarkov:
+    """Train on ``most`` regions of each base kind, and ``SAMPLE_NONE`` times as many without any, of all documents.
+
+    Those with the least text hashes; a task gives at most that many of each. The driver gets at most
+    ``(4 + SAMPLE_NONE) * most`` regions of at most ``SAMPLE_CHARACTERS`` characters (longer ones aren't
+    trained on). Where a kind has fewer, all of them.
+    """
+    found = written(docs.select("text").mapInArrow(partial(_region_batches, most), "kind int, mark long, text string, spans string"), "pii-regions")
+    chosen = {}
+    for kind in range(len(KINDS) + 1):
+        rows = found.where(F.col("kind") == kind).select("mark", "text", "spans").distinct().orderBy("mark", "text").limit(_most(kind, most))
+        chosen |= {r.text: r.spans for r in rows.collect()}
     examples = []
-    for n, r in enumerate(found):
-        spans = [(int(s), int(e), int(k)) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]
+    for n, (text, listed) in enumerate(sorted(chosen.items())):
+        spans = [(int(s), int(e), int(k)) for k, s, e in (x.split(":") for x in listed.split(",") if x)]
         spans = [s for s in spans if not any(o != s and o[0] < s[1] and s[0] < o[1] for o in spans)]
-        examples.append((r.text, spans))
-        examples += altered(r.text, spans, n)
+        examples.append((text, spans))
+        examples += altered(text, spans, n)
     return SemiMarkov().train(examples)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from functools import partial
 
 import public_tokenizers
 import pytest
@@ -216,6 +217,21 @@ def test_redaction_and_awkward_rows(spark, model):
     assert pii.found_spans(empty, pii.fit(empty)).count() == 0
 
 
+def test_training_regions_of_every_kind(spark):
+    """A kind that one document in thousands holds is trained on; each kind's number is bounded, for any partitioning."""
+    rows = [(f"In {1000 + i} there were {i} of {i * 7} on page {i}.",) for i in range(3000)]
+    rows += [(f"call +1 555 010 {1000 + i} now",) for i in range(40)] + [("host 10.0.0.7 is up",)]
+    docs = spark.createDataFrame(rows, "text string")
+
+    def drawn(parts, most):
+        out = docs.repartition(parts).mapInArrow(partial(pii._region_batches, most), "kind int, mark long, text string, spans string")
+        return {k: out.where(F.col("kind") == k).select("mark", "text").distinct().orderBy("mark", "text").limit(pii._most(k, most)).collect() for k in range(5)}
+
+    found = drawn(3, 10)
+    assert found == drawn(8, 10)
+    assert {k: len(rows) for k, rows in found.items()} == {0: 0, 1: 1, 2: 0, 3: 10, 4: 30}
+
+
 # --- winnowing ----------------------------------------------------------------
 
 def selected(text, k, w):
