@@ -9,15 +9,17 @@ to the dimension's keys (broadcast only under the planner's size
 threshold, else sort-merge with AQE skew splitting; all unmatched sales share
 the NULL key and so form one skewed partition) -> aggregate per key -> join
 of the per-key rows to the dimension attributes, one row per distinct
-attribute tuple with its number of rows. The two COUNT(DISTINCT)
-measures are expanded once and aggregated in two stages; the first stage
-shuffles on (key, distinct column), so even a product or customer with a
-third of all sales is spread across tasks.
+attribute tuple with its number of rows. The sums and the two COUNT(DISTINCT)
+measures are aggregated apart, without an ``Expand``, each reading its own columns;
+a distinct count has two stages, of which the first shuffles on (key, distinct
+column), so even a product or customer with a third of all sales is spread
+across tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -111,7 +113,7 @@ def _first_keys_sales(fact: DataFrame, dim: DataFrame, key: str, n: int) -> Data
     return own.unionByName(unknown)
 
 
-def _grain_aggregates(base: DataFrame, key: str, other_key: str, other_alias: str) -> DataFrame:
+def _grain_aggregates(base: DataFrame, key: str) -> DataFrame:
     """Report measures per grain key over dated sales (``base``, see :func:`_keyed_sales`).
 
     The grain is the dimension key: every other grain column of the
@@ -122,19 +124,39 @@ def _grain_aggregates(base: DataFrame, key: str, other_key: str, other_alias: st
     COUNT(DISTINCT) and their shuffles carry one key instead of several
     strings.
     """
+    other_key, other_alias = _COUNTED[key]
+    distinct = [F.count_distinct("order_number").alias("total_orders"), F.count_distinct(other_key).alias(other_alias)]
+    return base.groupBy(_DIM_KEY).agg(*_plain_measures(key), *distinct)
+
+
+def _plain_measures(key: str) -> list[Column]:
+    """The measures of a report that are no distinct counts."""
     first, last = F.min("order_date"), F.max("order_date")
-    last_name = "last_sale_date" if key == "product_key" else "last_order_date"
     measures = [
-        F.count_distinct("order_number").alias("total_orders"),
         F.sum("sales_amount").alias("total_sales"),
         F.sum("quantity").alias("total_qty"),
-        F.count_distinct(other_key).alias(other_alias),
-        last.alias(last_name),
+        last.alias("last_sale_date" if key == "product_key" else "last_order_date"),
         month_boundaries(first, last).alias("lifespan"),
     ]
     if key == "product_key":
         measures.append(stable_avg(ratio("sales_amount", "quantity")).alias("avg_selling_price"))
-    return base.groupBy(_DIM_KEY).agg(*measures)
+    return measures
+
+
+def _slim_aggregates(base: DataFrame, key: str) -> DataFrame:
+    """:func:`_grain_aggregates` without an ``Expand``, for a ``base`` that holds all sales.
+
+    A task's partial aggregate of expanded rows holds three rows a sale, each as wide
+    as all measures. Here the sums and either distinct count have an aggregate of their own,
+    which reads its columns only and holds one narrow row a pair at most; one more
+    aggregate lays a key's three rows together.
+    """
+    parts = [base.groupBy(_DIM_KEY).agg(*_plain_measures(key))]
+    for column, alias in (("order_number", "total_orders"), _COUNTED[key]):
+        parts.append(base.groupBy(_DIM_KEY).agg(F.count_distinct(column).alias(alias)))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # a key has one value of each measure, whatever its type
+    return rows.groupBy(_DIM_KEY).agg(*(F.max(c).alias(c) for c in rows.columns if c != _DIM_KEY))
 
 
 def _attributes(dim: DataFrame, key: str, columns: list[Column]) -> DataFrame:
@@ -182,14 +204,15 @@ def report_products(
 
     Quotients of whole numbers are truncated.
     """
-    return _product_rows(_keyed_sales(fact, products, "product_key"), products, as_of, high, mid)
+    agg = _slim_aggregates(_keyed_sales(fact, products, "product_key"), "product_key")
+    return _product_report(agg, products, as_of, high, mid)
 
 
 def _product_rows(
     base: DataFrame, products: DataFrame, as_of, high: float, mid: float, sales_repeated: bool = True
 ) -> DataFrame:
-    """The product report over ``base``, sales with their grain key."""
-    agg = _grain_aggregates(base, "product_key", "customer_key", "total_customers")
+    """The product report over ``base``, sales with their grain key, in one pass over them."""
+    agg = _grain_aggregates(base, "product_key")
     return _product_report(agg, products, as_of, high, mid, sales_repeated)
 
 
@@ -258,7 +281,7 @@ def report_customers(
         customers = customers.filter(year_boundaries("birthdate", today).between(low, high))
         how = "inner"
     base = _keyed_sales(fact, customers, "customer_key", how)
-    agg = _grain_aggregates(base, "customer_key", "product_key", "total_products")
+    agg = _slim_aggregates(base, "customer_key")
     return _customer_report(agg, customers, today, min_months, vip_spending, how)
 
 
@@ -424,7 +447,7 @@ def report_customers_by_known_keys(
     base = grain_sales(_dated(fact), customers, "customer_key", _DIM_KEY, most_words)
     if base is None:
         return report_customers(fact, customers, as_of, min_months, vip_spending)
-    agg = _grain_aggregates(base, "customer_key", "product_key", "total_products")
+    agg = _grain_aggregates(base, "customer_key")
     return _customer_report(agg, customers, as_of_date(as_of), min_months, vip_spending, sales_repeated=False)
 
 
@@ -435,23 +458,13 @@ def _near_aggregates(sales: DataFrame, key: str) -> DataFrame:
     """
     other_key, other_alias = _COUNTED[key]
     dated = _dated(sales).withColumn(_DIM_KEY, F.col(key))
-    first, last = F.min("order_date"), F.max("order_date")
-    measures = [
-        F.count_distinct("order_number").alias("total_orders"),
-        F.sum("sales_amount").alias("total_sales"),
-        F.sum("quantity").alias("total_qty"),
-        last.alias("last_sale_date" if key == "product_key" else "last_order_date"),
-        month_boundaries(first, last).alias("lifespan"),
-    ]
-    if key == "product_key":
-        measures.append(stable_avg(ratio("sales_amount", "quantity")).alias("avg_selling_price"))
-    orders = dated.groupBy(_DIM_KEY).agg(*measures)
+    orders = dated.groupBy(_DIM_KEY).agg(F.count_distinct("order_number").alias("total_orders"), *_plain_measures(key))
     return orders.join(dated.groupBy(_DIM_KEY).agg(F.count_distinct(other_key).alias(other_alias)), _DIM_KEY)
 
 
 def _apart_aggregates(apart: DataFrame, grain: str, key: str) -> DataFrame:
     """:func:`_grain_aggregates` of sales that are spread whatever their key."""
-    return _grain_aggregates(_dated(apart).withColumn(_DIM_KEY, F.col(grain)), key, *_COUNTED[key])
+    return _grain_aggregates(_dated(apart).withColumn(_DIM_KEY, F.col(grain)), key)
 
 
 def report_products_copartitioned(

@@ -23,7 +23,7 @@ from starlens.operators import (
     yearly_performance,
     yearly_running_with_avg_price,
 )
-from tests.fixtures import collect, fact, products, star
+from tests.fixtures import collect, customers, fact, products, star
 
 
 def test_m1_yearly_benchmark_golden(spark):
@@ -343,3 +343,12 @@ def test_month_label_trend_text_or_chronological_order(spark):
     chrono = [r[0] for r in collect(trend(f, [("order_year", "month_label")], ["total_sales"], chronological=True))]
     assert text == ["2010-Dec", "2011-Apr", "2011-Feb", "2011-Jan"]
     assert chrono == ["2010-Dec", "2011-Jan", "2011-Feb", "2011-Apr"]
+
+
+def test_reports_expand_no_sales(spark):
+    """Three rows a sale, each as wide as all measures, are never held by a task's partial aggregate."""
+    from starlens.plans.explain import plan_text
+
+    sales = fact(spark, [{"order_number": 1, "product_key": 1, "customer_key": 1, "order_date": "2020-01-01", "sales_amount": 5, "quantity": 1}])
+    assert "Expand" not in plan_text(report_products(sales, products(spark, [{"product_key": 1}])))
+    assert "Expand" not in plan_text(report_customers(sales, customers(spark, [{"customer_key": 1}])))
