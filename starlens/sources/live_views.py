@@ -9,8 +9,8 @@ refreshing anything; a layer that :func:`starlens.sources.star.write_star` publi
 anew is picked up by calling :func:`catalog_star` again (one catalog operation).
 
 ``as_of`` is a date, or None for the current date at the time of each read, as
-in the reference. The bodies join sales to dimension rows as the reference
-does, so repeated dimension rows count as often as there.
+in the reference. Repeated dimension rows count as often as in the reference's
+join of sales and dimension rows.
 """
 
 from __future__ import annotations
@@ -63,22 +63,59 @@ def _cases(branches: list[tuple[str, str]], default: str) -> str:
     return "CASE " + " ".join(f"WHEN {test} THEN {_literal(label)}" for test, label in branches) + f" ELSE {_literal(default)} END"
 
 
+def _measures_sql(fact: str, dim: str, key: str, other: str, sums: dict[str, str]) -> str:
+    """CTE ``measures``: per key of the dimension (NULL: unknown keys) ``sums``, ``orders`` and ``others``, once per dimension row of the key.
+
+    As in :func:`starlens.operators.reports._slim_aggregates` the sums and either distinct count
+    have an aggregate of their own, by the key alone.
+    """
+    names = [*sums, "orders", "others"]
+
+    def part(found: dict[str, str]) -> str:
+        return f"SELECT grain, {', '.join(f'{found.get(n, "NULL")} AS {n}' for n in names)} FROM sales GROUP BY grain"
+
+    parts = (sums, {"orders": "count(DISTINCT order_number)"}, {"others": f"count(DISTINCT {other})"})
+    return f"""
+sales AS (
+  SELECT d.{key} AS grain, f.order_number, f.{other}, f.order_date, f.sales_amount, f.quantity
+  FROM {fact} f LEFT JOIN (SELECT {key} FROM {dim}) d ON f.{key} = d.{key}
+  WHERE f.order_date IS NOT NULL
+),
+measures AS (
+  SELECT grain, {', '.join(f'max({n}) AS {n}' for n in names)}
+  FROM ({' UNION ALL '.join(part(p) for p in parts)}) GROUP BY grain
+)"""
+
+
+#: Sums of a key's sales that :func:`_measures_sql` saw once per dimension row of the key, for the rows of one attribute tuple.
+_SCALED = """CASE WHEN repeats IS NULL OR repeats = key_rows THEN {0} ELSE {0} * repeats div key_rows END"""
+_REPEATS = "count(*) AS repeats, sum(count(*)) OVER (PARTITION BY {0}) AS key_rows"
+_SUMS = {
+    "sales": "sum(sales_amount)",
+    "qty": "sum(quantity)",
+    "first_date": "min(order_date)",
+    "last_date": "max(order_date)",
+}
+_PRICE = "CAST(sales_amount AS DOUBLE) / nullif(quantity, 0)"
+
+
 def product_report_sql(fact: str, products: str, as_of=None, high: float = rep.REFERENCE_HIGH_PERFORMER, mid: float = rep.REFERENCE_MID_RANGE) -> str:
     """The product report as one SELECT over the named tables (whole-number amounts)."""
     segment = _cases([(f"total_sales > {high}", rep.HIGH_PERFORMERS), (f"total_sales >= {mid}", rep.MID_RANGE)], rep.LOW_PERFORMERS)
+    prices = {"price_units": f"sum(CAST(round({_PRICE} * 1.0E12D, 0) AS DECIMAL(38, 0)))", "prices": f"count({_PRICE})"}
     return f"""
-WITH measures AS (
-  SELECT p.product_key, p.product_name, p.category, p.subcategory, p.cost,
-         count(DISTINCT f.order_number) AS total_orders, sum(f.sales_amount) AS total_sales,
-         count(DISTINCT f.customer_key) AS total_customers, sum(f.quantity) AS total_qty,
-         min(f.order_date) AS first_sale_date, max(f.order_date) AS last_sale_date,
-         CAST(sum(CAST(round(CAST(f.sales_amount AS DOUBLE) / nullif(f.quantity, 0) * 1.0E12D, 0) AS DECIMAL(38, 0))) AS DOUBLE)
-           / nullif(count(CAST(f.sales_amount AS DOUBLE) / nullif(f.quantity, 0)), 0) / 1.0E12D AS avg_selling_price
-  FROM {fact} f LEFT JOIN {products} p ON f.product_key = p.product_key
-  WHERE f.order_date IS NOT NULL
-  GROUP BY p.product_key, p.product_name, p.category, p.subcategory, p.cost
+WITH {_measures_sql(fact, products, "product_key", "customer_key", _SUMS | prices)},
+attributes AS (
+  SELECT product_key, product_name, category, subcategory, cost, {_REPEATS.format("product_key")}
+  FROM {products} WHERE product_key IS NOT NULL
+  GROUP BY product_key, product_name, category, subcategory, cost
 ),
-lives AS (SELECT *, {_months('first_sale_date', 'last_sale_date')} AS lifespan FROM measures)
+lives AS (
+  SELECT product_key, product_name, category, subcategory, cost, orders AS total_orders, {_SCALED.format("sales")} AS total_sales,
+         others AS total_customers, {_SCALED.format("qty")} AS total_qty, last_date AS last_sale_date,
+         {_months('first_date', 'last_date')} AS lifespan, CAST(price_units AS DOUBLE) / nullif(prices, 0) / 1.0E12D AS avg_selling_price
+  FROM measures LEFT JOIN attributes ON grain = product_key
+)
 SELECT product_key, product_name, category, subcategory, cost, {segment} AS product_segment,
        total_orders, total_sales, total_customers, total_qty, last_sale_date, lifespan, avg_selling_price,
        {_months('last_sale_date', _today(as_of))} AS recency_in_months,
@@ -95,17 +132,22 @@ def customer_report_sql(
     loyal = f"lifespan >= {min_months}"
     segment = _cases([(f"{loyal} AND total_sales > {vip_spending}", "VIP"), (f"{loyal} AND total_sales <= {vip_spending}", "Regular")], "New")
     return f"""
-WITH measures AS (
-  SELECT c.customer_key, c.customer_number,
-         concat(coalesce(c.first_name, ''), ' ', coalesce(c.last_name, '')) AS customer_name,
-         year({_today(as_of)}) - year(c.birthdate) AS customer_age,
-         count(DISTINCT f.order_number) AS total_orders, sum(f.sales_amount) AS total_sales, sum(f.quantity) AS total_qty,
-         count(DISTINCT f.product_key) AS total_products, min(f.order_date) AS first_order_date, max(f.order_date) AS last_order_date
-  FROM {fact} f LEFT JOIN {customers} c ON f.customer_key = c.customer_key
-  WHERE f.order_date IS NOT NULL
-  GROUP BY ALL
+WITH {_measures_sql(fact, customers, "customer_key", "product_key", _SUMS)},
+named AS (
+  SELECT customer_key, customer_number, concat(coalesce(first_name, ''), ' ', coalesce(last_name, '')) AS customer_name,
+         year({_today(as_of)}) - year(birthdate) AS customer_age
+  FROM {customers} WHERE customer_key IS NOT NULL
+),
+attributes AS (
+  SELECT customer_key, customer_number, customer_name, customer_age, {_REPEATS.format("customer_key")}
+  FROM named GROUP BY customer_key, customer_number, customer_name, customer_age
 ),
-lives AS (SELECT *, {_months('first_order_date', 'last_order_date')} AS lifespan FROM measures)
+lives AS (
+  SELECT customer_key, customer_number, coalesce(customer_name, ' ') AS customer_name, customer_age, orders AS total_orders,
+         {_SCALED.format("sales")} AS total_sales, {_SCALED.format("qty")} AS total_qty, others AS total_products,
+         last_date AS last_order_date, {_months('first_date', 'last_date')} AS lifespan
+  FROM measures LEFT JOIN attributes ON grain = customer_key
+)
 SELECT customer_key, customer_number, customer_name, customer_age, {_cases(ages, rep.AGE_GROUP_DEFAULT)} AS age_groups,
        {segment} AS customer_segment, total_orders, total_sales, total_qty, total_products, last_order_date, lifespan,
        {_months('last_order_date', _today(as_of))} AS recency,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlens.operators import reports as rep
+from starlens.plans.explain import plan_text
 from starlens.sources.live_views import catalog_star, create_live_reports, drop_live_reports, read_view
 from starlens.sources.star import read_star, write_star
 from tests.test_distinct_bitmaps import rows_of
@@ -72,3 +73,33 @@ def test_the_current_date_is_taken_at_each_read(spark, gold):
 def test_unknown_parameters_are_refused(spark):
     with pytest.raises(TypeError):
         create_live_reports(spark, hihg=3)
+
+
+@pytest.mark.parametrize("report", ["report_products", "report_customers"])
+def test_no_view_expands_the_sales(spark, gold, report):
+    catalog_star(spark, gold, prefix="slim_")
+    names = create_live_reports(spark, AS_OF, prefix="slim_")
+    view = next(n for n in names if report in n)
+    assert "Expand" not in plan_text(read_view(spark, view))
+    drop_live_reports(spark, prefix="slim_")
+
+
+def test_dimension_rows_of_one_key_count_each(spark, scratch):
+    """Rows of a key that differ and rows that repeat: the sums of a tuple count once per row of the tuple."""
+    star = awkward(spark)
+    more = star.dim_products.unionByName(star.dim_products).unionByName(star.dim_products.withColumn("category", F.lit("other")))
+    star.fact_sales.write.parquet(f"{scratch}/fact_sales")
+    more.write.parquet(f"{scratch}/dim_products")
+    star.dim_customers.write.parquet(f"{scratch}/dim_customers")
+    catalog_star(spark, scratch, prefix="each_")
+    products, _ = create_live_reports(spark, AS_OF, prefix="each_")
+    f, p = (spark.read.parquet(f"{scratch}/{t}") for t in ("fact_sales", "dim_products"))
+    joined = f.where("order_date is not null").join(p.withColumnRenamed("product_key", "own"), F.col("product_key") == F.col("own"), "left")
+    want = joined.groupBy("own", "category").agg(
+        F.sum("sales_amount"), F.sum("quantity").cast("long"), F.count_distinct("order_number"), F.count_distinct("customer_key")
+    )
+    got = read_view(spark, products).groupBy("product_key", "category").agg(
+        F.sum("total_sales"), F.sum("total_qty"), F.max("total_orders"), F.max("total_customers")
+    )
+    assert rows_of(got) == rows_of(want)
+    drop_live_reports(spark, prefix="each_")
