@@ -1,8 +1,8 @@
 """Incremental refresh of both reports: only files that were not read before are read.
 
 What a report needs of the sales is a state that merges: per fact key the words of its
-orders and of its other key's bitmap (:mod:`starlens.operators.distinct_bitmaps`), sums,
-and extremes of dates. A refresh lists the fact's files, reads those that its manifest
+orders and of its other key's bitmap (:mod:`starlens.operators.distinct_bitmaps`), and
+one row of sums and extremes of dates. A refresh lists the fact's files, reads those that its manifest
 doesn't name, writes their state as one more *step* and publishes a new manifest (the
 files folded in, the steps that hold them) by a pointer written last:
 
@@ -36,7 +36,8 @@ from starlens.sources import schemas
 
 GRAINS = ("product_key", "customer_key")
 MOST_STEPS = 16
-LAYOUT = "report-state-1"
+LAYOUT = "report-state-2"
+PARTS = ("orders", "others", "sums")
 _FILES = "path string, length long, modificationTime timestamp"
 
 
@@ -49,10 +50,10 @@ class ReportState:
     steps: tuple[str, ...]
     files_read: int = 0
 
-    def words(self, grain: str) -> tuple[DataFrame, DataFrame]:
+    def words(self, grain: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """:func:`starlens.operators.reports.sales_words` of all files, steps side by side."""
         read = self.spark.read
-        return tuple(read.parquet(*(f"{self.root}/steps/{s}/{grain}/{part}" for s in self.steps)) for part in ("orders", "others"))
+        return tuple(read.parquet(*(f"{self.root}/steps/{s}/{grain}/{part}" for s in self.steps)) for part in PARTS)
 
     def report_products(self, products: DataFrame, as_of=None, **bounds) -> DataFrame:
         return product_report_of(self.words("product_key"), products, as_of, **bounds)
@@ -67,19 +68,19 @@ def _listed(spark: SparkSession, folder: str) -> DataFrame:
     return files.load(folder).select("path", "length", "modificationTime")
 
 
-def _write_step(spark: SparkSession, root: str, words: dict[str, tuple[DataFrame, DataFrame]]) -> str:
+def _write_step(spark: SparkSession, root: str, words: dict[str, tuple[DataFrame, DataFrame, DataFrame]]) -> str:
     step = uuid.uuid4().hex
-    for grain, (orders, others) in words.items():
-        orders.write.parquet(f"{root}/steps/{step}/{grain}/orders")
-        others.write.parquet(f"{root}/steps/{step}/{grain}/others")
+    for grain, tables in words.items():
+        for part, rows in zip(PARTS, tables, strict=True):
+            rows.write.parquet(f"{root}/steps/{step}/{grain}/{part}")
     return step
 
 
-def _merged(state: ReportState, grain: str) -> tuple[DataFrame, DataFrame]:
-    """All steps' words of a grain, one row per key and word."""
-    orders, others = state.words(grain)
-    sums = [how(c).cast(orders.schema[c].dataType).alias(c) for c, (_, how) in _mergeable(grain).items()]
-    return coarser(orders, [grain], *sums), coarser(others, [grain])
+def _merged(state: ReportState, grain: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All steps' words of a grain, one row per key and word, and its sums, one row per key."""
+    orders, others, sums = state.words(grain)
+    again = [how(c).cast(sums.schema[c].dataType).alias(c) for c, (_, how) in _mergeable(grain).items()]
+    return coarser(orders, [grain]), coarser(others, [grain]), sums.groupBy(grain).agg(*again)
 
 
 def open_state(spark: SparkSession, root: str) -> ReportState | None:

@@ -330,40 +330,43 @@ def _mergeable(key: str) -> dict[str, tuple[Column, Callable]]:
     return found
 
 
-def sales_words(fact: DataFrame, key: str, order_codes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Dated sales per *fact* key as words of its orders, which also carry the sums, and words of the other key.
+def sales_words(fact: DataFrame, key: str, order_codes: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Dated sales per *fact* key as words of its orders, words of the other key, and sums, one row a key.
 
-    Partial sums before any shuffle, no join. Rows of several inputs may be put
+    Partial sums before any shuffle, no join. The words carry no sums: where order
+    numbers lie apart there are about as many words as sales. Rows of several inputs may be put
     together (``union``) before :func:`_bitmap_aggregates` unites them.
     """
     dated = _dated(fact)
     sums = [a.alias(c) for c, (a, _) in _mergeable(key).items()]
     other = _COUNTED[key][0]
-    orders = set_words(with_code(dated, "order_number", "__code", order_codes), [key], "__code", *sums)
+    orders = set_words(with_code(dated, "order_number", "__code", order_codes), [key], "__code")
     others = set_words(with_code(dated, other, "__code"), [key], "__code")
-    return orders, others
+    return orders, others, dated.groupBy(key).agg(*sums)
 
 
-def _bitmap_aggregates(words: tuple[DataFrame, DataFrame], dim: DataFrame, key: str) -> DataFrame:
+def _bitmap_aggregates(words: tuple[DataFrame, DataFrame, DataFrame], dim: DataFrame, key: str) -> DataFrame:
     """:func:`_grain_aggregates` from bitmaps (:func:`sales_words`), without a fact-level join.
 
-    The words meet the dimension's keys, and sets and sums of all unknown keys unite
+    Words and sums meet the dimension's keys, and sets and sums of all unknown keys unite
     under NULL. Nothing is expanded: each distinct column has an aggregate of its own,
-    the first also carries the sums, and one last aggregate per key puts them together.
+    and one last aggregate per key puts them and the sums together.
     """
     other_alias = _COUNTED[key][1]
     merge = {c: how for c, (_, how) in _mergeable(key).items()}
     keys = dim.select(F.col(key).alias(_DIM_KEY))
     again = [how(c).alias(c) for c, how in merge.items()]
 
-    def branch(found: DataFrame, out: str, carries: bool) -> DataFrame:
-        known = coarser(found.join(keys, F.col(key) == F.col(_DIM_KEY), "left"), [_DIM_KEY], *(again if carries else []))
+    def known(found: DataFrame) -> DataFrame:
+        return found.join(keys, F.col(key) == F.col(_DIM_KEY), "left")
+
+    def counted(found: DataFrame, out: str) -> DataFrame:
         count = F.coalesce(F.bit_count(BITS), F.lit(0)).cast("long")
-        return known.select(_DIM_KEY, count.alias(out), *(merge if carries else []))
+        return coarser(known(found), [_DIM_KEY]).select(_DIM_KEY, count.alias(out))
 
-    orders = branch(words[0], "total_orders", True)
-    others = branch(words[1], other_alias, False)
-    rows = orders.unionByName(others, allowMissingColumns=True)
+    orders, others, sums = words
+    parts = (counted(orders, "total_orders"), counted(others, other_alias), known(sums).select(_DIM_KEY, *merge))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     agg = rows.groupBy(_DIM_KEY).agg(F.sum("total_orders").alias("total_orders"), F.sum(other_alias).alias(other_alias), *again)
     last = F.col("__last")
     columns = [_DIM_KEY, "total_orders", F.col("total_sales"), F.col("total_qty"), other_alias]
@@ -374,13 +377,13 @@ def _bitmap_aggregates(words: tuple[DataFrame, DataFrame], dim: DataFrame, key:
     return agg.select(*columns)
 
 
-def product_report_of(words: tuple[DataFrame, DataFrame], products: DataFrame, as_of=None,
+def product_report_of(words: tuple[DataFrame, DataFrame, DataFrame], products: DataFrame, as_of=None,
                       high: float = REFERENCE_HIGH_PERFORMER, mid: float = REFERENCE_MID_RANGE) -> DataFrame:
     """:func:`report_products` from :func:`sales_words`."""
     return _product_report(_bitmap_aggregates(words, products, "product_key"), products, as_of, high, mid)
 
 
-def customer_report_of(words: tuple[DataFrame, DataFrame], customers: DataFrame, as_of=None,
+def customer_report_of(words: tuple[DataFrame, DataFrame, DataFrame], customers: DataFrame, as_of=None,
                        min_months: int = REFERENCE_MIN_MONTHS, vip_spending: float = REFERENCE_VIP_SPENDING) -> DataFrame:
     """:func:`report_customers` from :func:`sales_words`."""
     agg = _bitmap_aggregates(words, customers, "customer_key")

@@ -84,3 +84,11 @@ def test_text_order_numbers_are_an_error(spark, star, scratch):
     fact.write.parquet(f"{scratch}/fact")
     with pytest.raises(ValueError, match="order_number"):
         inc.refresh(spark, f"{scratch}/fact", f"{scratch}/state")
+
+
+def test_words_carry_no_sums(spark, star):
+    """There may be as many words as sales, so sums have one row per key of their own."""
+    for grain in inc.GRAINS:
+        orders, others, sums = rep.sales_words(star.fact_sales, grain)
+        assert orders.columns == others.columns == [grain, "__word", "__bits"]
+        assert sums.count() == star.dated_sales().select(grain).distinct().count()
