@@ -123,20 +123,22 @@ def read_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
     )
 
 
-def write_star(star: Star, root: str, partition_by_year: bool = True) -> str:
+def write_star(star: Star, root: str, partition_by_year: bool = True, rebalance: bool = True) -> str:
     """Publish the star as a new Parquet build at ``root``; returns the build's folder.
 
     With ``partition_by_year`` the fact goes into one folder per order year,
-    so year-bounded reads prune folders. The ``rebalance`` hint lets AQE cut
+    so year-bounded reads prune folders. With ``rebalance`` AQE cuts
     each year into files of about the advisory partition size (splitting a
-    year that holds most of the rows, merging small ones) instead of every
-    task writing one small file per year.
+    year that holds most of the rows, merging small ones), which shuffles the
+    whole fact; without, each task writes a file per year it has rows of, the
+    better way for a fact that comes out of a join.
     """
 
     def write(folder: str) -> None:
         fact = star.fact_sales
         if partition_by_year:
-            by_year = fact.withColumn(YEAR_FOLDER, F.year("order_date")).hint("rebalance", YEAR_FOLDER)
+            by_year = fact.withColumn(YEAR_FOLDER, F.year("order_date"))
+            by_year = by_year.hint("rebalance", YEAR_FOLDER) if rebalance else by_year
             by_year.write.partitionBy(YEAR_FOLDER).parquet(f"{folder}/fact_sales")
         else:
             fact.hint("rebalance").write.parquet(f"{folder}/fact_sales")
@@ -292,7 +294,7 @@ def materialized_star(spark: SparkSession, data_dir: str) -> Star:
                 except Exception as exc:  # whatever the file system says: nothing can be written there
                     warnings.warn(f"{base} can't be written ({exc}); deriving per query")
                     return star_from_tables(spark, data_dir)
-                write_star(star_from_tables(spark, data_dir), root)
+                write_star(star_from_tables(spark, data_dir), root, rebalance=False)  # the join has dealt the rows
             _STARS[memo] = replace(read_star(spark, root), root=root, version=key)
         return _STARS[memo]
 

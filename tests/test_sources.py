@@ -300,3 +300,16 @@ def test_session_conf_local_and_cluster():
     assert cluster["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     assert cluster["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert session_conf("yarn", 100, {"spark.sql.ansi.enabled": "false"})["spark.sql.ansi.enabled"] == "false"
+
+
+def test_the_derived_fact_is_shuffled_once(spark, monkeypatch, scratch):
+    """Lines and orders meet in one shuffle; another one just for the year folders would move the whole fact again."""
+    from starlens.sources import star as module
+
+    found = {}
+    monkeypatch.setattr(module, "write_star", lambda star, root, **how: found.update(how) or write_star(star, root, **how))
+    monkeypatch.setattr(module, "shared_folder", lambda spark: scratch)
+    derived = module.materialized_star(spark, SF_SMALL)
+    assert found == {"rebalance": False}
+    assert derived.fact_by_year is not None
+    assert derived.fact_sales.count() == module.star_from_tables(spark, SF_SMALL).fact_sales.count()
