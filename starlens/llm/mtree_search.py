@@ -60,11 +60,14 @@ def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
         "id IS NOT NULL AND x IS NOT NULL AND size(x) > 0"
         " AND forall(x, c -> c IS NOT NULL AND NOT isnan(c) AND abs(c) < double('infinity'))"
     )
-    lengths = clean.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1)
+    # the smallest id is named, whichever task would meet its vector first
+    beyond = F.min(F.when(F.exists("x", lambda c: F.abs(c * float(scale)) >= 2.0**63), F.col("id"))).alias("beyond")
+    lengths = clean.groupBy(F.size("x").alias("n")).agg(F.count("*").alias("many"), beyond).orderBy(F.desc("many"), F.desc("n")).limit(1)
     usual = lengths.first()
     width = usual.n if usual else 0
-    beyond = F.raise_error(F.concat(F.lit("a component of vector "), F.col("id").cast("string"), F.lit(" is beyond a long")))
-    whole = F.transform("x", lambda c: F.when(F.abs(c * float(scale)) >= 2.0**63, beyond.cast("long")).otherwise(F.floor(c * float(scale))))
+    if usual and usual.beyond is not None:
+        raise ValueError(f"a component of vector {usual.beyond} is beyond a long")
+    whole = F.transform("x", lambda c: F.floor(c * float(scale)))
     return clean.where(F.size("x") == width).select("id", whole.alias("v"))
 
 
