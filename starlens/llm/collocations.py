@@ -9,11 +9,13 @@ becomes a dictionary of distinct chunks with their frequencies, and everything
 after is counted inside distinct chunks, weighted. A phrase that lies wholly in
 the window a chunk shares with its predecessor is counted there and not again.
 
-Phrases are counted exactly in three rounds over the dictionary, each leaving out
-only what can't reach ``least``: words; hashes of word pairs (both words frequent);
-pairs and triples of which every pair's hash is frequent. Between rounds, what is
-frequent travels as a bitmap of hash slots of at most ``BITMAP_BITS`` bits, whose
-collisions let more phrases be counted, never fewer.
+Phrases are counted exactly in three rounds, each leaving out only what can't reach
+``least``: words, with the parse; over the dictionary, hashes of word pairs (both
+words frequent), then pairs and triples of which every pair's hash is frequent.
+Between rounds, what is frequent travels as a bitmap of hash slots of at most
+``BITMAP_BITS`` bits, whose collisions let more phrases be counted, never fewer.
+Chunks of a language are laid end to end, so tokens are found, hashed and cut out by
+operations on whole arrays; words and phrases themselves are counted by their bytes.
 
 Defined results: a null text counts as empty, a null language as ``und``; texts
 without words add nothing; very long texts are parsed whole (a piece without a
@@ -24,13 +26,13 @@ other columns are ignored. Frequencies up to 10^16 are exact.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -39,141 +41,219 @@ from starlens.llm.common import values, written
 
 #: A window of two words is a trigger when these bits of its hash are 0: one in 16.
 MASK = 15
-#: Entries of a task's tables of chunks, words and phrases, and of its array of hashes; a full one is handed on and emptied.
-ENTRIES = 300_000
-HASHES = 3_000_000
+#: Rows and bytes of a task's table of chunks, words or phrases, and entries of its array of hashes; a full one is handed on and emptied.
+ENTRIES = 1_000_000
+ENTRY_BYTES = 40_000_000
+HASHES = 2_000_000
 #: Bits of a bitmap of frequent hashes: 16 for each, 32 MB in all at most.
 BITMAP_BITS = 28
 BITS_EACH = 16
 #: Bits of one block of a bitmap, as Spark's bitmap functions make them.
 BLOCK = 32768
+#: Pair hashes are summed in groups by their first bits (2048 groups).
+GROUP_BITS = 11
 #: Parts of a language's phrases that are ranked on their own before all are.
 RANKED = 16
-#: Rows of a batch that are counted together.
+#: Rows of a batch that is handed on, bytes of texts or chunks and of phrases that are worked on together.
 TOGETHER = 20_000
+TOGETHER_BYTES = 2_000_000
+#: Bytes of a word that are hashed eight by eight; what follows them enters by its crc.
+HASHED_BYTES = 64
 
 #: Tokens of a chunk that no word can be: between pieces, and before a window shared with the chunk before.
 GAP, SHARED = b".", b","
 #: The marks that end pieces become gaps, tabs blanks.
 _MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b".........." + b" ")
-_GAP_HASH = crc32(GAP)
-
-
-def chunks_of(text: bytes) -> Iterator[tuple[bytes, int]]:
-    """(chunk, number of words that it counts) of a lower-cased text; a chunk is words, ``GAP`` and ``SHARED`` joined by blanks.
+_SEPARATOR = b" . "
+_BYTES_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _normal(text: bytes) -> bytes:
+    """Words and gaps of a lower-cased text, joined by single blanks."""
+    text = text.translate(_MARKS).replace(GAP, _SEPARATOR)  # no other white space is left
+    while b"  " in text:
+        text = text.replace(b"  ", b" ")
+    return text.strip(b" ")
+
+
+class Tokens:
+    """Tokens of texts or chunks (each joined by single blanks, none empty) that are laid end to end, a gap between neighbours."""
+
+    def __init__(self, parts: list[bytes]):
+        self.data = _SEPARATOR.join(parts)
+        self.bytes = np.frombuffer(self.data + b" " * 8, np.uint8)
+        self.ends = np.flatnonzero(self.bytes[: len(self.data) + 1] == 32)
+        self.starts = np.append(0, self.ends[:-1] + 1)
+        first, single = self.bytes[self.starts], self.ends - self.starts == 1
+        self.shared = single & (first == SHARED[0])
+        self.word = ~(single & (first == GAP[0]) | self.shared)
+        sizes = np.array([len(p) for p in parts[:-1]], np.int64)
+        #: The places of the gaps between neighbours.
+        self.between = np.searchsorted(self.starts, np.cumsum(sizes + len(_SEPARATOR)) - 2)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """64 bits for each token, by its bytes."""
+        lengths = self.ends - self.starts
+        blocks = np.ndarray(len(self.bytes) - 7, "<u8", self.bytes, strides=(1,))
+        h = (lengths.astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+        at = np.arange(len(lengths))
+        for k in range(0, HASHED_BYTES, 8):
+            x = h[at] ^ (blocks[self.starts[at] + k] & _BYTES_KEPT[np.minimum(lengths[at] - k, 8)])
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            h[at] = x ^ (x >> np.uint64(32))
+            at = at[lengths[at] > k + 8]
+            if not len(at):
+                return h
+        for i in at.tolist():
+            rest = crc32(self.data[self.starts[i] + HASHED_BYTES : self.ends[i]])
+            h[i] ^= np.uint64(rest * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        return h
 
-    Besides trigger windows, a trigger word at a piece's end ends a chunk, which needs no shared window there.
-    """
-    tokens = text.translate(_MARKS).replace(GAP, b" . ").split()  # no other white space is left
-    many = len(tokens)
-    hashes = np.fromiter(map(crc32, tokens), np.uint32, many)
-    word = hashes != _GAP_HASH
-    for i in np.flatnonzero(~word).tolist():
-        if tokens[i] != GAP:
-            word[i] = True
-    words = np.append(0, np.cumsum(word))
-    ends = np.append(~word[1:], True) & word if many else word
-    windows = np.flatnonzero(word[:-1] & word[1:] & (31 * hashes[:-1] + hashes[1:] & MASK == 0)) + 1
-    # where chunks end, in order: a window's second word before a piece's last word at the same place
-    cuts = np.sort(np.append(2 * windows, 2 * np.flatnonzero(ends & (hashes & MASK == 0)) + 1)).tolist()
-    begin, shared = 0, False
-    for cut in [*cuts, 2 * many - 1]:
-        end = (cut >> 1) + 1
-        counted = int(words[end] - words[begin]) - 2 * shared
-        if counted > 0:
-            while not word[begin]:
-                begin += 1
-            yield b" ".join([SHARED, *tokens[begin:end]] if shared else tokens[begin:end]), counted
+    def cut(self) -> Iterator[tuple[bytes, int]]:
+        """(chunk, number of words that it counts); none reaches over a gap between neighbours.
+
+        Besides trigger windows, a trigger word at a piece's end ends a chunk, which needs no shared window there.
+        """
+        many, word, h = len(self), self.word, self.hashes()
+        places, words = np.flatnonzero(word), np.append(0, np.cumsum(word))
+        trigger = 31 * h[:-1] + h[1:] & np.uint64(MASK) == 0
+        windows = np.flatnonzero(word[:-1] & word[1:] & trigger) + 1
+        last = np.flatnonzero(word & np.append(~word[1:], True) & (h & np.uint64(MASK) == 0))
+        # where chunks end, in order: a window's second word before a piece's last word at the same place
+        cuts = np.sort(np.concatenate([2 * windows, 2 * last + 1, 2 * self.between - 1, [2 * many - 1]]))
+        end = (cuts >> 1) + 1
         # a shared window that ends its piece is followed by nothing that could need it
-        shared = cut & 1 == 0 and end < many and bool(word[end])
-        begin = end - 2 if shared else end
+        goes_on = ((cuts & 1 == 0) & np.append(word, False)[end])[:-1]
+        shared, begin = np.append(False, goes_on), np.append(0, end[:-1] - 2 * goes_on)
+        counted = words[end] - words[begin] - 2 * shared
+        some = counted > 0
+        begin, end, shared = begin[some], end[some], shared[some].tolist()
+        begin = self.starts[places[np.searchsorted(places, begin)]].tolist()
+        end = self.ends[places[np.searchsorted(places, end) - 1]].tolist()
+        for i, j, after, n in zip(begin, end, shared, counted[some].tolist(), strict=True):
+            yield b", " + self.data[i:j] if after else self.data[i:j], n
+
+    def words(self) -> pa.Table:
+        """(word, how often) of the distinct words."""
+        # each token with the blank after it lies between two neighbouring offsets
+        offsets = pa.py_buffer(np.append(self.starts, len(self.data) + 1).astype(np.int32))
+        tokens = pa.Array.from_buffers(pa.binary(), len(self), [None, offsets, pa.py_buffer(self.bytes)])
+        found = tokens.value_counts()
+        some = pc.and_(pc.not_equal(found.field(0), GAP + b" "), pc.not_equal(found.field(0), SHARED + b" "))
+        return pa.table([pc.binary_slice(found.field(0), 0, -1), found.field(1)], ["item", "n"]).filter(some)
+
+    def phrases(self, at: np.ndarray, words: int) -> Iterator[tuple[slice, pa.Array]]:
+        """Phrases of ``words`` tokens from the places ``at`` on, ``TOGETHER_BYTES`` at once unless one is longer."""
+        begin = self.starts[at]
+        lengths = self.ends[at + words - 1] - begin
+        to = np.cumsum(lengths)
+        parts = np.flatnonzero(np.diff((to - 1) // TOGETHER_BYTES)) + 1 if len(at) else []
+        for i, j in zip([0, *parts], [*parts, len(at)], strict=True):
+            offsets = np.append(0, np.cumsum(lengths[i:j]))
+            from_ = np.repeat(begin[i:j] - offsets[:-1], lengths[i:j]) + np.arange(offsets[-1])
+            buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(self.bytes[from_])]
+            yield slice(i, j), pa.Array.from_buffers(pa.binary(), j - i, buffers)
 
 
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: Counter = Counter()
+def chunks_of(text: bytes) -> Iterator[tuple[bytes, int]]:
+    """(chunk, number of words that it counts) of a lower-cased text; a chunk is words, ``GAP`` and ``SHARED`` joined by blanks."""
+    text = _normal(text)
+    if text:
+        yield from Tokens([text]).cut()
+
+
+def _by_language(rows: Iterable[tuple[str, bytes, int]]) -> Iterator[tuple[str, list[bytes], list[int]]]:
+    """(language, its texts or chunks, how often each is there) of about ``TOGETHER_BYTES`` together."""
+    held: dict[str, tuple[list[bytes], list[int]]] = {}
+    size = 0
+    for lang, part, times in rows:
+        parts, many = held.setdefault(lang, ([], []))
+        parts.append(part)
+        many.append(times)
+        size += len(part)
+        if size >= TOGETHER_BYTES:
+            yield from ((lang, *of) for lang, of in held.items())
+            held, size = {}, 0
+    yield from ((lang, *of) for lang, of in held.items())
+
+
+def _summed(tables: Iterable[pa.Table]) -> Iterator[pa.RecordBatch]:
+    """The last column's sums by the other columns, for as many rows as a task may hold."""
+    held, rows, size = [], 0, 0
+
+    def sums() -> pa.Table:
+        *keys, number = held[0].column_names
+        grouped = pa.concat_tables(held).group_by(keys, use_threads=False).aggregate([(number, "sum")])
+        return grouped.select([*keys, f"{number}_sum"]).rename_columns([*keys, number])
+
+    for table in tables:
+        held.append(table)
+        rows, size = rows + table.num_rows, size + table.nbytes
+        if rows >= ENTRIES or size >= ENTRY_BYTES:
+            held = [sums()]
+            rows, size = held[0].num_rows, held[0].nbytes
+            if rows >= ENTRIES // 2 or size >= ENTRY_BYTES // 2:
+                yield from held[0].to_batches(max_chunksize=TOGETHER)
+                held, rows, size = [], 0, 0
+    if held:
+        yield from sums().to_batches(max_chunksize=TOGETHER)
 
-    def rows() -> pa.RecordBatch:
-        columns = [[k[0] for k in found], [k[1] for k in found], [k[2] for k in found], list(found.values())]
-        kinds = [pa.string(), pa.binary(), pa.int32(), pa.int64()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["lang", "chunk", "counted", "times"]
-        )
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, int]]:
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), values(batch.column(1)), strict=True):
-            if text:
-                found.update((lang, chunk, counted) for chunk, counted in chunks_of(text.encode().lower()))
-                if len(found) >= ENTRIES:
-                    yield rows()
-                    found.clear()
-    if found:
-        yield rows()
-
-
-def dictionary(docs: DataFrame) -> DataFrame:
-    """(lang, chunk, counted, times): the distinct chunks of each language and how often the parse has them."""
-    narrow = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    parts = narrow.mapInArrow(_parse_batches, "lang string, chunk binary, counted int, times long")
-    return parts.groupBy("lang", "chunk", "counted").agg(F.sum("times").alias("times"))
+            normal = _normal(text.encode().lower()) if text else b""
+            if normal:
+                yield lang, normal, 1
 
 
-def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """(language, tokens, weight of each token): chunks of one language laid end to end, a gap after each."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, int]]:
     for batch in batches:
-        langs, chunks, times = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
-        places: dict[str, list[int]] = {}
-        for i, lang in enumerate(langs):
-            places.setdefault(lang, []).append(i)
-        for lang, rows in places.items():
-            mine = [chunks[i] for i in rows]
-            tokens = (b" . ".join(mine) + b" .").split()
-            lengths = np.array([c.count(b" ") + 2 for c in mine])
-            yield lang, tokens, np.repeat(times[rows], lengths)
+        yield from zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
 
 
-def _after(marked: np.ndarray, steps: int) -> np.ndarray:
-    """Whether the place ``steps`` before is marked."""
-    out = np.zeros(len(marked), bool)
-    out[steps:] = marked[: len(marked) - steps]
-    return out
+def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["lang", "chunk", "counted", "times"]
 
+    def tables() -> Iterator[pa.Table]:
+        for lang, texts, _ in _by_language(_texts(batches)):
+            tokens = Tokens(texts)
+            chunks = list(tokens.cut())
+            if chunks:
+                chunk, counted = zip(*chunks, strict=True)
+                many, lang = len(chunk), pa.scalar(lang, pa.string())
+                ones = pa.array(np.ones(many, np.int64))
+                yield pa.table([pa.repeat(lang, many), pa.array(chunk, pa.binary()), pa.array(counted, pa.int32()), ones], names)
+                words = tokens.words()
+                zeros = pa.array(np.zeros(len(words), np.int32))
+                yield pa.table([pa.repeat(lang, len(words)), words.column(0), zeros, words.column(1)], names)
 
-class _Numbers(dict):
-    """Numbers of words in order of appearance."""
+    return _summed(tables())
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
 
+def parsed(docs: DataFrame, least: int) -> DataFrame:
+    """(lang, chunk, counted, times): each language's distinct chunks with how many words each counts and how often the parse has it.
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables: dict[str, tuple[dict[bytes, int], np.ndarray]] = {}
+    With them, as rows that count no words, the words found ``least`` times or more.
+    """
+    narrow = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+    parts = narrow.mapInArrow(_parse_batches, "lang string, chunk binary, counted int, times long")
+    rows = parts.groupBy("lang", "chunk", "counted").agg(F.sum("times").alias("times"))
+    return rows.where((F.col("counted") > 0) | (F.col("times") >= least))
 
-    def rows() -> Iterator[pa.RecordBatch]:
-        for lang, (numbers, totals) in tables.items():
-            some = np.flatnonzero(totals[: len(numbers)])
-            words = list(numbers)
-            columns = [pa.array([lang] * len(some)), pa.array([words[i] for i in some.tolist()], pa.binary()), pa.array(totals[some])]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
-    for lang, tokens, weights in _by_language(batches):
-        numbers, totals = tables.get(lang) or (_Numbers({GAP: 0, SHARED: 1}), np.zeros(ENTRIES, np.int64))
-        ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-        if len(numbers) > len(totals):
-            totals = np.concatenate([totals, np.zeros(len(numbers), np.int64)])
-        shared = ids == 1
-        counts = (ids > 1) & ~_after(shared, 1) & ~_after(shared, 2)
-        np.add.at(totals, ids[counts], weights[counts])
-        tables[lang] = numbers, totals
-        if sum(len(n) for n, _ in tables.values()) >= ENTRIES:
-            yield from rows()
-            tables.clear()
-    yield from rows()
+def _after(marked: np.ndarray, steps: int) -> np.ndarray:
+    """Whether the place ``steps`` before is marked."""
+    out = np.zeros(len(marked), bool)
+    out[steps:] = marked[: len(marked) - steps]
+    return out
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    """64 bits, 2 at least: 0 and 1 stand for gaps and shared windows."""
-    return max(xxh3_64_intdigest(word, xxh3_64_intdigest(lang.encode())), 2)
+def _seed(lang: str) -> int:
+    return xxh3_64_intdigest(lang.encode()) >> 1
 
 
 def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -210,113 +290,113 @@ def bitmap(hashes: DataFrame) -> Bitmap:
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = [word_hash(a, w) for a, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(hashes, np.uint64).view(np.int64))], ["h"])
-
-
-class _Hashes(dict):
-    """Hash by word of one language; 0, as a gap, for words that aren't frequent."""
+    rows = ((lang, word, 1) for batch in batches for lang, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+    for lang, words, _ in _by_language(rows):
+        tokens = Tokens(words)
+        hashes = tokens.hashes(_seed(lang))[tokens.word]
+        for i in range(0, len(hashes), TOGETHER):
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[i : i + TOGETHER].view(np.int64))], ["h"])
 
-    def __init__(self, lang: str, frequent: Bitmap):
-        self.seed, self.shift, self.bits = xxh3_64_intdigest(lang.encode()), frequent.shift, frequent.data.tobytes()
-        self[GAP], self[SHARED] = 0, 1
 
-    def __missing__(self, word: bytes) -> int:
-        h = max(xxh3_64_intdigest(word, self.seed), 2)
-        slot = h >> self.shift
-        if not self.bits[slot >> 3] >> (slot & 7) & 1:
-            h = 0
-        if len(self) < ENTRIES:
-            self[word] = h
-        return h
+def _pairs(batches: Iterator[pa.RecordBatch], frequent: Bitmap):
+    """(language, tokens, weights, hash of the pair at each place, whether it is one of frequent words, whether it is a shared window)."""
+    for lang, chunks, times in _by_language(_chunks(batches)):
+        tokens = Tokens(chunks)
+        weights = np.repeat(np.array(times, np.int64), np.diff(np.concatenate([[0], tokens.between + 1, [len(tokens)]])))
+        h = tokens.hashes(_seed(lang))
+        often = tokens.word & frequent.has(h)
+        valid = np.append(often[:-1] & often[1:], False)
+        yield lang, tokens, weights, pair_hashes(h, np.append(h[1:], np.uint64(0))), valid, _after(tokens.shared, 1)
 
 
-def _pairs(batches, frequent: Bitmap):
-    """(language, tokens, weights, hash of the pair at each place, whether it is one of frequent words, whether it is a shared window)."""
-    memos: dict[str, _Hashes] = {}
-    for lang, tokens, weights in _by_language(batches):
-        if lang not in memos:
-            if len(memos) >= 16:
-                memos.clear()
-            memos[lang] = _Hashes(lang, frequent)
-        h = np.fromiter(map(memos[lang].__getitem__, tokens), np.uint64, len(tokens))
-        word = h > 1
-        valid = np.append(word[:-1] & word[1:], False)
-        yield lang, tokens, weights, pair_hashes(h, np.append(h[1:], np.uint64(0))), valid, _after(h == 1, 1)
+def _sums_of(hashes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and the sum of each one's times."""
+    order = np.argsort(hashes)
+    hashes, times = hashes[order], times[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else order
+    return hashes[first], np.add.reduceat(times, first) if len(hashes) else times
 
 
 def _hash_pairs(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hash, times) of pairs of frequent words, summed within a task."""
+    """(first bits, hashes, times of each) of pairs of frequent words, summed within a task."""
     held, size = [], 0
 
-    def summed() -> tuple[np.ndarray, np.ndarray]:
-        hashes, times = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(hashes, kind="stable")
-        hashes, times = hashes[order], times[order]
-        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        return hashes[first], np.add.reduceat(times, first)
-
-    def rows(hashes, times):
-        for i in range(0, len(hashes), TOGETHER):
-            part = slice(i, i + TOGETHER)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[part].view(np.int64)), pa.array(times[part])], ["h", "times"])
+    def rows(hashes: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        group = (hashes >> np.uint64(64 - GROUP_BITS)).astype(np.int32)
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.empty(0, np.int64)
+        to = np.append(first[1:], len(group))
+        for i in range(0, len(first), 256):
+            spans = list(zip(first[i : i + 256].tolist(), to[i : i + 256].tolist(), strict=True))
+            columns = [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (hashes, times)]
+            yield pa.RecordBatch.from_arrays([pa.array(group[first[i : i + 256]]), *columns], ["part", "hashes", "times"])
 
     for _, _, weights, h, valid, shared in _pairs(batches, frequent.value):
         chosen = valid & ~shared
         held.append((h[chosen], weights[chosen]))
-        size += int(chosen.sum())
+        size += len(held[-1][0])
         if size >= HASHES:
-            hashes, times = summed()
-            held, size = [(hashes, times)], len(hashes)
+            held = [_sums_of(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+            size = len(held[0][0])
             if size >= HASHES // 2:
-                yield from rows(hashes, times)
+                yield from rows(*held[0])
                 held, size = [], 0
     if held:
-        yield from rows(*summed())
+        yield from rows(*_sums_of(*(np.concatenate(x) for x in zip(*held, strict=True))))
+
+
+def _frequent_hashes(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes that are there ``least`` times or more; rows of one group follow each other."""
+    group, held = None, []
+
+    def often() -> pa.RecordBatch:
+        hashes, times = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held, strict=True), ("<u8", "<i8"), strict=True))
+        hashes, times = _sums_of(hashes, times)
+        return pa.RecordBatch.from_arrays([pa.array(hashes[times >= least].view(np.int64))], ["h"])
+
+    for batch in batches:
+        for part, hashes, times in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if held and part != group:
+                yield often()
+                held = []
+            group = part
+            held.append((hashes, times))
+    if held:
+        yield often()
 
 
 def _count_phrases(tables, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase, words, n) of pairs whose hash is frequent, and of triples of two such pairs."""
     frequent, pairs = tables.value
-    found: dict[tuple[str, int], Counter] = {}
-
-    def rows() -> Iterator[pa.RecordBatch]:
-        for (lang, words), counts in found.items():
-            columns = [pa.array([lang] * len(counts)), pa.array(list(counts), pa.binary())]
-            columns += [pa.array([words] * len(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "n"])
-
-    for lang, tokens, weights, h, valid, shared in _pairs(batches, frequent):
-        often = valid & pairs.has(h)
-        for words, chosen in ((2, often & ~shared), (3, often & np.append(often[1:], False))):
-            counts = found.setdefault((lang, words), Counter())
-            single = weights == 1
-            counts.update([b" ".join(tokens[i : i + words]) for i in np.flatnonzero(chosen & single).tolist()])
-            places = np.flatnonzero(chosen & ~single)
-            for i, n in zip(places.tolist(), weights[places].tolist(), strict=True):
-                counts[b" ".join(tokens[i : i + words])] += n
-        if sum(map(len, found.values())) >= ENTRIES:
-            yield from rows()
-            found.clear()
-    yield from rows()
+
+    def found() -> Iterator[pa.Table]:
+        for lang, tokens, weights, h, valid, shared in _pairs(batches, frequent):
+            often = valid & pairs.has(h)
+            for words, chosen in ((2, often & ~shared), (3, often & np.append(often[1:], False))):
+                at = np.flatnonzero(chosen)
+                for part, phrases in tokens.phrases(at, words):
+                    many = len(phrases)
+                    columns = [pa.repeat(pa.scalar(lang, pa.string()), many), phrases]
+                    columns += [pa.repeat(pa.scalar(words, pa.int32()), many), pa.array(weights[at[part]])]
+                    yield pa.table(columns, ["lang", "phrase", "words", "n"])
+
+    return _summed(found())
 
 
 def frequencies(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """((lang, n) of all words, (lang, phrase, words, n) of every phrase of 1 to 3 words found ``least`` times or more)."""
     spark = docs.sparkSession
-    parsed = written(dictionary(docs), "parse")
-    totals = parsed.groupBy("lang").agg(F.sum(F.col("counted") * F.col("times")).alias("n"))
-    chunks = parsed.select("lang", "chunk", "times")
+    parse = written(parsed(docs, least), "parse")
+    totals = parse.groupBy("lang").agg(F.sum(F.col("counted") * F.col("times")).alias("n"))
+    chunks = parse.where("counted > 0").select("lang", "chunk", "times")
     often = F.col("n") >= least
 
-    counted = chunks.mapInArrow(_count_words, "lang string, phrase binary, n long")
-    words = written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(often), "words")
+    words = written(parse.where("counted = 0").select("lang", F.col("chunk").alias("phrase"), F.col("times").alias("n")), "words")
     frequent = bitmap(words.mapInArrow(_hash_batches, "h long"))
 
     sent = spark.sparkContext.broadcast(frequent)
-    hashed = chunks.mapInArrow(partial(_hash_pairs, sent), "h long, times long").groupBy("h").agg(F.sum("times").alias("n"))
-    sent = spark.sparkContext.broadcast((frequent, bitmap(written(hashed.where(often).select("h"), "pair-hashes"))))
+    hashed = chunks.mapInArrow(partial(_hash_pairs, sent), "part int, hashes binary, times binary")
+    hashed = hashed.repartition("part").sortWithinPartitions("part").mapInArrow(partial(_frequent_hashes, least), "h long")
+    sent = spark.sparkContext.broadcast((frequent, bitmap(written(hashed, "pair-hashes"))))
 
     phrases = chunks.mapInArrow(partial(_count_phrases, sent), "lang string, phrase binary, words int, n long")
     longer = phrases.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(often)

@@ -5,7 +5,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -191,6 +193,60 @@ def test_collocations_of_an_empty_table(spark):
     assert col.collocations(spark.createDataFrame([("en", None), (None, "")], "lang string, text string")).collect() == []
 
 
+def test_texts_laid_end_to_end_are_cut_counted_and_hashed_one_by_one(monkeypatch):
+    monkeypatch.setattr(col, "TOGETHER_BYTES", 40)
+    long = [b"x" * 64 + b"y" * n for n in (0, 1, 2)] + [b"x" * 70 + b"z"]
+    texts = [t for t in (col._normal(t.encode().lower()) for t in spoken(120, 7) if t) if t] + [b" ".join(long), b". .", b"."]
+    tokens = col.Tokens(texts)
+    assert list(tokens.cut()) == [c for t in texts for c in col.chunks_of(t)]
+    laid = b" . ".join(texts).split(b" ")
+    found = tokens.words()
+    assert dict(zip(found["item"].to_pylist(), found["n"].to_pylist())) == Counter(t for t in laid if t != col.GAP)
+    by_hash = {}
+    for word, h in zip(laid, tokens.hashes(5).tolist()):
+        by_hash.setdefault(h, set()).add(word)
+    assert len(by_hash) == len(set(laid)) and all(len(w) == 1 for w in by_hash.values())
+    for words in (2, 3):
+        at = np.arange(0, len(laid) - words, 2)
+        parts = list(tokens.phrases(at, words))
+        assert [p for _, a in parts for p in a.to_pylist()] == [b" ".join(laid[i : i + words]) for i in at]
+        assert len(parts) > 1 and np.array_equal(np.concatenate([at[s] for s, _ in parts]), at)
+
+
+def test_full_tables_are_handed_on_without_loss(monkeypatch):
+    for name, size in (("ENTRIES", 40), ("HASHES", 30), ("TOGETHER", 7), ("TOGETHER_BYTES", 200)):
+        monkeypatch.setattr(col, name, size)
+    rows = [(g, t) for g in ("en", "de") for t in spoken(60, 8)]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], ["lang", "text"])
+    parse, words = Counter(), Counter()
+    for lang, chunk, counted, times in (r for b in col._parse_batches(iter([batch])) for r in zip(*b.to_pydict().values())):
+        (parse if counted else words)[lang, chunk] += times
+    want = Counter((g, c) for g, t in rows if t for c, _ in col.chunks_of(t.encode().lower()))
+    assert parse == want
+    phrases = Counter()
+    for lang, text in rows:
+        for piece in re.split(rb"[.,;:!?\n\x0b\x0c\r]", (text or "").encode().lower()):
+            w = piece.split()
+            phrases.update((lang, tuple(w[i : i + n])) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    assert words == {(g, p[0]): n for (g, p), n in phrases.items() if len(p) == 1}
+
+    every = col.Bitmap(15, [(0, b"\xff" * 4096)])
+    sent = type("Sent", (), {"value": every})
+    langs, chunks = zip(*parse)
+    batch = pa.RecordBatch.from_arrays([pa.array(langs), pa.array(chunks, pa.binary()), pa.array(list(parse.values()), pa.int64())], ["lang", "chunk", "times"])
+    counted = Counter()
+    for b in col._count_phrases(type("Sent", (), {"value": (every, every)}), iter([batch])):
+        for lang, phrase, n, times in zip(*b.to_pydict().values()):
+            counted[lang, tuple(phrase.split(b" "))] += times
+            assert phrase.count(b" ") == n - 1
+    assert counted == {k: n for k, n in phrases.items() if len(k[1]) > 1}
+    parts = sorted((r for b in col._hash_pairs(sent, iter([batch])) for r in zip(*b.to_pydict().values())), key=lambda r: r[0])
+    parts = pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*parts)], ["part", "hashes", "times"])
+    for least in (1, 10):
+        often = [h for b in col._frequent_hashes(least, iter([parts])) for h in b.column(0).to_pylist()]
+        assert len(often) == len(set(often)) == sum(len(k[1]) == 2 and n >= least for k, n in phrases.items())
+
+
 # --- quality rules --------------------------------------------------------------------
 
 def brute_measures(text):
