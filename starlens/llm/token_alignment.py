@@ -4,7 +4,8 @@ Every text is tokenised whole by both vocabularies. Token bytes are laid out fro
 offset 0; an anchor is an offset where a token of each ends and the next token of
 each begins with a blank. Anchors split a document into windows of token ids,
 which recur far more often than documents do, so a window's groups and links are
-worked out once per worker and found again by its two id tuples.
+worked out once per worker. Where each blank is an anchor, windows are the chunks
+between blanks and found again by their text, else by their two id tuples.
 
 - A group is a run of tokens between neighbouring offsets where both sides end.
 - A link is a pair of token occurrences whose byte ranges overlap.
@@ -39,9 +40,9 @@ from starlens.llm.common import values, written
 
 #: Ids of the second vocabulary take the lower bits of a pair.
 B_BITS = 20
-#: Entries of a worker's caches (about 300 and 500 bytes each).
-CHUNK_ENTRIES = 300_000
-WINDOW_ENTRIES = 300_000
+#: Entries of a worker's caches (about 400 and 500 bytes each).
+CHUNK_ENTRIES = 400_000
+WINDOW_ENTRIES = 100_000
 #: Longest chunk in code points, and longest window in tokens, that are remembered.
 CHUNK_LENGTH = 64
 WINDOW_TOKENS = 64
@@ -73,9 +74,9 @@ def byte_alphabet() -> dict[str, int]:
 class Vocabularies:
     """Ids of a text by both vocabularies, and their tokens' bytes.
 
-    A blank between two visible characters always starts a token in both, so a
-    text with no other white space than such blanks and line feeds is tokenised
-    chunk by chunk, each distinct chunk once; other texts go through whole.
+    A blank between two visible characters always starts a token in both, so
+    chunks of texts with no other white space than such blanks and line feeds can
+    be tokenised on their own; other texts go through whole.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -107,71 +108,50 @@ class Vocabularies:
         self.b_length = np.array([len(t) for t in b_bytes], np.int64)
         self.a_blank = np.array([t.startswith(b" ") for t in a_bytes])
         self.b_blank = np.array([t.startswith(b" ") for t in b_bytes])
-        self.chunks: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.missed = 0
 
     def _faithful(self, text: str, a: list[int], b: list[int]) -> bool:
         """Whether both sides' tokens are the bytes of a blank and the text."""
         whole = b" " + text.encode()
         return b"".join(map(self.a_bytes.__getitem__, a)) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole
 
-    def _whole(self, text: str) -> tuple[bytes, bytes, bool]:
-        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-        return np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), self._faithful(text, a, b)
+    def _ids(self, text: str) -> tuple[list[int], list[int]]:
+        return self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
 
-    def _new_chunks(self, chunks: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
-        """Ids of chunks without blanks, by one call of each library: a chunk's first token, and no other, begins with a blank."""
+    def whole(self, text: str) -> tuple[bytes, bytes]:
+        """(ids by A of a blank and the text, ids by B of the text), as little-endian 32-bit ids.
+
+        Both empty for an empty text and unless both sides give the bytes of a blank and the text back.
+        """
+        a, b = self._ids(text) if text else ([], [])
+        return (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if text and self._faithful(text, a, b) else (b"", b"")
+
+    def together(self, chunks: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """(ids, number of ids of each chunk) by A and by B of chunks without blanks, by one call of each library.
+
+        A chunk's first token, and no other, begins with a blank; None if that isn't so or bytes aren't given back.
+        """
         text = " ".join(chunks)
-        sides = []
-        both = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        sides, both = [], self._ids(text)
         if not self._faithful(text, *both):
-            return {c: self._whole(c) for c in chunks}
+            return None
         for ids, blank in zip(both, (self.a_blank, self.b_blank), strict=True):
-            ids = np.array(ids, "<u4")
+            ids = np.array(ids, np.int64)
             starts = np.flatnonzero(blank[ids])
             if len(starts) != len(chunks):
-                return {c: self._whole(c) for c in chunks}
-            data, bounds = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-            sides.append([data[i:j] for i, j in zip(bounds, bounds[1:], strict=False)])
-        return {c: (a, b, True) for c, a, b in zip(chunks, *sides, strict=True)}
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """(ids by A of a blank and the text, ids by B of the text), as little-endian 32-bit ids, of each text.
-
-        Both empty for an empty text and unless both sides give the bytes of a blank and the text back.
-        """
-        split = [None if not t or _odd_space(t) else t.split(" ") for t in texts]
-        known = self.chunks
-        looked = [list(map(known.get, chunks)) if chunks else [] for chunks in split]
-        missing = list({c for chunks, ids in zip(split, looked, strict=True) if None in ids for c, pair in zip(chunks, ids, strict=True) if pair is None})
-        new = self._new_chunks(missing) if missing else {}
-        if len(known) + len(new) <= CHUNK_ENTRIES:
-            known.update((c, ids) for c, ids in new.items() if len(c) <= CHUNK_LENGTH)
-        else:  # frequent chunks came early: a full cache is kept, until the texts have changed a lot
-            self.missed += len(new)
-            if self.missed > 4 * CHUNK_ENTRIES:
-                self.missed, self.chunks = 0, {}
-        found = []
-        for text, chunks, pairs in zip(texts, split, looked, strict=True):
-            if chunks is not None:
-                if None in pairs:
-                    pairs = [new[c] if ids is None else ids for c, ids in zip(chunks, pairs, strict=True)]
-                a, b, faithful = map(list, zip(*pairs, strict=True))
-                if all(faithful):
-                    found.append((b"".join(a), b"".join(b)))
-                    continue
-            a, b, faithful = self._whole(text) if text else (b"", b"", False)
-            found.append((a, b) if faithful else (b"", b""))
-        return found
+                return None
+            sides.append((ids, np.diff(np.append(starts, len(ids)))))
+        return sides
 
 
 class Aligner:
-    """A worker's vocabularies and the alignments of the windows it has met, by their two id tuples (as bytes)."""
+    """A worker's vocabularies and the alignments it has met: of chunks by their text, of other windows by their two id tuples (as bytes)."""
 
     def __init__(self, path_a: str, path_b: str):
         self.words = v = Vocabularies(path_a, path_b)
-        self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes]] = {}
-        self.missed = 0
+        #: (A tokens, B tokens, groups, links, groups as text); no tokens where the chunk's bytes aren't given back.
+        self.chunks: dict[str, tuple[int, int, int, bytes, str]] = {}
+        self.windows: dict[tuple[bytes, bytes], tuple[int, bytes, str]] = {}
+        self.missed_chunks = self.missed = 0
         # An id's text with what follows it: A inside and at the end of a group's left side, B inside and at the end of its right side.
         self.parts = [f"{i}{mark}" for size, marks in ((len(v.a_bytes), ",|"), (len(v.b_bytes), ",;")) for mark in marks for i in range(size)]
 
@@ -189,12 +169,16 @@ class Aligner:
             (a_data[i0:i1], b_data[k0:k1]) for i0, i1, k0, k1 in zip([0, *i], i, [0, *k], k, strict=False)
         ]
 
-    def new_windows(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, int, bytes]]:
-        """(groups as text, number of groups, links as little-endian 64-bit pairs) of each window, all of them laid end to end."""
+    def new_windows(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[int, bytes, str]]:
+        """(number of groups, links as little-endian 64-bit pairs, groups as text) of each window."""
+        sides = [(np.frombuffer(b"".join([k[side] for k in keys]), "<u4"), np.array([len(k[side]) // 4 for k in keys])) for side in (0, 1)]
+        return self.laid(*sides)
+
+    def laid(self, a_side: tuple[np.ndarray, np.ndarray], b_side: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, bytes, str]]:
+        """The same of windows laid end to end, by their (ids, number of ids of each window) of A and of B."""
         v = self.words
-        a, b = (np.frombuffer(b"".join([k[side] for k in keys]), "<u4") for side in (0, 1))
+        (a, a_many), (b, b_many) = a_side, b_side
         a_ends, b_ends = np.cumsum(v.a_length[a]), np.cumsum(v.b_length[b])
-        a_many, b_many = (np.array([len(k[side]) // 4 for k in keys]) for side in (0, 1))
         edges = a_ends[np.cumsum(a_many) - 1]
         # Each stretch between neighbouring ends lies in one token of each side, which makes it a link.
         ends = np.union1d(a_ends, b_ends)
@@ -212,13 +196,55 @@ class Aligner:
         texts = list(map(self.parts.__getitem__, codes[order].tolist()))
         bounds = np.cumsum(a_many + b_many).tolist()
         return [
-            ("".join(texts[s0:s1])[:-1], n, data[p0:p1])
+            (n, data[p0:p1], "".join(texts[s0:s1])[:-1])
             for s0, s1, n, p0, p1 in zip([0, *bounds], bounds, groups, [0, *to], to, strict=False)
         ]
 
+    def new_chunks(self, chunks: list[str]) -> dict[str, tuple[int, int, int, bytes, str]]:
+        """What ``chunks`` keeps, of chunks without blanks; as no token inside begins with a blank, each is one window."""
+        sides = self.words.together(chunks)
+        if sides is None:
+            ids = {c: self.words.whole(c) for c in chunks}
+            kept = [k for k in ids.values() if k[0]]
+            found = iter(self.new_windows(kept) if kept else [])
+            return {c: (len(a) // 4, len(b) // 4, *next(found)) if a else (0, 0, 0, b"", "") for c, (a, b) in ids.items()}
+        (_, a_many), (_, b_many) = sides
+        rows = zip(chunks, a_many.tolist(), b_many.tolist(), self.laid(*sides), strict=True)
+        return {c: (n_a, n_b, *window) for c, n_a, n_b, window in rows}
+
     def align(self, texts: list[str]) -> list[tuple[int, int, int, bytes, str]]:
         """(A tokens, B tokens, groups, links, digest of the groups) of each text; zeros where the bytes aren't given back."""
-        ids = self.words.encode(texts)
+        known = self.chunks
+        split = [None if not t or _odd_space(t) else t.split(" ") for t in texts]
+        looked = [list(map(known.get, chunks)) if chunks else [] for chunks in split]
+        missing = list({c for chunks, found in zip(split, looked, strict=True) if None in found for c, e in zip(chunks, found, strict=True) if e is None})
+        new = self.new_chunks(missing) if missing else {}
+        if len(known) + len(new) <= CHUNK_ENTRIES:
+            known.update((c, e) for c, e in new.items() if len(c) <= CHUNK_LENGTH)
+        else:  # frequent chunks came early: a full cache is kept, until the texts have changed a lot
+            self.missed_chunks += len(new)
+            if self.missed_chunks > 4 * CHUNK_ENTRIES:
+                self.missed_chunks, self.chunks = 0, {}
+        out: list = [None] * len(texts)
+        others = []
+        for i, (chunks, found) in enumerate(zip(split, looked, strict=True)):
+            if chunks:
+                if None in found:
+                    found = [new[c] if e is None else e for c, e in zip(chunks, found, strict=True)]
+                n_a, n_b, n_groups, links, groups = zip(*found, strict=True)
+                if 0 not in n_a:
+                    digest = sha256(";".join(groups).encode()).hexdigest()
+                    out[i] = sum(n_a), sum(n_b), sum(n_groups), b"".join(links), digest
+                    continue
+            others.append(i)
+        if others:
+            for i, row in zip(others, self._align_whole([texts[i] for i in others]), strict=True):
+                out[i] = row
+        return out
+
+    def _align_whole(self, texts: list[str]) -> list[tuple[int, int, int, bytes, str]]:
+        """The same of texts that go through the libraries whole."""
+        ids = [self.words.whole(t) for t in texts]
         keys = [self.cuts(a, b) if a else [] for a, b in ids]
         known = self.windows
         looked = [list(map(known.get, row)) for row in keys]
@@ -237,8 +263,8 @@ class Aligner:
                 continue
             if None in found:
                 found = [new[k] if w is None else w for k, w in zip(row, found, strict=True)]
-            digest = sha256(";".join([w[0] for w in found]).encode()).hexdigest()
-            out.append((len(a) // 4, len(b) // 4, sum([w[1] for w in found]), b"".join([w[2] for w in found]), digest))
+            n_groups, links, groups = zip(*found, strict=True)
+            out.append((len(a) // 4, len(b) // 4, sum(n_groups), b"".join(links), sha256(";".join(groups).encode()).hexdigest()))
         return out
 
 

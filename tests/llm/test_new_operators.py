@@ -108,6 +108,32 @@ def test_full_caches_change_nothing(monkeypatch, libraries):
     assert [r for t in texts for r in small.align([t])] == want
 
 
+def test_chunks_met_before_need_neither_library_nor_windows(monkeypatch, libraries):
+    texts = ["the cat sat,\non the mat", "on the mat sat\nthe cat sat,\non", "中文 the é🙂 x <s> <0x41>"]
+    worker = align.Aligner(A, B)
+    worker.align([" ".join(t.split(" ")[::-1]) for t in texts[:2]] + texts)
+    want = [brute_alignment(t, libraries) for t in texts]
+
+    def never(*_):
+        raise AssertionError("worked out again")
+
+    for owner, names in ((align.Vocabularies, ("_ids",)), (align.Aligner, ("cuts", "new_windows", "laid"))):
+        for name in names:
+            monkeypatch.setattr(owner, name, never)
+    for text, (n_a, n_b, n_groups, data, digest) in zip(texts, worker.align(texts), strict=True):
+        brute = want[texts.index(text)]
+        assert (n_a, n_b, n_groups, digest) == (*brute[:3], brute[4])
+        assert n_a and Counter((int(x) >> align.B_BITS, int(x) & (1 << align.B_BITS) - 1) for x in np.frombuffer(data, "<i8")) == Counter(brute[3])
+
+
+def test_a_text_with_a_chunk_whose_bytes_are_not_given_back(libraries):
+    texts = ["a ▁b c", "a b", "ﬁ x", "x a", "한 a b", "한 a\u0301 x"]
+    got = align.Aligner(A, B).align(texts)
+    for text, row in zip(texts, got, strict=True):
+        want = brute_alignment(text, libraries)
+        assert (*row[:3], len(row[3]) // 8, row[4]) == (*want[:3], len(want[3]), want[4]), text
+
+
 # --- collocations --------------------------------------------------------------------
 
 def brute_collocations(rows, least=10, top=2000, inside=50):
